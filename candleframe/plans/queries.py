@@ -13,7 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candleframe.operators import series, volatility
+from candleframe.operators import (
+    activity,
+    classify,
+    correlation,
+    profile,
+    rank_stats,
+    sampling,
+    series,
+    setops,
+    universe,
+    volatility,
+)
+from candleframe.plans import extract, universe_load
+from candleframe.sources import candles as candle_src
+from candleframe.sources import catalog as cat
 from candleframe.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,5 +99,280 @@ def q_top_rolling_series(spark, sf_dir):
     )
 
 
+# --- pair universe (pair-file names) -------------------------------------------------------
+
+PAIR_TARGET_QUOTES = ("Q0", "Q1", "Q2")
+
+
+def _pair_catalog(spark, sf_dir):
+    return cat.pair_catalog(fx.pair_files(spark, sf_dir))
+
+
+@register("pair_catalog")
+def q_pair_catalog(spark, sf_dir):
+    """Pair names parsed from BASE-QUOTE.parquet file names."""
+    return _pair_catalog(spark, sf_dir).select("file_name", "base_currency", "quote_currency")
+
+
+@register("quote_count_per_base")
+def q_quote_count_per_base(spark, sf_dir):
+    return universe.quote_count_per_base(_pair_catalog(spark, sf_dir))
+
+
+@register("quote_count_histogram")
+def q_quote_count_histogram(spark, sf_dir):
+    return universe.quote_count_histogram(universe.quote_count_per_base(_pair_catalog(spark, sf_dir)))
+
+
+@register("top_bases")
+def q_top_bases(spark, sf_dir):
+    return universe.top_bases(universe.quote_count_per_base(_pair_catalog(spark, sf_dir)))
+
+
+@register("common_quotes")
+def q_common_quotes(spark, sf_dir):
+    catalog = _pair_catalog(spark, sf_dir)
+    return universe.common_quotes(catalog, universe.top_bases(universe.quote_count_per_base(catalog)))
+
+
+@register("existing_pairs")
+def q_existing_pairs(spark, sf_dir):
+    """Top bases x common quotes that exist as pair files."""
+    return universe_load.universe_pairs(_pair_catalog(spark, sf_dir)).select(
+        "file_name", "base_currency", "quote_currency"
+    )
+
+
+@register("complete_bases")
+def q_complete_bases(spark, sf_dir):
+    """Bases trading against all of Q0, Q1, Q2."""
+    return universe.complete_bases(_pair_catalog(spark, sf_dir), PAIR_TARGET_QUOTES)
+
+
+@register("file_size_totals")
+def q_file_size_totals(spark, sf_dir):
+    """Bytes of the files the candle fixture reads vs. all files of the directory."""
+    files = cat.list_parquet_files(spark, sf_dir)
+    selected = spark.createDataFrame(
+        [(f"{t}.parquet",) for t in ("orders", "customer", "lineitem")], "file_name string"
+    )
+    return file_size_totals(files, selected)
+
+
+def file_size_totals(files, selected):
+    flagged = files.join(
+        selected.select("file_name").distinct().withColumn("_sel", F.lit(True)), on="file_name", how="left"
+    )
+    sel_bytes = F.sum(F.when(F.col("_sel"), F.col("bytes")).otherwise(F.lit(0))).cast("bigint")
+    all_bytes = F.sum("bytes").cast("bigint")
+    return flagged.agg(sel_bytes.alias("selected_bytes"), all_bytes.alias("all_bytes")).select(
+        "selected_bytes",
+        "all_bytes",
+        (F.try_divide(F.col("selected_bytes") * 100.0, F.col("all_bytes"))).alias("pct_selected"),
+        (F.col("selected_bytes") / (1024.0 * 1024.0)).alias("selected_mb"),
+        (F.col("selected_bytes") / (1024.0 ** 3)).alias("selected_gb"),
+        (F.col("all_bytes") / (1024.0 ** 3)).alias("all_gb"),
+    )
+
+
+# --- load, classify, extract (daily candles) -----------------------------------------------
+
+CANDLE_OUT = (
+    "base_currency", "quote_currency", "open_time", "seq", "close", "volume",
+    "quote_asset_volume", "number_of_trades", "classification",
+)
+BASE_LISTS = {"cryptos": ("AUTOMOBILE",), "stablecoins": ("BUILDING",), "fiats": ("FURNITURE",)}
+
+
+@register("load_candles")
+def q_load_candles(spark, sf_dir):
+    """Candles of the universe (top bases x common quotes), classified by quote."""
+    candles = fx.candles_daily(spark, sf_dir)
+    pairs = universe_load.universe_pairs(universe.distinct_pairs(candles))
+    return (
+        candles.join(pairs, on=["base_currency", "quote_currency"], how="left_semi")
+        .transform(lambda d: classify.classify_by_quote(d, fx.DAILY_QUOTE_CLASSES))
+        .select(*CANDLE_OUT)
+    )
+
+
+def _with_fake_path(df):
+    return df.withColumn(
+        "_path", F.concat(F.lit("/data/pairs/"), F.col("base_currency"), F.lit("-"), F.col("quote_currency"), F.lit(".parquet"))
+    )
+
+
+@register("stock_column")
+def q_stock_column(spark, sf_dir):
+    """stock = file stem of each candle's pair file; base/quote split back from it."""
+    df = candle_src.with_stock_column(_with_fake_path(fx.candles_daily(spark, sf_dir)), "_path")
+    return candle_src.split_stock(df.drop("base_currency", "quote_currency")).select(
+        "stock", "base_currency", "quote_currency", "open_time", "seq", "close"
+    )
+
+
+@register("union_pairs")
+def q_union_pairs(spark, sf_dir):
+    """Daily and hourly candle frames, columns in different orders, unioned by name."""
+    cols = ["base_currency", "quote_currency", "open_time", "seq", "close", "volume"]
+    daily = fx.candles_daily(spark, sf_dir).select(*cols)
+    hourly = fx.candles_hourly(spark, sf_dir).select(*reversed(cols))
+    return setops.union_pairs(daily, hourly)
+
+
+@register("classify_by_quote")
+def q_classify_by_quote(spark, sf_dir):
+    df = fx.candles_daily(spark, sf_dir).drop("classification")
+    return classify.classify_by_quote(df, fx.DAILY_QUOTE_CLASSES).select(
+        "base_currency", "quote_currency", "open_time", "seq", "classification"
+    )
+
+
+@register("classify_by_base")
+def q_classify_by_base(spark, sf_dir):
+    df = fx.candles_daily(spark, sf_dir).drop("classification")
+    return classify.classify_by_base(df, **BASE_LISTS).select(
+        "base_currency", "quote_currency", "open_time", "seq", "classification"
+    )
+
+
+def _extract(spark, sf_dir):
+    candles = candle_src.with_stock_column(_with_fake_path(fx.candles_daily(spark, sf_dir)), "_path")
+    return extract.closing_price_extract(
+        candles, universe.distinct_pairs(candles), stablecoins=BASE_LISTS["stablecoins"], fiats=BASE_LISTS["fiats"]
+    )
+
+
+@register("closing_price_extract")
+def q_closing_price_extract(spark, sf_dir):
+    return _extract(spark, sf_dir)
+
+
+@register("closing_price_summary")
+def q_closing_price_summary(spark, sf_dir):
+    return profile.closing_price_summary(_extract(spark, sf_dir))
+
+
+# --- profile and activity (daily candles) ------------------------------------------------
+
+DAILY_TARGET_QUOTES = ("F", "O", "P")
+
+
+@register("null_profile")
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(fx.candles_daily(spark, sf_dir))
+
+
+@register("bases_per_quote_year")
+def q_bases_per_quote_year(spark, sf_dir):
+    return activity.bases_per_quote_year(fx.candles_daily(spark, sf_dir), DAILY_TARGET_QUOTES)
+
+
+@register("distinct_years_bases")
+def q_distinct_years_bases(spark, sf_dir):
+    return profile.distinct_years_bases(fx.candles_daily(spark, sf_dir))
+
+
+@register("closing_price_series")
+def q_closing_price_series(spark, sf_dir):
+    return profile.closing_price_series(fx.candles_daily(spark, sf_dir))
+
+
+# --- volume vs return (daily candles) ------------------------------------------------------
+
+
+@register("daily_returns")
+def q_daily_returns(spark, sf_dir):
+    return series.daily_returns(fx.candles_daily(spark, sf_dir)).select(
+        "base_currency", "quote_currency", "date", "volume", "return"
+    )
+
+
+@register("volume_return_spearman")
+def q_volume_return_spearman(spark, sf_dir):
+    """Spearman rho of daily volume vs daily return per pair, with n and p-value."""
+    return rank_stats.spearman(series.daily_returns(fx.candles_daily(spark, sf_dir)))
+
+
+@register("seeded_key_sample")
+def q_seeded_key_sample(spark, sf_dir):
+    """3 bases and 3 quotes chosen with seed 42."""
+    rows = series.daily_returns(fx.candles_daily(spark, sf_dir))
+    b = sampling.seeded_key_sample(rows, "base_currency").select(
+        F.lit("base").alias("kind"), F.col("base_currency").alias("key_value"), "sample_hash"
+    )
+    q = sampling.seeded_key_sample(rows, "quote_currency").select(
+        F.lit("quote").alias("kind"), F.col("quote_currency").alias("key_value"), "sample_hash"
+    )
+    return b.unionByName(q)
+
+
+# --- candle returns, hourly activity (tick candles) ---------------------------------------
+
+
+def _tick_returns(spark, sf_dir):
+    return series.candle_returns(fx.candles_ticks(spark, sf_dir))
+
+
+RETURN_OUT = ("base_currency", "quote_currency", "open_time", "seq", "year", "close", "prev_close", "return")
+
+
+@register("candle_returns")
+def q_candle_returns(spark, sf_dir):
+    return _tick_returns(spark, sf_dir).select(*RETURN_OUT)
+
+
+@register("top_of_hour_returns")
+def q_top_of_hour_returns(spark, sf_dir):
+    return series.top_of_hour(_tick_returns(spark, sf_dir)).select(*RETURN_OUT)
+
+
+@register("hourly_volume")
+def q_hourly_volume(spark, sf_dir):
+    return activity.hourly_volume(fx.candles_ticks(spark, sf_dir))
+
+
+@register("hourly_volume_matrix")
+def q_hourly_volume_matrix(spark, sf_dir):
+    return activity.hourly_volume_matrix(fx.candles_ticks(spark, sf_dir))
+
+
+@register("hour_return_correlation")
+def q_hour_return_correlation(spark, sf_dir):
+    return correlation.hour_return_correlation(_tick_returns(spark, sf_dir))
+
+
+@register("hour_return_correlation_matrix")
+def q_hour_return_correlation_matrix(spark, sf_dir):
+    """Pair x hour matrix of the clipped hour/return correlation."""
+    long = correlation.hour_return_correlation(_tick_returns(spark, sf_dir))
+    return activity.pivot_hours(long, "corr_clipped")
+
+
+# --- return correlation matrices (hourly candles) ----------------------------------------
+
+HOURLY_QUOTES = ("U0", "U1", "U2")
+HOURLY_BASES = ("click", "purchase", "view")
+HOURLY_YEARS = (2023, 2024)
+
+
+def _hourly_returns(spark, sf_dir):
+    return series.candle_returns(fx.candles_hourly(spark, sf_dir))
+
+
+@register("corr_across_quotes")
+def q_corr_across_quotes(spark, sf_dir):
+    return correlation.corr_across_quotes(
+        _hourly_returns(spark, sf_dir), quotes=HOURLY_QUOTES, bases=HOURLY_BASES, years=HOURLY_YEARS
+    )
+
+
+@register("corr_across_bases")
+def q_corr_across_bases(spark, sf_dir):
+    return correlation.corr_across_bases(
+        _hourly_returns(spark, sf_dir), quotes=HOURLY_QUOTES, bases=HOURLY_BASES, years=HOURLY_YEARS
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
