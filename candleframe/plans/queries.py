@@ -34,10 +34,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def round_binary(c, digits: int = 6):
+    """Round the binary value: x * 10^d to the nearest integer (halves away from zero) / 10^d.
+
+    ``F.round(x, d)`` rounds the shortest decimal string of x instead, so a value printed as
+    ...5 but stored just below it rounds up there and down in most SQL engines.
+    """
+    scale = float(10**digits)
+    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (top level) to ``digits`` decimals, keeping names and order."""
     cols = [
-        F.round(F.col(f.name), digits).alias(f.name)
+        round_binary(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))
         else F.col(f.name)
         for f in df.schema.fields
