@@ -3,7 +3,7 @@
 Ordering is ``open_time`` then ``seq`` when the frame has it, so ties are deterministic.
 
 Scale note: a pair's candle history can be a large share of all rows (one hot pair), so the
-per-candle lag is never a window over the whole pair. It runs inside (pair, day) buckets,
+per-candle lag is never a window over the whole pair. It runs inside (pair, hour) buckets,
 and the first candle of each bucket takes the last close of the nearest earlier non-empty
 bucket from a small per-bucket table. Daily series (<= 366 rows per pair-year) use plain
 per-pair windows.
@@ -40,12 +40,22 @@ def lag_in_pair(
     column: str = "close",
     *,
     out: str = "prev_close",
-    bucket: str | None = "day",
+    bucket: str | None = "hour",
 ) -> DataFrame:
     """``out`` = ``column`` of the previous candle of the same pair (NULL for the first one).
 
-    With ``bucket`` set, the window is partitioned by (pair, bucket) so one pair is spread
-    over many tasks; ``bucket=None`` gives the plain per-pair window (same result).
+    With ``bucket`` set ('hour', 'day', ...), the window is partitioned by (pair, bucket), so
+    a hot pair is spread over many tasks instead of one. The first candle of each bucket
+    takes the last value of the nearest earlier non-empty bucket:
+
+    * bucket lasts come from a hash aggregate with map-side partials (``max_by`` on the time
+      order), so only one row per (pair, bucket) and task is shuffled;
+    * a window over those rows (one per pair-bucket, not per candle) carries each last value
+      to the next bucket;
+    * an equi-join on (pair, bucket) attaches it. The candle side is already hash-partitioned
+      and sorted on those keys by the window, so it is not shuffled again.
+
+    ``bucket=None`` gives the plain per-pair window (same result, one task per pair).
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df)
@@ -54,30 +64,24 @@ def lag_in_pair(
 
     b = df.withColumn("_bucket", period_start(bucket))
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    x = (
-        b.withColumn("_lag", F.lag(column).over(w))
-        .withColumn("_rn", F.row_number().over(w))
-        .withColumn("_last", F.last(column).over(w_all))
-    )
-    # One row per non-empty bucket: its last value, carried to the next non-empty bucket.
+    x = b.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
+    # A struct ordering (time, tie-breaker) plans a sort aggregate; a single time column
+    # keeps the hash aggregate.
+    order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
     carry = (
-        x.where(F.col("_rn") == 1)
-        .select(*keys, "_bucket", "_last")
-        .withColumn(
-            "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket"))
-        )
+        b.groupBy(*keys, "_bucket")
+        .agg(F.max_by(column, order_key).alias("_last"))
+        .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")))
         .drop("_last")
     )
     return (
-        x.drop("_last")
-        .join(carry, on=[*keys, "_bucket"], how="left")
+        x.join(carry, on=[*keys, "_bucket"], how="left")
         .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
         .drop("_bucket", "_lag", "_rn", "_carry")
     )
 
 
-def candle_returns(df: DataFrame, *, bucket: str | None = "day") -> DataFrame:
+def candle_returns(df: DataFrame, *, bucket: str | None = "hour") -> DataFrame:
     """Simple return between adjacent candles of a pair, whatever the gap between them.
 
     Adds prev_close, ``return`` (NULL when prev_close is 0) and year; drops each pair's
