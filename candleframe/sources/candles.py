@@ -46,8 +46,8 @@ def load_pair_files(
 
 
 def load_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """Every pair file of a directory (the extract script's input), with a ``stock`` column."""
-    df = spark.read.schema(CANDLE_SCHEMA).parquet(directory)
+    """Every ``*.parquet`` pair file of a directory (the extract script's input), with ``stock``."""
+    df = spark.read.schema(CANDLE_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(directory)
     return with_stock_column(df, F.col("_metadata.file_name"))
 
 
