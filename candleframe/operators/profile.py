@@ -34,12 +34,13 @@ def closing_price_series(df: DataFrame, max_years: int = 6) -> DataFrame:
     """(base, year, quote, date, close) for each base's first ``max_years`` years.
 
     The year ranking is computed on the small distinct (base, year) table and applied with a
-    semi join, so no window runs over a base's whole candle history.
+    broadcast semi join (at most ``max_years`` rows per base), so no window or shuffle runs
+    over a base's whole candle history, however large one base is.
     """
     keep = distinct_years_bases(df).where(F.col("year_rank") <= max_years).select(BASE, "year")
     return (
         df.select(BASE, QUOTE, year_of(TIME).alias("year"), trade_date(TIME).alias("date"), "close")
-        .join(keep, on=[BASE, "year"], how="left_semi")
+        .join(F.broadcast(keep), on=[BASE, "year"], how="left_semi")
         .select(BASE, "year", QUOTE, "date", "close")
     )
 

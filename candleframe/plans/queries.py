@@ -200,7 +200,7 @@ def q_load_candles(spark, sf_dir):
     candles = fx.candles_daily(spark, sf_dir)
     pairs = universe_load.universe_pairs(universe.distinct_pairs(candles))
     return (
-        candles.join(pairs, on=["base_currency", "quote_currency"], how="left_semi")
+        candles.join(F.broadcast(pairs.select("base_currency", "quote_currency")), on=["base_currency", "quote_currency"], how="left_semi")
         .transform(lambda d: classify.classify_by_quote(d, fx.DAILY_QUOTE_CLASSES))
         .select(*CANDLE_OUT)
     )

@@ -24,7 +24,10 @@ from candleframe.sources.catalog import directory_catalog
 
 
 def universe_pairs(catalog: DataFrame, top_n: int = TOP_BASES_NOTEBOOK) -> DataFrame:
-    """Catalog rows of the top-``top_n`` bases x the quotes common to all of them."""
+    """Catalog rows of the top-``top_n`` bases x the quotes common to all of them.
+
+    At most ``top_n`` x (number of common quotes) rows: safe to broadcast against candles.
+    """
     top = top_bases(quote_count_per_base(catalog), top_n)
     return existing_pairs(catalog, top, common_quotes(catalog, top))
 

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed candle work is batch only (no stream source, watermark, event-time window or
+state). The row-wise operators in ``candleframe.operators`` and ``candleframe.functions``
+(classification, time fields, return expressions) are plain column expressions and apply to
+streaming DataFrames unchanged; nothing stream-specific is needed or provided.
+"""
