@@ -30,9 +30,31 @@ def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def daily_last(df: DataFrame) -> DataFrame:
-    """The last candle of each calendar day per pair, with a ``date`` column."""
-    return last_in_period(df.withColumn("date", trade_date(TIME)), "date")
+def last_in_period_unique(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
+    """Same rows as ``last_in_period`` when ``open_time`` is unique within each pair.
+
+    Every other column is ``max_by(column, open_time)``: a hash aggregate with map-side
+    partials and no sort at all. Only valid under that uniqueness (one candle per period and
+    pair, as in exchange kline files); with ties the columns could come from different rows,
+    so frames carrying a ``seq`` tie-breaker must use ``last_in_period``.
+    """
+    group = [*keys, period]
+    others = [c for c in df.columns if c not in group and c != TIME]
+    return df.groupBy(*group).agg(
+        F.max(TIME).alias(TIME), *[F.max_by(c, TIME).alias(c) for c in others]
+    ).select(*df.columns)
+
+
+def daily_last(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
+    """The last candle of each calendar day per pair, with a ``date`` column.
+
+    ``unique_times=True`` promises one candle per (pair, open_time) and takes the sort-free
+    aggregate path; the default window path is exact with ties (broken by ``seq``).
+    """
+    d = df.withColumn("date", trade_date(TIME))
+    if unique_times:
+        return last_in_period_unique(d, "date")
+    return last_in_period(d, "date")
 
 
 def lag_in_pair(
@@ -100,32 +122,32 @@ def top_of_hour(df: DataFrame) -> DataFrame:
     return df.where(F.minute(TIME) == 0)
 
 
-def _daily_with_prev(df: DataFrame) -> DataFrame:
-    daily = daily_last(df)
+def _daily_with_prev(df: DataFrame, unique_times: bool = False) -> DataFrame:
+    daily = daily_last(df, unique_times=unique_times)
     w = Window.partitionBy(*PAIR_KEYS).orderBy("date")
     return daily.withColumn("prev_close", F.lag("close").over(w))
 
 
-def daily_log_returns(df: DataFrame) -> DataFrame:
+def daily_log_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
     """ln(close / previous day's close) per pair on last-of-day candles; first day dropped.
 
     Days without candles are skipped, so a return may span several calendar days.
     """
     return (
-        _daily_with_prev(df)
+        _daily_with_prev(df, unique_times)
         .withColumn("log_return", log_return())
         .where(F.col("log_return").isNotNull())
         .withColumn("year", year_of("date"))
     )
 
 
-def daily_returns(df: DataFrame) -> DataFrame:
+def daily_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
     """Simple daily return on last-of-day candles; rows with a NULL return are dropped.
 
     ``volume`` is the volume of the day's last candle (not the day's total).
     """
     return (
-        _daily_with_prev(df)
+        _daily_with_prev(df, unique_times)
         .withColumn("return", simple_return())
         .where(F.col("return").isNotNull())
     )

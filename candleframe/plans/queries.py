@@ -25,7 +25,7 @@ from candleframe.operators import (
     universe,
     volatility,
 )
-from candleframe.plans import extract, universe_load
+from candleframe.plans import extract, studies, universe_load
 from candleframe.sources import candles as candle_src
 from candleframe.sources import catalog as cat
 from candleframe.sources import fixtures as fx
@@ -304,6 +304,21 @@ def q_volume_return_spearman(spark, sf_dir):
     return rank_stats.spearman(series.daily_returns(fx.candles_daily(spark, sf_dir)))
 
 
+@register("volume_return_sampled")
+def q_volume_return_sampled(spark, sf_dir):
+    """Spearman statistics of the 3 seeded bases x 3 seeded quotes (the volume/return study)."""
+    _, stats = studies.volume_return_study(fx.candles_daily(spark, sf_dir))
+    return stats
+
+
+@register("daily_last_unique_times")
+def q_daily_last_unique_times(spark, sf_dir):
+    """Last tick of each pair-day via the sort-free max_by path (tick times are unique)."""
+    return series.daily_last(fx.candles_ticks(spark, sf_dir), unique_times=True).select(
+        "base_currency", "quote_currency", "date", "open_time", "seq", "close", "volume"
+    )
+
+
 @register("seeded_key_sample")
 def q_seeded_key_sample(spark, sf_dir):
     """3 bases and 3 quotes chosen with seed 42."""

@@ -143,3 +143,18 @@ def test_bucketed_lag_crosses_empty_buckets(candles):
     )
     got = {r.seq: r.prev_close for r in series.lag_in_pair(df).collect()}
     assert got == {1: None, 2: 1.0, 3: 2.0, 4: None}
+
+
+def test_unique_time_fast_path_equals_window(spark):
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001
+
+    ticks = fx.candles_ticks(spark, SF001)  # all timestamps distinct
+    cols = ["base_currency", "quote_currency", "date", "open_time", "seq", "close", "volume"]
+    a = series.daily_last(ticks).select(*cols)
+    b = series.daily_last(ticks, unique_times=True).select(*cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Window" not in plan
