@@ -106,3 +106,26 @@ def require_bases(
             f"Valid bases with all quotes are: {found}"
         )
     return chosen
+
+
+def file_size_totals(files: DataFrame, selected: DataFrame) -> DataFrame:
+    """One row: bytes of the ``selected`` files, bytes of all ``files``, percent, MB and GB.
+
+    ``files`` is a listing with (file_name, bytes); ``selected`` names files to count (e.g.
+    the universe pairs). A conditional sum over one left join to the distinct selection.
+    """
+    flagged = files.join(
+        selected.select("file_name").distinct().withColumn("_sel", F.lit(True)),
+        on="file_name",
+        how="left",
+    )
+    sel_bytes = F.sum(F.when(F.col("_sel"), F.col("bytes")).otherwise(F.lit(0))).cast("bigint")
+    all_bytes = F.sum("bytes").cast("bigint")
+    return flagged.agg(sel_bytes.alias("selected_bytes"), all_bytes.alias("all_bytes")).select(
+        "selected_bytes",
+        "all_bytes",
+        F.try_divide(F.col("selected_bytes") * 100.0, F.col("all_bytes")).alias("pct_selected"),
+        (F.col("selected_bytes") / (1024.0 * 1024.0)).alias("selected_mb"),
+        (F.col("selected_bytes") / (1024.0**3)).alias("selected_gb"),
+        (F.col("all_bytes") / (1024.0**3)).alias("all_gb"),
+    )

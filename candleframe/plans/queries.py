@@ -166,23 +166,7 @@ def q_file_size_totals(spark, sf_dir):
     selected = spark.createDataFrame(
         [(f"{t}.parquet",) for t in ("orders", "customer", "lineitem")], "file_name string"
     )
-    return file_size_totals(files, selected)
-
-
-def file_size_totals(files, selected):
-    flagged = files.join(
-        selected.select("file_name").distinct().withColumn("_sel", F.lit(True)), on="file_name", how="left"
-    )
-    sel_bytes = F.sum(F.when(F.col("_sel"), F.col("bytes")).otherwise(F.lit(0))).cast("bigint")
-    all_bytes = F.sum("bytes").cast("bigint")
-    return flagged.agg(sel_bytes.alias("selected_bytes"), all_bytes.alias("all_bytes")).select(
-        "selected_bytes",
-        "all_bytes",
-        (F.try_divide(F.col("selected_bytes") * 100.0, F.col("all_bytes"))).alias("pct_selected"),
-        (F.col("selected_bytes") / (1024.0 * 1024.0)).alias("selected_mb"),
-        (F.col("selected_bytes") / (1024.0 ** 3)).alias("selected_gb"),
-        (F.col("all_bytes") / (1024.0 ** 3)).alias("all_gb"),
-    )
+    return universe.file_size_totals(files, selected)
 
 
 # --- load, classify, extract (daily candles) -----------------------------------------------

@@ -15,12 +15,13 @@ from candleframe.operators.classify import classify_by_quote
 from candleframe.operators.universe import (
     common_quotes,
     existing_pairs,
+    file_size_totals,
     quote_count_per_base,
     top_bases,
 )
 from candleframe.schema import QUOTE_CLASSES, TOP_BASES_NOTEBOOK
 from candleframe.sources.candles import load_pair_files
-from candleframe.sources.catalog import directory_catalog
+from candleframe.sources.catalog import directory_catalog, list_parquet_files
 
 
 def universe_pairs(catalog: DataFrame, top_n: int = TOP_BASES_NOTEBOOK) -> DataFrame:
@@ -46,3 +47,9 @@ def load_universe(
     """
     paths = [r.path for r in universe_pairs(directory_catalog(spark, directory), top_n).select("path").collect()]
     return classify_by_quote(load_pair_files(spark, paths), classes)
+
+
+def universe_file_sizes(spark: SparkSession, directory: str, *, top_n: int = TOP_BASES_NOTEBOOK) -> DataFrame:
+    """Bytes of the universe's pair files against all ``*.parquet`` files of the directory."""
+    files = list_parquet_files(spark, directory)
+    return file_size_totals(files, universe_pairs(directory_catalog(spark, directory), top_n))

@@ -14,7 +14,6 @@ from candleframe.operators import classify, profile, setops, universe
 from candleframe.plans import extract, universe_load
 from candleframe.sources import candles as candle_src
 from candleframe.sources import catalog as cat
-from candleframe.plans.queries import file_size_totals
 
 
 def _write_pair(directory, name, closes, *, drop=None, start=dt.datetime(2021, 1, 1)):
@@ -164,9 +163,15 @@ def test_universe_operators(spark):
 def test_file_size_totals(spark, pair_dir):
     files = cat.list_parquet_files(spark, pair_dir)
     sel = spark.createDataFrame([("BTC-USDT.parquet",), ("ETH-EUR.parquet",)], "file_name string")
-    r = file_size_totals(files, sel).first()
+    r = universe.file_size_totals(files, sel).first()
     size = lambda n: os.path.getsize(os.path.join(pair_dir, n))
     total = sum(size(n) for n in os.listdir(pair_dir) if n.endswith(".parquet"))
     assert r.selected_bytes == size("BTC-USDT.parquet") + size("ETH-EUR.parquet")
     assert r.all_bytes == total
     assert r.pct_selected == pytest.approx(100.0 * r.selected_bytes / total)
+
+
+def test_universe_file_sizes(spark, pair_dir):
+    r = universe_load.universe_file_sizes(spark, pair_dir, top_n=2).first()
+    size = lambda n: os.path.getsize(os.path.join(pair_dir, n))
+    assert r.selected_bytes == sum(size(f"{b}-{q}.parquet") for b in ("BTC", "ETH") for q in ("USDT", "EUR"))
