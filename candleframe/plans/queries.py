@@ -383,5 +383,30 @@ def q_corr_across_bases(spark, sf_dir):
     )
 
 
+DAILY_CORR_QUOTES = ("F", "O", "P")
+DAILY_CORR_BASES = ("AUTOMOBILE", "BUILDING", "MACHINERY")
+DAILY_CORR_YEARS = tuple(range(1995, 2002))
+
+
+def _daily_candle_returns(spark, sf_dir):
+    return series.candle_returns(fx.candles_daily(spark, sf_dir))
+
+
+@register("corr_across_quotes_daily")
+def q_corr_across_quotes_daily(spark, sf_dir):
+    """Quote-by-quote return correlation per base over seven years of daily candles."""
+    return correlation.corr_across_quotes(
+        _daily_candle_returns(spark, sf_dir), quotes=DAILY_CORR_QUOTES, bases=DAILY_CORR_BASES, years=DAILY_CORR_YEARS
+    )
+
+
+@register("corr_across_bases_daily")
+def q_corr_across_bases_daily(spark, sf_dir):
+    """Base-by-base return correlation per quote over seven years of daily candles."""
+    return correlation.corr_across_bases(
+        _daily_candle_returns(spark, sf_dir), quotes=DAILY_CORR_QUOTES, bases=DAILY_CORR_BASES, years=DAILY_CORR_YEARS
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
