@@ -1,7 +1,8 @@
-"""The notebook's two function-level studies as DataFrame functions (no plotting).
+"""The notebook's studies as DataFrame functions (no plotting).
 
 ``volatility_measures`` returns (annual, rolling) volatility; ``volume_return_study``
-returns the daily volume/return rows and the Spearman statistics of the sampled pairs.
+returns the daily volume/return rows and the Spearman statistics of the sampled pairs;
+``return_correlation_study`` checks the complete bases and returns both correlation grids.
 """
 
 from __future__ import annotations
@@ -10,13 +11,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candleframe.operators.correlation import corr_across_bases, corr_across_quotes
 from candleframe.operators.rank_stats import spearman
 from candleframe.operators.sampling import seeded_key_sample
-from candleframe.operators.series import daily_log_returns, daily_returns
+from candleframe.operators.series import candle_returns, daily_log_returns, daily_returns
+from candleframe.operators.universe import complete_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
 from candleframe.schema import (
     ANNUALIZATION,
     BASE,
+    CORR_BASES,
+    CORR_QUOTES,
+    CORR_YEARS,
+    MIN_COMPLETE_BASES,
     MIN_ROLLING_OBS,
     QUOTE,
     ROLLING_WINDOW_ROWS,
@@ -66,3 +73,26 @@ def volume_return_study(
         F.broadcast(quotes), on=QUOTE, how="left_semi"
     )
     return rows, spearman(picked)
+
+
+def return_correlation_study(
+    candles: DataFrame,
+    *,
+    quotes=CORR_QUOTES,
+    bases=CORR_BASES,
+    years=CORR_YEARS,
+    minimum: int = MIN_COMPLETE_BASES,
+) -> tuple[DataFrame, DataFrame]:
+    """(across quotes, across bases) correlation grids of top-of-hour candle returns.
+
+    Raises ValueError, before any grid is built, when fewer than ``minimum`` bases trade
+    against every quote or when a requested base does not (``bases=None`` takes all complete
+    bases). The check collects only the complete-base names.
+    """
+    returns = candle_returns(candles)
+    complete = complete_bases(returns, quotes)
+    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
+    return (
+        corr_across_quotes(returns, quotes=quotes, bases=chosen, years=years),
+        corr_across_bases(returns, quotes=quotes, bases=chosen, years=years),
+    )

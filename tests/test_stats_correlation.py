@@ -196,3 +196,25 @@ def test_matrix_in_bounds_and_symmetric_on_fixture(spark):
         & (F.col("a.quote_b") == F.col("b.quote_a")),
     )
     assert j.where(~F.col("a.corr").eqNullSafe(F.col("b.corr"))).count() == 0
+
+
+def test_return_correlation_study_guards_and_grids(spark):
+    from candleframe.plans import studies
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001, SF0001
+
+    hourly = fx.candles_hourly(spark, SF001)
+    q, b = studies.return_correlation_study(
+        hourly, quotes=("U0", "U1", "U2"), bases=("click", "purchase", "view"), years=(2024,)
+    )
+    assert q.count() == 3 * 9 and b.count() == 3 * 9
+    with pytest.raises(ValueError, match="do not have all"):
+        studies.return_correlation_study(hourly, quotes=("U0", "U1"), bases=("click", "nosuch"), years=(2024,))
+    # The pair catalog fixture at sf0.001 has no base with three quotes: the guard fires.
+    from candleframe.operators import universe
+    from candleframe.sources import catalog as cat
+
+    pairs = cat.pair_catalog(fx.pair_files(spark, SF0001))
+    with pytest.raises(ValueError, match="Not enough bases"):
+        universe.require_bases(universe.complete_bases(pairs, ("Q0", "Q1", "Q2")), target_quotes=("Q0", "Q1", "Q2"))
