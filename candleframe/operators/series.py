@@ -78,6 +78,9 @@ def lag_in_pair(
       and sorted on those keys by the window, so it is not shuffled again.
 
     ``bucket=None`` gives the plain per-pair window (same result, one task per pair).
+    Choose the bucket so that it holds many candles (hour for minute candles or ticks, day
+    for hourly candles, month for daily ones): with one candle per bucket every row would go
+    through the carry join.
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df)

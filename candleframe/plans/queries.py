@@ -366,7 +366,8 @@ HOURLY_YEARS = (2023, 2024)
 
 
 def _hourly_returns(spark, sf_dir):
-    return series.candle_returns(fx.candles_hourly(spark, sf_dir))
+    # One candle per pair-hour: day buckets hold 24 candles (the result does not depend on it).
+    return series.candle_returns(fx.candles_hourly(spark, sf_dir), bucket="day")
 
 
 @register("corr_across_quotes")
@@ -389,7 +390,8 @@ DAILY_CORR_YEARS = tuple(range(1995, 2002))
 
 
 def _daily_candle_returns(spark, sf_dir):
-    return series.candle_returns(fx.candles_daily(spark, sf_dir))
+    # Daily candles: month buckets (the result does not depend on the bucket).
+    return series.candle_returns(fx.candles_daily(spark, sf_dir), bucket="month")
 
 
 @register("corr_across_quotes_daily")
