@@ -50,9 +50,10 @@ def pivot_hours(long: DataFrame, value: str, index: str = "pair") -> DataFrame:
 
     Explicit pivot values make the 24 columns exist even for hours without data (NULL).
     The input is already aggregated (pairs x 24 rows), so this second aggregation is small.
+    Rows are ordered by ``index``.
     """
     wide = long.groupBy(index).pivot("hour_of_day", list(HOURS)).agg(F.first(value))
-    return wide.select(index, *[F.col(f"`{h}`").alias(hour_column(h)) for h in HOURS])
+    return wide.select(index, *[F.col(f"`{h}`").alias(hour_column(h)) for h in HOURS]).orderBy(index)
 
 
 def hourly_volume_matrix(df: DataFrame) -> DataFrame:

@@ -20,6 +20,11 @@ def distinct_pairs(df: DataFrame) -> DataFrame:
     return df.select(*PAIR_KEYS).distinct()
 
 
+def first_bases(df: DataFrame, n: int = TOP_BASES_NOTEBOOK) -> DataFrame:
+    """The first ``n`` distinct bases in name order (a top-k over distinct names)."""
+    return df.select(BASE).distinct().orderBy(BASE).limit(n)
+
+
 def quote_count_per_base(catalog: DataFrame) -> DataFrame:
     """(base_currency, quote_count): number of distinct quotes each base trades against."""
     return catalog.groupBy(BASE).agg(F.countDistinct(QUOTE).alias("quote_count"))
