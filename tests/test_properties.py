@@ -69,3 +69,38 @@ def test_bucketed_lag_matches_brute_force(spark, rows):
         for k, (_, s, _) in enumerate(seq):
             want[s] = seq[k - 1][2] if k else None
     assert got == want
+
+
+def test_hot_pair_is_spread_over_tasks(spark):
+    """All ticks in ONE pair: the plain lag runs in one task, the bucketed lag spreads out."""
+    from candleframe.sources import fixtures as fx
+
+    hot = fx.candles_ticks(spark, SF001).withColumn("base_currency", F.lit("HOT")).withColumn("quote_currency", F.lit("Q"))
+    n = hot.count()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+
+        def largest_share(df):
+            # Use prev_close so the window is not pruned away; the partition id is that of
+            # the task computing the window output.
+            sizes = (
+                df.select("prev_close", F.spark_partition_id().alias("p"))
+                .groupBy("p")
+                .agg(F.count(F.lit(1)).alias("rows"), F.count("prev_close").alias("with_prev"))
+                .collect()
+            )
+            assert sum(r.with_prev for r in sizes) == n - 1
+            return max(r.rows for r in sizes) / n
+
+        plain = series.lag_in_pair(hot, bucket=None)
+        bucketed = series.lag_in_pair(hot, bucket="hour")
+        assert largest_share(plain) == 1.0
+        assert largest_share(bucketed) < 0.25
+        a = {r.seq: r.prev_close for r in plain.select("seq", "prev_close").collect()}
+        b = {r.seq: r.prev_close for r in bucketed.select("seq", "prev_close").collect()}
+        assert a == b
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
