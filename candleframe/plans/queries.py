@@ -1,8 +1,9 @@
 """Registered queries: key -> (spark, sf_dir) -> DataFrame over the fixture views.
 
 Each query reads whole tables through ``candleframe.sources.fixtures`` and applies the
-library's operators. Floating columns are rounded to 6 decimals at this outermost step only
-(the oracle does the same), so engines that add in a different order still compare equal.
+library's operators. At this outermost step only, floating columns are rounded to 6 decimals
+(so engines that add in a different order still compare equal) and DATE columns are reported as
+midnight timestamps, as the source tables store dates; the oracle does the same.
 """
 
 from __future__ import annotations
@@ -44,15 +45,19 @@ def round_binary(c, digits: int = 6):
     return F.round(c * F.lit(scale), 0) / F.lit(scale)
 
 
+def _report(f: T.StructField, digits: int):
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        return round_binary(F.col(f.name), digits).alias(f.name)
+    if isinstance(f.dataType, T.DateType):
+        # Reported the way the source tables store calendar dates: timestamp at midnight.
+        return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+    return F.col(f.name)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (top level) to ``digits`` decimals, keeping names and order."""
-    cols = [
-        round_binary(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols)
+    """Report form of a query result: doubles rounded to ``digits`` decimals, dates as
+    midnight timestamps; names and column order are kept."""
+    return df.select(*[_report(f, digits) for f in df.schema.fields])
 
 
 def register(key: str):
