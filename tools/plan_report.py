@@ -33,15 +33,6 @@ COUNTED = {
 }
 
 
-def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    qe = df._jdf.queryExecution()
-    plan = qe.executedPlan().toString()
-    # With AQE the executed plan of the DataFrame is re-created for explain; run it via
-    # collect-free noop above and then read the adaptive plan's final form when available.
-    return plan
-
-
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
