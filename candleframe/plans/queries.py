@@ -307,6 +307,12 @@ def q_volume_return_sampled(spark, sf_dir):
     return stats
 
 
+@register("volume_return_grid")
+def q_volume_return_grid(spark, sf_dir):
+    """The seeded 3 x 3 (base, quote) grid with Spearman statistics; n = 0 where no data."""
+    return studies.volume_return_grid(fx.candles_daily(spark, sf_dir))
+
+
 @register("daily_last_unique_times")
 def q_daily_last_unique_times(spark, sf_dir):
     """Last tick of each pair-day via the sort-free max_by path (tick times are unique)."""

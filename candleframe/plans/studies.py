@@ -75,6 +75,28 @@ def volume_return_study(
     return rows, spearman(picked)
 
 
+def volume_return_grid(
+    candles: DataFrame, *, seed: int = SAMPLE_SEED, k: int = SAMPLE_SIZE
+) -> DataFrame:
+    """Spearman statistics for every cell of the seeded k x k (base, quote) grid.
+
+    Cells whose pair has no daily returns are kept with ``n = 0`` and NULL statistics (the
+    "no data" panels). The k sampled quotes are collected (at most k names) to lay out the
+    grid by ``explode``, so no cross join is planned.
+    """
+    rows, stats = volume_return_study(candles, seed=seed, k=k)
+    bases = seeded_key_sample(rows, BASE, k, seed).select(BASE)
+    quotes = [r[QUOTE] for r in seeded_key_sample(rows, QUOTE, k, seed).select(QUOTE).collect()]
+    if not quotes:
+        return stats.limit(0)
+    grid = bases.withColumn(QUOTE, F.explode(F.array(*[F.lit(q) for q in quotes])))
+    return (
+        grid.join(stats, on=[BASE, QUOTE], how="left")
+        .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
+        .select(BASE, QUOTE, "n", "rho", "p_value")
+    )
+
+
 def return_correlation_study(
     candles: DataFrame,
     *,

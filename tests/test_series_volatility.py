@@ -158,3 +158,13 @@ def test_unique_time_fast_path_equals_window(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "Window" not in plan
+
+
+def test_empty_input_gives_empty_results_with_schema(candles):
+    empty = candles([])
+    lr = series.daily_log_returns(empty)
+    av = volatility.annual_volatility(lr)
+    roll = volatility.rolling_volatility(lr)
+    assert av.count() == 0 and roll.count() == 0 and series.candle_returns(empty).count() == 0
+    assert av.columns == ["base_currency", "quote_currency", "year", "annual_volatility", "n_days"]
+    assert roll.columns == ["base_currency", "quote_currency", "date", "rolling_vol_annualized", "rolling_count"]

@@ -218,3 +218,32 @@ def test_return_correlation_study_guards_and_grids(spark):
     pairs = cat.pair_catalog(fx.pair_files(spark, SF0001))
     with pytest.raises(ValueError, match="Not enough bases"):
         universe.require_bases(universe.complete_bases(pairs, ("Q0", "Q1", "Q2")), target_quotes=("Q0", "Q1", "Q2"))
+
+
+def test_hour_matrix_agrees_with_long_form(spark):
+    from conftest import SF001
+
+    from candleframe.plans.queries import QUERIES
+
+    long = {(r.pair, r.hour_of_day): r.corr_clipped for r in QUERIES["hour_return_correlation"](spark, SF001).collect()}
+    wide = QUERIES["hour_return_correlation_matrix"](spark, SF001).collect()
+    assert len(wide) == len({p for p, _ in long})
+    for row in wide:
+        for h in range(24):
+            assert row[f"h{h:02d}"] == long.get((row.pair, h))
+
+
+def test_volume_return_grid_keeps_no_data_cells(spark, candles):
+    from candleframe.plans import studies
+
+    rows = []
+    for b in ("A", "B", "C"):
+        for q in ("X", "Y", "Z"):
+            if (b, q) == ("B", "Y"):
+                continue  # this cell has no data
+            rows += [(b, q, f"2021-01-{d:02d} 00:00", d, 10.0 + d * (1 + (d % 3)), float(d % 4)) for d in range(1, 9)]
+    grid = studies.volume_return_grid(candles(rows), k=3).collect()
+    assert len(grid) == 9
+    cell = {(r.base_currency, r.quote_currency): r for r in grid}
+    assert cell[("B", "Y")].n == 0 and cell[("B", "Y")].rho is None and cell[("B", "Y")].p_value is None
+    assert all(r.n == 7 for k, r in cell.items() if k != ("B", "Y"))
