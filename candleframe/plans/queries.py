@@ -103,8 +103,7 @@ def q_annual_volatility(spark, sf_dir):
 @register("annual_volatility_first_bases")
 def q_annual_volatility_first_bases(spark, sf_dir):
     """Annual volatility of the first 10 bases in name order (the per-base panels)."""
-    annual = volatility.annual_volatility(series.daily_log_returns(fx.candles_daily(spark, sf_dir)))
-    return annual.join(F.broadcast(universe.first_bases(annual)), on="base_currency", how="left_semi")
+    return studies.annual_volatility_panels(fx.candles_daily(spark, sf_dir))
 
 
 @register("rolling_volatility")

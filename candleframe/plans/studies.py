@@ -15,8 +15,9 @@ from candleframe.operators.correlation import corr_across_bases, corr_across_quo
 from candleframe.operators.rank_stats import spearman
 from candleframe.operators.sampling import seeded_key_sample
 from candleframe.operators.series import candle_returns, daily_log_returns, daily_returns
-from candleframe.operators.universe import complete_bases, require_bases
+from candleframe.operators.universe import complete_bases, first_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
+from candleframe.session import ensure_checkpoint_dir
 from candleframe.schema import (
     ANNUALIZATION,
     BASE,
@@ -29,6 +30,8 @@ from candleframe.schema import (
     ROLLING_WINDOW_ROWS,
     SAMPLE_SEED,
     SAMPLE_SIZE,
+    TIME,
+    TOP_BASES_NOTEBOOK,
 )
 
 
@@ -58,21 +61,43 @@ def volatility_measures(
     return annual, rolling
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Materialize a small summary once in the cluster's checkpoint folder (lineage cut)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def annual_volatility_panels(candles: DataFrame, *, n_bases: int = TOP_BASES_NOTEBOOK) -> DataFrame:
+    """Annual volatility of the first ``n_bases`` bases in name order (one panel per base).
+
+    The annual table (pairs x years rows) is computed once and checkpointed; the base
+    selection and the result both read it.
+    """
+    annual = _checkpointed(annual_volatility(daily_log_returns(candles)))
+    return annual.join(F.broadcast(first_bases(annual, n_bases)), on=BASE, how="left_semi")
+
+
 def volume_return_study(
     candles: DataFrame, *, seed: int = SAMPLE_SEED, k: int = SAMPLE_SIZE
 ) -> tuple[DataFrame, DataFrame]:
     """(daily rows, Spearman stats) for ``k`` seeded bases x ``k`` seeded quotes.
 
-    Daily rows: base, quote, date, volume (of the day's last candle), return. Stats: one row
-    per sampled base x quote that has data (n, rho, p_value).
+    Daily rows: base, quote, date, volume (of the day's last candle), return (lazy). Stats:
+    one row per sampled base x quote that has data (n, rho, p_value).
+
+    The statistics of *all* pairs (one row per pair) are computed in one pass and
+    checkpointed; the samples and the selection read that small table, so the candles are
+    scanned once however many branches use the result. Every pair with a daily return has
+    a row there, so sampling from it samples the same key sets as sampling the daily rows.
     """
     rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
-    bases = seeded_key_sample(rows, BASE, k, seed).select(BASE)
-    quotes = seeded_key_sample(rows, QUOTE, k, seed).select(QUOTE)
-    picked = rows.join(F.broadcast(bases), on=BASE, how="left_semi").join(
+    stats = _checkpointed(spearman(rows))
+    bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
+    quotes = seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE)
+    picked = stats.join(F.broadcast(bases), on=BASE, how="left_semi").join(
         F.broadcast(quotes), on=QUOTE, how="left_semi"
     )
-    return rows, spearman(picked)
+    return rows, picked
 
 
 def volume_return_grid(
@@ -82,13 +107,15 @@ def volume_return_grid(
 
     Cells whose pair has no daily returns are kept with ``n = 0`` and NULL statistics (the
     "no data" panels). The k sampled quotes are collected (at most k names) to lay out the
-    grid by ``explode``, so no cross join is planned.
+    grid by ``explode``, so no cross join is planned. One pass over the candles (see
+    ``volume_return_study``).
     """
-    rows, stats = volume_return_study(candles, seed=seed, k=k)
-    bases = seeded_key_sample(rows, BASE, k, seed).select(BASE)
-    quotes = [r[QUOTE] for r in seeded_key_sample(rows, QUOTE, k, seed).select(QUOTE).collect()]
+    rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
+    stats = _checkpointed(spearman(rows))
+    bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
+    quotes = [r[QUOTE] for r in seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE).collect()]
     if not quotes:
-        return stats.limit(0)
+        return stats.select(BASE, QUOTE, "n", "rho", "p_value").limit(0)
     grid = bases.withColumn(QUOTE, F.explode(F.array(*[F.lit(q) for q in quotes])))
     return (
         grid.join(stats, on=[BASE, QUOTE], how="left")
@@ -110,11 +137,25 @@ def return_correlation_study(
     Raises ValueError, before any grid is built, when fewer than ``minimum`` bases trade
     against every quote or when a requested base does not (``bases=None`` takes all complete
     bases). The check collects only the complete-base names.
+
+    One pass over the candles: the returns of the target quotes are aggregated into a small
+    checkpointed summary with one row per (pair, year) for the base check, plus one row per
+    top-of-hour cell of the requested bases (its mean return). The check and both grids read
+    that summary; averaging a cell again in the grid is a no-op.
     """
-    returns = candle_returns(candles)
-    complete = complete_bases(returns, quotes)
+    returns = candle_returns(candles).where(F.col(QUOTE).isin(list(quotes)))
+    in_grid = F.minute(TIME) == 0
+    if bases is not None:
+        in_grid = in_grid & F.col(BASE).isin(list(bases))
+    summary = _checkpointed(
+        returns.groupBy(BASE, QUOTE, "year", F.when(in_grid, F.col(TIME)).alias(TIME)).agg(
+            F.avg("return").alias("return")
+        )
+    )
+    complete = complete_bases(summary, quotes)
     chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
+    cells = summary.where(F.col(TIME).isNotNull())
     return (
-        corr_across_quotes(returns, quotes=quotes, bases=chosen, years=years),
-        corr_across_bases(returns, quotes=quotes, bases=chosen, years=years),
+        corr_across_quotes(cells, quotes=quotes, bases=chosen, years=years),
+        corr_across_bases(cells, quotes=quotes, bases=chosen, years=years),
     )

@@ -28,12 +28,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); set one only if unset."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without that setting gets a temporary
+    folder; on a cluster a missing setting is an error, never a machine-local folder.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="candleframe-ckpt-")
-    sc.setCheckpointDir(path)
+    if configured:
+        sc.setCheckpointDir(configured)
+    elif sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="candleframe-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()

@@ -247,3 +247,22 @@ def test_volume_return_grid_keeps_no_data_cells(spark, candles):
     cell = {(r.base_currency, r.quote_currency): r for r in grid}
     assert cell[("B", "Y")].n == 0 and cell[("B", "Y")].rho is None and cell[("B", "Y")].p_value is None
     assert all(r.n == 7 for k, r in cell.items() if k != ("B", "Y"))
+
+
+def test_study_grids_equal_direct_grids(spark):
+    from candleframe.plans import studies
+    from candleframe.operators import series
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001
+
+    hourly = fx.candles_hourly(spark, SF001)
+    kw = dict(quotes=("U0", "U1", "U2"), bases=("click", "purchase", "view"), years=(2023, 2024))
+    q, b = studies.return_correlation_study(hourly, **kw)
+    returns = series.candle_returns(hourly)
+    q2 = correlation.corr_across_quotes(returns, **kw)
+    b2 = correlation.corr_across_bases(returns, **kw)
+    for x, y in ((q, q2), (b, b2)):
+        rx = sorted((tuple(r[:4]) + (None if r.corr is None else round(r.corr, 9), r.n_obs)) for r in x.collect())
+        ry = sorted((tuple(r[:4]) + (None if r.corr is None else round(r.corr, 9), r.n_obs)) for r in y.collect())
+        assert rx == ry
