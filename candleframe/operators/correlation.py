@@ -141,23 +141,16 @@ def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CL
     )
     w = Window.partitionBy("pair")
     n = F.sum("n_h").over(w).cast("double")
-    s = (
-        per_hour.withColumn("_n", n)
-        .withColumn("_sy", F.sum("sum_y_h").over(w))
-        .withColumn("_sy2", F.sum("sum_y2_h").over(w))
-        .withColumn("_p", F.col("n_h") / F.col("_n"))
-        .withColumn("_ey", F.col("_sy") / F.col("_n"))
-        .withColumn("_ey2", F.col("_sy2") / F.col("_n"))
-        .withColumn("_exy", F.col("sum_y_h") / F.col("_n"))
-        .withColumn("_cov", F.col("_exy") - F.col("_p") * F.col("_ey"))
-        .withColumn("_varx", F.col("_p") - F.col("_p") * F.col("_p"))
-        .withColumn("_vary", F.col("_ey2") - F.col("_ey") * F.col("_ey"))
-        .withColumn(
-            "corr",
-            F.when(
-                (F.col("_varx") > 0) & (F.col("_vary") > 0),
-                F.col("_cov") / F.sqrt(F.col("_varx") * F.col("_vary")),
-            ),
-        )
+    p = F.col("n_h") / n
+    ey = F.sum("sum_y_h").over(w) / n
+    ey2 = F.sum("sum_y2_h").over(w) / n
+    exy = F.col("sum_y_h") / n
+    cov = exy - p * ey
+    var_x = p - p * p
+    var_y = ey2 - ey * ey
+    s = per_hour.select(
+        "pair",
+        "hour_of_day",
+        F.when((var_x > 0) & (var_y > 0), cov / F.sqrt(var_x * var_y)).alias("corr"),
     )
     return s.select("pair", "hour_of_day", "corr", clip("corr", -clip_at, clip_at).alias("corr_clipped"))

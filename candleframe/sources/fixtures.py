@@ -16,8 +16,24 @@ from candleframe.operators.classify import classify_by_quote
 DAILY_QUOTE_CLASSES = {"stablecoin": ("F", "O"), "fiat": ("P",)}
 
 
+# Declared schemas (only the columns the views use): no schema inference, no footer reads on
+# the driver, and the scan reads just these columns.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_quantity double, l_extendedprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def candles_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
