@@ -7,7 +7,6 @@ returns the daily volume/return rows and the Spearman statistics of the sampled
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +40,14 @@ def volatility_measures(
     rolling_window_days: int = ROLLING_WINDOW_ROWS,
     annualization_factor: float = ANNUALIZATION,
     min_rolling_obs: int = MIN_ROLLING_OBS,
-    persist: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(annual, rolling) volatility from one daily-log-return frame.
+    """(annual, rolling) volatility from one daily-log-return frame (both lazy).
 
-    With ``persist=True`` the daily returns are kept (memory and disk) so that computing
-    both outputs scans and shuffles the candles once; the caller unpersists.
+    To compute both outputs with one pass over the candles, persist
+    ``daily_log_returns(candles)`` and apply the two operators to it, releasing it after the
+    writes (as ``candleframe.plans.report.run_report`` does).
     """
     daily = daily_log_returns(candles)
-    if persist:
-        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
     annual = annual_volatility(daily, annualization=annualization_factor)
     rolling = rolling_volatility(
         daily,

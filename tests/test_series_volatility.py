@@ -168,3 +168,17 @@ def test_empty_input_gives_empty_results_with_schema(candles):
     assert av.count() == 0 and roll.count() == 0 and series.candle_returns(empty).count() == 0
     assert av.columns == ["base_currency", "quote_currency", "year", "annual_volatility", "n_days"]
     assert roll.columns == ["base_currency", "quote_currency", "date", "rolling_vol_annualized", "rolling_count"]
+
+
+def test_volatility_measures_equal_the_operators(spark):
+    from candleframe.plans import studies
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF0001
+
+    candles = fx.candles_daily(spark, SF0001)
+    annual, rolling = studies.volatility_measures(candles)
+    lr = series.daily_log_returns(candles)
+    assert annual.exceptAll(volatility.annual_volatility(lr)).count() == 0
+    assert rolling.exceptAll(volatility.rolling_volatility(lr)).count() == 0
+    assert annual.count() > 0 and rolling.count() > 0
