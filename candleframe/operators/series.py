@@ -2,11 +2,11 @@
 
 Ordering is ``open_time`` then ``seq`` when the frame has it, so ties are deterministic.
 
-Scale note: a pair's candle history can be a large share of all rows (one hot pair), so the
-per-candle lag is never a window over the whole pair. It runs inside (pair, hour) buckets,
-and the first candle of each bucket takes the last close of the nearest earlier non-empty
-bucket from a small per-bucket table. Daily series (<= 366 rows per pair-year) use plain
-per-pair windows.
+Scale note: a pair's candle history can be a large share of all rows (one hot pair), and so
+can one hour of it (one hot bucket), so the per-candle lag is never a window over a whole
+pair or a whole hot bucket. It runs inside (pair, hour[, time slice]) partitions, and the
+first candle of each takes the last close of the nearest earlier non-empty one from a small
+per-slice table. Daily series (<= 366 rows per pair-year) use plain per-pair windows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from candleframe.functions.returns import log_return, simple_return
 from candleframe.functions.time import period_start, trade_date, year_of
 from candleframe.schema import PAIR_KEYS, TIME, order_columns
+from candleframe.session import checkpointed
 
 
 def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
@@ -57,63 +58,102 @@ def daily_last(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
     return last_in_period(d, "date")
 
 
+MAX_BUCKET_ROWS = 1_000_000
+
+
 def lag_in_pair(
     df: DataFrame,
     column: str = "close",
     *,
     out: str = "prev_close",
     bucket: str | None = "hour",
+    max_bucket_rows: int = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """``out`` = ``column`` of the previous candle of the same pair (NULL for the first one).
 
-    With ``bucket`` set ('hour', 'day', ...), the window is partitioned by (pair, bucket), so
-    a hot pair is spread over many tasks instead of one. The first candle of each bucket
-    takes the last value of the nearest earlier non-empty bucket:
-
-    * bucket lasts come from a hash aggregate with map-side partials (``max_by`` on the time
-      order), so only one row per (pair, bucket) and task is shuffled;
-    * a window over those rows (one per pair-bucket, not per candle) carries each last value
-      to the next bucket;
-    * an equi-join on (pair, bucket) attaches it. The candle side is already hash-partitioned
-      and sorted on those keys by the window, so it is not shuffled again.
-
-    ``bucket=None`` gives the plain per-pair window (same result, one task per pair).
-    Choose the bucket so that it holds many candles (hour for minute candles or ticks, day
-    for hourly candles, month for daily ones): with one candle per bucket every row would go
-    through the carry join.
+    A pair's history is never one window partition. The window runs per (pair, bucket,
+    sub-bucket), where ``bucket`` is a calendar unit ('hour', 'day', 'month', ...) and a
+    bucket holding more than ``max_bucket_rows`` candles is cut into equal time slices sized
+    from its own density, so neither a hot pair nor a hot bucket lands in one task. The first
+    candle of each slice takes the last value of the nearest earlier non-empty slice:
+
+    * one summary pass (hash aggregate with map-side partials) gives, per (pair, bucket), the
+      row count, time span and last value; it is small and checkpointed, so the hot-bucket
+      decision and the carry read it without another scan;
+    * only when hot buckets exist (a list bounded by rows / ``max_bucket_rows``, broadcast)
+      are their slices' last values aggregated from the rows of those buckets;
+    * a window over slice ends (one row per slice, not per candle) carries each last value to
+      the next slice, and an equi-join on the slice key attaches it. The candle side is
+      already partitioned and sorted on that key by the window, so it is not shuffled again.
+
+    Choose ``bucket`` so that it holds many candles (hour for minute candles or ticks, day for
+    hourly candles, month for daily ones). Rows sharing one pair and one microsecond cannot
+    be split further. ``bucket=None`` gives the plain per-pair window (same result). Building
+    the frame runs the summary job.
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df)
     if bucket is None:
         return df.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    b = df.withColumn("_bucket", period_start(bucket))
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    x = b.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
-    # A struct ordering (time, tie-breaker) plans a sort aggregate; a single time column
-    # keeps the hash aggregate.
+    # A struct ordering (time, tie-breaker) plans a sort aggregate; one column keeps it hashed.
     order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    carry = (
-        b.groupBy(*keys, "_bucket")
-        .agg(F.max_by(column, order_key).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")))
-        .drop("_last")
+    b = df.withColumn("_bucket", period_start(bucket))
+    summary = checkpointed(
+        b.groupBy(*keys, "_bucket").agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(TIME).alias("_t0"),
+            F.max(TIME).alias("_t1"),
+            F.max_by(column, order_key).alias("_last"),
+        )
+    )
+    span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1")) + 1
+    slices = F.ceil(F.col("_n") / F.lit(max_bucket_rows))
+    hot = summary.where(F.col("_n") > max_bucket_rows).select(
+        *keys, "_bucket", "_t0", F.ceil(span / slices).alias("_width")
     )
+    if hot.isEmpty():
+        b = b.withColumn("_sub", F.lit(0).cast("bigint"))
+        ends = summary.select(*keys, "_bucket", F.lit(0).cast("bigint").alias("_sub"), "_last")
+    else:
+        offset = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(TIME))
+        b = (
+            b.join(F.broadcast(hot), on=[*keys, "_bucket"], how="left")
+            .withColumn("_sub", F.coalesce(F.floor(offset / F.col("_width")), F.lit(0)).cast("bigint"))
+        )
+        hot_ends = (
+            b.where(F.col("_width").isNotNull())
+            .groupBy(*keys, "_bucket", "_sub")
+            .agg(F.max_by(column, order_key).alias("_last"))
+        )
+        cold_ends = summary.join(F.broadcast(hot.select(*keys, "_bucket")), on=[*keys, "_bucket"], how="left_anti")
+        ends = cold_ends.select(*keys, "_bucket", F.lit(0).cast("bigint").alias("_sub"), "_last").unionByName(
+            hot_ends
+        )
+        b = b.drop("_t0", "_width")
+
+    w = Window.partitionBy(*keys, "_bucket", "_sub").orderBy(*order)
+    x = b.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
+    carry = ends.withColumn(
+        "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket", "_sub"))
+    ).drop("_last")
     return (
-        x.join(carry, on=[*keys, "_bucket"], how="left")
+        x.join(carry, on=[*keys, "_bucket", "_sub"], how="left")
         .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_bucket", "_lag", "_rn", "_carry")
+        .drop("_bucket", "_sub", "_lag", "_rn", "_carry")
     )
 
 
-def candle_returns(df: DataFrame, *, bucket: str | None = "hour") -> DataFrame:
+def candle_returns(
+    df: DataFrame, *, bucket: str | None = "hour", max_bucket_rows: int = MAX_BUCKET_ROWS
+) -> DataFrame:
     """Simple return between adjacent candles of a pair, whatever the gap between them.
 
     Adds prev_close, ``return`` (NULL when prev_close is 0) and year; drops each pair's
-    first candle (no previous close).
+    first candle (no previous close). See ``lag_in_pair`` for the bucketing.
     """
     return (
-        lag_in_pair(df, bucket=bucket)
+        lag_in_pair(df, bucket=bucket, max_bucket_rows=max_bucket_rows)
         .withColumn("return", simple_return())
         .withColumn("year", year_of(TIME))
         .where(F.col("prev_close").isNotNull())

@@ -16,7 +16,7 @@ from candleframe.operators.sampling import seeded_key_sample
 from candleframe.operators.series import candle_returns, daily_log_returns, daily_returns
 from candleframe.operators.universe import complete_bases, first_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
-from candleframe.session import ensure_checkpoint_dir
+from candleframe.session import checkpointed
 from candleframe.schema import (
     ANNUALIZATION,
     BASE,
@@ -58,19 +58,13 @@ def volatility_measures(
     return annual, rolling
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Materialize a small summary once in the cluster's checkpoint folder (lineage cut)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def annual_volatility_panels(candles: DataFrame, *, n_bases: int = TOP_BASES_NOTEBOOK) -> DataFrame:
     """Annual volatility of the first ``n_bases`` bases in name order (one panel per base).
 
     The annual table (pairs x years rows) is computed once and checkpointed; the base
     selection and the result both read it.
     """
-    annual = _checkpointed(annual_volatility(daily_log_returns(candles)))
+    annual = checkpointed(annual_volatility(daily_log_returns(candles)))
     return annual.join(F.broadcast(first_bases(annual, n_bases)), on=BASE, how="left_semi")
 
 
@@ -88,7 +82,7 @@ def volume_return_study(
     a row there, so sampling from it samples the same key sets as sampling the daily rows.
     """
     rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
-    stats = _checkpointed(spearman(rows))
+    stats = checkpointed(spearman(rows))
     bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
     quotes = seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE)
     picked = stats.join(F.broadcast(bases), on=BASE, how="left_semi").join(
@@ -108,7 +102,7 @@ def volume_return_grid(
     ``volume_return_study``).
     """
     rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
-    stats = _checkpointed(spearman(rows))
+    stats = checkpointed(spearman(rows))
     bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
     quotes = [r[QUOTE] for r in seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE).collect()]
     if not quotes:
@@ -144,7 +138,7 @@ def return_correlation_study(
     in_grid = F.minute(TIME) == 0
     if bases is not None:
         in_grid = in_grid & F.col(BASE).isin(list(bases))
-    summary = _checkpointed(
+    summary = checkpointed(
         returns.groupBy(BASE, QUOTE, "year", F.when(in_grid, F.col(TIME)).alias(TIME)).agg(
             F.avg("return").alias("return")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candleframe") -> SparkSession:
@@ -45,3 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialize a small derived table once in the checkpoint folder (eager; cuts lineage).
+
+    Branches that read the result do not recompute it, and a lost executor does not lose
+    it: the files live in the shared ``spark.checkpoint.dir``.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -63,12 +63,14 @@ def test_bucketed_lag_matches_brute_force(spark, rows):
     data = [(b, "Q", start + dt.timedelta(minutes=m), i, c, 1.0) for i, (b, m, c) in enumerate(rows)]
     df = spark.createDataFrame(data, CANDLE_DDL)
     got = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="hour").collect()}
+    sliced = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="day", max_bucket_rows=3).collect()}
     want = {}
     for base in ("A", "B"):
         seq = sorted((t, s, c) for b, _, t, s, c, _ in data if b == base)
         for k, (_, s, _) in enumerate(seq):
             want[s] = seq[k - 1][2] if k else None
     assert got == want
+    assert sliced == want
 
 
 def test_hot_pair_is_spread_over_tasks(spark):
@@ -104,3 +106,30 @@ def test_hot_pair_is_spread_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_bucket_is_spread_over_tasks(spark):
+    """All ticks in ONE pair and ONE month bucket: the bucket is cut into time slices."""
+    from candleframe.sources import fixtures as fx
+
+    hot = fx.candles_ticks(spark, SF001).withColumn("base_currency", F.lit("HOT")).withColumn("quote_currency", F.lit("Q"))
+    n = hot.count()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        whole = series.lag_in_pair(hot, bucket="month")  # one bucket, under the row limit
+        sliced = series.lag_in_pair(hot, bucket="month", max_bucket_rows=n // 32)
+
+        def largest_share(df):
+            sizes = df.select("prev_close", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            return max(r["count"] for r in sizes) / n
+
+        assert largest_share(whole) == 1.0
+        assert largest_share(sliced) < 0.25
+        a = {r.seq: r.prev_close for r in whole.select("seq", "prev_close").collect()}
+        b = {r.seq: r.prev_close for r in sliced.select("seq", "prev_close").collect()}
+        assert a == b and sum(v is None for v in a.values()) == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

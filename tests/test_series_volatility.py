@@ -118,15 +118,18 @@ def test_top_series_orders_by_length_then_name(candles):
     assert [(r.base_currency, r.n) for r in top.collect()] == [("B", 4), ("C", 4), ("E", 3), ("A", 2)]
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month"])
-def test_bucketed_lag_equals_plain_lag(spark, bucket):
+@pytest.mark.parametrize("bucket,limit", [("hour", 1_000_000), ("day", 1_000_000), ("month", 1_000_000),
+                                          ("hour", 3), ("day", 7), ("month", 50)])
+def test_bucketed_lag_equals_plain_lag(spark, bucket, limit):
     from candleframe.sources import fixtures as fx
 
     from conftest import SF001
 
     ticks = fx.candles_ticks(spark, SF001)
     plain = series.lag_in_pair(ticks, bucket=None).select("seq", F.col("prev_close").alias("p"))
-    bucketed = series.lag_in_pair(ticks, bucket=bucket).select("seq", F.col("prev_close").alias("b"))
+    bucketed = series.lag_in_pair(ticks, bucket=bucket, max_bucket_rows=limit).select(
+        "seq", F.col("prev_close").alias("b")
+    )
     j = plain.join(bucketed, "seq", "full")
     assert j.count() == ticks.count()
     assert j.where(~F.col("p").eqNullSafe(F.col("b"))).count() == 0
