@@ -1 +1,84 @@
 """DataFrame -> DataFrame operators over candle data (usable with ``DataFrame.transform``)."""
+
+from candleframe.operators.activity import (
+    bases_per_quote_year,
+    hourly_volume,
+    hourly_volume_matrix,
+    pivot_hours,
+)
+from candleframe.operators.classify import classify_by_base, classify_by_quote
+from candleframe.operators.correlation import (
+    corr_across_bases,
+    corr_across_quotes,
+    hour_return_correlation,
+    pairwise_correlation,
+)
+from candleframe.operators.profile import (
+    closing_price_series,
+    closing_price_summary,
+    distinct_years_bases,
+    null_profile,
+)
+from candleframe.operators.rank_stats import spearman
+from candleframe.operators.sampling import seeded_key_sample
+from candleframe.operators.series import (
+    candle_returns,
+    daily_last,
+    daily_log_returns,
+    daily_returns,
+    lag_in_pair,
+    top_of_hour,
+)
+from candleframe.operators.setops import union_pairs
+from candleframe.operators.universe import (
+    common_quotes,
+    complete_bases,
+    distinct_pairs,
+    existing_pairs,
+    file_size_totals,
+    first_bases,
+    quote_count_histogram,
+    quote_count_per_base,
+    require_bases,
+    top_bases,
+)
+from candleframe.operators.volatility import annual_volatility, rolling_volatility, top_series
+
+__all__ = [
+    "annual_volatility",
+    "bases_per_quote_year",
+    "candle_returns",
+    "classify_by_base",
+    "classify_by_quote",
+    "closing_price_series",
+    "closing_price_summary",
+    "common_quotes",
+    "complete_bases",
+    "corr_across_bases",
+    "corr_across_quotes",
+    "daily_last",
+    "daily_log_returns",
+    "daily_returns",
+    "distinct_pairs",
+    "distinct_years_bases",
+    "existing_pairs",
+    "file_size_totals",
+    "first_bases",
+    "hour_return_correlation",
+    "hourly_volume",
+    "hourly_volume_matrix",
+    "lag_in_pair",
+    "null_profile",
+    "pairwise_correlation",
+    "pivot_hours",
+    "quote_count_histogram",
+    "quote_count_per_base",
+    "require_bases",
+    "rolling_volatility",
+    "seeded_key_sample",
+    "spearman",
+    "top_bases",
+    "top_of_hour",
+    "top_series",
+    "union_pairs",
+]

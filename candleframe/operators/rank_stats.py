@@ -24,7 +24,9 @@ def spearman(
     would return NaN); ``n`` is the number of rows used. Ties get average ranks. rho is the
     Pearson correlation of the ranks (NULL for a constant column); p_value is the two-sided
     t-test p with n-2 degrees of freedom (NULL for n < 3).
-    Both rank windows share the group partitioning: one shuffle, one sort per column.
+    Both rank windows share the group partitioning: one shuffle, one sort per column. A
+    group is one window partition, so groups must be bounded: daily rows per pair (at most
+    366 per pair-year), as in the volume/return study, not raw candles.
     """
     keys = list(keys)
     ranked = (
