@@ -46,6 +46,16 @@ def last_in_period_unique(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFra
     ).select(*df.columns)
 
 
+def times_are_unique(df: DataFrame, keys=PAIR_KEYS) -> bool:
+    """True when no pair has two candles with the same ``open_time`` (the fast path's premise).
+
+    One aggregation over (pair, open_time) plus an existence probe; it shuffles every key
+    once, so run it when the data is new, not on every query.
+    """
+    dup = df.groupBy(*keys, TIME).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return dup.isEmpty()
+
+
 def daily_last(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
     """The last candle of each calendar day per pair, with a ``date`` column.
 

@@ -185,3 +185,13 @@ def test_volatility_measures_equal_the_operators(spark):
     assert annual.exceptAll(volatility.annual_volatility(lr)).count() == 0
     assert rolling.exceptAll(volatility.rolling_volatility(lr)).count() == 0
     assert annual.count() > 0 and rolling.count() > 0
+
+
+def test_times_are_unique_check(spark, candles):
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001
+
+    assert series.times_are_unique(fx.candles_ticks(spark, SF001))
+    assert not series.times_are_unique(fx.candles_daily(spark, SF001))
+    assert series.times_are_unique(candles([("A", "Q", "2021-01-01 00:00", 1, 1.0, 1.0), ("B", "Q", "2021-01-01 00:00", 2, 1.0, 1.0)]))
