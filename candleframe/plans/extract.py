@@ -1,7 +1,12 @@
-"""Closing-price extract: classify pairs by base, keep the top bases, write, summarize."""
+"""Closing-price extract: classify pairs by base, keep the top bases, write, summarize.
+
+    python -m candleframe.plans.extract PAIR_DIR OUT_PATH [--top-n 75]
+"""
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +65,19 @@ def run_extract(spark: SparkSession, directory: str, out_path: str, *, top_n: in
     finally:
         extract.unpersist()
     return summary
+
+
+def main(argv: list[str] | None = None) -> None:
+    ap = argparse.ArgumentParser(description="Closing-price extract of the top bases")
+    ap.add_argument("pair_dir")
+    ap.add_argument("out_path")
+    ap.add_argument("--top-n", type=int, default=TOP_BASES_EXTRACT)
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    summary = run_extract(spark, args.pair_dir, args.out_path, top_n=args.top_n)
+    for name, value in summary.items():
+        print(f"{name}\t{value}")
+
+
+if __name__ == "__main__":
+    main()
