@@ -37,10 +37,11 @@ def average_rank(x: str, partition: Sequence[str]) -> Column:
 
     rank() is 1 + #rows below x; count over the default RANGE frame (unbounded preceding
     to current row, peers included) is #rows at or below x; their mean is the tie average.
-    Both use one window spec, so one sort per ranked column.
+    Both use one window spec, so one sort per ranked column. NULLs sort last, so they do
+    not move the ranks of the values; their own rank is NULL.
     """
-    w = Window.partitionBy(*partition).orderBy(F.col(x))
-    return (F.rank().over(w) + F.count(F.lit(1)).over(w)) / F.lit(2.0)
+    w = Window.partitionBy(*partition).orderBy(F.col(x).asc_nulls_last())
+    return F.when(F.col(x).isNotNull(), (F.rank().over(w) + F.count(F.lit(1)).over(w)) / F.lit(2.0))
 
 
 def clip(value, lo: float, hi: float) -> Column:

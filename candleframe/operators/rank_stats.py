@@ -20,22 +20,23 @@ def spearman(
 ) -> DataFrame:
     """(keys..., n, rho, p_value): Spearman rank correlation of ``x`` and ``y`` per group.
 
-    Rows with a NULL in either column are dropped before ranking (a SciPy call on such data
-    would return NaN); ``n`` is the number of rows used. Ties get average ranks. rho is the
-    Pearson correlation of the ranks (NULL for a constant column); p_value is the two-sided
-    t-test p with n-2 degrees of freedom (NULL for n < 3).
+    Only rows where both values are non-NULL are ranked (a SciPy call on NULLs would return
+    NaN); ``n`` counts them. Every group of the input is kept: one without such rows has
+    n = 0 and NULL statistics. Ties get average ranks. rho is the Pearson correlation of the
+    ranks (NULL for a constant column); p_value is the two-sided t-test p with n-2 degrees
+    of freedom (NULL for n < 3).
     Both rank windows share the group partitioning: one shuffle, one sort per column. A
     group is one window partition, so groups must be bounded: daily rows per pair (at most
     366 per pair-year), as in the volume/return study, not raw candles.
     """
     keys = list(keys)
+    valid = F.col(x).isNotNull() & F.col(y).isNotNull()
     ranked = (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .select(*keys, x, y)
-        .withColumn("_rx", average_rank(x, keys))
-        .withColumn("_ry", average_rank(y, keys))
+        df.select(*keys, F.when(valid, F.col(x)).alias("_x"), F.when(valid, F.col(y)).alias("_y"))
+        .withColumn("_rx", average_rank("_x", keys))
+        .withColumn("_ry", average_rank("_y", keys))
     )
     stats = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), guarded_corr("_rx", "_ry").alias("rho")
+        F.count("_x").alias("n"), guarded_corr("_rx", "_ry").alias("rho")
     )
     return stats.withColumn("p_value", student_t_two_sided_p("rho", "n"))

@@ -152,9 +152,12 @@ def test_spearman_drops_nulls_and_handles_constants(spark):
          ("B", "Q", 5.0, 0.1), ("B", "Q", 5.0, 0.2), ("B", "Q", 5.0, 0.3)],
         "base_currency string, quote_currency string, volume double, `return` double",
     )
+    df = df.unionByName(spark.createDataFrame([("C", "Q", None, 0.1), ("C", "Q", 4.0, None)], df.schema))
     got = {r.base_currency: r for r in rank_stats.spearman(df).collect()}
-    assert got["A"].n == 2 and got["A"].p_value is None
+    assert got["A"].n == 2 and got["A"].rho == pytest.approx(1.0) and got["A"].p_value is None
     assert got["B"].n == 3 and got["B"].rho is None and got["B"].p_value is None
+    # A group without a complete row is kept: n = 0, no statistics.
+    assert got["C"].n == 0 and got["C"].rho is None and got["C"].p_value is None
 
 
 # (r, n, two-sided p) checked against numerical integration of the Student-t density.
