@@ -133,3 +133,71 @@ def test_hot_bucket_is_spread_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+ranked_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B"]),
+        st.one_of(st.none(), st.integers(min_value=0, max_value=5).map(float)),
+        st.one_of(st.none(), st.integers(min_value=-3, max_value=3).map(float)),
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ranked_rows)
+def test_spearman_matches_pandas(spark, rows):
+    import numpy as np
+    import pandas as pd
+
+    from candleframe.operators import rank_stats
+
+    df = spark.createDataFrame([(b, "Q", v, r) for b, v, r in rows], "base_currency string, quote_currency string, volume double, `return` double")
+    got = {r.base_currency: (r.n, r.rho) for r in rank_stats.spearman(df).collect()}
+    pdf = pd.DataFrame(rows, columns=["b", "v", "r"])
+    for b in set(pdf.b):
+        sub = pdf[(pdf.b == b)].dropna()
+        n, rho = got[b]
+        assert n == len(sub)
+        rx, ry = sub.v.rank(method="average"), sub.r.rank(method="average")
+        if len(sub) < 2 or rx.std(ddof=0) == 0 or ry.std(ddof=0) == 0:
+            assert rho is None
+        else:
+            assert rho == pytest.approx(float(np.corrcoef(rx, ry)[0, 1]), abs=1e-9)
+
+
+cell_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B", "C"]),
+        st.integers(min_value=1, max_value=6),
+        st.one_of(st.none(), st.floats(min_value=-1, max_value=1, allow_nan=False).map(lambda x: round(x, 3))),
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=cell_rows)
+def test_pairwise_correlation_matches_pandas(spark, rows):
+    import pandas as pd
+
+    from candleframe.operators import correlation
+
+    data = [("BTC", q, 2021, dt.datetime(2021, 1, d), r) for q, d, r in rows]
+    df = spark.createDataFrame(data, "base_currency string, quote_currency string, year bigint, open_time timestamp_ntz, `return` double")
+    keys = ["A", "B", "C"]
+    got = {(r.quote_a, r.quote_b): (r.corr, r.n_obs) for r in correlation.corr_across_quotes(df, quotes=keys, bases=["BTC"], years=[2021]).collect()}
+    pdf = pd.DataFrame([(q, d, r) for q, d, r in rows], columns=["q", "d", "r"])
+    wide = pdf.pivot_table(index="d", columns="q", values="r").reindex(columns=keys)
+    ref = wide.corr()
+    for a in keys:
+        for b in keys:
+            c, n = got[(a, b)]
+            assert n == int((wide[a].notna() & wide[b].notna()).sum())
+            if pd.isna(ref.loc[a, b]):
+                assert c is None or n < 2
+            else:
+                assert c == pytest.approx(float(ref.loc[a, b]), abs=1e-7)
