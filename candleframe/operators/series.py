@@ -175,32 +175,37 @@ def top_of_hour(df: DataFrame) -> DataFrame:
     return df.where(F.minute(TIME) == 0)
 
 
-def _daily_with_prev(df: DataFrame, unique_times: bool = False) -> DataFrame:
-    daily = daily_last(df, unique_times=unique_times)
+def _with_prev_day(daily: DataFrame) -> DataFrame:
     w = Window.partitionBy(*PAIR_KEYS).orderBy("date")
     return daily.withColumn("prev_close", F.lag("close").over(w))
 
 
-def daily_log_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
-    """ln(close / previous day's close) per pair on last-of-day candles; first day dropped.
-
-    Days without candles are skipped, so a return may span several calendar days.
-    """
+def log_returns_of_daily(daily: DataFrame) -> DataFrame:
+    """``daily_log_returns`` from an already computed last-of-day table (``daily_last``)."""
     return (
-        _daily_with_prev(df, unique_times)
+        _with_prev_day(daily)
         .withColumn("log_return", log_return())
         .where(F.col("log_return").isNotNull())
         .withColumn("year", year_of("date"))
     )
 
 
+def returns_of_daily(daily: DataFrame) -> DataFrame:
+    """``daily_returns`` from an already computed last-of-day table (``daily_last``)."""
+    return _with_prev_day(daily).withColumn("return", simple_return()).where(F.col("return").isNotNull())
+
+
+def daily_log_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
+    """ln(close / previous day's close) per pair on last-of-day candles; first day dropped.
+
+    Days without candles are skipped, so a return may span several calendar days.
+    """
+    return log_returns_of_daily(daily_last(df, unique_times=unique_times))
+
+
 def daily_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
     """Simple daily return on last-of-day candles; rows with a NULL return are dropped.
 
     ``volume`` is the volume of the day's last candle (not the day's total).
     """
-    return (
-        _daily_with_prev(df, unique_times)
-        .withColumn("return", simple_return())
-        .where(F.col("return").isNotNull())
-    )
+    return returns_of_daily(daily_last(df, unique_times=unique_times))

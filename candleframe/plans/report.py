@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from candleframe.operators.activity import bases_per_quote_year, hourly_volume_matrix
 from candleframe.operators.correlation import hour_return_correlation
 from candleframe.operators.profile import closing_price_series, null_profile
-from candleframe.operators.series import candle_returns, daily_log_returns
+from candleframe.operators.series import candle_returns, daily_last, log_returns_of_daily
 from candleframe.operators.universe import (
     common_quotes,
     quote_count_histogram,
@@ -80,18 +80,19 @@ def run_report(
     save("corr_across_quotes", across_quotes)
     save("corr_across_bases", across_bases)
 
-    # Annual and rolling volatility share one persisted table of daily log returns (daily
-    # rows per pair, far smaller than the candles); released once both are written.
-    daily = daily_log_returns(candles).persist(StorageLevel.MEMORY_AND_DISK)
+    # The volatility and volume/return analyses share one persisted last-of-day table (one
+    # row per pair-day, far smaller than the candles), released once they are written.
+    daily = daily_last(candles).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rolling = rolling_volatility(daily)
-        save("annual_volatility", annual_volatility(daily))
+        log_returns = log_returns_of_daily(daily)
+        rolling = rolling_volatility(log_returns)
+        save("annual_volatility", annual_volatility(log_returns))
         save("rolling_volatility", rolling)
         save("top_rolling_series", top_series(rolling))
+        save("volume_return_grid", volume_return_grid(daily=daily, seed=seed))
     finally:
         daily.unpersist()
 
-    save("volume_return_grid", volume_return_grid(candles, seed=seed))
     save("hourly_volume_matrix", hourly_volume_matrix(candles))
     save("hour_return_correlation", hour_return_correlation(candle_returns(candles)))
     save("closing_price_series", closing_price_series(candles))

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 from candleframe.operators.correlation import corr_across_bases, corr_across_quotes
 from candleframe.operators.rank_stats import spearman
 from candleframe.operators.sampling import seeded_key_sample
-from candleframe.operators.series import candle_returns, daily_log_returns, daily_returns
+from candleframe.operators.series import (
+    candle_returns,
+    daily_log_returns,
+    daily_returns,
+    returns_of_daily,
+)
 from candleframe.operators.universe import complete_bases, first_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
 from candleframe.session import checkpointed
@@ -68,8 +73,17 @@ def annual_volatility_panels(candles: DataFrame, *, n_bases: int = TOP_BASES_NOT
     return annual.join(F.broadcast(first_bases(annual, n_bases)), on=BASE, how="left_semi")
 
 
+def _daily_rows(candles: DataFrame | None, daily: DataFrame | None) -> DataFrame:
+    returns = returns_of_daily(daily) if daily is not None else daily_returns(candles)
+    return returns.select(BASE, QUOTE, "date", "volume", "return")
+
+
 def volume_return_study(
-    candles: DataFrame, *, seed: int = SAMPLE_SEED, k: int = SAMPLE_SIZE
+    candles: DataFrame | None = None,
+    *,
+    daily: DataFrame | None = None,
+    seed: int = SAMPLE_SEED,
+    k: int = SAMPLE_SIZE,
 ) -> tuple[DataFrame, DataFrame]:
     """(daily rows, Spearman stats) for ``k`` seeded bases x ``k`` seeded quotes.
 
@@ -80,8 +94,9 @@ def volume_return_study(
     checkpointed; the samples and the selection read that small table, so the candles are
     scanned once however many branches use the result. Every pair with a daily return has
     a row there, so sampling from it samples the same key sets as sampling the daily rows.
+    Pass ``daily`` (a ``daily_last`` table) instead of ``candles`` to reuse one.
     """
-    rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
+    rows = _daily_rows(candles, daily)
     stats = checkpointed(spearman(rows))
     bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
     quotes = seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE)
@@ -92,16 +107,20 @@ def volume_return_study(
 
 
 def volume_return_grid(
-    candles: DataFrame, *, seed: int = SAMPLE_SEED, k: int = SAMPLE_SIZE
+    candles: DataFrame | None = None,
+    *,
+    daily: DataFrame | None = None,
+    seed: int = SAMPLE_SEED,
+    k: int = SAMPLE_SIZE,
 ) -> DataFrame:
     """Spearman statistics for every cell of the seeded k x k (base, quote) grid.
 
     Cells whose pair has no daily returns are kept with ``n = 0`` and NULL statistics (the
     "no data" panels). The k sampled quotes are collected (at most k names) to lay out the
     grid by ``explode``, so no cross join is planned. One pass over the candles (see
-    ``volume_return_study``).
+    ``volume_return_study``); pass ``daily`` to reuse a ``daily_last`` table.
     """
-    rows = daily_returns(candles).select(BASE, QUOTE, "date", "volume", "return")
+    rows = _daily_rows(candles, daily)
     stats = checkpointed(spearman(rows))
     bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
     quotes = [r[QUOTE] for r in seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE).collect()]

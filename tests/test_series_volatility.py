@@ -195,3 +195,18 @@ def test_times_are_unique_check(spark, candles):
     assert series.times_are_unique(fx.candles_ticks(spark, SF001))
     assert not series.times_are_unique(fx.candles_daily(spark, SF001))
     assert series.times_are_unique(candles([("A", "Q", "2021-01-01 00:00", 1, 1.0, 1.0), ("B", "Q", "2021-01-01 00:00", 2, 1.0, 1.0)]))
+
+
+def test_daily_table_entry_points_equal_candle_entry_points(spark):
+    from candleframe.plans import studies
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF0001
+
+    candles = fx.candles_daily(spark, SF0001)
+    daily = series.daily_last(candles)
+    assert series.log_returns_of_daily(daily).exceptAll(series.daily_log_returns(candles)).count() == 0
+    assert series.returns_of_daily(daily).exceptAll(series.daily_returns(candles)).count() == 0
+    a = studies.volume_return_grid(candles)
+    b = studies.volume_return_grid(daily=daily)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
