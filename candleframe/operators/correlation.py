@@ -120,16 +120,9 @@ def corr_across_bases(
     )
 
 
-def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
-    """corr(1[hour = h], return) per pair and hour, from sums (no row repeated per hour).
-
-    With n, sum(y), sum(y^2) per pair and n_h, sum_h(y) per (pair, hour):
-    p = n_h/n, cov = sum_h(y)/n - p E[y], var_x = p - p^2, var_y = E[y^2] - E[y]^2;
-    corr = cov / sqrt(var_x var_y), NULL if a variance <= 0. Returns that are NULL (zero
-    previous close) are left out of every sum and count. The per-pair totals are window
-    sums over the (pair, hour) aggregate (<= 24 rows per pair), not a second scan.
-    """
-    per_hour = (
+def hour_sums(returns: DataFrame) -> DataFrame:
+    """(pair, hour_of_day, n_h, sum_y_h, sum_y2_h) over the non-NULL returns: one aggregate."""
+    return (
         returns.where(F.col("return").isNotNull())
         .select(pair_label().alias("pair"), hour_of_day(TIME).alias("hour_of_day"), "return")
         .groupBy("pair", "hour_of_day")
@@ -139,6 +132,13 @@ def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CL
             F.sum(F.col("return") * F.col("return")).alias("sum_y2_h"),
         )
     )
+
+
+def hour_correlation_from_sums(per_hour: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
+    """corr(1[hour = h], return) per (pair, hour) from the ``hour_sums`` table.
+
+    The per-pair totals are window sums over that table (<= 24 rows per pair).
+    """
     w = Window.partitionBy("pair")
     n = F.sum("n_h").over(w).cast("double")
     p = F.col("n_h") / n
@@ -154,3 +154,14 @@ def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CL
         F.when((var_x > 0) & (var_y > 0), cov / F.sqrt(var_x * var_y)).alias("corr"),
     )
     return s.select("pair", "hour_of_day", "corr", clip("corr", -clip_at, clip_at).alias("corr_clipped"))
+
+
+def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
+    """corr(1[hour = h], return) per pair and hour, from sums (no row repeated per hour).
+
+    With n, sum(y), sum(y^2) per pair and n_h, sum_h(y) per (pair, hour):
+    p = n_h/n, cov = sum_h(y)/n - p E[y], var_x = p - p^2, var_y = E[y^2] - E[y]^2;
+    corr = cov / sqrt(var_x var_y), NULL if a variance <= 0. Returns that are NULL (zero
+    previous close) are left out of every sum and count.
+    """
+    return hour_correlation_from_sums(hour_sums(returns), clip_at=clip_at)

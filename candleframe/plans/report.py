@@ -18,9 +18,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from candleframe.operators.activity import bases_per_quote_year, hourly_volume_matrix
-from candleframe.operators.correlation import hour_return_correlation
+from candleframe.operators.correlation import hour_correlation_from_sums
 from candleframe.operators.profile import closing_price_series, null_profile
-from candleframe.operators.series import candle_returns, daily_last, log_returns_of_daily
+from candleframe.operators.series import daily_last, log_returns_of_daily
 from candleframe.operators.universe import (
     common_quotes,
     quote_count_histogram,
@@ -28,7 +28,7 @@ from candleframe.operators.universe import (
     top_bases,
 )
 from candleframe.operators.volatility import annual_volatility, rolling_volatility, top_series
-from candleframe.plans.studies import return_correlation_study, volume_return_grid
+from candleframe.plans.studies import correlation_grids, return_summaries, volume_return_grid
 from candleframe.plans.universe_load import load_universe, universe_file_sizes
 from candleframe.schema import (
     CORR_BASES,
@@ -74,11 +74,14 @@ def run_report(
     save("null_profile", null_profile(candles))
     save("bases_per_quote_year", bases_per_quote_year(candles, year_quotes))
 
-    across_quotes, across_bases = return_correlation_study(
-        candles, quotes=corr_quotes, bases=corr_bases, years=years
+    # One pass of candle returns feeds both the correlation grids and the hour correlation.
+    corr_summary, hour_stats = return_summaries(candles, quotes=corr_quotes, bases=corr_bases)
+    across_quotes, across_bases = correlation_grids(
+        corr_summary, quotes=corr_quotes, bases=corr_bases, years=years
     )
     save("corr_across_quotes", across_quotes)
     save("corr_across_bases", across_bases)
+    save("hour_return_correlation", hour_correlation_from_sums(hour_stats))
 
     # The volatility and volume/return analyses share one persisted last-of-day table (one
     # row per pair-day, far smaller than the candles), released once they are written.
@@ -94,7 +97,6 @@ def run_report(
         daily.unpersist()
 
     save("hourly_volume_matrix", hourly_volume_matrix(candles))
-    save("hour_return_correlation", hour_return_correlation(candle_returns(candles)))
     save("closing_price_series", closing_price_series(candles))
     return written
 

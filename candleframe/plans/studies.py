@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candleframe.operators.activity import pair_label
 from candleframe.operators.correlation import corr_across_bases, corr_across_quotes
+from candleframe.functions.time import hour_of_day
 from candleframe.operators.rank_stats import spearman
 from candleframe.operators.sampling import seeded_key_sample
 from candleframe.operators.series import (
@@ -134,6 +136,32 @@ def volume_return_grid(
     )
 
 
+def _grid_cell_time(quotes, bases):
+    in_grid = (F.minute(TIME) == 0) & F.col(QUOTE).isin(list(quotes))
+    if bases is not None:
+        in_grid = in_grid & F.col(BASE).isin(list(bases))
+    return F.when(in_grid, F.col(TIME))
+
+
+def correlation_grids(
+    summary: DataFrame,
+    *,
+    quotes=CORR_QUOTES,
+    bases=CORR_BASES,
+    years=CORR_YEARS,
+    minimum: int = MIN_COMPLETE_BASES,
+) -> tuple[DataFrame, DataFrame]:
+    """Both grids from a correlation summary (see ``return_correlation_study``), after the
+    complete-base check."""
+    complete = complete_bases(summary, quotes)
+    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
+    cells = summary.where(F.col(TIME).isNotNull())
+    return (
+        corr_across_quotes(cells, quotes=quotes, bases=chosen, years=years),
+        corr_across_bases(cells, quotes=quotes, bases=chosen, years=years),
+    )
+
+
 def return_correlation_study(
     candles: DataFrame,
     *,
@@ -154,18 +182,52 @@ def return_correlation_study(
     that summary; averaging a cell again in the grid is a no-op.
     """
     returns = candle_returns(candles).where(F.col(QUOTE).isin(list(quotes)))
-    in_grid = F.minute(TIME) == 0
-    if bases is not None:
-        in_grid = in_grid & F.col(BASE).isin(list(bases))
     summary = checkpointed(
-        returns.groupBy(BASE, QUOTE, "year", F.when(in_grid, F.col(TIME)).alias(TIME)).agg(
+        returns.groupBy(BASE, QUOTE, "year", _grid_cell_time(quotes, bases).alias(TIME)).agg(
             F.avg("return").alias("return")
         )
     )
-    complete = complete_bases(summary, quotes)
-    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
-    cells = summary.where(F.col(TIME).isNotNull())
-    return (
-        corr_across_quotes(cells, quotes=quotes, bases=chosen, years=years),
-        corr_across_bases(cells, quotes=quotes, bases=chosen, years=years),
+    return correlation_grids(summary, quotes=quotes, bases=bases, years=years, minimum=minimum)
+
+
+def return_summaries(
+    candles: DataFrame, *, quotes=CORR_QUOTES, bases=CORR_BASES
+) -> tuple[DataFrame, DataFrame]:
+    """(correlation summary, hour sums) from ONE pass of candle returns.
+
+    A single GROUPING SETS aggregation (one Expand, map-side partials) groups the returns by
+    (pair, year, top-of-hour cell) for the correlation grids and by (pair, hour of day) for
+    the hour correlation; the small result is checkpointed and split. Use with
+    ``correlation_grids`` and ``hour_correlation_from_sums``.
+    """
+    r = candle_returns(candles).select(
+        BASE,
+        QUOTE,
+        "year",
+        _grid_cell_time(quotes, bases).alias("_cell"),
+        hour_of_day(TIME).alias("hour_of_day"),
+        "return",
+    )
+    both = checkpointed(
+        r.groupingSets(
+            [[BASE, QUOTE, "year", "_cell"], [BASE, QUOTE, "hour_of_day"]],
+            BASE,
+            QUOTE,
+            "year",
+            "_cell",
+            "hour_of_day",
+        ).agg(
+            F.avg("return").alias("return"),
+            F.count("return").alias("n_h"),
+            F.sum("return").alias("sum_y_h"),
+            F.sum(F.col("return") * F.col("return")).alias("sum_y2_h"),
+            F.grouping("hour_of_day").alias("_by_cell"),
+        )
+    )
+    summary = both.where((F.col("_by_cell") == 1) & F.col(QUOTE).isin(list(quotes))).select(
+        BASE, QUOTE, "year", F.col("_cell").alias(TIME), "return"
+    )
+    sums = both.where((F.col("_by_cell") == 0) & (F.col("n_h") > 0)).select(
+        pair_label().alias("pair"), "hour_of_day", "n_h", "sum_y_h", "sum_y2_h"
     )
+    return summary, sums

@@ -269,3 +269,22 @@ def test_study_grids_equal_direct_grids(spark):
         rx = sorted((tuple(r[:4]) + (None if r.corr is None else round(r.corr, 9), r.n_obs)) for r in x.collect())
         ry = sorted((tuple(r[:4]) + (None if r.corr is None else round(r.corr, 9), r.n_obs)) for r in y.collect())
         assert rx == ry
+
+
+def test_return_summaries_equal_separate_passes(spark):
+    from candleframe.operators import series
+    from candleframe.plans import studies
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001
+
+    hourly = fx.candles_hourly(spark, SF001)
+    kw = dict(quotes=("U0", "U1", "U2"), bases=("click", "purchase", "view"))
+    summary, sums = studies.return_summaries(hourly, **kw)
+    q, b = studies.correlation_grids(summary, years=(2023, 2024), **kw)
+    q2, b2 = studies.return_correlation_study(hourly, years=(2023, 2024), **kw)
+    rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
+    assert rnd(q.collect()) == rnd(q2.collect()) and rnd(b.collect()) == rnd(b2.collect())
+    h = correlation.hour_correlation_from_sums(sums)
+    h2 = correlation.hour_return_correlation(series.candle_returns(hourly))
+    assert rnd(h.collect()) == rnd(h2.collect())
