@@ -9,9 +9,10 @@ from candleframe.functions.stats import (
     average_rank,
     clip,
     guarded_corr,
+    pair_count,
     student_t_two_sided_p,
 )
-from candleframe.functions.time import hour_of_day, trade_date, year_of
+from candleframe.functions.time import hour_of_day, period_start, trade_date, year_of
 
 __all__ = [
     "average_rank",
@@ -19,6 +20,8 @@ __all__ = [
     "guarded_corr",
     "hour_of_day",
     "log_return",
+    "pair_count",
+    "period_start",
     "simple_return",
     "student_t_two_sided_p",
     "trade_date",

@@ -10,7 +10,9 @@ from candleframe.operators.classify import classify_by_base, classify_by_quote
 from candleframe.operators.correlation import (
     corr_across_bases,
     corr_across_quotes,
+    hour_correlation_from_sums,
     hour_return_correlation,
+    hour_sums,
     pairwise_correlation,
 )
 from candleframe.operators.profile import (
@@ -27,6 +29,9 @@ from candleframe.operators.series import (
     daily_log_returns,
     daily_returns,
     lag_in_pair,
+    log_returns_of_daily,
+    returns_of_daily,
+    times_are_unique,
     top_of_hour,
 )
 from candleframe.operators.setops import union_pairs
@@ -64,19 +69,24 @@ __all__ = [
     "existing_pairs",
     "file_size_totals",
     "first_bases",
+    "hour_correlation_from_sums",
     "hour_return_correlation",
+    "hour_sums",
     "hourly_volume",
     "hourly_volume_matrix",
     "lag_in_pair",
+    "log_returns_of_daily",
     "null_profile",
     "pairwise_correlation",
     "pivot_hours",
     "quote_count_histogram",
     "quote_count_per_base",
     "require_bases",
+    "returns_of_daily",
     "rolling_volatility",
     "seeded_key_sample",
     "spearman",
+    "times_are_unique",
     "top_bases",
     "top_of_hour",
     "top_series",
