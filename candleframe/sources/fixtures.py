@@ -6,7 +6,7 @@ The same definitions are written in SQL in ``candleframe.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleframe.functions.time import period_start
@@ -85,23 +85,22 @@ def candles_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candles_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly candles from the ticks: close of the last tick, summed volume, seq = 0."""
+    """Hourly candles from the ticks: close of the last tick, summed volume, seq = 0.
+
+    One aggregation per (pair, hour) with map-side partials: the last tick is ``max_by`` on
+    (open_time, seq), so even a very busy hour never sits in one task.
+    """
     ticks = candles_ticks(spark, sf_dir).withColumn("_hour", period_start("hour"))
-    part = ["base_currency", "quote_currency", "_hour"]
-    w = Window.partitionBy(*part).orderBy(F.col("open_time").desc(), F.col("seq").desc())
-    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        ticks.withColumn("_rn", F.row_number().over(w))
-        .withColumn("_vol", F.sum("volume").over(w_all))
-        .where(F.col("_rn") == 1)
-        .select(
-            "base_currency",
-            "quote_currency",
-            F.col("_hour").alias("open_time"),
-            F.lit(0).cast("bigint").alias("seq"),
-            "close",
-            F.col("_vol").alias("volume"),
-        )
+    return ticks.groupBy("base_currency", "quote_currency", "_hour").agg(
+        F.max_by("close", F.struct("open_time", "seq")).alias("close"),
+        F.sum("volume").alias("volume"),
+    ).select(
+        "base_currency",
+        "quote_currency",
+        F.col("_hour").alias("open_time"),
+        F.lit(0).cast("bigint").alias("seq"),
+        "close",
+        "volume",
     )
 
 
