@@ -36,7 +36,7 @@ def pairwise_correlation(
     key: str,
     groups: Sequence[str],
     keys: Sequence[str],
-    years: Sequence[int],
+    years: Sequence[int] | None,
     value: str = "return",
     time: str = TIME,
 ) -> DataFrame:
@@ -48,9 +48,13 @@ def pairwise_correlation(
        pair over the timestamps where both are present (pairwise-complete).
     3. A literal (group, year) grid left-joined to it, exploded to one row per key pair.
     No self join: nothing is emitted per pair of rows, only per pair of requested keys.
+    ``years=None`` uses the years present in the selected rows (a short collected list).
     """
     keys = list(dict.fromkeys(keys))
     groups = list(dict.fromkeys(groups))
+    if years is None:
+        present = df.where(F.col(group).isin(groups) & F.col(key).isin(keys)).select("year").distinct()
+        years = sorted(r.year for r in present.collect() if r.year is not None)
     years = [int(y) for y in dict.fromkeys(years)]
     xs = [f"_x{i}" for i in range(len(keys))]
 
@@ -99,7 +103,7 @@ def corr_across_quotes(
     *,
     quotes: Sequence[str] = CORR_QUOTES,
     bases: Sequence[str] = CORR_BASES,
-    years: Sequence[int] = CORR_YEARS,
+    years: Sequence[int] | None = CORR_YEARS,
 ) -> DataFrame:
     """Per base and year: correlation of top-of-hour candle returns between quotes."""
     return pairwise_correlation(
@@ -112,7 +116,7 @@ def corr_across_bases(
     *,
     quotes: Sequence[str] = CORR_QUOTES,
     bases: Sequence[str] = CORR_BASES,
-    years: Sequence[int] = CORR_YEARS,
+    years: Sequence[int] | None = CORR_YEARS,
 ) -> DataFrame:
     """Per quote and year: correlation of top-of-hour candle returns between bases."""
     return pairwise_correlation(

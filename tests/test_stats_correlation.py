@@ -288,3 +288,9 @@ def test_return_summaries_equal_separate_passes(spark):
     h = correlation.hour_correlation_from_sums(sums)
     h2 = correlation.hour_return_correlation(series.candle_returns(hourly))
     assert rnd(h.collect()) == rnd(h2.collect())
+
+
+def test_years_none_uses_years_present(spark):
+    out = correlation.corr_across_quotes(_returns(spark, PARTIAL), quotes=["A", "B", "C"], bases=["BTC"], years=None)
+    assert sorted({r.year for r in out.collect()}) == [2021, 2022]
+    assert out.count() == 2 * 9
