@@ -1,6 +1,7 @@
 """The whole candle analysis over a pair-file directory, each result written as Parquet.
 
-    python -m candleframe.plans.report PAIR_DIR OUT_DIR [--top-n 10] [--overwrite]
+    python -m candleframe.plans.report PAIR_DIR OUT_DIR [--top-n 10] [--corr-quotes BUSD,EUR,USDT]
+        [--corr-bases ADA,ETH,BTC|all] [--years 2017-2022|data] [--year-quotes ...] [--overwrite]
 
 Runs, in order: pair catalog (quote-count histogram, top bases, common quotes, file sizes),
 universe load, null profile, bases per quote and year, the guarded return-correlation
@@ -50,7 +51,7 @@ def run_report(
     year_quotes: Sequence[str] = YEAR_QUOTES,
     corr_quotes: Sequence[str] = CORR_QUOTES,
     corr_bases: Sequence[str] | None = CORR_BASES,
-    years: Sequence[int] = CORR_YEARS,
+    years: Sequence[int] | None = CORR_YEARS,
     seed: int = SAMPLE_SEED,
     mode: str = "errorifexists",
 ) -> dict[str, str]:
@@ -101,16 +102,43 @@ def run_report(
     return written
 
 
+def _names(text: str) -> tuple[str, ...]:
+    return tuple(x.strip() for x in text.split(",") if x.strip())
+
+
+def _years(text: str) -> tuple[int, ...] | None:
+    """'2017-2022', '2019,2021' or 'data' (the years present)."""
+    if text == "data":
+        return None
+    if "-" in text:
+        lo, hi = (int(x) for x in text.split("-", 1))
+        return tuple(range(lo, hi + 1))
+    return tuple(int(x) for x in _names(text))
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("pair_dir")
     ap.add_argument("out_dir")
     ap.add_argument("--top-n", type=int, default=TOP_BASES_NOTEBOOK)
+    ap.add_argument("--year-quotes", default=",".join(YEAR_QUOTES))
+    ap.add_argument("--corr-quotes", default=",".join(CORR_QUOTES))
+    ap.add_argument("--corr-bases", default=",".join(CORR_BASES), help="names, or 'all' complete bases")
+    ap.add_argument("--years", default=f"{CORR_YEARS[0]}-{CORR_YEARS[-1]}", help="'2017-2022', list, or 'data'")
+    ap.add_argument("--seed", type=int, default=SAMPLE_SEED)
     ap.add_argument("--overwrite", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     out = run_report(
-        spark, args.pair_dir, args.out_dir, top_n=args.top_n,
+        spark,
+        args.pair_dir,
+        args.out_dir,
+        top_n=args.top_n,
+        year_quotes=_names(args.year_quotes),
+        corr_quotes=_names(args.corr_quotes),
+        corr_bases=None if args.corr_bases == "all" else _names(args.corr_bases),
+        years=_years(args.years),
+        seed=args.seed,
         mode="overwrite" if args.overwrite else "errorifexists",
     )
     for name, path in out.items():
