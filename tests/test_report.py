@@ -63,3 +63,19 @@ def test_run_report_writes_every_table(spark, tmp_path):
     assert read["volume_return_grid"].count() == 9
     assert read["hourly_volume_matrix"].count() == 12
     assert len(read["hourly_volume_matrix"].columns) == 25
+
+
+def test_cli_entry_points(spark, tmp_path, capsys):
+    from candleframe.plans import extract, report
+
+    pairs = tmp_path / "pairs"
+    pairs.mkdir()
+    _write_pairs(str(pairs))
+    report.main([str(pairs), str(tmp_path / "r"), "--top-n", "4", "--corr-bases", "all", "--years", "data"])
+    printed = capsys.readouterr().out.splitlines()
+    assert len(printed) == 15 and all("\t" in line for line in printed)
+    assert report._years("2017-2019") == (2017, 2018, 2019) and report._years("data") is None
+    extract.main([str(pairs), str(tmp_path / "x"), "--top-n", "2"])
+    summary = dict(line.split("\t") for line in capsys.readouterr().out.splitlines())
+    assert set(summary) == {"mean_close", "std_close", "min_close", "max_close"}
+    assert spark.read.parquet(str(tmp_path / "x")).select("base_currency").distinct().count() == 2
