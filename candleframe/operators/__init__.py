@@ -30,9 +30,11 @@ from candleframe.operators.series import (
     daily_returns,
     lag_in_pair,
     log_returns_of_daily,
+    pairs_with_returns,
     returns_of_daily,
     times_are_unique,
     top_of_hour,
+    top_of_hour_returns,
 )
 from candleframe.operators.setops import union_pairs
 from candleframe.operators.universe import (
@@ -77,6 +79,7 @@ __all__ = [
     "lag_in_pair",
     "log_returns_of_daily",
     "null_profile",
+    "pairs_with_returns",
     "pairwise_correlation",
     "pivot_hours",
     "quote_count_histogram",
@@ -89,6 +92,7 @@ __all__ = [
     "times_are_unique",
     "top_bases",
     "top_of_hour",
+    "top_of_hour_returns",
     "top_series",
     "union_pairs",
 ]

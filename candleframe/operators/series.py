@@ -78,6 +78,7 @@ def lag_in_pair(
     out: str = "prev_close",
     bucket: str | None = "hour",
     max_bucket_rows: int = MAX_BUCKET_ROWS,
+    tiebreak: tuple[str, ...] = (),
 ) -> DataFrame:
     """``out`` = ``column`` of the previous candle of the same pair (NULL for the first one).
 
@@ -99,10 +100,11 @@ def lag_in_pair(
     Choose ``bucket`` so that it holds many candles (hour for minute candles or ticks, day for
     hourly candles, month for daily ones). Rows sharing one pair and one microsecond cannot
     be split further. ``bucket=None`` gives the plain per-pair window (same result). Building
-    the frame runs the summary job.
+    the frame runs the summary job. ``tiebreak`` names extra ordering columns after
+    (open_time, seq).
     """
     keys = list(PAIR_KEYS)
-    order = order_columns(df)
+    order = order_columns(df) + list(tiebreak)
     if bucket is None:
         return df.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
@@ -170,6 +172,58 @@ def candle_returns(
     )
 
 
+def top_of_hour_returns(df: DataFrame, *, max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+    """``top_of_hour(candle_returns(df))`` without shuffling every candle.
+
+    The previous candle of a minute-0 candle is an earlier minute-0 candle of the same hour
+    or the last candle of the nearest earlier non-empty hour. So the lag runs over a small
+    frame: the minute-0 candles (and any without open_time), plus one row per non-empty
+    pair-hour holding that hour's last candle, taken by an aggregate with map-side partials.
+    Those rows sort after a real candle with the same (open_time, seq) and are dropped after
+    the lag. For minute candles the frame is about 2/60 of the rows; the bucketed lag (with
+    its hot-bucket slicing) then runs on that frame only.
+    """
+    keys = list(PAIR_KEYS)
+    order = order_columns(df)
+    order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    last = F.max_by(F.struct(*order, F.col("close").alias("_close")), order_key)
+    hour_ends = (
+        df.where(F.col(TIME).isNotNull())
+        .groupBy(*keys, period_start("hour").alias("_hour"))
+        .agg(last.alias("_end"))
+        .select(*keys, *[F.col(f"_end.{c}").alias(c) for c in order], F.col("_end._close").alias("close"))
+        .withColumn("_pseudo", F.lit(1))
+    )
+    real = df.where((F.minute(TIME) == 0) | F.col(TIME).isNull()).withColumn("_pseudo", F.lit(0))
+    frame = real.unionByName(hour_ends, allowMissingColumns=True)
+    lagged = lag_in_pair(frame, bucket="hour", max_bucket_rows=max_bucket_rows, tiebreak=("_pseudo",))
+    return (
+        lagged.where((F.col("_pseudo") == 0) & F.col(TIME).isNotNull())
+        .drop("_pseudo")
+        .withColumn("return", simple_return())
+        .withColumn("year", year_of(TIME))
+        .where(F.col("prev_close").isNotNull())
+    )
+
+
+def pairs_with_returns(df: DataFrame) -> DataFrame:
+    """(base, quote) that have at least one candle return, without a lag.
+
+    A candle has a return when the candle before it has a close, so a pair has one exactly
+    when some non-NULL close is not on the pair's last candle: count(close) minus one if the
+    last candle's close is non-NULL is at least 1. One aggregate with map-side partials.
+    """
+    order = order_columns(df)
+    order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    last_close = F.max_by("close", order_key)
+    return (
+        df.groupBy(*PAIR_KEYS)
+        .agg(F.count("close").alias("_n"), last_close.alias("_last"))
+        .where(F.col("_n") - F.when(F.col("_last").isNotNull(), 1).otherwise(0) >= 1)
+        .select(*PAIR_KEYS)
+    )
+
+
 def top_of_hour(df: DataFrame) -> DataFrame:
     """Keep candles opening at minute 0 (applied after the lag, so returns span one candle)."""
     return df.where(F.minute(TIME) == 0)

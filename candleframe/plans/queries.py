@@ -350,7 +350,8 @@ def q_candle_returns(spark, sf_dir):
 
 @register("top_of_hour_returns")
 def q_top_of_hour_returns(spark, sf_dir):
-    return series.top_of_hour(_tick_returns(spark, sf_dir)).select(*RETURN_OUT)
+    """Returns of minute-0 ticks, from the reduced frame (not a lag over every tick)."""
+    return series.top_of_hour_returns(fx.candles_ticks(spark, sf_dir)).select(*RETURN_OUT)
 
 
 @register("hourly_volume")

@@ -2,7 +2,9 @@
 
 ``volatility_measures`` returns (annual, rolling) volatility; ``volume_return_study``
 returns the daily volume/return rows and the Spearman statistics of the sampled pairs;
-``return_correlation_study`` checks the complete bases and returns both correlation grids.
+``return_correlation_study`` checks the complete bases and returns both correlation grids;
+``return_summaries`` + ``correlation_grids`` serve the grids and the hour correlation from one
+pass of candle returns (as the whole-analysis report does).
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from candleframe.operators.series import (
     candle_returns,
     daily_log_returns,
     daily_returns,
+    pairs_with_returns,
     returns_of_daily,
+    top_of_hour,
+    top_of_hour_returns,
 )
 from candleframe.operators.universe import complete_bases, first_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
@@ -169,25 +174,37 @@ def return_correlation_study(
     bases=CORR_BASES,
     years=CORR_YEARS,
     minimum: int = MIN_COMPLETE_BASES,
+    coarse: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(across quotes, across bases) correlation grids of top-of-hour candle returns.
 
     Raises ValueError, before any grid is built, when fewer than ``minimum`` bases trade
     against every quote or when a requested base does not (``bases=None`` takes all complete
-    bases). The check collects only the complete-base names.
-
-    One pass over the candles: the returns of the target quotes are aggregated into a small
-    checkpointed summary with one row per (pair, year) for the base check, plus one row per
-    top-of-hour cell of the requested bases (its mean return). The check and both grids read
-    that summary; averaging a cell again in the grid is a no-op.
+    bases). The check reads one lag-free aggregate (``pairs_with_returns``) and collects only
+    the complete-base names.
+
+    The grids need returns of minute-0 candles only: ``top_of_hour_returns`` computes them
+    from a frame of about 2/60 of minute candles instead of shuffling every candle, for the
+    chosen pairs only. Their top-of-hour cells (mean return per pair and timestamp) are
+    checkpointed and both grids read them. ``coarse=True`` (hourly or coarser candles, where
+    every candle opens at minute 0) uses the plain bucketed lag with day buckets instead.
     """
-    returns = candle_returns(candles).where(F.col(QUOTE).isin(list(quotes)))
-    summary = checkpointed(
-        returns.groupBy(BASE, QUOTE, "year", _grid_cell_time(quotes, bases).alias(TIME)).agg(
-            F.avg("return").alias("return")
-        )
+    targets = candles.where(F.col(QUOTE).isin(list(quotes)))
+    complete = complete_bases(pairs_with_returns(targets), quotes)
+    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
+    chosen_candles = targets.where(F.col(BASE).isin(chosen))
+    returns = (
+        top_of_hour(candle_returns(chosen_candles, bucket="day"))
+        if coarse
+        else top_of_hour_returns(chosen_candles)
+    )
+    cells = checkpointed(
+        returns.groupBy(BASE, QUOTE, "year", TIME).agg(F.avg("return").alias("return"))
+    )
+    return (
+        corr_across_quotes(cells, quotes=quotes, bases=chosen, years=years),
+        corr_across_bases(cells, quotes=quotes, bases=chosen, years=years),
     )
-    return correlation_grids(summary, quotes=quotes, bases=bases, years=years, minimum=minimum)
 
 
 def return_summaries(

@@ -201,3 +201,60 @@ def test_pairwise_correlation_matches_pandas(spark, rows):
                 assert c is None or n < 2
             else:
                 assert c == pytest.approx(float(ref.loc[a, b]), abs=1e-7)
+
+
+@pytest.mark.parametrize("view", ["candles_ticks", "candles_hourly", "candles_daily"])
+def test_top_of_hour_returns_equal_full_lag(spark, view):
+    from candleframe.sources import fixtures as fx
+
+    c = getattr(fx, view)(spark, SF001)
+    cols = ["base_currency", "quote_currency", "open_time", "seq", "close", "prev_close", "return", "year"]
+    full = series.top_of_hour(series.candle_returns(c, bucket="day")).select(*cols)
+    for limit in (1_000_000, 2):
+        cheap = series.top_of_hour_returns(c, max_bucket_rows=limit).select(*cols)
+        assert full.exceptAll(cheap).count() == 0 and cheap.exceptAll(full).count() == 0
+    got = {(r.base_currency, r.quote_currency) for r in series.pairs_with_returns(c).collect()}
+    want = {(r.base_currency, r.quote_currency) for r in series.candle_returns(c).select("base_currency", "quote_currency").distinct().collect()}
+    assert got == want
+
+
+minute_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "B"]),
+        st.integers(min_value=0, max_value=4 * 60 - 1).map(lambda m: m if m % 7 else (m // 60) * 60),  # many minute-0
+        st.one_of(st.none(), st.floats(min_value=-5, max_value=5, allow_nan=False)),
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=minute_rows)
+def test_top_of_hour_returns_brute_force(spark, rows):
+    start = dt.datetime(2021, 3, 1)
+    data = [(b, "Q", start + dt.timedelta(minutes=m), i, c, 1.0) for i, (b, m, c) in enumerate(rows)]
+    df = spark.createDataFrame(data, CANDLE_DDL)
+    got = {r.seq: r.prev_close for r in series.top_of_hour_returns(df, max_bucket_rows=2).collect()}
+    want = {}
+    for base in ("A", "B"):
+        seq = sorted((t, s, c) for b, _, t, s, c, _ in data if b == base)
+        for k, (t, s, _) in enumerate(seq):
+            prev = seq[k - 1][2] if k else None
+            if t.minute == 0 and prev is not None:
+                want[s] = prev
+    assert got == want
+
+
+def test_pairs_with_returns_null_closes(spark, candles):
+    df = candles(
+        [
+            ("A", "Q", "2021-01-01 00:00", 1, 1.0, 1.0),   # single candle: no return
+            ("B", "Q", "2021-01-01 00:00", 2, None, 1.0),  # the only close before the last is NULL
+            ("B", "Q", "2021-01-01 00:01", 3, 5.0, 1.0),
+            ("C", "Q", "2021-01-01 00:00", 4, 2.0, 1.0),   # a return exists
+            ("C", "Q", "2021-01-01 00:01", 5, None, 1.0),
+        ]
+    )
+    assert {r.base_currency for r in series.pairs_with_returns(df).collect()} == {"C"}
+    assert {r.base_currency for r in series.candle_returns(df).collect()} == {"C"}
