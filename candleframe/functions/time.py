@@ -24,9 +24,23 @@ def trade_date(ts="open_time") -> Column:
 
 
 def period_start(unit: str, ts="open_time") -> Column:
-    """Start of the ``unit`` ('hour', 'day', 'month', ...) containing ``ts``, as timestamp_ntz.
+    """Start of the ``unit`` containing ``ts``, as timestamp_ntz, on the wall clock.
 
-    ``date_trunc`` on timestamp_ntz yields a session-zone timestamp; casting back keeps the
-    wall-clock value.
+    'hour', 'day', 'month' and 'year' are rebuilt from the value's own fields, so they do not
+    depend on the session time zone (``date_trunc`` goes through a session-zone timestamp,
+    where a DST gap moves wall-clock times into the next hour). Other units use
+    ``date_trunc``.
     """
-    return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
+    t = _c(ts)
+    zero = F.lit(0)
+    one = F.lit(1)
+    fields = {
+        "hour": (F.year(t), F.month(t), F.dayofmonth(t), F.hour(t)),
+        "day": (F.year(t), F.month(t), F.dayofmonth(t), zero),
+        "month": (F.year(t), F.month(t), one, zero),
+        "year": (F.year(t), one, one, zero),
+    }
+    if unit in fields:
+        y, m, d, h = fields[unit]
+        return F.make_timestamp_ntz(y, m, d, h, zero, zero)
+    return F.date_trunc(unit, t).cast("timestamp_ntz")

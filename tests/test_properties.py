@@ -258,3 +258,21 @@ def test_pairs_with_returns_null_closes(spark, candles):
     )
     assert {r.base_currency for r in series.pairs_with_returns(df).collect()} == {"C"}
     assert {r.base_currency for r in series.candle_returns(df).collect()} == {"C"}
+
+
+def test_hour_buckets_ignore_session_time_zone(spark, candles):
+    """Candles inside the New York spring-forward gap stay in their wall-clock hour."""
+    rows = [("X", "Q", f"2021-03-14 {h:02d}:{m:02d}", h * 100 + m, float(h * 100 + m + 1), 1.0)
+            for h in (1, 2, 3) for m in (0, 30, 59)]
+    df = candles(rows)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        full = {r.seq: r.prev_close for r in series.top_of_hour(series.candle_returns(df, bucket=None)).collect()}
+        cheap = {r.seq: r.prev_close for r in series.top_of_hour_returns(df).collect()}
+        bucketed = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="hour").collect()}
+        plain = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket=None).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert cheap == full == {200: 160.0, 300: 260.0}
+    assert bucketed == plain
