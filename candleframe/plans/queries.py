@@ -428,5 +428,16 @@ def q_corr_across_bases_daily(spark, sf_dir):
     )
 
 
+@register("corr_study_ticks")
+def q_corr_study_ticks(spark, sf_dir):
+    """The guarded correlation study on tick candles: lag-free base check, reduced
+    top-of-hour frame, quote-by-quote grid (ticks of two quotes never share a timestamp, so
+    off-diagonal cells are empty)."""
+    across_quotes, _ = studies.return_correlation_study(
+        fx.candles_ticks(spark, sf_dir), quotes=HOURLY_QUOTES, bases=HOURLY_BASES, years=(2024,)
+    )
+    return across_quotes
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
