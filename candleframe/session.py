@@ -34,7 +34,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a local-mode session (tests, a laptop) without that setting gets a temporary
     folder; on a cluster a missing setting is an error, never a machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
