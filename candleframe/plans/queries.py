@@ -29,6 +29,7 @@ from candleframe.operators import (
 from candleframe.plans import extract, studies, universe_load
 from candleframe.sources import candles as candle_src
 from candleframe.sources import catalog as cat
+from candleframe.session import checkpointed
 from candleframe.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,7 +324,10 @@ def q_daily_last_unique_times(spark, sf_dir):
 @register("seeded_key_sample")
 def q_seeded_key_sample(spark, sf_dir):
     """3 bases and 3 quotes chosen with seed 42."""
-    rows = series.daily_returns(fx.candles_daily(spark, sf_dir))
+    # Both samples read one small checkpointed table of pairs with daily returns: one pass.
+    rows = checkpointed(
+        series.daily_returns(fx.candles_daily(spark, sf_dir)).select("base_currency", "quote_currency").distinct()
+    )
     b = sampling.seeded_key_sample(rows, "base_currency").select(
         F.lit("base").alias("kind"), F.col("base_currency").alias("key_value"), "sample_hash"
     )
