@@ -7,6 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,6 +61,51 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def checked_broadcast(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """A staged slim table, marked for broadcast if it has at most ``most_rows`` rows.
+
+    Beyond that it is joined by shuffle, where AQE splits skewed partitions.
+    """
+    few = df.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(df) if few else df
+
+
+def ddl(df: DataFrame, *more: str) -> str:
+    """The schema of ``df`` and some more columns as DDL."""
+    return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema], *more])
+
+
+def zipped(df: DataFrame, column: str = "text") -> DataFrame:
+    """``df`` with a string column as zstandard frames, so that a shuffle moves and keeps less."""
+    ship_package(df.sparkSession)
+    rest = df.drop(column)
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            z = [pack.compress(x.as_buffer()) if x.is_valid else None for x in b.column("_z").cast(pa.binary())]
+            yield b.set_column(b.schema.get_field_index("_z"), "_z", pa.array(z, pa.binary()))
+
+    out = df.select(*rest.columns, F.col(column).alias("_z")).mapInArrow(run, ddl(rest, "`_z` binary"))
+    return out.select(*[F.col("_z").alias(column) if c == column else F.col(c) for c in df.columns])
+
+
+def unzipped(df: DataFrame, column: str = "text") -> DataFrame:
+    """The strings of a column that ``zipped`` made."""
+    rest = df.drop(column)
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                t = pa.array([unpack.decompress(x.as_buffer()) if x.is_valid else None for x in part.column("_z")], pa.binary())
+                yield part.set_column(part.schema.get_field_index("_z"), "_z", t.cast(pa.string()))
+
+    out = df.select(*rest.columns, F.col(column).alias("_z")).mapInArrow(run, ddl(rest, "`_z` string"))
+    return out.select(*[F.col("_z").alias(column) if c == column else F.col(c) for c in df.columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import WS_CHARS, ascii_lower, ship_package, shuffle_partitions, stage
+from candleframe.llm.common import WS_CHARS, ascii_lower, ddl, ship_package, shuffle_partitions, stage
 
 #: Lines shorter than this (code points of the key) are never dropped.
 MIN_CHARS = 20
@@ -187,17 +187,18 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .groupBy("h", "h2").agg(F.count("*").alias("docs"), F.max("id").alias("holder"))
         .where(F.col("docs") >= MIN_DOCS).select("h", "h2", "holder")
     )
+    # A line of very many documents is dealt over REPLICAS places.
+    copies_of = F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica")
+    salted = suspects.withColumn("replica", F.pmod(F.xxhash64("id"), F.lit(REPLICAS)).cast("int"))
     drops = (
-        suspects.join(repeated, ["h", "h2"]).where(F.col("id") != F.col("holder"))
+        salted.join(repeated.select("*", copies_of), ["h", "h2", "replica"]).where(F.col("id") != F.col("holder"))
         .groupBy("id").agg(F.collect_set("h").alias("_drop")).withColumnRenamed("id", "_id")
     )
     others = [c for c in base.columns if c != text]
     ready = base.select(*others, ident.alias("_id"), full.alias("_text")).join(drops, "_id", "left").select(
         *others, "_text", "_drop", F.transform(_keys(F.col("_text")), lambda k: _hash(k, F.lit(0).cast("long"))).alias("_lines"),
     )
-    cut = ready.mapInArrow(
-        _cut_lines, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*others).schema],
-                               "_kept string", "_n_lines long", "_n_dropped long"]))
+    cut = ready.mapInArrow(_cut_lines, ddl(base.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))
     return cut.select(
         *[F.col("_kept").alias(text) if c == text else F.col(c) for c in base.columns],
         F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),

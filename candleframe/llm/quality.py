@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import WS_CHARS, WS_CLASS, stage, words_of
+from candleframe.llm.common import WS_CHARS, WS_CLASS, checked_broadcast, stage, words_of
 
 #: Characters that count as symbols, and the word windows that count as repeats.
 SYMBOLS = "#*$%&|<>"
@@ -31,7 +31,7 @@ def _window_hashes(hashes: Column, n: Column) -> Column:
 
 
 def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without ``text`` but with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
     NULL and empty texts have no words. Repeated words: positions covered by 8-word
     windows that occur twice or more in the text. Windows are compared by a 64-bit hash;
@@ -40,7 +40,7 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    keep = [c for c in docs.columns if c not in (text, *new) and not c.startswith("_q_")]
+    keep = [c for c in docs.columns if c not in new and not c.startswith("_q_")]
     worded = F.filter(F.split(t, "\n"), lambda line: line.rlike(f"[^{WS_CLASS[1:-1]}]"))
     one = docs.select(
         *keep,
@@ -110,16 +110,18 @@ def host_rates(features: DataFrame, host: str, failed: str) -> DataFrame:
     )
 
 
-def quality_rules(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = False) -> DataFrame:
     """Rule features of every document, its own verdict and the verdict after its host's.
 
     ``base_failed``: too few words or too many repeated ones. ``kept``: not base_failed and
     the host's shrunk failure rate is at most MAX_HOST_RATE. A NULL host counts as the host
-    '' (unknown). Repeated rows and tied ids each get a row. Other columns pass through,
-    except ``text`` and those named like a new column. An empty table gives no rows.
+    '' (unknown). Repeated rows and tied ids each get a row. Other columns pass through
+    (``text`` only with ``keep_text``), except those named like a new column. An empty
+    table gives no rows.
 
-    One scan of the texts: the slim features are staged, aggregated by host (partial sums
-    before the shuffle) and joined with the host verdicts, one row per host.
+    One scan of the texts: rows with their features are staged, aggregated by host (partial
+    sums before the shuffle) and joined with the host verdicts, one row per host, by
+    broadcast where the hosts are few, so that a hot host's rows stay where they are.
     """
     new = ["base_failed", "kept", "host_rate"]
     cols = docs.drop(*new)
@@ -129,8 +131,9 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source") ->
         (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
     )
-    feats = stage(feats, "quality")
-    rates = host_rates(feats, "_host", "base_failed").select("_host", F.col("shrunk_rate").alias("host_rate"))
-    return feats.join(rates, "_host").withColumn(
+    feats = stage(feats if keep_text else feats.drop(text), "quality")
+    rates = stage(
+        host_rates(feats, "_host", "base_failed").select("_host", F.col("shrunk_rate").alias("host_rate")), "hosts")
+    return feats.join(checked_broadcast(rates), "_host").withColumn(
         "kept", ~F.col("base_failed") & (F.col("host_rate") <= MAX_HOST_RATE)
     ).drop("_host")

@@ -2,13 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleframe.llm.common import table
+from candleframe.llm.jaccard_join import jaccard_components
 from candleframe.llm.line_dedup import line_dedup
+from candleframe.llm.packing import best_fit_pack
 from candleframe.llm.quality import quality_rules
+from candleframe.llm.sentencepiece_codec import decode, encode
+from candleframe.llm.sharding import shard_documents
+from candleframe.llm.suffix_dedup import suffix_dedup
+from candleframe.llm.token_files import read_token_files, write_token_files
+from candleframe.llm.topk import top_k
 from candleframe.llm.url_filter import url_filter
+from candleframe.session import ensure_checkpoint_dir
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also ``covered``: where the last piece's span ends, the text's length in bytes."""
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_BPE)
+    slim = encoded.select("doc_id", "ids", F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("covered"))
+    return decode(slim, PIECE_BPE).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "covered",
+    )
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "group_rows")
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +64,34 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path, WORD_BPE)
+    return read_token_files(spark, path, with_ids=False)
+
+
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_sharding": op2_sharding,
+    "op3_top_k": op3_top_k,
     "op4_quality_rules": op4_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_token_files": op10_token_files,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import ascii_lower, stage
+from candleframe.llm.common import ascii_lower, checked_broadcast, stage
 
 #: (verdict, rule): a rule is a host and a path prefix; it fits the host's subdomains too.
 RULES = [
@@ -122,7 +122,7 @@ def url_filter(
     own = F.when(F.col("bad_bound") > MAX_BAD_RATE, F.lit("block")).otherwise(F.lit("allow"))
     return (
         parts.withColumn("_hit", hit)
-        .join(rated.select("host", "bad_bound"), "host")
+        .join(checked_broadcast(stage(rated.select("host", "bad_bound"), "hosts")), "host")
         .withColumn("rule", F.col("_hit.rule"))
         .withColumn("verdict", F.coalesce(F.col("_hit.verdict"), own))
         .drop("_hit")
