@@ -267,3 +267,15 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
     joined = zipped(ready).join(per_doc, ["doc", "crc"], "left").select(*kept_names, "text", "spans")
     out = joined.mapInArrow(cut, ddl(ready.select(*kept_names), "kept binary, n_bytes long, n_removed long, n_spans long"))
     return out.select(*[F.col(f"_o_{c}").alias(c) for c in others], *new)
+
+
+def valid_text(df: DataFrame, kept: str = "kept", out: str = "text") -> DataFrame:
+    """``df`` with ``out``: the bytes of ``kept`` as text, without characters that a cut has split."""
+    rest = df.drop(out, kept)
+
+    def run(batches):
+        for b in batches:
+            text = [x.as_buffer().to_pybytes().decode(errors="ignore") for x in b.column("_k")]
+            yield b.drop_columns(["_k"]).append_column(out, pa.array(text, pa.string()))
+
+    return df.select(*rest.columns, F.col(kept).alias("_k")).mapInArrow(run, ddl(rest, f"`{out}` string"))
