@@ -19,6 +19,9 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     """Slices of a batch with about ``limit`` bytes of text each, at least one row."""
     if not batch.num_rows:
         return
+    # Widened before it is sliced: a cast of a sliced string array gives kernels wrong offsets.
+    at = batch.schema.get_field_index(column)
+    batch = batch.set_column(at, column, batch.column(column).cast(pa.large_string()))
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = (np.cumsum(size) - size) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]

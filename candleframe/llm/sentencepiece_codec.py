@@ -209,28 +209,48 @@ class PieceModel:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, ends, number of ids of each text); NULL counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        if self.identity:
-            normal = pc.replace_substring(texts, " ", SPACE)
-            if self.dummy_prefix:
-                normal = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(*[pa.scalar(x, pa.large_string()) if isinstance(x, str) else x for x in (SPACE, normal, "")]))
-            ids, n = self._segment(normal)
-            width = self.norm_length[ids] - 2 * self.spaces[ids]
-            first = (np.cumsum(n) - n)[n > 0]
-            if self.dummy_prefix:
-                width[first] -= 1
-            end = np.cumsum(width)
-            begin = end - width
-            base = np.repeat(begin[first], n[n > 0])
-            begin, end = begin - base, end - base
-        else:
-            normal, align = zip(*[self.normalise(t) for t in texts.to_pylist()], strict=True) if len(texts) else ((), ())
-            ids, n = self._segment(pa.array(list(normal), pa.large_string()))
-            width = self.norm_length[ids]
-            at = np.cumsum(width)
-            shift = np.repeat((at - width)[(np.cumsum(n) - n)[n > 0]], n[n > 0])
-            offset = np.repeat((np.cumsum([len(a) for a in align]) - [len(a) for a in align])[n > 0], n[n > 0])
-            flat = np.concatenate(align) if align else np.zeros(0, np.int64)
-            begin, end = flat[at - width - shift + offset], flat[at - shift + offset]
+        odd = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False) | (not self.identity)
+        if odd.all():
+            return self._by_alignment(texts)
+        if not odd.any():
+            return self._by_width(texts)
+        parts = []
+        for take, run in ((~odd, self._by_width), (odd, self._by_alignment)):
+            *values, n = run(texts.filter(pa.array(take)))
+            cut = np.cumsum(n)[:-1]
+            parts.append([list(np.split(v, cut)) for v in values])
+        order = np.argsort(np.argsort(odd, kind="stable"), kind="stable")
+        merged = [[(parts[0][k] + parts[1][k])[i] for i in order] for k in range(3)]
+        return *[np.concatenate(m) for m in merged], np.array([len(x) for x in merged[0]], dtype=np.int64)
+
+    def _by_width(self, texts: pa.Array):
+        """Without a character map every piece is as wide as its text, each space mark as a space."""
+        normal = pc.replace_substring(texts, " ", SPACE)
+        if self.dummy_prefix:
+            mark, none = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
+            normal = pc.if_else(pc.equal(texts, ""), none, pc.binary_join_element_wise(mark, normal, none))
+        ids, n = self._segment(normal)
+        width = self.norm_length[ids] - 2 * self.spaces[ids]
+        first = (np.cumsum(n) - n)[n > 0]
+        if self.dummy_prefix:
+            width[first] -= 1
+        end = np.cumsum(width)
+        begin = end - width
+        base = np.repeat(begin[first], n[n > 0])
+        return ids, *self._whole_characters(ids, begin - base, end - base), n
+
+    def _by_alignment(self, texts: pa.Array):
+        """Every piece projected through the record that normalisation kept."""
+        found = [self.normalise(t) for t in texts.to_pylist()]
+        ids, n = self._segment(pa.array([t for t, _ in found], pa.large_string()))
+        width = self.norm_length[ids]
+        at = np.cumsum(width)
+        some = n > 0
+        shift = np.repeat((at - width)[(np.cumsum(n) - n)[some]], n[some])
+        size = np.array([len(a) for _, a in found], dtype=np.int64)
+        offset = np.repeat((np.cumsum(size) - size)[some], n[some])
+        flat = np.concatenate([a for _, a in found]) if found else np.zeros(0, np.int64)
+        begin, end = flat[at - width - shift + offset], flat[at - shift + offset]
         return ids, *self._whole_characters(ids, begin, end), n
 
     def _whole_characters(self, ids, begin, end):
