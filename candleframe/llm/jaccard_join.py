@@ -27,8 +27,8 @@ from candleframe.llm.components import connected_components
 WORDS, SIMILARITY = 4, (85, 100)
 #: Signatures that a task gathers before it sends them on, sorted by segment.
 FLUSH = 1 << 21
-#: Parts over which the members of one region are dealt when they meet its pivot.
-SPREAD = 16
+#: Members of a region that meet its pivot in one part.
+PART_ROWS = 512
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -230,11 +230,15 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
 def measure(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(p, x, inter, total): sizes of intersection and union of the sets p and x.
 
-    ``texts`` (set, text) is joined to the distinct pairs' ends. The pairs of one p are
-    dealt over SPREAD parts, each with p's text first: a part streams past its p.
+    ``texts`` (set, text) is joined to the distinct pairs' ends, by shuffle at any size. The
+    pairs of one p are dealt over parts of about PART_ROWS, each with p's text first: a part
+    streams past its p.
     """
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("x"), F.lit(SPREAD)).cast("int"))
-    heads = pairs.select("p", "part").distinct().join(texts.select(F.col("set").alias("p"), "text"), "p").select(
+    parts = pairs.groupBy("p").agg(F.ceil(F.count("*") / F.lit(PART_ROWS)).cast("int").alias("parts"))
+    pairs = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
+    texts = texts.hint("merge")
+    heads = parts.select("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(
+        texts.select(F.col("set").alias("p"), "text"), "p").select(
         "p", "part", F.lit(0).alias("kind"), F.col("p").alias("x"), "text")
     tails = pairs.join(texts.select(F.col("set").alias("x"), "text"), "x").select("p", "part", F.lit(1).alias("kind"), "x", "text")
 
@@ -275,7 +279,8 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     full = F.coalesce(F.col(text), F.lit(""))
     ready = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
     rows = stage(fingerprints(ready, words), "fingerprints")
-    cell = stage(cells(ready, words, similarity), "cells")
+    # Numbered before they are exploded: a later number would count the members.
+    cell = stage(cells(ready, words, similarity).withColumn("cell", F.monotonically_increasing_id()), "cells")
     star = cell.select(F.element_at("members", 1).alias("a"), F.explode("members").alias("b")).where("a != b").distinct()
     region = stage(connected_components(star), "regions")
     # One row of each set stands for it, found by its id and its text's checksum.
@@ -283,7 +288,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         region.withColumnRenamed("id", "fa"), "fa").select("d.doc_id", "d.crc", F.col("fa").alias("set"))
     packed = zipped(ready).withColumnsRenamed({"doc_id": "id", "crc": "sum"})
     same = packed.id.eqNullSafe(members.doc_id) & (packed["sum"] == members.crc)
-    texts = stage(unzipped(packed.join(members, same).select("set", "text")), "texts")
+    texts = stage(unzipped(packed.join(members.hint("merge"), same).select("set", "text")), "texts")
     # First the region's pivot, its smallest set, against every member.
     to_pivot = region.where("id != root").select(F.col("root").alias("p"), F.col("id").alias("x"))
     near = stage(measure(to_pivot, texts, words), "distances")
@@ -294,7 +299,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
                         F.when(close, F.col("p")).otherwise(F.col("x")).alias("comp"))
     known = stage(region.join(known, "id", "left").select(
         "id", "root", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("comp", "id").alias("comp")), "known")
-    inside = cell.select(F.monotonically_increasing_id().alias("cell"), F.explode("members").alias("id")).join(known, "id")
+    inside = cell.select("cell", F.explode("members").alias("id")).join(known, "id")
     inside = stage(inside, "inside")
     torn = inside.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("cell")
     open_cells = stage(inside.join(torn, "cell").where("id != root"), "open")
