@@ -70,7 +70,7 @@ class TupleQueue:
 def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one that starts right of it (S type)."""
     up = np.empty(len(t), dtype=np.int8)
-    up[:-1] = (t[1:] > t[:-1]).astype(np.int8) - (t[1:] < t[:-1])
+    up[:-1] = (t[1:] > t[:-1]).astype(np.int8) - (t[1:] < t[:-1]).astype(np.int8)
     up[-1] = -1  # the end is smaller than any character
     at = np.where(up != 0, np.arange(len(t)), len(t))
     nxt = np.minimum.accumulate(at[::-1])[::-1]  # the first change from here on
@@ -79,8 +79,8 @@ def _types(t: np.ndarray) -> np.ndarray:
 
 def _runs(t: np.ndarray) -> np.ndarray:
     """How often each position's character repeats from there on."""
-    change = np.append(np.flatnonzero(t[1:] != t[:-1]), len(t) - 1)
-    return change[np.searchsorted(change, np.arange(len(t)))] - np.arange(len(t)) + 1
+    last = np.append(np.flatnonzero(t[1:] != t[:-1]), len(t) - 1)
+    return np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(t)) + 1
 
 
 class _Pass:
@@ -89,7 +89,7 @@ class _Pass:
     def __init__(self, t: np.ndarray, goes_here: np.ndarray, cap: int):
         self.t, self.here, self.cap = t, goes_here, cap
         self.queues = {}
-        self.since = np.full(257, cap, dtype=np.int64)  # least lcp seen since a queue's last push
+        self.since = np.full(256, cap, dtype=np.int64)  # least lcp seen since a queue's last push
 
     def induce(self, tuples: np.ndarray) -> None:
         """Push the left neighbours of ``tuples``, the next ones in order of the sweep."""
@@ -157,13 +157,13 @@ def _sweep(t: np.ndarray, small: np.ndarray, runs: np.ndarray, seeds: np.ndarray
     """
     up = _Pass(t, ~small, cap)
     up.start()
-    edges = np.searchsorted(t[seeds["pos"]], np.arange(258)) if len(seeds) else np.zeros(258, dtype=np.int64)
+    edges = np.searchsorted(t[seeds["pos"]].astype(np.int64), np.arange(257)) if len(seeds) else np.zeros(257, dtype=np.int64)
     l_parts: dict[int, list[np.ndarray]] = {}
     tails = {}
     end = np.zeros(1, dtype=_TUPLE)
     end["pos"] = len(t)  # the empty suffix, smallest of all
     up.induce(end)
-    for c in range(257):
+    for c in range(256):
         kept = TupleQueue()
         last = None
         for got in up.drain(c):
@@ -179,7 +179,7 @@ def _sweep(t: np.ndarray, small: np.ndarray, runs: np.ndarray, seeds: np.ndarray
                 up.induce(mine[lo : lo + CHUNK])
     down = _Pass(t, small, cap)
     down.start()
-    for c in range(256, -1, -1):
+    for c in range(255, -1, -1):
         first_s = None
         for got in down.drain(c):
             yield got
@@ -204,44 +204,79 @@ def _sweep(t: np.ndarray, small: np.ndarray, runs: np.ndarray, seeds: np.ndarray
             down.induce(back)
 
 
-class PrefixHash:
-    """Polynomial hashes of any substring, from running sums (modulo 2^64)."""
+_powers: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
-    BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
-    def __init__(self, t: np.ndarray, salt: int = 1):
+def _power_tables(n: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value of each character, powers of the base, powers of its inverse), kept between calls."""
+    have = _powers.get(salt)
+    if have is None or len(have[1]) < n:
         rng = np.random.default_rng(salt)
         table = rng.integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        base = self.BASE ^ np.uint64(salt << 8)
+        base = np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(salt << 8)
+        size = max(n, 1 << 16)
+        tables = []
+        with np.errstate(over="ignore"):
+            for b in (base, np.uint64(pow(int(base), -1, 1 << 64))):
+                power = np.full(size, b, dtype=np.uint64)
+                power[0] = 1
+                tables.append(np.cumprod(power))
+        have = _powers[salt] = (table, *tables)
+        if size > 1 << 23:
+            del _powers[salt]  # a very long text: not kept
+    return have
+
+
+class PrefixHash:
+    """Polynomial hashes of any substring, from running sums (modulo 2^64)."""
+
+    def __init__(self, t: np.ndarray, salt: int = 1):
         n = len(t)
+        table, power, self.back = _power_tables(n + 1, salt)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
-            inverse = np.uint64(pow(int(base), -1, 1 << 64))
-            power = np.full(n + 1, base, dtype=np.uint64)
-            power[0] = 1
-            self.sums = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(table[t] * np.cumprod(power)[:n], out=self.sums[1:])
-            power[1:] = inverse
-            self.back = np.cumprod(power)
+            np.cumsum(table[t] * power[:n], out=self.sums[1:])
 
     def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return (self.sums[hi] - self.sums[lo]) * self.back[lo]
 
+    def grams(self, k: int) -> np.ndarray:
+        """The hash of every run of ``k`` characters."""
+        with np.errstate(over="ignore"):
+            return (self.sums[k:] - self.sums[:-k]) * self.back[: len(self.sums) - k]
+
+
+def _words(t: np.ndarray, more: int) -> np.ndarray:
+    """The eight characters from each position on as one number; zeros after the end."""
+    padded = np.zeros(len(t) + more + 8, dtype=np.uint8)
+    padded[: len(t)] = t
+    out = np.zeros(len(t) + more, dtype=np.uint64)
+    for k in range(8):
+        out = (out << np.uint64(8)) | padded[k : k + len(out)]
+    return out
+
 
-def _common(h: PrefixHash, n: int, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix of suffixes a and b, up to ``cap``, by bisection over hashes."""
-    lo = np.zeros(len(a), dtype=np.int64)
-    hi = np.minimum(cap, n - np.maximum(a, b))
-    while (lo < hi).any():
-        mid = (lo + hi + 1) >> 1
-        same = h.of(a, a + mid) == h.of(b, b + mid)
-        lo = np.where(same, mid, lo)
-        hi = np.where(same, hi, mid - 1)
-    return lo
+def _common(h: PrefixHash, t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefix of suffixes a and b, up to ``cap``."""
+    most = np.minimum(cap, len(t) - np.maximum(a, b))
+    # Neighbours in order either agree to the end or part early.
+    same = h.of(a, a + most) == h.of(b, b + most)
+    out = np.where(same, most, 0)
+    words = _words(t, cap + 8)
+    rest, at = np.flatnonzero(~same), 0
+    while len(rest):
+        differ = words[a[rest] + at] ^ words[b[rest] + at]
+        equal = np.zeros(len(rest), dtype=np.int64)
+        for k in range(1, 9):
+            equal += differ < np.uint64(1 << (64 - 8 * k)) if k < 8 else differ == 0
+        out[rest] += equal
+        rest, at = rest[equal == 8], at + 8
+    return np.minimum(out, most)
 
 
 def suffix_order(t: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """Tuples (pos, lcp) of all suffixes of ``t`` (values 0 to 256), largest first.
+    """Tuples (pos, lcp) of all suffixes of ``t`` (uint8), largest first.
 
     ``lcp``: common prefix with the tuple before it (the next larger suffix), up to
     ``depth``; 0 where the first characters differ. Suffixes that agree beyond ``depth``
@@ -272,17 +307,17 @@ def suffix_order(t: np.ndarray, depth: int) -> Iterator[np.ndarray]:
         # Names of 1, 2, 4, ... LMS substrings, until all differ or reach the depth.
         rank, step = name[lms], 1
         m = len(lms)
-        while step < depth and rank.max() < m - 1:
+        while 2 * step < depth + 4 and rank.max() < m - 1:  # an LMS substring is at least two long
             pair = np.append(rank[step:] + 1, np.zeros(min(step, m), dtype=np.int64))[:m]
             key = rank * (m + 1) + pair
-            by = np.argsort(key, kind="stable")
+            by = np.argsort(key)
             sorted_key = key[by]
             rank = np.empty(m, dtype=np.int64)
             rank[by] = np.cumsum(np.append(False, sorted_key[1:] != sorted_key[:-1]))
             step *= 2
-        pos = lms[np.argsort(rank, kind="stable")]
+        pos = lms[np.argsort(rank)]
         seeds["pos"] = pos
-        seeds["lcp"][1:] = _common(hashes, n, pos[:-1], pos[1:], depth)
+        seeds["lcp"][1:] = _common(hashes, t, pos[:-1], pos[1:], depth)
     yield from _sweep(t, small, runs, seeds, depth)
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ FLUSH = 1 << 19
 #: Places for the occurrences of one context beyond the first two of a flush.
 SPREAD = 32
 #: Context bytes of one shard; a single anchor's contexts stay together however many.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 _NO_ID = -(1 << 63)
 _RECORD = np.dtype([("h", "<i8"), ("cls", "<i8"), ("doc", "<i8"), ("crc", "<i8"), ("a", "<i8"), ("w", "<i4")])
@@ -46,12 +47,10 @@ def block_anchors(data: np.ndarray, ends: np.ndarray, match: int, k: int):
     n, span = len(data), match - k + 1
     if n < match:
         return none, none, none, none, none
-    one, two = PrefixHash(data, 1), PrefixHash(data, 2)
-    at = np.arange(n - k + 1)
-    grams = mix(one.of(at, at + k))
+    grams = mix(PrefixHash(data).grams(k))
     bits = np.uint64(int(n).bit_length())
     low = (np.uint64(1) << bits) - np.uint64(1)
-    least, width = (grams & ~low) | at.astype(np.uint64), 1
+    least, width = (grams & ~low) | np.arange(len(grams), dtype=np.uint64), 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -59,7 +58,7 @@ def block_anchors(data: np.ndarray, ends: np.ndarray, match: int, k: int):
         least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
     anchor = (least & low).astype(np.int64)
     start = np.arange(len(anchor))
-    text = np.searchsorted(ends, start, side="right")
+    text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[: len(start)]
     inside = start + match <= ends[text]
     start, anchor, text = start[inside], anchor[inside], text[inside]
     if not len(start):
@@ -68,10 +67,10 @@ def block_anchors(data: np.ndarray, ends: np.ndarray, match: int, k: int):
     last = np.append(new[1:], len(start)) - 1
     a, b, anchor, text = start[new], start[last], anchor[new], text[new]
     begin = np.concatenate([[0], ends])[text]
-    shape = ((b - a).astype(np.uint64) << np.uint64(32)) + (anchor - a).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        cls = mix(one.of(a, b + match) + mix(two.of(a, b + match) + mix(shape)))
-    return text, a - begin, b - a, grams[anchor].view(np.int64), cls.view(np.int64)
+    raw = data.tobytes()
+    shape = (anchor - a).tolist()
+    cls = [xxhash.xxh3_64_intdigest(raw[i:j], s) for i, j, s in zip(a.tolist(), (b + match).tolist(), shape, strict=True)]
+    return text, a - begin, b - a, grams[anchor].view(np.int64), np.array(cls, dtype=np.uint64).view(np.int64)
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +162,7 @@ def sort_contexts(contexts: DataFrame, match: int) -> DataFrame:
         rows, size, at = [], 0, None
 
         def shard():
-            t = np.zeros(size + len(rows), dtype=np.uint16)
+            t = np.zeros(size + len(rows), dtype=np.uint8)  # UTF-8 leaves 0 for the ends: bytes + 1 still fit
             wanted = np.zeros(len(t), dtype=bool)
             lo, place = 0, []
             for _, _, w, text in rows:
