@@ -10,9 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are taken in blocks of about this many bytes, however long a batch is.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 #: A table that has grown beyond this many chunks starts anew: memory stays bounded.
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 500_000
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -55,9 +55,9 @@ class Growing:
 
 
 class ChunkTable:
-    """Token ids of every chunk seen so far; ``encode`` turns new chunks into lists of ids."""
+    """Token ids of every chunk seen so far; ``encode`` gives the ids of new chunks and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self.reset()
 
@@ -71,15 +71,13 @@ class ChunkTable:
             self.reset()
         new = [c for c in chunks if c not in self.rows]
         if new:
-            found = self.encode(new)
-            n = np.fromiter(map(len, found), np.int64, len(found))
+            ids, n = self.encode(new)
             at = len(self.rows)
             self.starts.extend(self.ids.n + np.cumsum(n) - n)
             self.lengths.extend(n)
-            self.ids.extend(np.fromiter((i for ids in found for i in ids), np.int32, int(n.sum())))
+            self.ids.extend(ids)
             self.rows.update(zip(new, range(at, at + len(new)), strict=True))
-        rows = self.rows
-        return np.fromiter((rows[c] for c in chunks), np.int64, len(chunks))
+        return np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
 
     def gather(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Lists of chunks -> (ids of all, number of ids of each list)."""

@@ -75,35 +75,45 @@ def ddl(df: DataFrame, *more: str) -> str:
     return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema], *more])
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def zipped(df: DataFrame, column: str = "text") -> DataFrame:
     """``df`` with a string column as zstandard frames, so that a shuffle moves and keeps less."""
     ship_package(df.sparkSession)
     rest = df.drop(column)
+    z = free_name(df.columns, "_z")
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            z = [pack.compress(x.as_buffer()) if x.is_valid else None for x in b.column("_z").cast(pa.binary())]
-            yield b.set_column(b.schema.get_field_index("_z"), "_z", pa.array(z, pa.binary()))
+            packed = [pack.compress(x.as_buffer()) if x.is_valid else None for x in b.column(z).cast(pa.binary())]
+            yield b.set_column(b.schema.get_field_index(z), z, pa.array(packed, pa.binary()))
 
-    out = df.select(*rest.columns, F.col(column).alias("_z")).mapInArrow(run, ddl(rest, "`_z` binary"))
-    return out.select(*[F.col("_z").alias(column) if c == column else F.col(c) for c in df.columns])
+    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(run, ddl(rest, f"`{z}` binary"))
+    return out.select(*[F.col(z).alias(column) if c == column else F.col(c) for c in df.columns])
 
 
 def unzipped(df: DataFrame, column: str = "text") -> DataFrame:
     """The strings of a column that ``zipped`` made."""
     rest = df.drop(column)
+    z = free_name(df.columns, "_z")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                t = pa.array([unpack.decompress(x.as_buffer()) if x.is_valid else None for x in part.column("_z")], pa.binary())
-                yield part.set_column(part.schema.get_field_index("_z"), "_z", t.cast(pa.string()))
+                t = pa.array([unpack.decompress(x.as_buffer()) if x.is_valid else None for x in part.column(z)], pa.binary())
+                yield part.set_column(part.schema.get_field_index(z), z, t.cast(pa.string()))
 
-    out = df.select(*rest.columns, F.col(column).alias("_z")).mapInArrow(run, ddl(rest, "`_z` string"))
-    return out.select(*[F.col("_z").alias(column) if c == column else F.col(c) for c in df.columns])
+    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(run, ddl(rest, f"`{z}` string"))
+    return out.select(*[F.col(z).alias(column) if c == column else F.col(c) for c in df.columns])
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import ChunkTable, blocks, ragged
-from candleframe.llm.common import ddl, ship_package
+from candleframe.llm.common import ddl, free_name, ship_package
 
 SPACE = "▁"
 #: Marks the cuts between chunks; a text that holds it is segmented whole.
@@ -135,7 +136,7 @@ class PieceModel:
         inside = re.compile(f"[^{SPACE}]{SPACE}|.\n|\n.", re.S)
         self.cuttable = not any(inside.search(p) for p, s in zip(self.pieces, self.special, strict=True) if not s)
         self.identity = not self.map.units and not self.trim_spaces
-        self.chunks = ChunkTable(lambda texts: self.segmenter.encode(texts, num_threads=1))
+        self.chunks = ChunkTable(self._new_chunks)
 
     _loaded: dict[str, PieceModel] = {}
 
@@ -147,6 +148,11 @@ class PieceModel:
                 cls._loaded[path] = cls(f.read())
         return cls._loaded[path]
 
+    def _new_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.segmenter.encode(chunks, num_threads=1)
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())), n
+
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text and, for each of its bytes and its end, the original byte's place."""
         raw, mark = text.encode(), SPACE.encode()
@@ -278,8 +284,10 @@ class PieceModel:
                 if odd[i]:
                     raise ValueError
                 text = data[lo:hi].decode()
+                if self.trim_spaces and text[:1] == " ":
+                    raise ValueError
                 text = text[1:] if self.dummy_prefix and text.startswith(" ") else text
-            except ValueError:  # unknown or control ids, or bytes that are no character
+            except ValueError:  # unknown or control ids, bytes that are no character, or spaces to trim
                 text = self.whole.decode(ids[done : done + k].tolist())
             out.append(text)
             lo, done = hi, done + k
@@ -301,16 +309,17 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     ship_package(docs.sparkSession)
     rest = docs.drop(text, "ids", "begins", "ends")
     names = rest.columns
+    own = free_name(names, "_text")
 
     def run(batches):
         pieces = PieceModel.load(model)
         for batch in batches:
-            for block in blocks(batch, "_text"):
-                ids, begins, ends, n = pieces.encode(block.column("_text"))
+            for block in blocks(batch, own):
+                ids, begins, ends, n = pieces.encode(block.column(own))
                 cols = [block.column(c) for c in names] + [_lists(v, n) for v in (ids, begins, ends)]
                 yield pa.RecordBatch.from_arrays(cols, [*names, "ids", "begins", "ends"])
 
-    ready = docs.select(*names, F.col(text).alias("_text"))
+    ready = docs.select(*names, F.col(text).alias(own))
     return ready.mapInArrow(run, ddl(rest, "ids array<int>", "begins array<int>", "ends array<int>"))
 
 
