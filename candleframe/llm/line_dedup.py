@@ -194,12 +194,14 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         salted.join(repeated.select("*", copies_of), ["h", "h2", "replica"]).where(F.col("id") != F.col("holder"))
         .groupBy("id").agg(F.collect_set("h").alias("_drop")).withColumnRenamed("id", "_id")
     )
-    others = [c for c in base.columns if c != text]
-    ready = base.select(*others, ident.alias("_id"), full.alias("_text")).join(drops, "_id", "left").select(
+    others = [f"_o_{c}" for c in base.columns if c != text]
+    safe = base.select(*[F.col(c).alias(f"_o_{c}") if c != text else F.col(c) for c in base.columns])
+    ident = F.coalesce(F.col(f"_o_{doc_id}").cast("long"), F.lit(_NO_ID))
+    ready = safe.select(*others, ident.alias("_id"), full.alias("_text")).join(drops, "_id", "left").select(
         *others, "_text", "_drop", F.transform(_keys(F.col("_text")), lambda k: _hash(k, F.lit(0).cast("long"))).alias("_lines"),
     )
-    cut = ready.mapInArrow(_cut_lines, ddl(base.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))
+    cut = ready.mapInArrow(_cut_lines, ddl(safe.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))
     return cut.select(
-        *[F.col("_kept").alias(text) if c == text else F.col(c) for c in base.columns],
+        *[F.col("_kept").alias(text) if c == text else F.col(f"_o_{c}").alias(c) for c in base.columns],
         F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
     )

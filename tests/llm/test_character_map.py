@@ -1,0 +1,76 @@
+"""Normalisation by a compiled character map, against the library with the same map."""
+
+from __future__ import annotations
+
+import struct
+
+import pyarrow as pa
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from candleframe.llm.sentencepiece_codec import PieceModel, _fields, _length_field
+
+RULES = {"A": "a", "B": "bb", "ab": "X", "abc": "yz", "é": "e", "１": "1", "ﬁ": "fi", "\t": " ", "　": " ", "x y": "xy", "～": ""}
+
+
+def compile_map(rules: dict[str, str]) -> bytes:
+    """A double-array trie over the rules' bytes, in the format that models carry."""
+    texts, at = b"", {}
+    for k, v in rules.items():
+        at[k.encode()] = len(texts)
+        texts += v.encode() + b"\0"
+    units = {0: 0}
+    used = {0}
+    trie: dict = {}
+    for key, value in at.items():
+        node = trie
+        for c in key:
+            node = node.setdefault(c, {})
+        node[None] = value
+
+    def place(node, index):
+        labels = [0 if c is None else c for c in node]
+        base = 1
+        while any((index ^ base ^ c) in used for c in labels) or base >= 1 << 20:
+            base += 1
+        used.update(index ^ base ^ c for c in labels)
+        units[index] = units.get(index, 0) | base << 10 | (256 if None in node else 0)
+        for c, child in node.items():
+            to = index ^ base ^ (0 if c is None else c)
+            if c is None:
+                units[to] = child | 0x80000000
+            else:
+                units[to] = c
+                place(child, to)
+
+    place(trie, 0)
+    size = (max(units) | 255) + 1
+    blob = b"".join(struct.pack("<I", units.get(i, 0)) for i in range(size))
+    return struct.pack("<I", len(blob)) + blob + texts
+
+
+def model(trim: bool, dummy: bool) -> bytes:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        parts = [raw for n, _, raw in _fields(f.read()) if n != 3]
+    flags = bytes([0x18, dummy, 0x20, trim, 0x28, 1])
+    return b"".join(parts) + _length_field(3, _length_field(1, b"own") + _length_field(2, compile_map(RULES)) + flags)
+
+
+TEXTS = ["", "A", "abcABC abab", "  two  spaces  ", "café １２ ﬁne", "x y z x", "\ttab　wide", "～", " ～ ", "a～b", "日本 語\n€", "ab" * 50,
+         "▁ mark", "end ", "abx yab c"]
+
+
+@pytest.mark.parametrize("trim", [False, True])
+@pytest.mark.parametrize("dummy", [False, True])
+def test_equal_to_the_library(trim, dummy):
+    proto = model(trim, dummy)
+    lib, own = sentencepiece.SentencePieceProcessor(model_proto=proto), PieceModel(proto)
+    ids, begins, ends, n = own.encode(pa.array(TEXTS))
+    at = 0
+    for t, k in zip(TEXTS, n.tolist(), strict=True):
+        want = lib.encode(t, return_type="proto").pieces
+        assert ids[at : at + k].tolist() == [p.id for p in want], t
+        assert list(zip(begins[at : at + k].tolist(), ends[at : at + k].tolist(), strict=True)) == [(p.begin, p.end) for p in want], t
+        at += k
+    assert own.decode(ids, n).to_pylist() == [lib.decode(lib.encode(t)) for t in TEXTS]

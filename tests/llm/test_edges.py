@@ -1,0 +1,365 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from test_llm_queries import components, shingles
+
+from candleframe.llm import common, jaccard_join, packing, suffix_dedup, token_files
+from candleframe.llm.components import connected_components
+from candleframe.llm.line_dedup import line_dedup
+from candleframe.llm.quality import quality_rules
+from candleframe.llm.sentencepiece_codec import decode, encode
+from candleframe.llm.sharding import grant, quotas, shard_documents
+from candleframe.llm.topk import top_k
+from candleframe.llm.url_filter import url_filter
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+DDL = "doc_id long, text string, source string, lang string, n_chars long"
+
+LONG = " ".join(f"w{i * 7919 % 5003}" for i in range(30_000))
+P = "a passage of more than two hundred bytes that several documents share, word for word, " * 3
+ROWS = [
+    (1, None, None, "en", None),
+    (2, "", "a", "en", 0),
+    (3, "   \n\t ", "a", "en", 5),
+    (4, LONG, "a", None, len(LONG)),
+    (5, "one two three", "b", "en", 13),
+    (5, "one two three", "b", "en", 13),
+    (6, P + "tail one", "b", "en", 1),
+    (7, "head two " + P, "b", "en", 1),
+    (None, P, None, "en", 1),
+    (None, None, "c", "en", None),
+    (8, "ümläut — é\n" + "x" * 300, "c", "fr", 1),
+    (9, "A line that three documents share\nown line of nine", "c", "en", 1),
+    (10, "a line that three documents SHARE  \nown line of ten", "c", "en", 1),
+    (11, "\t a line that three documents share\nshort", "c", "en", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return common.stage(spark.createDataFrame(ROWS, DDL), "edge")
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DDL)
+
+
+def test_quality(spark, docs, none):
+    clash = docs.withColumns({"n_words": F.lit("x"), "kept": F.lit(1), "_host": F.lit(2)})
+    got = quality_rules(clash).collect()
+    assert len(got) == len(ROWS)
+    by = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert by[1].n_words == by[2].n_words == by[3].n_words == 0 and by[1].base_failed and not by[1].kept
+    assert by[4].n_words == 30_000 and by[4].n_repeat_words > 0
+    assert quality_rules(none).collect() == []
+
+
+def test_host_verdict_rejects_a_bad_host(spark):
+    good = " ".join(f"word{i}" for i in range(50))
+    rows = [(i, good if i % 10 else "bad", f"h{i % 7}", "en", 1) for i in range(700)]
+    rows += [(1000 + i, "bad" if i % 20 else good, "worst", "en", 1) for i in range(200)]
+    got = quality_rules(spark.createDataFrame(rows, DDL)).collect()
+    kept = defaultdict(list)
+    for r in got:
+        if not r.base_failed:
+            kept[r.source].append(r.kept)
+    assert not any(kept.pop("worst")) and all(all(v) for v in kept.values())
+
+
+def test_line_dedup(spark, docs, none):
+    got = line_dedup(docs.withColumns({"n_lines": F.lit("x"), "id": F.lit(0), "h": F.lit(1), "_text": F.lit(2), "_id": F.lit(3)}))
+    assert got.columns[-2:] == ["n_lines", "n_dropped"] and got.count() == len(ROWS)
+    by = {r.doc_id: r for r in got.collect()}
+    assert by[9].text == "own line of nine" and by[10].text == "own line of ten"
+    assert by[11].text == "\t a line that three documents share\nshort" and by[11].n_dropped == 0
+    assert by[1].text == "" and by[1].n_lines == 1
+    assert line_dedup(none).collect() == []
+
+
+def test_jaccard(spark, docs, none):
+    got = jaccard_join.jaccard_components(docs.withColumn("root", F.lit(1)))
+    rows = [(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()]
+    assert len(rows) == len(ROWS)
+    assert all(c == i for i, n, c in rows if n == 0 and i is not None)
+    assert rows.count((5, 1, 5)) == 2
+    assert jaccard_join.jaccard_components(none).collect() == []
+
+
+def test_jaccard_chains_and_sizes(spark):
+    """Chains of edits, sets of every size and an order that no pivot joins at once."""
+    rng = np.random.default_rng(3)
+    rows, i = [], 0
+    for size in [4, 5, 7, 9, 12, 20, 33, 60, 150]:
+        for _ in range(6):
+            words = [f"v{rng.integers(10**6)}" for _ in range(size)]
+            for _ in range(6):
+                rows.append((i, " ".join(words)))
+                i += 1
+                words = list(words)
+                words[rng.integers(size)] = f"e{rng.integers(10**6)}"
+                if rng.random() < 0.3:
+                    words.append(f"z{rng.integers(10**6)}")
+    order = rng.permutation(len(rows))
+    rows = [(int(order[k]), t) for k, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for words, t in ((4, (85, 100)), (5, (80, 100)), (2, (70, 100))):
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, words, t).collect()}
+        assert got == components(rows, words, *t)
+
+
+def test_signatures_lose_no_link():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(2, 400))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = a.copy()
+        drop = int(rng.integers(0, max(1, n // 12) + 1))
+        b = np.unique(np.concatenate([b[drop:], rng.integers(0, 2**63, int(rng.integers(0, n // 12 + 1)), dtype=np.uint64)]))
+        inter = len(np.intersect1d(a, b))
+        if len(b) and not np.array_equal(a, b) and inter * 100 >= 85 * (len(a) + len(b) - inter):
+            sig, doc = jaccard_join.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), (85, 100))
+            assert set(sig[doc == 0]) & set(sig[doc == 1])
+
+
+def test_components(spark):
+    rng = np.random.default_rng(1)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2))] + [(1000 + i, 1001 + i) for i in range(40)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.id: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for a, b in edges for x in (a, b) if a != b}
+
+
+def brute_spans(rows, match):
+    seen = Counter()
+    for _, t in rows:
+        seen.update(t[i : i + match] for i in range(len(t) - match + 1))
+    out = []
+    for i, t in rows:
+        gone = [False] * len(t)
+        for s in range(len(t) - match + 1):
+            if seen[t[s : s + match]] > 1:
+                gone[s : s + match] = [True] * match
+        kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+def cut(df, **kw):
+    got = suffix_dedup.suffix_dedup(df, **kw).withColumn("h", F.sha2("kept", 256))
+    return Counter(tuple(r) for r in got.select("doc_id", "n_bytes", "n_removed", "n_spans", "h").collect())
+
+
+def test_suffix_dedup(spark, docs, none):
+    want = brute_spans([(r[0], (r[1] or "").encode()) for r in ROWS], 200)
+    assert cut(docs.withColumn("kept", F.lit(1)).withColumn("doc", F.lit(2))) == want
+    assert cut(none) == Counter()
+
+
+def test_suffix_dedup_on_periodic_and_edited_texts(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    alphabet = list("ab ")
+    base = ["".join(rng.choice(alphabet, 60)) for _ in range(6)]
+    rows = [(i, "".join(base[k] for k in rng.integers(0, 6, 5))) for i in range(40)]
+    rows += [(50, "ab" * 100), (51, "a" * 90), (52, "ab" * 7), (53, "")]
+    for i in range(54, 70):
+        t = list(rows[i - 54][1])
+        for _ in range(3):
+            t[rng.integers(len(t))] = "c"
+        rows.append((i, "".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for match, k in ((20, 5), (33, 8), (12, 12)):
+        assert cut(df, match=match, k=k) == brute_spans([(i, t.encode()) for i, t in rows], match)
+
+
+def test_sentencepiece(spark, docs, none):
+    got = decode(encode(docs.withColumns({"ids": F.lit(1), "_text": F.lit("x")}), PIECES), PIECES)
+    rows = got.collect()
+    assert len(rows) == len(ROWS)
+    assert Counter(r.decoded for r in rows) == Counter(r[1] or "" for r in ROWS)
+    assert all(r.ids == [] for r in rows if not r.decoded)
+    assert encode(none, PIECES).collect() == []
+    nothing = spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>")
+    assert [r.decoded for r in decode(nothing, PIECES).orderBy("k").collect()] == ["", ""]
+
+
+def test_token_files(spark, docs, none, tmp_path):
+    token_files.write_token_files(docs.repartition(3), f"{tmp_path}/t", WORDS)
+    got = token_files.read_token_files(spark, f"{tmp_path}/t").collect()
+    assert len(got) == len(ROWS)
+    got.sort(key=lambda r: r.start)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got[:-1]]).tolist()
+    assert all(r.ids[-1] == 1 and len(r.ids) == r.n_tokens for r in got)
+    some = token_files.read_token_files(spark, f"{tmp_path}/t", doc_ids=[5, 8, 99]).collect()
+    assert sorted(r.doc_id for r in some) == [5, 5, 8]
+    assert {(r.doc_id, r.start) for r in some} <= {(r.doc_id, r.start) for r in got}
+    token_files.write_token_files(none, f"{tmp_path}/n", WORDS)
+    assert token_files.read_token_files(spark, f"{tmp_path}/n").collect() == []
+
+
+def test_token_file_is_plain_zstandard(spark, docs, tmp_path):
+    import glob
+
+    import zstandard
+
+    token_files.write_token_files(docs.coalesce(1), f"{tmp_path}/t", WORDS)
+    for name in glob.glob(f"{tmp_path}/t/part-*"):
+        with open(name, "rb") as f:
+            data = f.read()
+        table = token_files.seek_table(memoryview(data))
+        with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as r:
+            assert len(r.read()) == 4 * int(table["n_ids"].sum())
+        broken = bytearray(data)
+        broken[-3] ^= 1
+        with pytest.raises(ValueError):
+            token_files.seek_table(memoryview(bytes(broken)))
+
+
+def test_packing(spark, docs, none):
+    got = packing.best_fit_pack(docs.withColumn("length", F.lit("x")), WORDS, capacity=64).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 64
+    assert sum(r.piece == 0 for r in got) == len(ROWS)
+    assert len(by) <= sum(r.length for r in got) / 64 * 1.05 + 1
+    assert packing.best_fit_pack(none, WORDS).collect() == []
+
+
+def test_packing_plan_is_near_the_bound():
+    rng = np.random.default_rng(0)
+    for lengths in (rng.lognormal(6.5, 1.1, 20_000), rng.integers(1, 900, 300), np.full(1000, 1365), np.full(7, 4096)):
+        lengths = np.clip(lengths.astype(np.int64), 1, 4096)
+        counts = np.bincount(lengths, minlength=4097)
+        plan = packing.make_plan(counts, rounds=60)
+        slot = np.concatenate([np.arange(c) for c in counts[counts > 0]])
+        length = np.repeat(np.flatnonzero(counts), counts[counts > 0])
+        seq, off = plan.place(length, slot)
+        assert seq.max() + 1 == plan.sequences <= 1.01 * lengths.sum() / 4096 + 2
+        order = np.lexsort((off, seq))
+        s, o, ln = seq[order], off[order], length[order]
+        new = np.append(True, s[1:] != s[:-1])
+        assert (o[new] == 0).all() and (o[1:][~new[1:]] == (o + ln)[:-1][~new[1:]]).all()
+        assert (o + ln).max() <= 4096
+
+
+def test_sharding(spark, docs, none):
+    got = shard_documents(docs.withColumns({"shard": F.lit(1), "uid": F.lit(2)}), shards=4).collect()
+    assert len(got) == len(ROWS)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    counts = [len(by[s]) for s in range(4)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    fives = {r.shard for r in got if r.doc_id == 5}
+    assert len(fives) == 1
+    assert shard_documents(none).collect() == []
+
+
+def test_sharding_groups_larger_than_a_shard(spark):
+    rows = [(i, "copy") for i in range(130)] + [(200 + i, f"g{i % 20}") for i in range(100)] + [(400 + i, f"own {i}") for i in range(70)]
+    got = shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=6).collect()
+    text = dict(rows)
+    by, where = defaultdict(list), defaultdict(Counter)
+    for r in got:
+        by[r.shard].append(r.slot)
+        where[text[r.doc_id]][r.shard] += 1
+    assert sorted(map(len, by.values())) == [50] * 6 and all(sorted(v) == list(range(50)) for v in by.values())
+    assert len(where["copy"]) <= 4
+    assert sum(len(where[f"g{k}"]) - 1 for k in range(20)) <= 4
+
+
+def test_grants_respect_quotas():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        k = 5
+        quota = quotas(int(rng.integers(20, 60)), k)
+        held = [int(rng.integers(0, q + 1)) for q in quota]
+        left = list(held)
+        requests = {}
+        for i in range(k):
+            for j in range(k):
+                n = int(rng.integers(0, left[i] + 1)) if i != j else 0
+                if n:
+                    requests[(i, j, int(rng.integers(0, 3)))] = n
+                    left[i] -= n
+        after = list(held)
+        given = grant(requests, after, quota)
+        assert all(0 <= given[r] <= requests[r] for r in requests)
+        assert all(0 <= a <= q for a, q in zip(after, quota, strict=True))
+        moved = [h + sum(g for r, g in given.items() if r[1] == s) - sum(g for r, g in given.items() if r[0] == s) for s, h in enumerate(held)]
+        assert moved == after
+
+
+def test_top_k(spark):
+    rows = [(0, [0.5, -0.25]), (20, None), (40, [0.5, None]), (60, [float("nan"), 1.0]), (80, [float("inf"), 0.0]),
+            (100, []), (1, [0.5, -0.25]), (2, [0.5, -0.25]), (3, [0.1]), (4, [0.0, 0.0, 9.0]), (None, [1.0, 1.0]), (0, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("c", F.lit(2))
+    got = top_k(df, F.col("vec_id") % 20 == 0, k=3).collect()
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        by[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(by) == {0, 100}
+    assert [x[1:] for x in by[100]] == [(0, 0), (0, 0), (1, 0)]
+    assert Counter(by[0]) == Counter([(1, 1, 1280), (2, 2, 1280), (3, 3, 192), (1, 1, 1024), (2, 2, 1024), (3, 3, 192)])
+    assert top_k(df.where("vec_id = 1"), F.col("vec_id") % 20 == 0).collect() == []
+    assert top_k(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_url_filter(spark):
+    urls = [None, "", "no scheme", "HTTP://A.Example.ORG/es/x?y", "http://example.org/en/123", "http://example.org/en/2",
+            "https://x.com/de/1#f", "https://x.com/fr/1", "https://net", "http://q.net/1", "http://q.net/1", "://h", "a://b://c/d"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1)).withColumn("_hit", F.lit(2))
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    by = {r.page_id: r for r in url_filter(pages, labels).collect()}
+    assert len(by) == len(urls)
+    assert (by[3].host, by[3].path, by[3].rule, by[3].verdict) == ("a.example.org", "/es/x", "example.org/es/", "block")
+    assert by[4].rule == "example.org/en/1" and by[4].verdict == "block"
+    assert by[5].rule == "org/" and by[6].verdict == "block" and by[7].verdict == "allow"
+    assert by[0].host == by[1].host == by[2].host == "" and by[0].rule is None and by[0].verdict == "allow"
+    assert (by[12].host, by[12].path) == ("b:", "//c/d")
+    assert url_filter(pages.limit(0), labels).collect() == []
+    assert url_filter(pages, labels.limit(0)).count() == len(urls)
+
+
+def test_url_reputation_blocks_a_bad_host(spark):
+    pages = [(i, f"http://good{i % 9}.net/{i}") for i in range(300)] + [(1000 + i, f"http://vile.net/{1000 + i}") for i in range(60)]
+    labels = [(i, 1, 0) for i in range(300)] + [(1000 + i, 0, 1) for i in range(40)]
+    got = url_filter(spark.createDataFrame(pages, "page_id long, url string"),
+                     spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert {r.host for r in got if r.verdict == "block"} == {"vile.net"}
+
+
+def test_word_sets_are_python_sets():
+    import pyarrow as pa
+
+    for t in ("a b c d e", "A b", "", "  x ", "a b c d a b c d"):
+        _, n = jaccard_join.shingle_sets(pa.array([t]), 4)
+        assert n.tolist() == [len(shingles(t, 4))]
