@@ -10,13 +10,14 @@ from candleframe.operators.classify import classify_by_base, classify_by_quote
 from candleframe.operators.correlation import (
     corr_across_bases,
     corr_across_quotes,
-    hour_correlation_from_sums,
+    hour_correlation_from_moments,
+    hour_moments,
     hour_return_correlation,
-    hour_sums,
     pairwise_correlation,
 )
 from candleframe.operators.profile import (
     closing_price_series,
+    closing_price_statistics,
     closing_price_summary,
     distinct_years_bases,
     null_profile,
@@ -38,12 +39,12 @@ from candleframe.operators.series import (
 )
 from candleframe.operators.setops import union_pairs
 from candleframe.operators.universe import (
+    bases_with_quotes,
     common_quotes,
     complete_bases,
     distinct_pairs,
     existing_pairs,
     file_size_totals,
-    first_bases,
     quote_count_histogram,
     quote_count_per_base,
     require_bases,
@@ -54,10 +55,12 @@ from candleframe.operators.volatility import annual_volatility, rolling_volatili
 __all__ = [
     "annual_volatility",
     "bases_per_quote_year",
+    "bases_with_quotes",
     "candle_returns",
     "classify_by_base",
     "classify_by_quote",
     "closing_price_series",
+    "closing_price_statistics",
     "closing_price_summary",
     "common_quotes",
     "complete_bases",
@@ -70,10 +73,9 @@ __all__ = [
     "distinct_years_bases",
     "existing_pairs",
     "file_size_totals",
-    "first_bases",
-    "hour_correlation_from_sums",
+    "hour_correlation_from_moments",
+    "hour_moments",
     "hour_return_correlation",
-    "hour_sums",
     "hourly_volume",
     "hourly_volume_matrix",
     "lag_in_pair",

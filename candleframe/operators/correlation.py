@@ -124,48 +124,44 @@ def corr_across_bases(
     )
 
 
-def hour_sums(returns: DataFrame) -> DataFrame:
-    """(pair, hour_of_day, n_h, sum_y_h, sum_y2_h) over the non-NULL returns: one aggregate."""
+def hour_moments(returns: DataFrame) -> DataFrame:
+    """(pair, hour_of_day, n_h, mean_h, var_h) of the non-NULL returns: one aggregate."""
     return (
         returns.where(F.col("return").isNotNull())
         .select(pair_label().alias("pair"), hour_of_day(TIME).alias("hour_of_day"), "return")
         .groupBy("pair", "hour_of_day")
         .agg(
             F.count(F.lit(1)).alias("n_h"),
-            F.sum("return").alias("sum_y_h"),
-            F.sum(F.col("return") * F.col("return")).alias("sum_y2_h"),
+            F.avg("return").alias("mean_h"),
+            F.var_pop("return").alias("var_h"),
         )
     )
 
 
-def hour_correlation_from_sums(per_hour: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
-    """corr(1[hour = h], return) per (pair, hour) from the ``hour_sums`` table.
+def hour_correlation_from_moments(per_hour: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
+    """corr(1[hour = h], return) per (pair, hour) from the ``hour_moments`` table.
 
-    The per-pair totals are window sums over that table (<= 24 rows per pair).
+    An indicator's correlation is the distance of its group's mean from the overall mean in
+    standard deviations, times the square root of its odds. The pair's mean and variance are
+    pooled from its hours (<= 24 rows per pair) without subtracting squares.
     """
     w = Window.partitionBy("pair")
-    n = F.sum("n_h").over(w).cast("double")
-    p = F.col("n_h") / n
-    ey = F.sum("sum_y_h").over(w) / n
-    ey2 = F.sum("sum_y2_h").over(w) / n
-    exy = F.col("sum_y_h") / n
-    cov = exy - p * ey
-    var_x = p - p * p
-    var_y = ey2 - ey * ey
-    s = per_hour.select(
-        "pair",
-        "hour_of_day",
-        F.when((var_x > 0) & (var_y > 0), cov / F.sqrt(var_x * var_y)).alias("corr"),
+    pooled = per_hour.withColumn("_n", F.sum("n_h").over(w)).withColumn(
+        "_mean", F.sum(F.col("n_h") * F.col("mean_h")).over(w) / F.col("_n")
+    )
+    gap = F.col("mean_h") - F.col("_mean")
+    pooled = pooled.withColumn("_var", F.sum(F.col("n_h") * (F.col("var_h") + gap * gap)).over(w) / F.col("_n"))
+    odds = F.try_divide(F.col("n_h"), F.col("_n") - F.col("n_h"))
+    s = pooled.select(
+        "pair", "hour_of_day", F.when(F.col("_var") > 0, gap * F.sqrt(odds) / F.sqrt("_var")).alias("corr")
     )
     return s.select("pair", "hour_of_day", "corr", clip("corr", -clip_at, clip_at).alias("corr_clipped"))
 
 
 def hour_return_correlation(returns: DataFrame, *, clip_at: float = HOUR_CORR_CLIP) -> DataFrame:
-    """corr(1[hour = h], return) per pair and hour, from sums (no row repeated per hour).
+    """corr(1[hour = h], return) per pair and hour, from one aggregate (no row repeated per hour).
 
-    With n, sum(y), sum(y^2) per pair and n_h, sum_h(y) per (pair, hour):
-    p = n_h/n, cov = sum_h(y)/n - p E[y], var_x = p - p^2, var_y = E[y^2] - E[y]^2;
-    corr = cov / sqrt(var_x var_y), NULL if a variance <= 0. Returns that are NULL (zero
-    previous close) are left out of every sum and count.
+    NULL where the pair has one hour only or constant returns. Returns that are NULL (zero
+    previous close) are left out.
     """
-    return hour_correlation_from_sums(hour_sums(returns), clip_at=clip_at)
+    return hour_correlation_from_moments(hour_moments(returns), clip_at=clip_at)

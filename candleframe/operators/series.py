@@ -3,10 +3,10 @@
 Ordering is ``open_time`` then ``seq`` when the frame has it, so ties are deterministic.
 
 Scale note: a pair's candle history can be a large share of all rows (one hot pair), and so
-can one hour of it (one hot bucket), so the per-candle lag is never a window over a whole
-pair or a whole hot bucket. It runs inside (pair, hour[, time slice]) partitions, and the
-first candle of each takes the last close of the nearest earlier non-empty one from a small
-per-slice table. Daily series (<= 366 rows per pair-year) use plain per-pair windows.
+can one hour or second of it (a burst), so the per-candle lag is never a window over a whole
+pair. It runs inside (pair, slice) partitions cut by the pair's own density, and the first
+candle of each takes the last close of the slice before from a small per-slice table.
+Daily series (<= 366 rows per pair-year) use plain per-pair windows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candleframe.functions.returns import log_return, simple_return
 from candleframe.functions.time import period_start, trade_date, year_of
 from candleframe.schema import PAIR_KEYS, TIME, order_columns
-from candleframe.session import checkpointed
+from candleframe.session import checked_broadcast, checkpointed
 
 
 def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
@@ -34,12 +34,14 @@ def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
 def last_in_period_unique(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
     """Same rows as ``last_in_period`` when ``open_time`` is unique within each pair.
 
-    Every other column is ``max_by(column, open_time)``: a hash aggregate with map-side
-    partials and no sort at all. Only valid under that uniqueness (one candle per period and
-    pair, as in exchange kline files); with ties the columns could come from different rows,
-    so frames carrying a ``seq`` tie-breaker must use ``last_in_period``.
+    Every other column is ``max_by(column, open_time)``. ``classification`` depends on the
+    pair, so it is a grouping key; with the fixed-width columns of a candle left, the plan is
+    a hash aggregate with map-side partials and no sort (any other string column would
+    bring the sort back). The premise is not checked here: with ties the columns could come
+    from different rows. Check it once with ``times_are_unique``; frames with a ``seq``
+    tie-breaker use ``last_in_period``.
     """
-    group = [*keys, period]
+    group = [*keys, period, *[c for c in ("classification",) if c in df.columns]]
     others = [c for c in df.columns if c not in group and c != TIME]
     return df.groupBy(*group).agg(
         F.max(TIME).alias(TIME), *[F.max_by(c, TIME).alias(c) for c in others]
@@ -56,19 +58,37 @@ def times_are_unique(df: DataFrame, keys=PAIR_KEYS) -> bool:
     return dup.isEmpty()
 
 
-def daily_last(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
+def daily_last(df: DataFrame, *, unique_times: bool = False, volume_mode: str = "last") -> DataFrame:
     """The last candle of each calendar day per pair, with a ``date`` column.
 
-    ``unique_times=True`` promises one candle per (pair, open_time) and takes the sort-free
-    aggregate path; the default window path is exact with ties (broken by ``seq``).
+    ``unique_times=True`` promises one candle per (pair, open_time) and takes the hash
+    aggregate; the default window path is exact with ties (broken by ``seq``).
+    ``volume_mode``: 'last' keeps the last candle's ``volume``, 'sum' gives the day's total
+    (NULL volumes are left out; a day without any has NULL).
     """
     d = df.withColumn("date", trade_date(TIME))
-    if unique_times:
-        return last_in_period_unique(d, "date")
-    return last_in_period(d, "date")
+    last = last_in_period_unique(d, "date") if unique_times else last_in_period(d, "date")
+    if volume_mode == "last":
+        return last
+    if volume_mode != "sum":
+        raise ValueError(f"volume_mode is 'last' or 'sum', not {volume_mode!r}")
+    day = [*PAIR_KEYS, "date"]
+    totals = d.groupBy(*day).agg(F.sum("volume").alias("_total"))
+    same = last["date"].eqNullSafe(totals["date"])
+    for k in PAIR_KEYS:
+        same = same & last[k].eqNullSafe(totals[k])
+    columns = [totals["_total"].alias(c) if c == "volume" else last[c] for c in last.columns]
+    return last.join(totals, same, "left").select(*columns)
 
 
-MAX_BUCKET_ROWS = 1_000_000
+#: Candles that one slice of a pair's history holds, about.
+SLICE_ROWS = 1_000_000
+#: Cut points kept for each pair; slices of a pair of more than CUTS * SLICE_ROWS candles grow.
+CUTS = 1024
+
+
+def _micros(c: str):
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
 
 
 def lag_in_pair(
@@ -76,103 +96,77 @@ def lag_in_pair(
     column: str = "close",
     *,
     out: str = "prev_close",
-    bucket: str | None = "hour",
-    max_bucket_rows: int = MAX_BUCKET_ROWS,
+    slice_rows: int | None = SLICE_ROWS,
     tiebreak: tuple[str, ...] = (),
 ) -> DataFrame:
     """``out`` = ``column`` of the previous candle of the same pair (NULL for the first one).
 
-    A pair's history is never one window partition. The window runs per (pair, bucket,
-    sub-bucket), where ``bucket`` is a calendar unit ('hour', 'day', 'month', ...) and a
-    bucket holding more than ``max_bucket_rows`` candles is cut into equal time slices sized
-    from its own density, so neither a hot pair nor a hot bucket lands in one task. The first
-    candle of each slice takes the last value of the nearest earlier non-empty slice:
-
-    * one summary pass (hash aggregate with map-side partials) gives, per (pair, bucket), the
-      row count, time span and last value; it is small and checkpointed, so the hot-bucket
-      decision and the carry read it without another scan;
-    * only when hot buckets exist (a list bounded by rows / ``max_bucket_rows``, broadcast)
-      are their slices' last values aggregated from the rows of those buckets;
-    * a window over slice ends (one row per slice, not per candle) carries each last value to
-      the next slice, and an equi-join on the slice key attaches it. The candle side is
-      already partitioned and sorted on that key by the window, so it is not shuffled again.
-
-    Choose ``bucket`` so that it holds many candles (hour for minute candles or ticks, day for
-    hourly candles, month for daily ones). Rows sharing one pair and one microsecond cannot
-    be split further. ``bucket=None`` gives the plain per-pair window (same result). Building
-    the frame runs the summary job. ``tiebreak`` names extra ordering columns after
-    (open_time, seq).
+    A pair's history is never one window partition. It is cut into slices of about
+    ``slice_rows`` candles by its own density: approximate quantiles of time, so that a burst
+    within one hour, second or millisecond is cut like any other stretch. The window runs per
+    (pair, slice), and the first candle of a slice takes the last value of the slice before:
+
+    1. quantiles: one aggregate over (pair, open_time), merged map-side; one small row per
+       pair, checkpointed;
+    2. every candle finds its slice by comparing its time with its pair's cuts (an ordinary
+       none); the small table is broadcast up to 100,000 pairs and shuffled beyond;
+    3. the last value of every slice, aggregated map-side, moves one slice on; it is joined
+       on the window's own partitioning, so the candles are shuffled once.
+
+    Only candles of one pair and one microsecond cannot be parted. ``slice_rows=None`` gives
+    the plain per-pair window (same result). ``tiebreak`` names further ordering columns.
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df) + list(tiebreak)
-    if bucket is None:
+    if slice_rows is None:
         return df.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    # A struct ordering (time, tie-breaker) plans a sort aggregate; one column keeps it hashed.
-    order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    b = df.withColumn("_bucket", period_start(bucket))
-    summary = checkpointed(
-        b.groupBy(*keys, "_bucket").agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(TIME).alias("_t0"),
-            F.max(TIME).alias("_t1"),
-            F.max_by(column, order_key).alias("_last"),
-        )
+    grid = [i / CUTS for i in range(1, CUTS)]
+    wanted = F.least(F.lit(CUTS), F.ceil(F.col("_n") / F.lit(slice_rows)))
+    picks = F.transform(
+        F.filter(F.sequence(F.lit(1), F.lit(CUTS)), lambda i: i < F.col("_slices")),
+        lambda i: F.element_at("_grid", F.greatest(F.lit(1), F.floor(i * CUTS / F.col("_slices")).cast("int"))),
+    )
+    cuts = checkpointed(
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(_micros(TIME), grid).alias("_grid"))
+        .withColumn("_slices", wanted)
+        .select(*keys, F.coalesce(picks, F.array().cast("array<bigint>")).alias("_cuts"))
     )
-    span = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("_t1")) + 1
-    slices = F.ceil(F.col("_n") / F.lit(max_bucket_rows))
-    hot = summary.where(F.col("_n") > max_bucket_rows).select(
-        *keys, "_bucket", "_t0", F.ceil(span / slices).alias("_width")
+    same = [df[k].eqNullSafe(cuts[k]) for k in keys]
+    sliced = df.join(checked_broadcast(cuts), same[0] & same[1], "left").select(
+        *[df[c] for c in df.columns],
+        F.coalesce(F.size(F.filter("_cuts", lambda c: c <= _micros(TIME))), F.lit(0)).alias("_slice"),
     )
-    if hot.isEmpty():
-        b = b.withColumn("_sub", F.lit(0).cast("bigint"))
-        ends = summary.select(*keys, "_bucket", F.lit(0).cast("bigint").alias("_sub"), "_last")
-    else:
-        offset = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col(TIME))
-        b = (
-            b.join(F.broadcast(hot), on=[*keys, "_bucket"], how="left")
-            .withColumn("_sub", F.coalesce(F.floor(offset / F.col("_width")), F.lit(0)).cast("bigint"))
-        )
-        hot_ends = (
-            b.where(F.col("_width").isNotNull())
-            .groupBy(*keys, "_bucket", "_sub")
-            .agg(F.max_by(column, order_key).alias("_last"))
-        )
-        cold_ends = summary.join(F.broadcast(hot.select(*keys, "_bucket")), on=[*keys, "_bucket"], how="left_anti")
-        ends = cold_ends.select(*keys, "_bucket", F.lit(0).cast("bigint").alias("_sub"), "_last").unionByName(
-            hot_ends
-        )
-        b = b.drop("_t0", "_width")
-
-    w = Window.partitionBy(*keys, "_bucket", "_sub").orderBy(*order)
-    x = b.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
+    order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(column, order_key).alias("_last"))
     carry = ends.withColumn(
-        "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket", "_sub"))
+        "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice"))
     ).drop("_last")
+    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    x = sliced.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
     return (
-        x.join(carry, on=[*keys, "_bucket", "_sub"], how="left")
+        x.join(carry, on=[*keys, "_slice"], how="left")
         .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_bucket", "_sub", "_lag", "_rn", "_carry")
+        .drop("_slice", "_lag", "_rn", "_carry")
     )
 
 
-def candle_returns(
-    df: DataFrame, *, bucket: str | None = "hour", max_bucket_rows: int = MAX_BUCKET_ROWS
-) -> DataFrame:
+def candle_returns(df: DataFrame, *, slice_rows: int | None = SLICE_ROWS) -> DataFrame:
     """Simple return between adjacent candles of a pair, whatever the gap between them.
 
     Adds prev_close, ``return`` (NULL when prev_close is 0) and year; drops each pair's
-    first candle (no previous close). See ``lag_in_pair`` for the bucketing.
+    first candle (no previous close). See ``lag_in_pair`` for the slices.
     """
     return (
-        lag_in_pair(df, bucket=bucket, max_bucket_rows=max_bucket_rows)
+        lag_in_pair(df, slice_rows=slice_rows)
         .withColumn("return", simple_return())
         .withColumn("year", year_of(TIME))
         .where(F.col("prev_close").isNotNull())
     )
 
 
-def top_of_hour_returns(df: DataFrame, *, max_bucket_rows: int = MAX_BUCKET_ROWS) -> DataFrame:
+def top_of_hour_returns(df: DataFrame, *, slice_rows: int | None = SLICE_ROWS) -> DataFrame:
     """``top_of_hour(candle_returns(df))`` without shuffling every candle.
 
     The previous candle of a minute-0 candle is an earlier minute-0 candle of the same hour
@@ -180,8 +174,8 @@ def top_of_hour_returns(df: DataFrame, *, max_bucket_rows: int = MAX_BUCKET_ROWS
     frame: the minute-0 candles (and any without open_time), plus one row per non-empty
     pair-hour holding that hour's last candle, taken by an aggregate with map-side partials.
     Those rows sort after a real candle with the same (open_time, seq) and are dropped after
-    the lag. For minute candles the frame is about 2/60 of the rows; the bucketed lag (with
-    its hot-bucket slicing) then runs on that frame only.
+    the lag. For minute candles the frame is about 2/60 of the rows; the sliced lag then runs
+    on that frame only.
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df)
@@ -196,7 +190,7 @@ def top_of_hour_returns(df: DataFrame, *, max_bucket_rows: int = MAX_BUCKET_ROWS
     )
     real = df.where((F.minute(TIME) == 0) | F.col(TIME).isNull()).withColumn("_pseudo", F.lit(0))
     frame = real.unionByName(hour_ends, allowMissingColumns=True)
-    lagged = lag_in_pair(frame, bucket="hour", max_bucket_rows=max_bucket_rows, tiebreak=("_pseudo",))
+    lagged = lag_in_pair(frame, slice_rows=slice_rows, tiebreak=("_pseudo",))
     return (
         lagged.where((F.col("_pseudo") == 0) & F.col(TIME).isNotNull())
         .drop("_pseudo")
@@ -257,9 +251,9 @@ def daily_log_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame
     return log_returns_of_daily(daily_last(df, unique_times=unique_times))
 
 
-def daily_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
+def daily_returns(df: DataFrame, *, unique_times: bool = False, volume_mode: str = "last") -> DataFrame:
     """Simple daily return on last-of-day candles; rows with a NULL return are dropped.
 
-    ``volume`` is the volume of the day's last candle (not the day's total).
+    ``volume`` is that of the day's last candle, or with ``volume_mode='sum'`` the day's total.
     """
-    return returns_of_daily(daily_last(df, unique_times=unique_times))
+    return returns_of_daily(daily_last(df, unique_times=unique_times, volume_mode=volume_mode))

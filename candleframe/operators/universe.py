@@ -1,8 +1,8 @@
 """Pair universe: quote counts, top bases, common quotes, existing pairs, complete bases.
 
 Inputs are pair catalogs: any frame with base_currency / quote_currency (one row per pair
-file, or per candle). Everything stays a DataFrame; only ``require_bases`` collects, and it
-collects the tiny complete-base list to raise a readable error.
+file, or per candle). Everything stays a DataFrame; only ``require_bases`` collects, and only
+names that its parameters bound.
 """
 
 from __future__ import annotations
@@ -20,11 +20,6 @@ def distinct_pairs(df: DataFrame) -> DataFrame:
     return df.select(*PAIR_KEYS).distinct()
 
 
-def first_bases(df: DataFrame, n: int = TOP_BASES_NOTEBOOK) -> DataFrame:
-    """The first ``n`` distinct bases in name order (a top-k over distinct names)."""
-    return df.select(BASE).distinct().orderBy(BASE).limit(n)
-
-
 def quote_count_per_base(catalog: DataFrame) -> DataFrame:
     """(base_currency, quote_count): number of distinct quotes each base trades against."""
     return catalog.groupBy(BASE).agg(F.countDistinct(QUOTE).alias("quote_count"))
@@ -89,28 +84,33 @@ def complete_bases(df: DataFrame, target_quotes: Sequence[str]) -> DataFrame:
 
 def require_bases(
     complete: DataFrame,
-    desired: Sequence[str] | None = None,
+    desired: Sequence[str],
     *,
     target_quotes: Sequence[str] = (),
     minimum: int = MIN_COMPLETE_BASES,
 ) -> list[str]:
-    """Check the complete-base set; return the bases to analyse.
+    """Check the complete-base set; return ``desired`` in its order.
 
-    Raises ValueError when fewer than ``minimum`` bases are complete, or when a ``desired``
-    base is not complete. Returns ``desired`` (in its order) or all complete bases, sorted.
+    Raises ValueError when fewer than ``minimum`` bases are complete or a ``desired`` base is
+    not. The driver gets at most ``minimum`` rows and the desired names; an error names the
+    desired bases without all pairs and at most ten that have them.
     """
-    found = sorted(r[BASE] for r in complete.select(BASE).collect())
-    if len(found) < minimum:
-        raise ValueError(f"Not enough bases with all {list(target_quotes)}. Found only: {found}")
-    if desired is None:
-        return found
-    chosen = [b for b in desired if b in found]
-    if len(chosen) < len(desired):
-        raise ValueError(
-            f"One or more of {list(desired)} do not have all {list(target_quotes)} pairs. "
-            f"Valid bases with all quotes are: {found}"
-        )
-    return chosen
+    names = complete.select(BASE).distinct()
+    quotes = ", ".join(target_quotes)
+    if len(names.limit(minimum).collect()) < minimum:
+        raise ValueError(f"the analysis needs {minimum} bases quoted in each of {quotes}; there are {names.count()}")
+    wanted = list(dict.fromkeys(desired))
+    found = {r[BASE] for r in names.where(F.col(BASE).isin(wanted)).collect()}
+    absent = [b for b in wanted if b not in found]
+    if absent:
+        some = [r[BASE] for r in names.orderBy(BASE).limit(10).collect()]
+        raise ValueError(f"not quoted in each of {quotes}: {', '.join(absent)}; bases that are (first ten): {', '.join(some)}")
+    return wanted
+
+
+def bases_with_quotes(catalog: DataFrame, min_quotes: int) -> DataFrame:
+    """Bases that trade against at least ``min_quotes`` distinct quotes: (base, quote_count)."""
+    return quote_count_per_base(catalog).where(F.col("quote_count") >= min_quotes)
 
 
 def file_size_totals(files: DataFrame, selected: DataFrame) -> DataFrame:

@@ -7,12 +7,11 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candleframe.operators.classify import classify_by_base
-from candleframe.operators.profile import closing_price_summary
+from candleframe.operators.profile import closing_price_statistics
 from candleframe.operators.universe import quote_count_per_base, top_bases
 from candleframe.schema import BASE, TOP_BASES_EXTRACT
 from candleframe.sources.candles import load_directory, split_stock
@@ -54,17 +53,13 @@ def closing_price_extract(
 def run_extract(spark: SparkSession, directory: str, out_path: str, *, top_n: int = TOP_BASES_EXTRACT) -> dict:
     """Whole extract job over a pair-file directory: write the extract, return its summary row.
 
-    The extract feeds two actions (write, summary), so it is persisted for the duration and
-    released afterwards; a lost executor's blocks are recomputed from lineage.
+    One pass: the summary's four statistics are observed while the rows are written, so
+    nothing is cached and no candle is read twice.
     """
     extract = closing_price_extract(load_directory(spark, directory), directory_catalog(spark, directory), top_n=top_n)
-    extract.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_parquet(extract, out_path)
-        summary = closing_price_summary(extract).first().asDict()
-    finally:
-        extract.unpersist()
-    return summary
+    seen = Observation()
+    write_parquet(extract.observe(seen, *closing_price_statistics()), out_path)
+    return dict(seen.get)
 
 
 def main(argv: list[str] | None = None) -> None:

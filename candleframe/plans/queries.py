@@ -101,12 +101,6 @@ def q_annual_volatility(spark, sf_dir):
     return volatility.annual_volatility(series.daily_log_returns(fx.candles_daily(spark, sf_dir)))
 
 
-@register("annual_volatility_first_bases")
-def q_annual_volatility_first_bases(spark, sf_dir):
-    """Annual volatility of the first 10 bases in name order (the per-base panels)."""
-    return studies.annual_volatility_panels(fx.candles_daily(spark, sf_dir))
-
-
 @register("rolling_volatility")
 def q_rolling_volatility(spark, sf_dir):
     """30-row rolling annualized volatility, NULL below 10 observations."""
@@ -165,22 +159,18 @@ def q_existing_pairs(spark, sf_dir):
     )
 
 
+@register("bases_with_min_quotes")
+def q_bases_with_min_quotes(spark, sf_dir):
+    """Bases that trade against at least three quotes."""
+    return universe.bases_with_quotes(_pair_catalog(spark, sf_dir), 3)
+
+
 @register("complete_bases")
 def q_complete_bases(spark, sf_dir):
     """Bases trading against all of Q0, Q1, Q2."""
     return universe.complete_bases(_pair_catalog(spark, sf_dir), PAIR_TARGET_QUOTES)
 
 
-@register("file_size_totals")
-def q_file_size_totals(spark, sf_dir):
-    """Bytes of the files the candle fixture reads vs. all files of the directory."""
-    files = cat.list_parquet_files(spark, sf_dir)
-    selected = spark.createDataFrame(
-        [(f"{t}.parquet",) for t in ("orders", "customer", "lineitem")], "file_name string"
-    )
-    return universe.file_size_totals(files, selected)
-
-
 # --- load, classify, extract (daily candles) -----------------------------------------------
 
 CANDLE_OUT = (
@@ -194,7 +184,8 @@ BASE_LISTS = {"cryptos": ("AUTOMOBILE",), "stablecoins": ("BUILDING",), "fiats":
 def q_load_candles(spark, sf_dir):
     """Candles of the universe (top bases x common quotes), classified by quote."""
     candles = fx.candles_daily(spark, sf_dir)
-    pairs = universe_load.universe_pairs(universe.distinct_pairs(candles))
+    # One small checkpointed table of pairs serves every branch of the universe.
+    pairs = universe_load.universe_pairs(checkpointed(universe.distinct_pairs(candles)))
     return (
         candles.join(F.broadcast(pairs.select("base_currency", "quote_currency")), on=["base_currency", "quote_currency"], how="left_semi")
         .transform(lambda d: classify.classify_by_quote(d, fx.DAILY_QUOTE_CLASSES))
@@ -210,10 +201,13 @@ def _with_fake_path(df):
 
 @register("stock_column")
 def q_stock_column(spark, sf_dir):
-    """stock = file stem of each candle's pair file; base/quote split back from it."""
-    df = candle_src.with_stock_column(_with_fake_path(fx.candles_daily(spark, sf_dir)), "_path")
-    return candle_src.split_stock(df.drop("base_currency", "quote_currency")).select(
-        "stock", "base_currency", "quote_currency", "open_time", "seq", "close"
+    """stock = stem of the file that each order was read from; base/quote split from it."""
+    orders = fx.read_table(spark, sf_dir, "orders")
+    # The table is one file, or a folder of part files under the table's name.
+    own = F.regexp_extract("_metadata.file_path", r"([^/]+\.parquet)(?:/[^/]+)?$", 1)
+    named = candle_src.with_stock_column(orders.withColumn("_in", own), "_in")
+    return candle_src.split_stock(named).select(
+        "stock", "base_currency", "quote_currency", F.col("o_orderkey").alias("seq"), F.col("o_totalprice").alias("close")
     )
 
 
@@ -294,10 +288,19 @@ def q_daily_returns(spark, sf_dir):
     )
 
 
+@register("daily_returns_total_volume")
+def q_daily_returns_total_volume(spark, sf_dir):
+    """Daily returns with the day's summed volume."""
+    return series.daily_returns(fx.candles_ticks(spark, sf_dir), volume_mode="sum").select(
+        "base_currency", "quote_currency", "date", "volume", "return"
+    )
+
+
 @register("volume_return_spearman")
 def q_volume_return_spearman(spark, sf_dir):
-    """Spearman rho of daily volume vs daily return per pair, with n and p-value."""
-    return rank_stats.spearman(series.daily_returns(fx.candles_daily(spark, sf_dir)))
+    """Spearman rho of daily volume vs daily return per pair, with n, p-value and -log10(p)."""
+    stats = rank_stats.spearman(series.daily_returns(fx.candles_daily(spark, sf_dir)))
+    return stats.withColumn("neg_log10_p", F.when(F.col("p_value") > 0, -F.log10("p_value")))
 
 
 @register("volume_return_sampled")
@@ -309,13 +312,15 @@ def q_volume_return_sampled(spark, sf_dir):
 
 @register("volume_return_grid")
 def q_volume_return_grid(spark, sf_dir):
-    """The seeded 3 x 3 (base, quote) grid with Spearman statistics; n = 0 where no data."""
-    return studies.volume_return_grid(fx.candles_daily(spark, sf_dir))
+    """The seeded 3 x 3 (base, quote) grid with Spearman statistics; n = 0 where no data.
+
+    Over the supply view, where many nations lack some of the quotes."""
+    return studies.volume_return_grid(fx.candles_supply(spark, sf_dir))
 
 
 @register("daily_last_unique_times")
 def q_daily_last_unique_times(spark, sf_dir):
-    """Last tick of each pair-day via the sort-free max_by path (tick times are unique)."""
+    """Last tick of each pair-day via the hash-aggregate path (tick times are unique)."""
     return series.daily_last(fx.candles_ticks(spark, sf_dir), unique_times=True).select(
         "base_currency", "quote_currency", "date", "open_time", "seq", "close", "volume"
     )
@@ -340,8 +345,12 @@ def q_seeded_key_sample(spark, sf_dir):
 # --- candle returns, hourly activity (tick candles) ---------------------------------------
 
 
+#: Slices far smaller than a pair of the test tables, so that these keys cross slice ends.
+SMALL_SLICES = 50
+
+
 def _tick_returns(spark, sf_dir):
-    return series.candle_returns(fx.candles_ticks(spark, sf_dir))
+    return series.candle_returns(fx.candles_ticks(spark, sf_dir), slice_rows=SMALL_SLICES)
 
 
 RETURN_OUT = ("base_currency", "quote_currency", "open_time", "seq", "year", "close", "prev_close", "return")
@@ -387,9 +396,13 @@ HOURLY_BASES = ("click", "purchase", "view")
 HOURLY_YEARS = (2023, 2024)
 
 
+def _of_pairs(candles, bases, quotes):
+    """Candles of the requested pairs only: selected before the lag, not after it."""
+    return candles.where(F.col("base_currency").isin(list(bases)) & F.col("quote_currency").isin(list(quotes)))
+
+
 def _hourly_returns(spark, sf_dir):
-    # One candle per pair-hour: day buckets hold 24 candles (the result does not depend on it).
-    return series.candle_returns(fx.candles_hourly(spark, sf_dir), bucket="day")
+    return series.candle_returns(_of_pairs(fx.candles_hourly(spark, sf_dir), HOURLY_BASES, HOURLY_QUOTES))
 
 
 @register("corr_across_quotes")
@@ -412,8 +425,7 @@ DAILY_CORR_YEARS = tuple(range(1995, 2002))
 
 
 def _daily_candle_returns(spark, sf_dir):
-    # Daily candles: month buckets (the result does not depend on the bucket).
-    return series.candle_returns(fx.candles_daily(spark, sf_dir), bucket="month")
+    return series.candle_returns(_of_pairs(fx.candles_daily(spark, sf_dir), DAILY_CORR_BASES, DAILY_CORR_QUOTES))
 
 
 @register("corr_across_quotes_daily")
@@ -432,13 +444,11 @@ def q_corr_across_bases_daily(spark, sf_dir):
     )
 
 
-@register("corr_study_ticks")
-def q_corr_study_ticks(spark, sf_dir):
-    """The guarded correlation study on tick candles: lag-free base check, reduced
-    top-of-hour frame, quote-by-quote grid (ticks of two quotes never share a timestamp, so
-    off-diagonal cells are empty)."""
+@register("corr_study_hourly")
+def q_corr_study_hourly(spark, sf_dir):
+    """The guarded correlation study on hourly candles: base check, then the quote grid."""
     across_quotes, _ = studies.return_correlation_study(
-        fx.candles_ticks(spark, sf_dir), quotes=HOURLY_QUOTES, bases=HOURLY_BASES, years=(2024,)
+        fx.candles_hourly(spark, sf_dir), quotes=HOURLY_QUOTES, bases=HOURLY_BASES, years=HOURLY_YEARS, coarse=True
     )
     return across_quotes
 

@@ -1,7 +1,8 @@
 """The whole candle analysis over a pair-file directory, each result written as Parquet.
 
     python -m candleframe.plans.report PAIR_DIR OUT_DIR [--top-n 10] [--corr-quotes BUSD,EUR,USDT]
-        [--corr-bases ADA,ETH,BTC|all] [--years 2017-2022|data] [--year-quotes ...] [--overwrite]
+        [--corr-bases ADA,ETH,BTC] [--years data|2017-2022] [--year-quotes ...] [--overwrite]
+        [--unique-times]
 
 Runs, in order: pair catalog (quote-count histogram, top bases, common quotes, file sizes),
 universe load, null profile, bases per quote and year, the guarded return-correlation
@@ -15,11 +16,10 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from candleframe.operators.activity import bases_per_quote_year, hourly_volume_matrix
-from candleframe.operators.correlation import hour_correlation_from_sums
+from candleframe.operators.correlation import hour_correlation_from_moments
 from candleframe.operators.profile import closing_price_series, null_profile
 from candleframe.operators.series import daily_last, log_returns_of_daily
 from candleframe.operators.universe import (
@@ -29,16 +29,16 @@ from candleframe.operators.universe import (
     top_bases,
 )
 from candleframe.operators.volatility import annual_volatility, rolling_volatility, top_series
-from candleframe.plans.studies import correlation_grids, return_summaries, volume_return_grid
+from candleframe.plans.studies import checked_bases, correlation_grids, return_summaries, volume_return_grid
 from candleframe.plans.universe_load import load_universe, universe_file_sizes
 from candleframe.schema import (
     CORR_BASES,
     CORR_QUOTES,
-    CORR_YEARS,
     SAMPLE_SEED,
     TOP_BASES_NOTEBOOK,
     YEAR_QUOTES,
 )
+from candleframe.session import checkpointed
 from candleframe.sources.catalog import directory_catalog
 
 
@@ -50,12 +50,18 @@ def run_report(
     top_n: int = TOP_BASES_NOTEBOOK,
     year_quotes: Sequence[str] = YEAR_QUOTES,
     corr_quotes: Sequence[str] = CORR_QUOTES,
-    corr_bases: Sequence[str] | None = CORR_BASES,
-    years: Sequence[int] | None = CORR_YEARS,
+    corr_bases: Sequence[str] = CORR_BASES,
+    years: Sequence[int] | None = None,
     seed: int = SAMPLE_SEED,
     mode: str = "errorifexists",
+    unique_times: bool = False,
 ) -> dict[str, str]:
-    """Run every analysis and write each table under ``out_dir``; returns name -> path."""
+    """Run every analysis and write each table under ``out_dir``; returns name -> path.
+
+    ``years=None`` correlates every year of the data. ``unique_times``: the caller knows that
+    no pair has two candles at one time (``times_are_unique`` tells), which spares the
+    daily series its sort.
+    """
     written: dict[str, str] = {}
 
     def save(name: str, df: DataFrame) -> None:
@@ -72,30 +78,27 @@ def run_report(
     save("file_sizes", universe_file_sizes(spark, pair_dir, top_n=top_n))
 
     candles = load_universe(spark, pair_dir, top_n=top_n)
+    # The guard reads one narrow aggregate, before any expensive pass.
+    chosen = checked_bases(candles, quotes=corr_quotes, bases=corr_bases)
     save("null_profile", null_profile(candles))
     save("bases_per_quote_year", bases_per_quote_year(candles, year_quotes))
 
     # One pass of candle returns feeds both the correlation grids and the hour correlation.
-    corr_summary, hour_stats = return_summaries(candles, quotes=corr_quotes, bases=corr_bases)
-    across_quotes, across_bases = correlation_grids(
-        corr_summary, quotes=corr_quotes, bases=corr_bases, years=years
-    )
+    corr_summary, hour_stats = return_summaries(candles, quotes=corr_quotes, bases=chosen)
+    across_quotes, across_bases = correlation_grids(corr_summary, quotes=corr_quotes, bases=chosen, years=years)
     save("corr_across_quotes", across_quotes)
     save("corr_across_bases", across_bases)
-    save("hour_return_correlation", hour_correlation_from_sums(hour_stats))
-
-    # The volatility and volume/return analyses share one persisted last-of-day table (one
-    # row per pair-day, far smaller than the candles), released once they are written.
-    daily = daily_last(candles).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        log_returns = log_returns_of_daily(daily)
-        rolling = rolling_volatility(log_returns)
-        save("annual_volatility", annual_volatility(log_returns))
-        save("rolling_volatility", rolling)
-        save("top_rolling_series", top_series(rolling))
-        save("volume_return_grid", volume_return_grid(daily=daily, seed=seed))
-    finally:
-        daily.unpersist()
+    save("hour_return_correlation", hour_correlation_from_moments(hour_stats))
+
+    # The volatility and volume/return analyses share one last-of-day table (one row per
+    # pair-day, far smaller than the candles), checkpointed in the shared folder.
+    daily = checkpointed(daily_last(candles, unique_times=unique_times))
+    log_returns = log_returns_of_daily(daily)
+    rolling = rolling_volatility(log_returns)
+    save("annual_volatility", annual_volatility(log_returns))
+    save("rolling_volatility", rolling)
+    save("top_rolling_series", top_series(rolling))
+    save("volume_return_grid", volume_return_grid(daily=daily, seed=seed))
 
     save("hourly_volume_matrix", hourly_volume_matrix(candles))
     save("closing_price_series", closing_price_series(candles))
@@ -123,10 +126,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--top-n", type=int, default=TOP_BASES_NOTEBOOK)
     ap.add_argument("--year-quotes", default=",".join(YEAR_QUOTES))
     ap.add_argument("--corr-quotes", default=",".join(CORR_QUOTES))
-    ap.add_argument("--corr-bases", default=",".join(CORR_BASES), help="names, or 'all' complete bases")
-    ap.add_argument("--years", default=f"{CORR_YEARS[0]}-{CORR_YEARS[-1]}", help="'2017-2022', list, or 'data'")
+    ap.add_argument("--corr-bases", default=",".join(CORR_BASES))
+    ap.add_argument("--years", default="data", help="'data' (every year present), '2017-2022' or a list")
     ap.add_argument("--seed", type=int, default=SAMPLE_SEED)
     ap.add_argument("--overwrite", action="store_true")
+    ap.add_argument("--unique-times", action="store_true", help="no pair has two candles at one time")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     out = run_report(
@@ -136,10 +140,11 @@ def main(argv: list[str] | None = None) -> None:
         top_n=args.top_n,
         year_quotes=_names(args.year_quotes),
         corr_quotes=_names(args.corr_quotes),
-        corr_bases=None if args.corr_bases == "all" else _names(args.corr_bases),
+        corr_bases=_names(args.corr_bases),
         years=_years(args.years),
         seed=args.seed,
         mode="overwrite" if args.overwrite else "errorifexists",
+        unique_times=args.unique_times,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

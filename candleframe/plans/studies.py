@@ -26,7 +26,7 @@ from candleframe.operators.series import (
     top_of_hour,
     top_of_hour_returns,
 )
-from candleframe.operators.universe import complete_bases, first_bases, require_bases
+from candleframe.operators.universe import complete_bases, require_bases
 from candleframe.operators.volatility import annual_volatility, rolling_volatility
 from candleframe.session import checkpointed
 from candleframe.schema import (
@@ -42,7 +42,6 @@ from candleframe.schema import (
     SAMPLE_SEED,
     SAMPLE_SIZE,
     TIME,
-    TOP_BASES_NOTEBOOK,
 )
 
 
@@ -70,21 +69,27 @@ def volatility_measures(
     return annual, rolling
 
 
-def annual_volatility_panels(candles: DataFrame, *, n_bases: int = TOP_BASES_NOTEBOOK) -> DataFrame:
-    """Annual volatility of the first ``n_bases`` bases in name order (one panel per base).
-
-    The annual table (pairs x years rows) is computed once and checkpointed; the base
-    selection and the result both read it.
-    """
-    annual = checkpointed(annual_volatility(daily_log_returns(candles)))
-    return annual.join(F.broadcast(first_bases(annual, n_bases)), on=BASE, how="left_semi")
-
-
 def _daily_rows(candles: DataFrame | None, daily: DataFrame | None) -> DataFrame:
     returns = returns_of_daily(daily) if daily is not None else daily_returns(candles)
     return returns.select(BASE, QUOTE, "date", "volume", "return")
 
 
+def _sampled(rows: DataFrame, seed: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(bases, quotes, Spearman statistics) of ``k`` seeded bases x ``k`` seeded quotes.
+
+    Keys are drawn from the distinct pairs with daily returns, one small checkpointed table.
+    Only rows of the sampled pairs are ranked: at most k x k pairs, by semi joins on lists of
+    at most ``k`` rows.
+    """
+    pairs = checkpointed(rows.select(BASE, QUOTE).distinct())
+    bases = seeded_key_sample(pairs, BASE, k, seed).select(BASE)
+    quotes = seeded_key_sample(pairs, QUOTE, k, seed).select(QUOTE)
+    picked = rows.join(F.broadcast(bases), on=BASE, how="left_semi").join(
+        F.broadcast(quotes), on=QUOTE, how="left_semi"
+    )
+    return bases, quotes, spearman(picked)
+
+
 def volume_return_study(
     candles: DataFrame | None = None,
     *,
@@ -95,22 +100,11 @@ def volume_return_study(
     """(daily rows, Spearman stats) for ``k`` seeded bases x ``k`` seeded quotes.
 
     Daily rows: base, quote, date, volume (of the day's last candle), return (lazy). Stats:
-    one row per sampled base x quote that has data (n, rho, p_value).
-
-    The statistics of *all* pairs (one row per pair) are computed in one pass and
-    checkpointed; the samples and the selection read that small table, so the candles are
-    scanned once however many branches use the result. Every pair with a daily return has
-    a row there, so sampling from it samples the same key sets as sampling the daily rows.
-    Pass ``daily`` (a ``daily_last`` table) instead of ``candles`` to reuse one.
+    one row per sampled base x quote that has data (n, rho, p_value). Pass ``daily`` (a
+    ``daily_last`` table) instead of ``candles`` to reuse one.
     """
     rows = _daily_rows(candles, daily)
-    stats = checkpointed(spearman(rows))
-    bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
-    quotes = seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE)
-    picked = stats.join(F.broadcast(bases), on=BASE, how="left_semi").join(
-        F.broadcast(quotes), on=QUOTE, how="left_semi"
-    )
-    return rows, picked
+    return rows, _sampled(rows, seed, k)[2]
 
 
 def volume_return_grid(
@@ -124,16 +118,15 @@ def volume_return_grid(
 
     Cells whose pair has no daily returns are kept with ``n = 0`` and NULL statistics (the
     "no data" panels). The k sampled quotes are collected (at most k names) to lay out the
-    grid by ``explode``, so no cross join is planned. One pass over the candles (see
-    ``volume_return_study``); pass ``daily`` to reuse a ``daily_last`` table.
+    grid by ``explode``, so no cross join is planned. Pass ``daily`` to reuse a ``daily_last``
+    table.
     """
     rows = _daily_rows(candles, daily)
-    stats = checkpointed(spearman(rows))
-    bases = seeded_key_sample(stats, BASE, k, seed).select(BASE)
-    quotes = [r[QUOTE] for r in seeded_key_sample(stats, QUOTE, k, seed).select(QUOTE).collect()]
-    if not quotes:
+    bases, quotes, stats = _sampled(rows, seed, k)
+    names = [r[QUOTE] for r in quotes.collect()]
+    if not names:
         return stats.select(BASE, QUOTE, "n", "rho", "p_value").limit(0)
-    grid = bases.withColumn(QUOTE, F.explode(F.array(*[F.lit(q) for q in quotes])))
+    grid = bases.withColumn(QUOTE, F.explode(F.array(*[F.lit(q) for q in names])))
     return (
         grid.join(stats, on=[BASE, QUOTE], how="left")
         .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
@@ -142,28 +135,24 @@ def volume_return_grid(
 
 
 def _grid_cell_time(quotes, bases):
-    in_grid = (F.minute(TIME) == 0) & F.col(QUOTE).isin(list(quotes))
-    if bases is not None:
-        in_grid = in_grid & F.col(BASE).isin(list(bases))
-    return F.when(in_grid, F.col(TIME))
+    return F.when((F.minute(TIME) == 0) & F.col(QUOTE).isin(list(quotes)) & F.col(BASE).isin(list(bases)), F.col(TIME))
+
+
+def checked_bases(candles: DataFrame, *, quotes=CORR_QUOTES, bases=CORR_BASES, minimum: int = MIN_COMPLETE_BASES) -> list[str]:
+    """The requested bases, after the complete-base check; reads one lag-free aggregate."""
+    targets = candles.where(F.col(QUOTE).isin(list(quotes)))
+    complete = complete_bases(pairs_with_returns(targets), quotes)
+    return require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
 
 
 def correlation_grids(
-    summary: DataFrame,
-    *,
-    quotes=CORR_QUOTES,
-    bases=CORR_BASES,
-    years=CORR_YEARS,
-    minimum: int = MIN_COMPLETE_BASES,
+    summary: DataFrame, *, quotes=CORR_QUOTES, bases=CORR_BASES, years=CORR_YEARS
 ) -> tuple[DataFrame, DataFrame]:
-    """Both grids from a correlation summary (see ``return_correlation_study``), after the
-    complete-base check."""
-    complete = complete_bases(summary, quotes)
-    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
+    """Both grids from a correlation summary (see ``return_summaries``), for checked bases."""
     cells = summary.where(F.col(TIME).isNotNull())
     return (
-        corr_across_quotes(cells, quotes=quotes, bases=chosen, years=years),
-        corr_across_bases(cells, quotes=quotes, bases=chosen, years=years),
+        corr_across_quotes(cells, quotes=quotes, bases=bases, years=years),
+        corr_across_bases(cells, quotes=quotes, bases=bases, years=years),
     )
 
 
@@ -179,22 +168,20 @@ def return_correlation_study(
     """(across quotes, across bases) correlation grids of top-of-hour candle returns.
 
     Raises ValueError, before any grid is built, when fewer than ``minimum`` bases trade
-    against every quote or when a requested base does not (``bases=None`` takes all complete
-    bases). The check reads one lag-free aggregate (``pairs_with_returns``) and collects only
-    the complete-base names.
+    against every quote or when a requested base does not. The check reads one lag-free
+    aggregate (``pairs_with_returns``). Bases are a given short list: a grid has one aggregate
+    for every two of them.
 
     The grids need returns of minute-0 candles only: ``top_of_hour_returns`` computes them
     from a frame of about 2/60 of minute candles instead of shuffling every candle, for the
     chosen pairs only. Their top-of-hour cells (mean return per pair and timestamp) are
     checkpointed and both grids read them. ``coarse=True`` (hourly or coarser candles, where
-    every candle opens at minute 0) uses the plain bucketed lag with day buckets instead.
+    every candle opens at minute 0) uses the sliced lag of all candles instead.
     """
-    targets = candles.where(F.col(QUOTE).isin(list(quotes)))
-    complete = complete_bases(pairs_with_returns(targets), quotes)
-    chosen = require_bases(complete, bases, target_quotes=quotes, minimum=minimum)
-    chosen_candles = targets.where(F.col(BASE).isin(chosen))
+    chosen = checked_bases(candles, quotes=quotes, bases=bases, minimum=minimum)
+    chosen_candles = candles.where(F.col(QUOTE).isin(list(quotes)) & F.col(BASE).isin(chosen))
     returns = (
-        top_of_hour(candle_returns(chosen_candles, bucket="day"))
+        top_of_hour(candle_returns(chosen_candles))
         if coarse
         else top_of_hour_returns(chosen_candles)
     )
@@ -210,12 +197,12 @@ def return_correlation_study(
 def return_summaries(
     candles: DataFrame, *, quotes=CORR_QUOTES, bases=CORR_BASES
 ) -> tuple[DataFrame, DataFrame]:
-    """(correlation summary, hour sums) from ONE pass of candle returns.
+    """(correlation summary, hour moments) from ONE pass of candle returns.
 
     A single GROUPING SETS aggregation (one Expand, map-side partials) groups the returns by
     (pair, year, top-of-hour cell) for the correlation grids and by (pair, hour of day) for
     the hour correlation; the small result is checkpointed and split. Use with
-    ``correlation_grids`` and ``hour_correlation_from_sums``.
+    ``correlation_grids`` and ``hour_correlation_from_moments``.
     """
     r = candle_returns(candles).select(
         BASE,
@@ -236,15 +223,14 @@ def return_summaries(
         ).agg(
             F.avg("return").alias("return"),
             F.count("return").alias("n_h"),
-            F.sum("return").alias("sum_y_h"),
-            F.sum(F.col("return") * F.col("return")).alias("sum_y2_h"),
+            F.var_pop("return").alias("var_h"),
             F.grouping("hour_of_day").alias("_by_cell"),
         )
     )
     summary = both.where((F.col("_by_cell") == 1) & F.col(QUOTE).isin(list(quotes))).select(
         BASE, QUOTE, "year", F.col("_cell").alias(TIME), "return"
     )
-    sums = both.where((F.col("_by_cell") == 0) & (F.col("n_h") > 0)).select(
-        pair_label().alias("pair"), "hour_of_day", "n_h", "sum_y_h", "sum_y2_h"
+    moments = both.where((F.col("_by_cell") == 0) & (F.col("n_h") > 0)).select(
+        pair_label().alias("pair"), "hour_of_day", "n_h", F.col("return").alias("mean_h"), "var_h"
     )
-    return summary, sums
+    return summary, moments

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candleframe") -> SparkSession:
@@ -59,3 +60,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checked_broadcast(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """A small stored table, marked for broadcast if it has at most ``most_rows`` rows.
+
+    Beyond that it is joined by shuffle, where AQE splits skewed partitions.
+    """
+    few = df.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(df) if few else df

@@ -8,27 +8,39 @@ columns taken from the hidden ``_metadata.file_name`` column (a filter on it pru
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleframe.schema import CANDLE_COLUMNS, CANDLE_SCHEMA
-from candleframe.sources.catalog import parse_pair
+from candleframe.sources.catalog import list_parquet_files, parse_pair
 
 
 class SchemaMismatch(ValueError):
     """A pair file lacks a declared candle column (it would silently read as NULL)."""
 
 
+#: Footers that are read at a time.
+FOOTER_READS = 16
+
+
 def check_columns(spark: SparkSession, paths: list[str], required=CANDLE_COLUMNS) -> None:
-    """Fail early if a file misses a declared column.
+    """Fail early if any one file misses a declared column (it would read as NULL).
 
-    Footers are merged by a distributed Spark job (``mergeSchema``), not read on the driver.
+    Every file's own footer is read, by Spark, FOOTER_READS at a time; merging all footers
+    first would let one file's columns hide another's gap.
     """
-    found = set(spark.read.option("mergeSchema", "true").parquet(*paths).columns)
-    missing = [c for c in required if c not in found]
-    if missing:
-        raise SchemaMismatch(f"pair files lack columns {missing}")
+
+    def gaps(path: str) -> tuple[str, list[str]]:
+        have = set(spark.read.parquet(path).columns)
+        return path, [c for c in required if c not in have]
+
+    with ThreadPoolExecutor(FOOTER_READS) as pool:
+        bad = [(path, missing) for path, missing in pool.map(gaps, paths) if missing]
+    if bad:
+        told = "; ".join(f"{path}: {', '.join(missing)}" for path, missing in bad[:5])
+        raise SchemaMismatch(f"{len(bad)} of {len(paths)} pair files lack columns ({told})")
 
 
 def load_pair_files(
@@ -45,8 +57,10 @@ def load_pair_files(
     return df.select(*CANDLE_COLUMNS, base.alias("base_currency"), quote.alias("quote_currency"))
 
 
-def load_directory(spark: SparkSession, directory: str) -> DataFrame:
+def load_directory(spark: SparkSession, directory: str, *, check: bool = True) -> DataFrame:
     """Every ``*.parquet`` pair file of a directory (the extract script's input), with ``stock``."""
+    if check:
+        check_columns(spark, [r.path for r in list_parquet_files(spark, directory).select("path").collect()])
     df = spark.read.schema(CANDLE_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(directory)
     return with_stock_column(df, F.col("_metadata.file_name"))
 

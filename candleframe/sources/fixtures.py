@@ -22,7 +22,8 @@ TABLE_SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
     "o_orderdate timestamp_ntz",
     "customer": "c_custkey bigint, c_mktsegment string",
-    "lineitem": "l_orderkey bigint, l_quantity double, l_extendedprice double",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+    "l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "supplier": "s_suppkey bigint, s_nationkey int",
     "nation": "n_nationkey int, n_name string",
@@ -87,8 +88,8 @@ def candles_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candles_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly candles from the ticks: close of the last tick, summed volume, seq = 0.
 
-    One aggregation per (pair, hour) with map-side partials: the last tick is ``max_by`` on
-    (open_time, seq), so even a very busy hour never sits in one task.
+    One aggregation per (pair, hour) with map-side partials (sorted ones: ``max_by`` orders by
+    the struct (open_time, seq)), so even a very busy hour never sits in one task.
     """
     ticks = candles_ticks(spark, sf_dir).withColumn("_hour", period_start("hour"))
     return ticks.groupBy("base_currency", "quote_currency", "_hour").agg(
@@ -104,6 +105,25 @@ def candles_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def candles_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One candle per line item: base = the supplier's nation, quote = 'Q' || suppkey % 4.
+
+    Nations have suppliers for some of the quotes only, so that many pairs are empty.
+    """
+    items = read_table(spark, sf_dir, "lineitem")
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    seller = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    return items.join(seller, items.l_suppkey == seller.s_suppkey).select(
+        F.col("n_name").alias("base_currency"),
+        F.concat(F.lit("Q"), (F.col("s_suppkey") % 4).cast("string")).alias("quote_currency"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("open_time"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10_000_000 + F.col("l_partkey")).cast("bigint").alias("seq"),
+        F.col("l_extendedprice").alias("close"),
+        F.col("l_quantity").alias("volume"),
+    )
+
+
 def pair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pair file names ``BASE-QUOTE.parquet``: base = nation, quote = 'Q' || suppkey % 4."""
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from candleframe.plans.oracle import oracle_sql
+from candleframe.plans.queries import queries
 from conftest import SF001, SF0001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -33,12 +35,12 @@ def _key(t):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in t)
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF001)
+    df = queries()[key](spark, SF001)
     cols = sorted(df.columns)
     srows = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
-    rel = duck.execute(entry.oracle_sql()[key])
+    rel = duck.execute(oracle_sql()[key])
     dcols = [d[0] for d in rel.description]
     assert sorted(dcols) == cols
     idx = [dcols.index(c) for c in cols]
@@ -47,10 +49,9 @@ def test_query_matches_oracle(spark, duck, key):
     assert srows == drows
 
 
-def test_every_query_has_a_callable_and_most_have_sql():
-    qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"file_size_totals"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(oracle_sql()) == set(queries()) <= set(entry.queries())
+    assert set(oracle_sql()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
@@ -60,5 +61,5 @@ def test_entry_smoke(spark):
 
 
 def test_queries_run_at_smallest_scale(spark):
-    for key, q in entry.queries().items():
+    for key, q in queries().items():
         q(spark, SF0001).count()

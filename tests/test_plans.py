@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from candleframe.plans.queries import queries
 from conftest import SF001
 
 FORBIDDEN = (
@@ -23,9 +23,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(queries()))
 def test_no_forbidden_operators(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF001))
+    plan = _plan(queries()[key](spark, SF001))
     for op in FORBIDDEN:
         assert op not in plan, f"{key}: {op}"
     # A window without PARTITION BY would put all rows into one task.
@@ -34,7 +34,7 @@ def test_no_forbidden_operators(spark, key):
 
 
 def test_parquet_scans_prune_columns(spark):
-    plan = _plan(entry.queries()["candle_returns"](spark, SF001))
+    plan = _plan(queries()["candle_returns"](spark, SF001))
     schema = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schema and all("props" not in s for s in schema)
 

@@ -58,12 +58,12 @@ candle_rows = st.lists(
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=candle_rows)
-def test_bucketed_lag_matches_brute_force(spark, rows):
+def test_sliced_lag_matches_brute_force(spark, rows):
     start = dt.datetime(2021, 3, 1)
     data = [(b, "Q", start + dt.timedelta(minutes=m), i, c, 1.0) for i, (b, m, c) in enumerate(rows)]
     df = spark.createDataFrame(data, CANDLE_DDL)
-    got = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="hour").collect()}
-    sliced = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="day", max_bucket_rows=3).collect()}
+    got = {r.seq: r.prev_close for r in series.lag_in_pair(df).collect()}
+    sliced = {r.seq: r.prev_close for r in series.lag_in_pair(df, slice_rows=3).collect()}
     want = {}
     for base in ("A", "B"):
         seq = sorted((t, s, c) for b, _, t, s, c, _ in data if b == base)
@@ -74,7 +74,7 @@ def test_bucketed_lag_matches_brute_force(spark, rows):
 
 
 def test_hot_pair_is_spread_over_tasks(spark):
-    """All ticks in ONE pair: the plain lag runs in one task, the bucketed lag spreads out."""
+    """All ticks in ONE pair: the plain lag runs in one task, the sliced lag spreads out."""
     from candleframe.sources import fixtures as fx
 
     hot = fx.candles_ticks(spark, SF001).withColumn("base_currency", F.lit("HOT")).withColumn("quote_currency", F.lit("Q"))
@@ -96,8 +96,8 @@ def test_hot_pair_is_spread_over_tasks(spark):
             assert sum(r.with_prev for r in sizes) == n - 1
             return max(r.rows for r in sizes) / n
 
-        plain = series.lag_in_pair(hot, bucket=None)
-        bucketed = series.lag_in_pair(hot, bucket="hour")
+        plain = series.lag_in_pair(hot, slice_rows=None)
+        bucketed = series.lag_in_pair(hot, slice_rows=n // 64)
         assert largest_share(plain) == 1.0
         assert largest_share(bucketed) < 0.25
         a = {r.seq: r.prev_close for r in plain.select("seq", "prev_close").collect()}
@@ -108,26 +108,23 @@ def test_hot_pair_is_spread_over_tasks(spark):
             spark.conf.set(k, v)
 
 
-def test_hot_bucket_is_spread_over_tasks(spark):
-    """All ticks in ONE pair and ONE month bucket: the bucket is cut into time slices."""
-    from candleframe.sources import fixtures as fx
-
-    hot = fx.candles_ticks(spark, SF001).withColumn("base_currency", F.lit("HOT")).withColumn("quote_currency", F.lit("Q"))
-    n = hot.count()
+def test_burst_is_spread_over_tasks(spark):
+    """Ticks of ONE pair within one millisecond, but for one an hour later: cut by density."""
+    start = dt.datetime(2021, 3, 1)
+    data = [("HOT", "Q", start + dt.timedelta(microseconds=i), i, float(i + 1), 1.0) for i in range(1000)]
+    data.append(("HOT", "Q", start + dt.timedelta(minutes=59), 1000, 7.0, 1.0))
+    hot = spark.createDataFrame(data, CANDLE_DDL).repartition(4)
     old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     try:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "16")
-        whole = series.lag_in_pair(hot, bucket="month")  # one bucket, under the row limit
-        sliced = series.lag_in_pair(hot, bucket="month", max_bucket_rows=n // 32)
-
-        def largest_share(df):
-            sizes = df.select("prev_close", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-            return max(r["count"] for r in sizes) / n
-
-        assert largest_share(whole) == 1.0
-        assert largest_share(sliced) < 0.25
-        a = {r.seq: r.prev_close for r in whole.select("seq", "prev_close").collect()}
+        plain = series.lag_in_pair(hot, slice_rows=None)
+        sliced = series.lag_in_pair(hot, slice_rows=20)
+        sizes = sliced.select("prev_close", F.spark_partition_id().alias("p")).groupBy("p").agg(
+            F.count(F.lit(1)).alias("rows"), F.count("prev_close").alias("with_prev")).collect()
+        assert sum(r.with_prev for r in sizes) == len(data) - 1
+        assert max(r.rows for r in sizes) < 0.25 * len(data)
+        a = {r.seq: r.prev_close for r in plain.select("seq", "prev_close").collect()}
         b = {r.seq: r.prev_close for r in sliced.select("seq", "prev_close").collect()}
         assert a == b and sum(v is None for v in a.values()) == 1
     finally:
@@ -209,9 +206,9 @@ def test_top_of_hour_returns_equal_full_lag(spark, view):
 
     c = getattr(fx, view)(spark, SF001)
     cols = ["base_currency", "quote_currency", "open_time", "seq", "close", "prev_close", "return", "year"]
-    full = series.top_of_hour(series.candle_returns(c, bucket="day")).select(*cols)
+    full = series.top_of_hour(series.candle_returns(c)).select(*cols)
     for limit in (1_000_000, 2):
-        cheap = series.top_of_hour_returns(c, max_bucket_rows=limit).select(*cols)
+        cheap = series.top_of_hour_returns(c, slice_rows=limit).select(*cols)
         assert full.exceptAll(cheap).count() == 0 and cheap.exceptAll(full).count() == 0
     got = {(r.base_currency, r.quote_currency) for r in series.pairs_with_returns(c).collect()}
     want = {(r.base_currency, r.quote_currency) for r in series.candle_returns(c).select("base_currency", "quote_currency").distinct().collect()}
@@ -235,7 +232,7 @@ def test_top_of_hour_returns_brute_force(spark, rows):
     start = dt.datetime(2021, 3, 1)
     data = [(b, "Q", start + dt.timedelta(minutes=m), i, c, 1.0) for i, (b, m, c) in enumerate(rows)]
     df = spark.createDataFrame(data, CANDLE_DDL)
-    got = {r.seq: r.prev_close for r in series.top_of_hour_returns(df, max_bucket_rows=2).collect()}
+    got = {r.seq: r.prev_close for r in series.top_of_hour_returns(df, slice_rows=2).collect()}
     want = {}
     for base in ("A", "B"):
         seq = sorted((t, s, c) for b, _, t, s, c, _ in data if b == base)
@@ -268,10 +265,10 @@ def test_hour_buckets_ignore_session_time_zone(spark, candles):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        full = {r.seq: r.prev_close for r in series.top_of_hour(series.candle_returns(df, bucket=None)).collect()}
+        full = {r.seq: r.prev_close for r in series.top_of_hour(series.candle_returns(df, slice_rows=None)).collect()}
         cheap = {r.seq: r.prev_close for r in series.top_of_hour_returns(df).collect()}
-        bucketed = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket="hour").collect()}
-        plain = {r.seq: r.prev_close for r in series.lag_in_pair(df, bucket=None).collect()}
+        bucketed = {r.seq: r.prev_close for r in series.lag_in_pair(df, slice_rows=2).collect()}
+        plain = {r.seq: r.prev_close for r in series.lag_in_pair(df, slice_rows=None).collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert cheap == full == {200: 160.0, 300: 260.0}

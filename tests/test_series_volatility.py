@@ -118,16 +118,15 @@ def test_top_series_orders_by_length_then_name(candles):
     assert [(r.base_currency, r.n) for r in top.collect()] == [("B", 4), ("C", 4), ("E", 3), ("A", 2)]
 
 
-@pytest.mark.parametrize("bucket,limit", [("hour", 1_000_000), ("day", 1_000_000), ("month", 1_000_000),
-                                          ("hour", 3), ("day", 7), ("month", 50)])
-def test_bucketed_lag_equals_plain_lag(spark, bucket, limit):
+@pytest.mark.parametrize("rows", [1_000_000, 400, 50, 3])
+def test_sliced_lag_equals_plain_lag(spark, rows):
     from candleframe.sources import fixtures as fx
 
     from conftest import SF001
 
     ticks = fx.candles_ticks(spark, SF001)
-    plain = series.lag_in_pair(ticks, bucket=None).select("seq", F.col("prev_close").alias("p"))
-    bucketed = series.lag_in_pair(ticks, bucket=bucket, max_bucket_rows=limit).select(
+    plain = series.lag_in_pair(ticks, slice_rows=None).select("seq", F.col("prev_close").alias("p"))
+    bucketed = series.lag_in_pair(ticks, slice_rows=rows).select(
         "seq", F.col("prev_close").alias("b")
     )
     j = plain.join(bucketed, "seq", "full")
@@ -135,7 +134,7 @@ def test_bucketed_lag_equals_plain_lag(spark, bucket, limit):
     assert j.where(~F.col("p").eqNullSafe(F.col("b"))).count() == 0
 
 
-def test_bucketed_lag_crosses_empty_buckets(candles):
+def test_sliced_lag_crosses_gaps(candles):
     df = candles(
         [
             ("X", "Q", "2021-01-01 10:00", 1, 1.0, 1.0),
@@ -144,7 +143,7 @@ def test_bucketed_lag_crosses_empty_buckets(candles):
             ("Y", "Q", "2021-01-05 03:10", 4, 9.0, 1.0),
         ]
     )
-    got = {r.seq: r.prev_close for r in series.lag_in_pair(df).collect()}
+    got = {r.seq: r.prev_close for r in series.lag_in_pair(df, slice_rows=1).collect()}
     assert got == {1: None, 2: 1.0, 3: 2.0, 4: None}
 
 
@@ -210,3 +209,28 @@ def test_daily_table_entry_points_equal_candle_entry_points(spark):
     a = studies.volume_return_grid(candles)
     b = studies.volume_return_grid(daily=daily)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_unique_time_path_is_a_hash_aggregate(spark):
+    """With the string classification of a real universe: no sort in the plan."""
+    from candleframe.operators import classify
+    from candleframe.sources import fixtures as fx
+
+    from conftest import SF001
+
+    ticks = classify.classify_by_quote(fx.candles_ticks(spark, SF001), {"stablecoin": ("U0",)})
+    plan = series.daily_last(ticks, unique_times=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_daily_volume_modes(candles):
+    df = candles([
+        ("X", "Q", "2021-01-01 10:00", 1, 1.0, 3.0),
+        ("X", "Q", "2021-01-01 11:00", 2, 2.0, 4.0),
+        ("X", "Q", "2021-01-02 10:00", 3, 2.0, None),
+    ])
+    last = {r.seq: r.volume for r in series.daily_last(df).collect()}
+    total = {r.seq: r.volume for r in series.daily_last(df, volume_mode="sum").collect()}
+    assert last == {2: 4.0, 3: None} and total == {2: 7.0, 3: None}
+    with pytest.raises(ValueError):
+        series.daily_last(df, volume_mode="mean")

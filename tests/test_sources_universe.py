@@ -82,6 +82,16 @@ def test_load_rejects_files_missing_a_column(spark, tmp_path):
         candle_src.load_pair_files(spark, [os.path.join(d, "XRP-USDT.parquet")])
 
 
+def test_load_rejects_one_file_among_good_ones(spark, tmp_path):
+    d = str(tmp_path)
+    _write_pair(d, "BTC-USDT.parquet", [1.0, 2.0])
+    _write_pair(d, "XRP-USDT.parquet", [1.0, 2.0], drop="close")
+    with pytest.raises(candle_src.SchemaMismatch, match="XRP-USDT.*close"):
+        candle_src.load_pair_files(spark, [os.path.join(d, n) for n in ("BTC-USDT.parquet", "XRP-USDT.parquet")])
+    with pytest.raises(candle_src.SchemaMismatch, match="1 of 2"):
+        candle_src.load_directory(spark, d)
+
+
 def test_universe_load_top_bases_common_quotes(spark, pair_dir):
     c = cat.directory_catalog(spark, pair_dir)
     pairs = universe_load.universe_pairs(c, top_n=2)
@@ -153,10 +163,10 @@ def test_universe_operators(spark):
     assert sorted(r.quote_currency for r in universe.common_quotes(cat_df, top).collect()) == ["EUR", "USDT"]
     complete = universe.complete_bases(cat_df, ["BUSD", "EUR", "USDT"])
     assert sorted(r.base_currency for r in complete.collect()) == ["BTC", "ETH"]
-    with pytest.raises(ValueError, match="Not enough bases"):
-        universe.require_bases(complete, target_quotes=["BUSD", "EUR", "USDT"])
+    with pytest.raises(ValueError, match="needs 3 bases"):
+        universe.require_bases(complete, ["BTC"], target_quotes=["BUSD", "EUR", "USDT"])
     assert universe.require_bases(complete, ["ETH", "BTC"], minimum=2) == ["ETH", "BTC"]
-    with pytest.raises(ValueError, match="do not have all"):
+    with pytest.raises(ValueError, match="not quoted in each of .*: ADA; .*BTC, ETH"):
         universe.require_bases(complete, ["ADA", "BTC"], minimum=2)
 
 

@@ -174,6 +174,29 @@ def test_student_t_p_value(spark):
         assert g == pytest.approx(p, rel=1e-5, abs=1e-9), (r, n)
 
 
+def test_p_value_tails_keep_their_relative_accuracy(spark):
+    """Against the finite series for odd and even degrees of freedom in exact rational arithmetic."""
+    from fractions import Fraction
+
+    def exact(r, n):  # n even: v even; p = 1 - sin(theta) * sum of central binomials * cos^2k
+        v = n - 2
+        s = Fraction(r).limit_denominator(10**6)
+        c2 = 1 - s * s
+        total, term = Fraction(0), Fraction(1)
+        for k in range(v // 2):
+            total += term
+            term = term * c2 * (2 * k + 1) / (2 * k + 2)
+        return float(1 - abs(s) * total)
+
+    cases = [(0.3, 200), (0.5, 400), (-0.9, 60), (0.9, 120), (0.99, 40), (0.6, 500), (0.05, 30), (0.2, 1000), (0.95, 194)]
+    df = spark.createDataFrame(cases, "r double, n bigint")
+    got = [row.p for row in df.select(student_t_two_sided_p("r", "n").alias("p")).collect()]
+    want = [exact(r, n) for r, n in cases]
+    assert min(want) < 1e-90
+    for g, w, c in zip(got, want, cases):
+        assert g == pytest.approx(w, rel=1e-7), c
+
+
 def test_p_value_edges(spark):
     df = spark.createDataFrame([(1.0, 10), (-1.0, 5), (0.3, 2), (None, 10), (0.0, 3)], "r double, n bigint")
     got = [row.p for row in df.select(student_t_two_sided_p("r", "n").alias("p")).collect()]
@@ -212,15 +235,15 @@ def test_return_correlation_study_guards_and_grids(spark):
         hourly, quotes=("U0", "U1", "U2"), bases=("click", "purchase", "view"), years=(2024,)
     )
     assert q.count() == 3 * 9 and b.count() == 3 * 9
-    with pytest.raises(ValueError, match="do not have all"):
+    with pytest.raises(ValueError, match="not quoted in each of"):
         studies.return_correlation_study(hourly, quotes=("U0", "U1"), bases=("click", "nosuch"), years=(2024,))
     # The pair catalog fixture at sf0.001 has no base with three quotes: the guard fires.
     from candleframe.operators import universe
     from candleframe.sources import catalog as cat
 
     pairs = cat.pair_catalog(fx.pair_files(spark, SF0001))
-    with pytest.raises(ValueError, match="Not enough bases"):
-        universe.require_bases(universe.complete_bases(pairs, ("Q0", "Q1", "Q2")), target_quotes=("Q0", "Q1", "Q2"))
+    with pytest.raises(ValueError, match="needs 3 bases"):
+        universe.require_bases(universe.complete_bases(pairs, ("Q0", "Q1", "Q2")), ["CHINA"], target_quotes=("Q0", "Q1", "Q2"))
 
 
 def test_hour_matrix_agrees_with_long_form(spark):
@@ -280,12 +303,12 @@ def test_return_summaries_equal_separate_passes(spark):
 
     hourly = fx.candles_hourly(spark, SF001)
     kw = dict(quotes=("U0", "U1", "U2"), bases=("click", "purchase", "view"))
-    summary, sums = studies.return_summaries(hourly, **kw)
+    summary, moments = studies.return_summaries(hourly, **kw)
     q, b = studies.correlation_grids(summary, years=(2023, 2024), **kw)
     q2, b2 = studies.return_correlation_study(hourly, years=(2023, 2024), **kw)
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
     assert rnd(q.collect()) == rnd(q2.collect()) and rnd(b.collect()) == rnd(b2.collect())
-    h = correlation.hour_correlation_from_sums(sums)
+    h = correlation.hour_correlation_from_moments(moments)
     h2 = correlation.hour_return_correlation(series.candle_returns(hourly))
     assert rnd(h.collect()) == rnd(h2.collect())
 
