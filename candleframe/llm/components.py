@@ -13,28 +13,31 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        moved = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
-    return moved.where(F.col("u") != F.col("v")).distinct()
+    return moved.where("u != v")
+
+
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("hub")),
+        F.struct(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("hub")))))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("hub").alias("hub")).where("out > 1 OR out * hub > 0").isEmpty()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root): every id of an edge with the smallest id of its component.
 
-    Large-star and small-star rounds until the edges no longer change; each round is
-    staged. Minima are aggregated before they are joined back, so that a hub's edges are
+    Large-star and small-star rounds until every edge leads straight to its root; each round
+    is staged. Minima are aggregated before they are joined back, so that a hub's edges are
     never gathered; the number of rounds grows with the logarithm of the longest path.
     """
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    now, seen = stage(now, "edges"), None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
-            break
-        seen = mark
-        now = stage(_stars(_stars(now, large=True), large=False), "edges")
+    now = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
+    while not _is_star_forest(now):
+        now = stage(_stars(_stars(now, large=True), large=False).distinct(), "edges")
     return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())

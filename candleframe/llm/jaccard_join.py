@@ -5,9 +5,9 @@ where Voronoi regions of pivots cannot part them. So regions are first cut by an
 key: a pair that links differs in at most H shingles; spread over H + 2 hash buckets, at
 least two buckets of the pair agree completely. Documents that share such a bucket form a
 cell, connected cells form a region, and inside a region distances tell documents apart:
-every member is measured against the region's pivot, the triangle inequality leaves only
-pairs whose distances to it differ by no more than the radius, and cells whose members the
-pivot has already joined are done.
+every member is measured against the region's pivot. Those within the radius are joined.
+The far ones are compared with members whose distance to the pivot differs by no more than
+the radius (the triangle inequality's window) and that share one of their first shingles.
 """
 
 from __future__ import annotations
@@ -227,12 +227,14 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
     return packed.repartition(parts, "segment").mapInArrow(gather, "members array<long>")
 
 
-def measure(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int] | None = None) -> DataFrame:
     """(p, x, inter, total): sizes of intersection and union of the sets p and x.
 
     ``texts`` (set, text) is joined to the distinct pairs' ends, by shuffle at any size. The
     pairs of one p are dealt over parts of about PART_ROWS, each with p's text first: a part
-    streams past its p.
+    streams past its p. With ``similarity`` also size (of x) and prefix: the first shingles
+    of x in the order of region p, as many as any partner may ask for. That order puts
+    shingles that p has not before those that it has, and goes by hash within the two.
     """
     parts = pairs.groupBy("p").agg(F.ceil(F.count("*") / F.lit(PART_ROWS)).cast("int").alias("parts"))
     pairs = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
@@ -248,7 +250,7 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             for block in blocks(batch, "text"):
                 sets, n = shingle_sets(block.column("text"), words)
                 ends = np.cumsum(n).tolist()
-                out = []
+                out, prefixes = [], []
                 lo = 0
                 rows = zip(*[block.column(c).to_pylist() for c in ("p", "part", "kind", "x")], ends, strict=True)
                 for p, part, kind, x, hi in rows:
@@ -257,13 +259,24 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
                     if kind == 0:
                         at, pivot = (p, part), own.copy()
                     elif at == (p, part):
-                        inter = len(np.intersect1d(pivot, own, assume_unique=True))
-                        out.append((p, x, inter, len(pivot) + len(own) - inter))
-                cols = list(zip(*out, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["p", "x", "inter", "total"])
+                        where = np.minimum(np.searchsorted(pivot, own), max(0, len(pivot) - 1))
+                        common = pivot[where] == own if len(pivot) else np.zeros(len(own), dtype=bool)
+                        inter = int(common.sum())
+                        out.append((p, x, inter, len(pivot) + len(own) - inter, len(own)))
+                        if similarity:
+                            num, den = similarity
+                            most = len(own) + num * len(own) // -den + 1  # len - ceil(len * num / den) + 1
+                            prefixes.append(np.concatenate([own[~common], own[common]])[:most].view(np.int64))
+                cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
+                cols = [pa.array(c, pa.int64()) for c in cols]
+                if similarity:
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(prefixes, pa.list_(pa.int64()))], ["p", "x", "inter", "total", "size", "prefix"])
+                else:
+                    yield pa.RecordBatch.from_arrays(cols[:4], ["p", "x", "inter", "total"])
 
     both = heads.unionByName(tails).repartition("p", "part").sortWithinPartitions("p", "part", "kind", "x")
-    return both.mapInArrow(run, "p long, x long, inter long, total long")
+    more = ", size long, prefix array<long>" if similarity else ""
+    return both.mapInArrow(run, "p long, x long, inter long, total long" + more)
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY,
@@ -279,8 +292,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     full = F.coalesce(F.col(text), F.lit(""))
     ready = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
     rows = stage(fingerprints(ready, words), "fingerprints")
-    # Numbered before they are exploded: a later number would count the members.
-    cell = stage(cells(ready, words, similarity).withColumn("cell", F.monotonically_increasing_id()), "cells")
+    cell = stage(cells(ready, words, similarity), "cells")
     star = cell.select(F.element_at("members", 1).alias("a"), F.explode("members").alias("b")).where("a != b").distinct()
     region = stage(connected_components(star), "regions")
     # One row of each set stands for it, found by its id and its text's checksum.
@@ -289,25 +301,35 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     packed = zipped(ready).withColumnsRenamed({"doc_id": "id", "crc": "sum"})
     same = packed.id.eqNullSafe(members.doc_id) & (packed["sum"] == members.crc)
     texts = stage(unzipped(packed.join(members.hint("merge"), same).select("set", "text")), "texts")
-    # First the region's pivot, its smallest set, against every member.
-    to_pivot = region.where("id != root").select(F.col("root").alias("p"), F.col("id").alias("x"))
-    near = stage(measure(to_pivot, texts, words), "distances")
+    # The pivot of a region is the member that shares most cells: copies lie around what they copy.
+    shared = cell.select(F.explode("members").alias("id")).groupBy("id").agg(F.count("*").alias("cells"))
+    pivots = region.join(shared, "id").groupBy("root").agg(F.max(F.struct("cells", "id"))["id"].alias("pivot"))
+    placed = stage(region.join(pivots, "root").select("id", "pivot"), "pivots")
+    # First every member against its pivot.
+    to_pivot = placed.where("id != pivot").select(F.col("pivot").alias("p"), F.col("id").alias("x"))
+    near = stage(measure(to_pivot, texts, words, similarity), "distances")
     close = F.col("inter") * den >= F.col("total") * num
     linked = near.where(close).select(F.col("p").alias("a"), F.col("x").alias("b"))
-    # Then members of one cell in different components, within the triangle inequality's window.
-    known = near.select(F.col("x").alias("id"), (1 - F.col("inter") / F.col("total")).alias("d"),
-                        F.when(close, F.col("p")).otherwise(F.col("x")).alias("comp"))
-    known = stage(region.join(known, "id", "left").select(
-        "id", "root", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("comp", "id").alias("comp")), "known")
-    inside = cell.select("cell", F.explode("members").alias("id")).join(known, "id")
-    inside = stage(inside, "inside")
-    torn = inside.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("cell")
-    open_cells = stage(inside.join(torn, "cell").where("id != root"), "open")
-    x = open_cells.select("cell", F.col("id").alias("p"), F.col("comp").alias("pc"), F.col("d").alias("pd"))
-    y = open_cells.select("cell", F.col("id").alias("x"), F.col("comp").alias("xc"), F.col("d").alias("xd"))
-    radius = (den - num) / den + 1e-9
-    window = (F.col("p") < F.col("x")) & (F.col("pc") != F.col("xc")) & (F.abs(F.col("pd") - F.col("xd")) <= radius)
-    rest = x.join(y, "cell").where(window).select("p", "x").distinct()
+    # Then the far ones, against members of their region in other components. By the triangle
+    # inequality distances to the pivot differ by the radius at most; and two sets that share
+    # enough share one of the first shingles of both, in any common order. In the region's
+    # order a far set's first ones lie outside the pivot, where copies differ.
+    distance = 1 - F.col("inter") / F.col("total")
+    marked = near.select("p", "x", "size", distance.alias("d"), (~close).alias("far"), F.posexplode("prefix").alias("pos", "g"))
+    far = marked.where("far")
+    torn = far.select("p").distinct()
+    left = far.select("p", "g", F.col("x").alias("a"), F.col("size").alias("an"), F.col("d").alias("ad"), F.col("pos").alias("ap"))
+    right = marked.join(torn, "p", "left_semi").select(
+        "p", "g", F.col("x").alias("b"), F.col("size").alias("bn"), F.col("d").alias("bd"), F.col("pos").alias("bp"), "far")
+    need = F.ceil(F.lit(num) * (F.col("an") + F.col("bn")) / F.lit(num + den))  # shingles that both have, at least
+    fits = (
+        ((F.col("a") < F.col("b")) | (~F.col("far")))
+        & (F.col("ap") <= F.col("an") - need) & (F.col("bp") <= F.col("bn") - need)
+        & (F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
+        & (F.abs(F.col("ad") - F.col("bd")) <= (den - num) / den + 1e-9)
+    )
+    keys = (left.p == right.p) & (left.g == right.g)
+    rest = left.join(right, keys & fits).select(F.col("a").alias("p"), F.col("b").alias("x")).distinct()
     more = measure(stage(rest, "pairs"), texts, words).where(close).select(F.col("p").alias("a"), F.col("x").alias("b"))
     return rows, linked.unionByName(more)
 
