@@ -10,23 +10,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are taken in blocks of about this many bytes, however long a batch is.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 #: A table that has grown beyond this many chunks starts anew: memory stays bounded.
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 400_000
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each, at least one row."""
     if not batch.num_rows:
         return
-    # Widened before it is sliced: a cast of a sliced string array gives kernels wrong offsets.
-    at = batch.schema.get_field_index(column)
-    batch = batch.set_column(at, column, batch.column(column).cast(pa.large_string()))
+    place = batch.schema.get_field_index(column)
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = (np.cumsum(size) - size) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-        yield batch.slice(lo, hi - lo)
+        # Copied before it is widened: a cast of a sliced string array gives kernels wrong offsets.
+        text = batch.column(column).take(pa.array(np.arange(lo, hi))).cast(pa.large_string())
+        yield batch.slice(lo, hi - lo).set_column(place, column, text)
+        del text
+        pa.default_memory_pool().release_unused()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
