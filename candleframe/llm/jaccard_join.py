@@ -227,56 +227,114 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
     return packed.repartition(parts, "segment").mapInArrow(gather, "members array<long>")
 
 
+def _inside(pivot: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which elements of the ascending ``own`` are in the ascending ``pivot``."""
+    if not len(pivot):
+        return np.zeros(len(own), dtype=bool)
+    return pivot[np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)] == own
+
+
+def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tuple[int, int]) -> list[tuple[int, int, int, int]]:
+    """(a, b, inter, total) of links between members of one region that no other link joins.
+
+    ``members``: (id, set, inter and total with the pivot). Far members are compared with
+    those of other components whose size and distance to the pivot allow a link.
+    """
+    num, den = similarity
+    inter = np.array([m[2] for m in members])
+    total = np.array([m[3] for m in members])
+    near = inter * den >= total * num
+    if near.all():
+        return []
+    d, size = 1 - inter / total, np.array([len(m[1]) for m in members])
+    comp = np.where(near, -1, np.arange(len(members)))
+    out = []
+    for i in np.flatnonzero(~near).tolist():
+        own = members[i][1]
+        maybe = (
+            (np.abs(d - d[i]) <= (den - num) / den + 1e-9)
+            & (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num)
+        )
+        for j in np.flatnonzero(maybe).tolist():
+            if comp[j] != comp[i]:
+                both = int(_inside(members[j][1], own).sum())
+                union = int(size[i] + size[j]) - both
+                if both * den >= union * num:
+                    out.append((members[i][0], members[j][0], both, union))
+                    comp[comp == comp[j]] = comp[i] if comp[j] != -1 else -1
+                    if comp[j] == -1:
+                        comp[comp == comp[i]] = -1
+    return out
+
+
 def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int] | None = None) -> DataFrame:
     """(p, x, inter, total): sizes of intersection and union of the sets p and x.
 
     ``texts`` (set, text) is joined to the distinct pairs' ends, by shuffle at any size. The
     pairs of one p are dealt over parts of about PART_ROWS, each with p's text first: a part
-    streams past its p. With ``similarity`` also size (of x) and prefix: the first shingles
-    of x in the order of region p, as many as any partner may ask for. That order puts
-    shingles that p has not before those that it has, and goes by hash within the two.
+    streams past its p. With ``similarity``, p is the pivot of a region: a region of one
+    part is joined there and then (its further links are rows of their own), and of larger
+    ones every row also has size (of x) and prefix: the first shingles of x in the order of
+    the region, as many as any partner may ask for. That order puts shingles that p has not
+    before those that it has, and goes by hash within the two. Elsewhere prefix is NULL.
     """
     parts = pairs.groupBy("p").agg(F.ceil(F.count("*") / F.lit(PART_ROWS)).cast("int").alias("parts"))
     pairs = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
     texts = texts.hint("merge")
-    heads = parts.select("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(
+    heads = parts.select("p", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(
         texts.select(F.col("set").alias("p"), "text"), "p").select(
-        "p", "part", F.lit(0).alias("kind"), F.col("p").alias("x"), "text")
-    tails = pairs.join(texts.select(F.col("set").alias("x"), "text"), "x").select("p", "part", F.lit(1).alias("kind"), "x", "text")
+        "p", "part", "parts", F.lit(0).alias("kind"), F.col("p").alias("x"), "text")
+    tails = pairs.join(texts.select(F.col("set").alias("x"), "text"), "x").select(
+        "p", "part", "parts", F.lit(1).alias("kind"), "x", "text")
+    names = ["p", "x", "inter", "total", "size", "prefix"]
+
+    def batch_of(rows):
+        cols = list(zip(*rows, strict=True)) or [[]] * 6
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.list_(pa.int64()))], names)
 
     def run(batches):
-        at, pivot = None, None
+        at, pivot, held = None, None, []
+
+        def joined():
+            rows = [(*link, 0, None) for link in _join_region(held, similarity)]
+            held.clear()
+            return rows
+
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets, n = shingle_sets(block.column("text"), words)
                 ends = np.cumsum(n).tolist()
-                out, prefixes = [], []
+                out = []
                 lo = 0
-                rows = zip(*[block.column(c).to_pylist() for c in ("p", "part", "kind", "x")], ends, strict=True)
-                for p, part, kind, x, hi in rows:
+                rows = zip(*[block.column(c).to_pylist() for c in ("p", "part", "parts", "kind", "x")], ends, strict=True)
+                for p, part, parts, kind, x, hi in rows:
                     own = sets[lo:hi]
                     lo = hi
                     if kind == 0:
+                        if held:
+                            out += joined()
                         at, pivot = (p, part), own.copy()
                     elif at == (p, part):
-                        where = np.minimum(np.searchsorted(pivot, own), max(0, len(pivot) - 1))
-                        common = pivot[where] == own if len(pivot) else np.zeros(len(own), dtype=bool)
+                        common = _inside(pivot, own)
                         inter = int(common.sum())
-                        out.append((p, x, inter, len(pivot) + len(own) - inter, len(own)))
-                        if similarity:
+                        total, prefix = len(pivot) + len(own) - inter, None
+                        if similarity and parts == 1:
+                            held.append((x, own.copy(), inter, total))
+                        elif similarity:
                             num, den = similarity
                             most = len(own) + num * len(own) // -den + 1  # len - ceil(len * num / den) + 1
-                            prefixes.append(np.concatenate([own[~common], own[common]])[:most].view(np.int64))
-                cols = list(zip(*out, strict=True)) or [[], [], [], [], []]
-                cols = [pa.array(c, pa.int64()) for c in cols]
-                if similarity:
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(prefixes, pa.list_(pa.int64()))], ["p", "x", "inter", "total", "size", "prefix"])
-                else:
-                    yield pa.RecordBatch.from_arrays(cols[:4], ["p", "x", "inter", "total"])
+                            prefix = np.concatenate([own[~common], own[common]])[:most].view(np.int64)
+                        out.append((p, x, inter, total, len(own), prefix))
+                yield batch_of(out)
+        if held:
+            yield batch_of(joined())
 
-    both = heads.unionByName(tails).repartition("p", "part").sortWithinPartitions("p", "part", "kind", "x")
-    more = ", size long, prefix array<long>" if similarity else ""
-    return both.mapInArrow(run, "p long, x long, inter long, total long" + more)
+    columns = ["p", "part", "parts", "kind", "x", "text"]
+    both = heads.select(*columns).unionByName(tails.select(*columns)).repartition("p", "part")
+    found = both.sortWithinPartitions("p", "part", "kind", "x").mapInArrow(
+        run, "p long, x long, inter long, total long, size long, prefix array<long>")
+    return found if similarity else found.select("p", "x", "inter", "total")
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY,
@@ -314,8 +372,9 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     # inequality distances to the pivot differ by the radius at most; and two sets that share
     # enough share one of the first shingles of both, in any common order. In the region's
     # order a far set's first ones lie outside the pivot, where copies differ.
+    # (Regions of one part are joined already: their rows have no prefix.)
     distance = 1 - F.col("inter") / F.col("total")
-    marked = near.select("p", "x", "size", distance.alias("d"), (~close).alias("far"), F.posexplode("prefix").alias("pos", "g"))
+    marked = near.where("prefix IS NOT NULL").select("p", "x", "size", distance.alias("d"), (~close).alias("far"), F.posexplode("prefix").alias("pos", "g"))
     far = marked.where("far")
     torn = far.select("p").distinct()
     left = far.select("p", "g", F.col("x").alias("a"), F.col("size").alias("an"), F.col("d").alias("ad"), F.col("pos").alias("ap"))

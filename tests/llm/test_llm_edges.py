@@ -95,8 +95,12 @@ def test_jaccard(spark, docs, none):
     assert jaccard_join.jaccard_components(none).collect() == []
 
 
-def test_jaccard_chains_and_sizes(spark):
-    """Chains of edits, sets of every size and an order that no pivot joins at once."""
+@pytest.mark.parametrize("part_rows", [512, 3])
+def test_jaccard_chains_and_sizes(spark, monkeypatch, part_rows):
+    """Chains of edits, sets of every size and an order that no pivot joins at once.
+
+    Regions are joined in one part each, or spread over parts of three members."""
+    monkeypatch.setattr(jaccard_join, "PART_ROWS", part_rows)
     rng = np.random.default_rng(3)
     rows, i = [], 0
     for size in [4, 5, 7, 9, 12, 20, 33, 60, 150]:
