@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.common import gapless_rank, stage
@@ -49,17 +49,6 @@ def grant(requests: dict[tuple[int, int, int], int], held: list[int], quota: lis
     return given
 
 
-def _one_of(pairs: list[tuple], *columns: Column) -> Column:
-    """Whether the columns' values are one of the (few) tuples."""
-    out = F.lit(False)
-    for p in pairs:
-        hit = F.lit(True)
-        for c, v in zip(columns, p, strict=True):
-            hit = hit & (c == F.lit(v))
-        out = out | hit
-    return out
-
-
 def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
     """Shards of the linked documents: uid, shard.
 
@@ -97,18 +86,18 @@ def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataF
         given = grant(requests, held, quota)
         if not sum(given.values()):
             break
-        whole = [r for r in requests if given[r] == requests[r]]
-        part = [r for r in requests if 0 < given[r] < requests[r]]
-        cell = (F.col("shard"), F.col("to"), F.col("bucket"))
-        asks = F.col("to").isNotNull()
-        moves = F.when(asks & _one_of(whole, *cell), F.col("to"))
-        state = wish.where(~(asks & _one_of(part, *cell)) if part else F.lit(True)).select(
-            "uid", F.coalesce(moves, "shard").alias("shard"))
-        if part:
-            ranked = gapless_rank(wish.where(asks & _one_of(part, *cell)), ["shard", "to", "bucket"], ["uid"], "r", n)
-            limit = F.coalesce(*[F.when(_one_of([r], *cell), F.lit(given[r])) for r in part])
+        # Grants as a table of at most shards^2 * 40 rows: all, some or none of each cell move.
+        cell = ["shard", "to", "bucket"]
+        grants = F.broadcast(links.sparkSession.createDataFrame(
+            [(*r, given[r], requests[r]) for r in requests], "shard int, to int, bucket int, given long, asked long"))
+        told = wish.join(grants, cell, "left")
+        some = (F.col("given") > 0) & (F.col("given") < F.col("asked"))
+        state = told.where(~F.coalesce(some, F.lit(False))).select(
+            "uid", F.when(F.col("given") > 0, F.col("to")).otherwise(F.col("shard")).alias("shard"))
+        if any(0 < given[r] < requests[r] for r in requests):
+            ranked = gapless_rank(told.where(some), cell, ["uid"], "r", n)
             state = state.unionByName(ranked.select(
-                "uid", F.when(F.col("r") < limit, F.col("to")).otherwise(F.col("shard")).alias("shard")))
+                "uid", F.when(F.col("r") < F.col("given"), F.col("to")).otherwise(F.col("shard")).alias("shard")))
         state = stage(state, "shards")
     return state
 
