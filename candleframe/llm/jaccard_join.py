@@ -5,9 +5,10 @@ where Voronoi regions of pivots cannot part them. So regions are first cut by an
 key: a pair that links differs in at most H shingles; spread over H + 2 hash buckets, at
 least two buckets of the pair agree completely. Documents that share such a bucket form a
 cell, connected cells form a region, and inside a region distances tell documents apart:
-every member is measured against the region's pivot. Those within the radius are joined.
-The far ones are compared with members whose distance to the pivot differs by no more than
-the radius (the triangle inequality's window) and that share one of their first shingles.
+every member is measured against the region's pivot. Those within the radius are joined;
+the far ones get pivots of their own, round by round. Members of different pivots, or of
+none, are compared if their distances to the first pivot differ by no more than the radius
+(the triangle inequality's window) and they share one of their first shingles.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WORDS, SIMILARITY = 4, (85, 100)
 FLUSH = 1 << 21
 #: Members of a region that meet its pivot in one part.
 PART_ROWS = 512
+#: Further pivots that a region of several parts gets, one after the other.
+PIVOT_ROUNDS = 3
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -368,27 +371,41 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     near = stage(measure(to_pivot, texts, words, similarity), "distances")
     close = F.col("inter") * den >= F.col("total") * num
     linked = near.where(close).select(F.col("p").alias("a"), F.col("x").alias("b"))
-    # Then the far ones, against members of their region in other components. By the triangle
-    # inequality distances to the pivot differ by the radius at most; and two sets that share
-    # enough share one of the first shingles of both, in any common order. In the region's
-    # order a far set's first ones lie outside the pivot, where copies differ.
     # (Regions of one part are joined already: their rows have no prefix.)
-    distance = 1 - F.col("inter") / F.col("total")
-    marked = near.where("prefix IS NOT NULL").select("p", "x", "size", distance.alias("d"), (~close).alias("far"), F.posexplode("prefix").alias("pos", "g"))
-    far = marked.where("far")
-    torn = far.select("p").distinct()
-    left = far.select("p", "g", F.col("x").alias("a"), F.col("size").alias("an"), F.col("d").alias("ad"), F.col("pos").alias("ap"))
-    right = marked.join(torn, "p", "left_semi").select(
-        "p", "g", F.col("x").alias("b"), F.col("size").alias("bn"), F.col("d").alias("bd"), F.col("pos").alias("bp"), "far")
-    need = F.ceil(F.lit(num) * (F.col("an") + F.col("bn")) / F.lit(num + den))  # shingles that both have, at least
+    large = near.where("prefix IS NOT NULL")
+    if large.isEmpty():
+        return rows, linked
+    # Large regions go on in the same way: the far members get pivots of their own.
+    state = stage(large.select(F.col("p").alias("region"), F.col("x").alias("id"), F.when(close, F.col("p")).alias("comp")), "regions")
+    for _ in range(PIVOT_ROUNDS):
+        far = state.where("comp IS NULL")
+        new = stage(far.join(shared, "id").groupBy("region").agg(F.max(F.struct("cells", "id"))["id"].alias("pivot")), "pivots")
+        to_pivot = far.join(new, "region").where("id != pivot").select(F.col("pivot").alias("p"), F.col("id").alias("x"))
+        got = stage(measure(to_pivot, texts, words), "distances").where(close).select(F.col("p").alias("a"), F.col("x").alias("b"))
+        linked = linked.unionByName(got)
+        found = got.select(F.col("b").alias("id"), F.col("a").alias("to")).unionByName(
+            new.select(F.col("pivot").alias("id"), F.col("pivot").alias("to")))
+        state = stage(state.join(found, "id", "left").select("region", "id", F.coalesce("comp", "to").alias("comp")), "regions")
+    # What is left are pairs of members of different pivots, or of none. By the triangle
+    # inequality their distances to the region's pivot differ by the radius at most; and two
+    # sets that share enough share one of the first shingles of both, in any common order. In
+    # the region's order a far set's first ones lie outside the pivot, where copies differ.
+    marked = large.join(state.select(F.col("id").alias("x"), F.coalesce("comp", "id").alias("comp")), "x").select(
+        "p", "x", "comp", "size", (1 - F.col("inter") / F.col("total")).alias("d"), F.posexplode("prefix").alias("pos", "g"))
+    marked = stage(marked, "prefixes")
+    torn = marked.groupBy("p", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("p", "g")
+    marked = stage(marked.join(torn, ["p", "g"]), "torn")
+    left = marked.where("comp != p").select("p", "g", *[F.col(c).alias(f"{c}_a") for c in ("x", "comp", "size", "d", "pos")])
+    right = marked.select(*[F.col(c).alias(f"{c}_b") for c in ("p", "g", "x", "comp", "size", "d", "pos")])
+    need = F.ceil(F.lit(num) * (F.col("size_a") + F.col("size_b")) / F.lit(num + den))  # shingles in common, at least
     fits = (
-        ((F.col("a") < F.col("b")) | (~F.col("far")))
-        & (F.col("ap") <= F.col("an") - need) & (F.col("bp") <= F.col("bn") - need)
-        & (F.least("an", "bn") * den >= F.greatest("an", "bn") * num)
-        & (F.abs(F.col("ad") - F.col("bd")) <= (den - num) / den + 1e-9)
+        (F.col("comp_a") != F.col("comp_b")) & ((F.col("x_a") < F.col("x_b")) | (F.col("comp_b") == F.col("p_b")))
+        & (F.col("pos_a") <= F.col("size_a") - need) & (F.col("pos_b") <= F.col("size_b") - need)
+        & (F.least("size_a", "size_b") * den >= F.greatest("size_a", "size_b") * num)
+        & (F.abs(F.col("d_a") - F.col("d_b")) <= (den - num) / den + 1e-9)
     )
-    keys = (left.p == right.p) & (left.g == right.g)
-    rest = left.join(right, keys & fits).select(F.col("a").alias("p"), F.col("b").alias("x")).distinct()
+    keys = (F.col("p") == F.col("p_b")) & (F.col("g") == F.col("g_b"))
+    rest = left.join(right, keys & fits).select(F.col("x_a").alias("p"), F.col("x_b").alias("x")).distinct()
     more = measure(stage(rest, "pairs"), texts, words).where(close).select(F.col("p").alias("a"), F.col("x").alias("b"))
     return rows, linked.unionByName(more)
 
