@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -61,6 +64,21 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, for mapInArrow, that gives memory back to the system when a partition ends.
+
+    Python workers outlive tasks; what their allocators keep would add up.
+    """
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # the C library has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def checked_broadcast(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """A staged slim table, marked for broadcast if it has at most ``most_rows`` rows.
 
@@ -95,7 +113,7 @@ def zipped(df: DataFrame, column: str = "text") -> DataFrame:
             packed = [pack.compress(x.as_buffer()) if x.is_valid else None for x in b.column(z).cast(pa.binary())]
             yield b.set_column(b.schema.get_field_index(z), z, pa.array(packed, pa.binary()))
 
-    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(run, ddl(rest, f"`{z}` binary"))
+    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(trimmed(run), ddl(rest, f"`{z}` binary"))
     return out.select(*[F.col(z).alias(column) if c == column else F.col(c) for c in df.columns])
 
 
@@ -112,7 +130,7 @@ def unzipped(df: DataFrame, column: str = "text") -> DataFrame:
                 t = pa.array([unpack.decompress(x.as_buffer()) if x.is_valid else None for x in part.column(z)], pa.binary())
                 yield part.set_column(part.schema.get_field_index(z), z, t.cast(pa.string()))
 
-    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(run, ddl(rest, f"`{z}` string"))
+    out = df.select(*rest.columns, F.col(column).alias(z)).mapInArrow(trimmed(run), ddl(rest, f"`{z}` string"))
     return out.select(*[F.col(z).alias(column) if c == column else F.col(c) for c in df.columns])
 
 

@@ -214,7 +214,7 @@ def _power_tables(n: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
         rng = np.random.default_rng(salt)
         table = rng.integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         base = np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(salt << 8)
-        size = max(n, 1 << 16)
+        size = 1 << max(16, int(n - 1).bit_length())
         tables = []
         with np.errstate(over="ignore"):
             for b in (base, np.uint64(pow(int(base), -1, 1 << 64))):
@@ -222,8 +222,8 @@ def _power_tables(n: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
                 power[0] = 1
                 tables.append(np.cumprod(power))
         have = _powers[salt] = (table, *tables)
-        if size > 1 << 23:
-            del _powers[salt]  # a very long text: not kept
+        if size > 1 << 21:
+            del _powers[salt]  # for a very long text: not kept
     return have
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ship_package, shuffle_partitions, stage, unzipped, zipped
+from candleframe.llm.common import ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
 from candleframe.llm.components import connected_components
 
 #: Words in a shingle and the least similarity, as a fraction, of the registered query.
@@ -160,7 +160,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
                     [block.column("doc_id"), block.column("crc"), pa.array(n), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                     ["doc_id", "crc", "n_shingles", "fa", "fb"])
 
-    return docs.mapInArrow(run, "doc_id long, crc long, n_shingles long, fa long, fb long")
+    return docs.mapInArrow(trimmed(run), "doc_id long, crc long, n_shingles long, fa long, fb long")
 
 
 def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
@@ -226,8 +226,8 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
 
-    packed = docs.select("text").mapInArrow(sign, "segment int, sigs binary, ids binary")
-    return packed.repartition(parts, "segment").mapInArrow(gather, "members array<long>")
+    packed = docs.select("text").mapInArrow(trimmed(sign), "segment int, sigs binary, ids binary")
+    return packed.repartition(parts, "segment").mapInArrow(trimmed(gather), "members array<long>")
 
 
 def _inside(pivot: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -335,8 +335,7 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
 
     columns = ["p", "part", "parts", "kind", "x", "text"]
     both = heads.select(*columns).unionByName(tails.select(*columns)).repartition("p", "part")
-    found = both.sortWithinPartitions("p", "part", "kind", "x").mapInArrow(
-        run, "p long, x long, inter long, total long, size long, prefix array<long>")
+    found = both.sortWithinPartitions("p", "part", "kind", "x").mapInArrow(trimmed(run), "p long, x long, inter long, total long, size long, prefix array<long>")
     return found if similarity else found.select("p", "x", "inter", "total")
 
 

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import WS_CHARS, ascii_lower, ddl, ship_package, shuffle_partitions, stage
+from candleframe.llm.common import WS_CHARS, ascii_lower, ddl, ship_package, shuffle_partitions, stage, trimmed
 
 #: Lines shorter than this (code points of the key) are never dropped.
 MIN_CHARS = 20
@@ -163,9 +163,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
     segment = F.pmod(F.col("h"), F.lit(parts)).cast("int")
     filters = (
-        lines.select("h").mapInArrow(_combine, "h long, more boolean")
+        lines.select("h").mapInArrow(trimmed(_combine), "h long, more boolean")
         .withColumn("segment", segment).repartition(parts, "segment").sortWithinPartitions("segment")
-        .mapInArrow(_build_filters, "segment int, bits binary")
+        .mapInArrow(trimmed(_build_filters), "segment int, bits binary")
     )
     probes = lines.select(
         segment.alias("segment"), F.pmod(F.xxhash64("id"), F.lit(REPLICAS)).cast("int").alias("replica"),
@@ -179,7 +179,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     suspects = stage(
         copies.unionByName(probes).repartition(parts, "segment", "replica")
         .sortWithinPartitions("segment", "replica", "kind")
-        .mapInArrow(_suspects, "id long, h long, h2 long"),
+        .mapInArrow(trimmed(_suspects), "id long, h long, h2 long"),
         "suspects",
     )
     repeated = (
@@ -200,7 +200,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     ready = safe.select(*others, ident.alias("_id"), full.alias("_text")).join(drops, "_id", "left").select(
         *others, "_text", "_drop", F.transform(_keys(F.col("_text")), lambda k: _hash(k, F.lit(0).cast("long"))).alias("_lines"),
     )
-    cut = ready.mapInArrow(_cut_lines, ddl(safe.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))
+    cut = ready.mapInArrow(trimmed(_cut_lines), ddl(safe.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))
     return cut.select(
         *[F.col("_kept").alias(text) if c == text else F.col(f"_o_{c}").alias(c) for c in base.columns],
         F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import ddl, gapless_rank, ship_package, stage
+from candleframe.llm.common import ddl, gapless_rank, ship_package, stage, trimmed
 from candleframe.llm.token_files import encode_rows
 
 CAPACITY = 4096
@@ -162,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(trimmed(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, order: list[str] | None = None) -> DataFrame:
@@ -187,7 +187,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, orde
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in cols], pa.array(sequence), pa.array(offset)],
                                              [*cols, "sequence_id", "offset"])
 
-    return ranked.select(*cols, "_slot").mapInArrow(assign, ddl(pieces, "sequence_id long, offset long"))
+    return ranked.select(*cols, "_slot").mapInArrow(trimmed(assign), ddl(pieces, "sequence_id long, offset long"))
 
 
 def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import ChunkTable, blocks, ragged
-from candleframe.llm.common import ddl, free_name, ship_package
+from candleframe.llm.common import ddl, free_name, ship_package, trimmed
 
 SPACE = "▁"
 #: Marks the cuts between chunks; a text that holds it is segmented whole.
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, [*names, "ids", "begins", "ends"])
 
     ready = docs.select(*names, F.col(text).alias(own))
-    return ready.mapInArrow(run, ddl(rest, "ids array<int>", "begins array<int>", "ends array<int>"))
+    return ready.mapInArrow(trimmed(run), ddl(rest, "ids array<int>", "begins array<int>", "ends array<int>"))
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -339,4 +339,4 @@ def decode(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") ->
                 text = pieces.decode(lists.flatten().to_numpy(zero_copy_only=False), n)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], text], [*names, out])
 
-    return rest.mapInArrow(run, ddl(rest, f"`{out}` string"))
+    return rest.mapInArrow(trimmed(run), ddl(rest, f"`{out}` string"))

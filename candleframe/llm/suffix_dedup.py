@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ddl, ship_package, shuffle_partitions, stage, zipped
+from candleframe.llm.common import ddl, ship_package, shuffle_partitions, stage, trimmed, zipped
 from candleframe.llm.induced_sort import PrefixHash, repeated
 from candleframe.llm.jaccard_join import mix
 
@@ -114,7 +114,7 @@ def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
 
         number = 0
         for batch in batches:
-            for block in blocks(batch, "text", 1 << 21):
+            for block in blocks(batch, "text", 1 << 20):
                 data, ends = _bytes_of(block.column("text"))
                 text, a, w, h, cls = block_anchors(data, ends, match, k)
                 rec = np.empty(len(text), dtype=_RECORD)
@@ -142,8 +142,8 @@ def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
                 part = rec[lo : lo + (1 << 17)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[c])) for c in _RECORD.names], list(_RECORD.names))
 
-    packed = docs.select("doc", "crc", "text").mapInArrow(find, "segment int, salt int, records binary")
-    return packed.repartition(parts, "segment", "salt").mapInArrow(decide, _FIELDS)
+    packed = docs.select("doc", "crc", "text").mapInArrow(trimmed(find), "segment int, salt int, records binary")
+    return packed.repartition(parts, "segment", "salt").mapInArrow(trimmed(decide), _FIELDS)
 
 
 def _unzip(column: pa.Array):
@@ -192,7 +192,7 @@ def sort_contexts(contexts: DataFrame, match: int) -> DataFrame:
             yield shard()
 
     dealt = contexts.repartition(shuffle_partitions(contexts.sparkSession), "h").sortWithinPartitions("h")
-    return dealt.mapInArrow(run, "h long, cls long, lo long, hi long")
+    return dealt.mapInArrow(trimmed(run), "h long, cls long, lo long, hi long")
 
 
 def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,8 +228,7 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
                          pa.array([c["w"] for c in part], pa.int32()),
                          pa.array([raw[c["a"] : c["a"] + c["w"] + match] for c in part], pa.binary())], ["h", "cls", "w", "text"])
 
-    contexts = zipped(ready.select("doc", "crc", "text")).join(per_doc, ["doc", "crc"]).select("cs", "text").mapInArrow(
-        cut_contexts, "h long, cls long, w int, text binary")
+    contexts = zipped(ready.select("doc", "crc", "text")).join(per_doc, ["doc", "crc"]).select("cs", "text").mapInArrow(trimmed(cut_contexts), "h long, cls long, w int, text binary")
     runs = stage(sort_contexts(contexts, match), "runs")
     # A context that occurs twice is repeated whole; in others, the runs that the sort found.
     verdict = classes.where("n > 1").select("h", "cls", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("at.w").cast("long").alias("hi"))).alias("runs")).unionByName(
@@ -264,7 +263,7 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
                 [*kept_names, *new])
 
     joined = zipped(ready).join(per_doc, ["doc", "crc"], "left").select(*kept_names, "text", "spans")
-    out = joined.mapInArrow(cut, ddl(ready.select(*kept_names), "kept binary, n_bytes long, n_removed long, n_spans long"))
+    out = joined.mapInArrow(trimmed(cut), ddl(ready.select(*kept_names), "kept binary, n_bytes long, n_removed long, n_spans long"))
     return out.select(*[F.col(f"_o_{c}").alias(c) for c in others], *new)
 
 
@@ -277,4 +276,4 @@ def valid_text(df: DataFrame, kept: str = "kept", out: str = "text") -> DataFram
             text = [x.as_buffer().to_pybytes().decode(errors="ignore") for x in b.column("_k")]
             yield b.drop_columns(["_k"]).append_column(out, pa.array(text, pa.string()))
 
-    return df.select(*rest.columns, F.col(kept).alias("_k")).mapInArrow(run, ddl(rest, f"`{out}` string"))
+    return df.select(*rest.columns, F.col(kept).alias("_k")).mapInArrow(trimmed(run), ddl(rest, f"`{out}` string"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ship_package
+from candleframe.llm.common import ship_package, trimmed
 from candleframe.llm.word_bpe import WordEncoder
 
 #: An empty skippable frame: magic 0x184D2A50 and a size of 0; all ASCII.
@@ -90,7 +90,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str =
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     (
         rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(frames, "frame binary")
+        .mapInArrow(trimmed(frames), "frame binary")
         .select(F.col("frame").cast("string").alias("value"))
         .write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
     )
@@ -170,7 +170,7 @@ def read_token_files(
     files = _files(spark, path)
     # One row per file.
     up_to = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    base = files.mapInArrow(_totals, "file int, total long").select(
+    base = files.mapInArrow(trimmed(_totals), "file int, total long").select(
         "file", F.coalesce(F.sum("total").over(up_to), F.lit(0)).cast("long").alias("base"))
-    rows = files.mapInArrow(documents, schema).join(base, "file")
+    rows = files.mapInArrow(trimmed(documents), schema).join(base, "file")
     return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
