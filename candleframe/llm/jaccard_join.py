@@ -174,14 +174,16 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
             sig, ids = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             segment = (sig % np.uint64(parts)).astype(np.int32)
-            sig = (sig >> np.uint64(32)).astype(np.uint32)  # a chance agreement is only measured in vain
+            # 48 bits beside the segment: chance agreements, which would tie unrelated regions
+            # together, are a few in a thousand tasks of a million signatures.
+            high, low = (sig >> np.uint64(32)).astype(np.uint32), (sig >> np.uint64(16)).astype(np.uint16)
             order = np.lexsort((ids, segment))  # a set's signatures side by side compress well
             cut = np.searchsorted(segment[order], np.arange(parts + 1))
             some = [s for s in range(parts) if cut[s] < cut[s + 1]]
             rows = [order[cut[s] : cut[s + 1]] for s in some]
             return pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([sig[r].tobytes() for r in rows], pa.binary()),
-                 pa.array([ids[r].tobytes() for r in rows], pa.binary())], ["segment", "sigs", "ids"])
+                [pa.array(some, pa.int32()), *[pa.array([x[r].tobytes() for r in rows], pa.binary()) for x in (high, low, ids)]],
+                ["segment", "high", "low", "ids"])
 
         for batch in batches:
             for block in blocks(batch, "text"):
@@ -200,7 +202,9 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
     def gather(batches):
         sigs, ids = [], []
         for b in batches:
-            sigs += [np.frombuffer(x.as_buffer(), np.uint32) for x in b.column("sigs")]
+            for x, y in zip(b.column("high"), b.column("low"), strict=True):
+                low = np.frombuffer(y.as_buffer(), np.uint16)
+                sigs.append(np.frombuffer(x.as_buffer(), np.uint32).astype(np.uint64) << np.uint64(16) | low)
             ids += [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("ids")]
         if not sigs:
             return
@@ -226,7 +230,7 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
 
-    packed = docs.select("text").mapInArrow(trimmed(sign), "segment int, sigs binary, ids binary")
+    packed = docs.select("text").mapInArrow(trimmed(sign), "segment int, high binary, low binary, ids binary")
     return packed.repartition(parts, "segment").mapInArrow(trimmed(gather), "members array<long>")
 
 
