@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from candleframe.plans.queries import queries as candle_queries  # noqa: E402
 from candleframe.session import local_session  # noqa: E402
 
 COUNTED = {
@@ -36,7 +36,7 @@ COUNTED = {
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session()
-    qs = entry.queries()
+    qs = candle_queries()
     cols = list(COUNTED)
     print(f"# Physical plans of the registered queries ({sf_dir}, local[*], AQE on)\n")
     print("Counts from each query's executed plan after one run (AQE final plan where it applies).\n")

@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from candleframe.plans.queries import queries as candle_queries  # noqa: E402
 
 
 def main(argv):
@@ -39,7 +39,7 @@ def main(argv):
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    qs = entry.queries()
+    qs = candle_queries()
     for key in sorted(qs):
         spark.sparkContext.setJobDescription(key)
         qs[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
