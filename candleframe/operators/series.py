@@ -88,7 +88,9 @@ CUTS = 1024
 
 
 def _micros(c: str):
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
+    """Microseconds of a zone-less time from its own fields, whatever the session's time zone."""
+    seconds = F.unix_date(F.to_date(c)) * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
+    return seconds.cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), F.col(c)) * 1_000_000).cast("bigint")
 
 
 def lag_in_pair(
