@@ -4,7 +4,8 @@ Jaccard distance is a metric, but texts without a common shingle are all at dist
 where Voronoi regions of pivots cannot part them. So regions are first cut by an exact
 key: a pair that links differs in at most H shingles; spread over H + 2 hash buckets, at
 least two buckets of the pair agree completely. Documents that share such a bucket form a
-cell, connected cells form a region, and inside a region distances tell documents apart:
+cell; members of a cell whose bucket counts are close enough (a lower bound of their
+distance) are connected, connected documents form a region, and inside a region distances tell documents apart:
 every member is measured against the region's pivot. Those within the radius are joined;
 the far ones get pivots of their own, round by round. Members of different pivots, or of
 none, are compared if their distances to the first pivot differ by no more than the radius
@@ -30,6 +31,8 @@ WORDS, SIMILARITY = 4, (85, 100)
 FLUSH = 1 << 21
 #: Members of a region that meet its pivot in one part.
 PART_ROWS = 512
+#: Buckets of a set's sketch.
+SKETCH = 64
 #: Further pivots that a region of several parts gets, one after the other.
 PIVOT_ROUNDS = 3
 
@@ -148,19 +151,26 @@ def _set_ids(sets: np.ndarray, n: np.ndarray) -> tuple[list[int], list[int]]:
     return a, b
 
 
+def sketches(sets: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many shingles of each set fall into each of SKETCH hash buckets (uint32)."""
+    place = np.repeat(np.arange(len(n)), n) * SKETCH + ((sets >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64)
+    return np.bincount(place, minlength=len(n) * SKETCH).astype(np.uint32).reshape(-1, SKETCH)
+
+
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, crc of the text, n_shingles and the set's fingerprint (fa, fb) of every row."""
+    """doc_id, crc of the text, n_shingles, the set's fingerprint (fa, fb) and sketch of every row."""
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets, n = shingle_sets(block.column("text"), words)
                 a, b = _set_ids(sets, n)
+                sketch = [x.tobytes() for x in sketches(sets, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), block.column("crc"), pa.array(n), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                    ["doc_id", "crc", "n_shingles", "fa", "fb"])
+                    [block.column("doc_id"), block.column("crc"), pa.array(n), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                     pa.array(sketch, pa.binary())], ["doc_id", "crc", "n_shingles", "fa", "fb", "sketch"])
 
-    return docs.mapInArrow(trimmed(run), "doc_id long, crc long, n_shingles long, fa long, fb long")
+    return docs.mapInArrow(trimmed(run), "doc_id long, crc long, n_shingles long, fa long, fb long, sketch binary")
 
 
 def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
@@ -234,6 +244,75 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
     return packed.repartition(parts, "segment").mapInArrow(trimmed(gather), "members array<long>")
 
 
+def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -> list[np.ndarray]:
+    """Members of one cell that may link, directly or by others: groups of two or more.
+
+    Two sets differ in at least as many shingles as their sketches' counts differ; a pair
+    beyond what the threshold allows is no link. Every member looks only at those that no
+    group holds yet, so that a cell of copies takes one look.
+    """
+    num, den = similarity
+    free, out = np.arange(len(size)), []
+    while len(free):
+        group, todo, free = [], [free[0]], free[1:]
+        while todo and len(free):
+            v = todo.pop()
+            group.append(v)
+            both = size[free] + size[v]
+            least = np.minimum(size[free], size[v])
+            may = least * den >= (both - least) * num
+            apart = np.abs(counts[free[may]].astype(np.int64) - counts[v].astype(np.int64)).sum(axis=1)
+            may[may] = apart * (den + num) <= both[may] * (den - num)
+            todo += free[may].tolist()
+            free = free[~may]
+        group += todo
+        if len(group) > 1:
+            out.append(np.array(group))
+    return out
+
+
+def cell_edges(cell: DataFrame, rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(a, b): edges that connect, within each cell, the members that their sketches let link.
+
+    Texts that share a passage meet in cells without being alike; without this step they
+    would tie regions together as the corpus grows.
+    """
+
+    def run(batches):
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            left = table.to_batches()[0]
+            ids = left.column("cell").to_numpy()
+            yield edges(left.slice(0, int(np.searchsorted(ids, ids[-1]))))
+            left = left.slice(int(np.searchsorted(ids, ids[-1])))
+        if left is not None:
+            yield edges(left)
+
+    def edges(batch):
+        a, b = [], []
+        if batch.num_rows:
+            ids, size = batch.column("id").to_numpy(), batch.column("n").to_numpy()
+            counts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+            cell = batch.column("cell").to_numpy()
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]])
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                for group in _groups(counts[lo:hi], size[lo:hi], similarity):
+                    members = np.sort(ids[lo:hi][group])
+                    a.append(np.full(len(members) - 1, members[0]))
+                    b.append(members[1:])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (a, b)], ["a", "b"])
+
+    known = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("n_shingles", "sketch")).alias("s")).select(
+        F.col("fa").alias("id"), F.col("s.n_shingles").alias("n"), "s.sketch")
+    inside = cell.select("cell", F.explode("members").alias("id")).join(known.hint("merge"), "id")
+    dealt = inside.repartition(shuffle_partitions(cell.sparkSession), "cell").sortWithinPartitions("cell")
+    return dealt.select("cell", "id", "n", "sketch").mapInArrow(trimmed(run), "a long, b long").distinct()
+
+
 def _inside(pivot: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Which elements of the ascending ``own`` are in the ascending ``pivot``."""
     if not len(pivot):
@@ -356,8 +435,9 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     full = F.coalesce(F.col(text), F.lit(""))
     ready = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
     rows = stage(fingerprints(ready, words), "fingerprints")
-    cell = stage(cells(ready, words, similarity), "cells")
-    star = cell.select(F.element_at("members", 1).alias("a"), F.explode("members").alias("b")).where("a != b").distinct()
+    # Numbered before they are exploded: a later number would count the members.
+    cell = stage(cells(ready, words, similarity).withColumn("cell", F.monotonically_increasing_id()), "cells")
+    star = cell_edges(cell, rows, similarity)
     region = stage(connected_components(star), "regions")
     # One row of each set stands for it, found by its id and its text's checksum.
     members = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("doc_id", "crc")).alias("d")).join(
