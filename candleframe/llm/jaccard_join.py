@@ -29,8 +29,8 @@ from candleframe.llm.components import connected_components
 WORDS, SIMILARITY = 4, (85, 100)
 #: Signatures that a task gathers before it sends them on, sorted by segment.
 FLUSH = 1 << 21
-#: Members of a region that meet its pivot in one part.
-PART_ROWS = 512
+#: Members of a region that meet its pivot in one part, and are then joined in it.
+PART_ROWS = 4096
 #: Buckets of a set's sketch.
 SKETCH = 64
 #: Further pivots that a region of several parts gets, one after the other.
@@ -324,7 +324,8 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
     """(a, b, inter, total) of links between members of one region that no other link joins.
 
     ``members``: (id, set, inter and total with the pivot). Far members are compared with
-    those of other components whose size and distance to the pivot allow a link.
+    those of other components whose size, distance to the pivot and sketch allow a link,
+    the likeliest first: a link found spares all other pairs of the two components.
     """
     num, den = similarity
     inter = np.array([m[2] for m in members])
@@ -333,15 +334,19 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
     if near.all():
         return []
     d, size = 1 - inter / total, np.array([len(m[1]) for m in members])
+    counts = sketches(np.concatenate([m[1] for m in members]), size).astype(np.int32)
     comp = np.where(near, -1, np.arange(len(members)))
     out = []
     for i in np.flatnonzero(~near).tolist():
         own = members[i][1]
         maybe = (
             (np.abs(d - d[i]) <= (den - num) / den + 1e-9)
-            & (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num)
+            & (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (comp != comp[i])
         )
-        for j in np.flatnonzero(maybe).tolist():
+        at = np.flatnonzero(maybe)
+        apart = np.abs(counts[at] - counts[i]).sum(axis=1)  # at least so many shingles differ
+        may = apart * (den + num) <= (size[at] + size[i]) * (den - num)
+        for j in at[may][np.argsort(apart[may], kind="stable")].tolist():
             if comp[j] != comp[i]:
                 both = int(_inside(members[j][1], own).sum())
                 union = int(size[i] + size[j]) - both
