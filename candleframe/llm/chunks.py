@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: Texts are taken in blocks of about this many bytes, however long a batch is.
 BLOCK_BYTES = 3 << 20
 #: A table that has grown beyond this many chunks starts anew: memory stays bounded.
-MAX_CHUNKS = 200_000
+MAX_CHUNKS = 300_000
 
 
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
