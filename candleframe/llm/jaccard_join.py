@@ -324,8 +324,8 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
     """(a, b, inter, total) of links between members of one region that no other link joins.
 
     ``members``: (id, set, inter and total with the pivot). Far members are compared with
-    those of other components whose size, distance to the pivot and sketch allow a link,
-    the likeliest first: a link found spares all other pairs of the two components.
+    those of other components whose size and distance to the pivot allow a link; a link
+    found spares all other pairs of the two components.
     """
     num, den = similarity
     inter = np.array([m[2] for m in members])
@@ -334,27 +334,28 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
     if near.all():
         return []
     d, size = 1 - inter / total, np.array([len(m[1]) for m in members])
-    counts = sketches(np.concatenate([m[1] for m in members]), size).astype(np.int32)
+    # Shingles as small numbers, so that one far set meets all members in one gather.
+    shingles, code = np.unique(np.concatenate([m[1] for m in members]), return_inverse=True)
+    code, starts = code.astype(np.int32), np.cumsum(size) - size
     comp = np.where(near, -1, np.arange(len(members)))
-    out = []
+    held, out = np.zeros(len(shingles), dtype=bool), []
     for i in np.flatnonzero(~near).tolist():
-        own = members[i][1]
-        maybe = (
+        may = (
             (np.abs(d - d[i]) <= (den - num) / den + 1e-9)
             & (np.minimum(size, size[i]) * den >= np.maximum(size, size[i]) * num) & (comp != comp[i])
         )
-        at = np.flatnonzero(maybe)
-        apart = np.abs(counts[at] - counts[i]).sum(axis=1)  # at least so many shingles differ
-        may = apart * (den + num) <= (size[at] + size[i]) * (den - num)
-        for j in at[may][np.argsort(apart[may], kind="stable")].tolist():
+        if not may.any():
+            continue
+        own = code[starts[i] : starts[i] + size[i]]
+        held[own] = True
+        both = np.add.reduceat(held[code], starts, dtype=np.int64)
+        held[own] = False
+        union = size + size[i] - both
+        for j in np.flatnonzero(may & (both * den >= union * num)).tolist():
             if comp[j] != comp[i]:
-                both = int(_inside(members[j][1], own).sum())
-                union = int(size[i] + size[j]) - both
-                if both * den >= union * num:
-                    out.append((members[i][0], members[j][0], both, union))
-                    comp[comp == comp[j]] = comp[i] if comp[j] != -1 else -1
-                    if comp[j] == -1:
-                        comp[comp == comp[i]] = -1
+                out.append((members[i][0], members[j][0], int(both[j]), int(union[j])))
+                into, other = min(comp[i], comp[j]), max(comp[i], comp[j])
+                comp[comp == other] = into
     return out
 
 
