@@ -33,6 +33,8 @@ FLUSH = 1 << 21
 PART_ROWS = 4096
 #: Buckets of a set's sketch.
 SKETCH = 64
+#: Members of a cell that one task compares; those of larger cells meet in tiles of twice as many.
+CELL_ROWS = 1 << 15
 #: Further pivots that a region of several parts gets, one after the other.
 PIVOT_ROUNDS = 3
 
@@ -271,46 +273,76 @@ def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -
     return out
 
 
+def tile_edges(batches, similarity: tuple[int, int]):
+    """Rows sorted by (cell, tile) -> batches (a, b) of the edges within each tile."""
+    held: list[tuple[np.ndarray, ...]] = []
+    a: list[np.ndarray] = []
+    b: list[np.ndarray] = []
+
+    def close():
+        ids, size, counts = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        for group in _groups(counts, size, similarity):
+            members = np.sort(ids[group])
+            a.append(np.full(len(members) - 1, members[0]))
+            b.append(members[1:])
+
+    def found():
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (a, b)], ["a", "b"])
+        a.clear()
+        b.clear()
+        return out
+
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell, tile, ids, size = (batch.column(c).to_numpy() for c in ("cell", "tile", "id", "n"))
+        counts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+        new = (cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1])
+        cut = np.concatenate([[0], np.flatnonzero(new) + 1, [len(cell)]]).tolist()
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            if held and at != (cell[lo], tile[lo]):
+                close()
+            at = (cell[lo], tile[lo])
+            held.append((ids[lo:hi], size[lo:hi], counts[lo:hi]))
+        yield found()
+    if held:
+        close()
+        yield found()
+
+
+def tiles(cell: DataFrame) -> DataFrame:
+    """(cell, tile, id): members of every cell, so that any two of one cell meet in some tile.
+
+    Cells of up to CELL_ROWS members are one tile. Larger ones are dealt by hash over blocks of
+    about that size, and every pair of blocks is a tile: a member goes to as many tiles as
+    there are blocks.
+    """
+    blocks_of = F.ceil(F.size("members") / F.lit(CELL_ROWS)).cast("int").alias("blocks")
+    inside = cell.select("cell", blocks_of, F.explode("members").alias("id"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1),
+                      lambda other: F.least(own, other) * F.col("blocks") + F.greatest(own, other))
+    return inside.select("cell", "id", F.explode(met).alias("tile"))
+
+
 def cell_edges(cell: DataFrame, rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """(a, b): edges that connect, within each cell, the members that their sketches let link.
 
     Texts that share a passage meet in cells without being alike; without this step they
-    would tie regions together as the corpus grows.
+    would tie regions together as the corpus grows. No task holds more than a tile.
     """
 
     def run(batches):
-        left = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if left is None else [left, batch]).combine_chunks()
-            if not table.num_rows:
-                continue
-            left = table.to_batches()[0]
-            ids = left.column("cell").to_numpy()
-            yield edges(left.slice(0, int(np.searchsorted(ids, ids[-1]))))
-            left = left.slice(int(np.searchsorted(ids, ids[-1])))
-        if left is not None:
-            yield edges(left)
-
-    def edges(batch):
-        a, b = [], []
-        if batch.num_rows:
-            ids, size = batch.column("id").to_numpy(), batch.column("n").to_numpy()
-            counts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
-            cell = batch.column("cell").to_numpy()
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(cell)) + 1, [len(cell)]])
-            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                for group in _groups(counts[lo:hi], size[lo:hi], similarity):
-                    members = np.sort(ids[lo:hi][group])
-                    a.append(np.full(len(members) - 1, members[0]))
-                    b.append(members[1:])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (a, b)], ["a", "b"])
+        return tile_edges(batches, similarity)
 
     known = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("n_shingles", "sketch")).alias("s")).select(
         F.col("fa").alias("id"), F.col("s.n_shingles").alias("n"), "s.sketch")
-    inside = cell.select("cell", F.explode("members").alias("id")).join(known.hint("merge"), "id")
-    dealt = inside.repartition(shuffle_partitions(cell.sparkSession), "cell").sortWithinPartitions("cell")
-    return dealt.select("cell", "id", "n", "sketch").mapInArrow(trimmed(run), "a long, b long").distinct()
+    inside = tiles(cell).join(known.hint("merge"), "id")
+    dealt = inside.repartition(shuffle_partitions(cell.sparkSession), "cell", "tile").sortWithinPartitions("cell", "tile")
+    return dealt.select("cell", "tile", "id", "n", "sketch").mapInArrow(trimmed(run), "a long, b long").distinct()
 
 
 def _inside(pivot: np.ndarray, own: np.ndarray) -> np.ndarray:

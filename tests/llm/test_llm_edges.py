@@ -121,6 +121,42 @@ def test_jaccard_chains_and_sizes(spark, monkeypatch, part_rows):
         assert got == components(rows, words, *t)
 
 
+def test_jaccard_cells_larger_than_a_task(spark, monkeypatch):
+    """Any two members of a large cell meet in a tile, no tile is large, and no link is lost."""
+    monkeypatch.setattr(jaccard_join, "CELL_ROWS", 16)
+    cell = spark.createDataFrame([(7, list(range(200))), (8, [1, 2, 3])], "cell long, members array<long>")
+    met = defaultdict(set)
+    for r in jaccard_join.tiles(cell).collect():
+        met[r.cell, r.tile].add(r.id)
+    assert met[8, 0] == {1, 2, 3} and max(map(len, met.values())) < 100
+    together = {(a, b) for (c, _), ids in met.items() if c == 7 for a in ids for b in ids}
+    assert len(together) == 200 * 200
+    rng = np.random.default_rng(8)
+    words = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(120):  # copies that drift, all with one passage in common
+        rows.append((i, " ".join(words)))
+        words = list(words)
+        words[rng.integers(60, 150)] = f"e{i}"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df).collect()}
+    assert got == components(rows, 4, 85, 100)
+
+
+def test_jaccard_tiles_over_many_batches():
+    """A tile that comes in several batches keeps the members of all of them."""
+    import pyarrow as pa
+
+    sketch = np.full(jaccard_join.SKETCH, 3, np.uint32).tobytes()
+    names = ["cell", "tile", "id", "n", "sketch"]
+    def batch(cells, ids):
+        n = len(ids)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (cells, [0] * n, ids, [192] * n, [sketch] * n)], names)
+    sent = [batch([1, 1], [5, 6]), batch([1, 1], [7, 8]), batch([1, 2, 2], [9, 1, 2])]
+    got = {(a, b) for r in jaccard_join.tile_edges(iter(sent), (85, 100)) for a, b in zip(*[c.to_pylist() for c in r.columns], strict=True)}
+    assert got == {(5, 6), (5, 7), (5, 8), (5, 9), (1, 2)}
+
+
 def test_signatures_lose_no_link():
     rng = np.random.default_rng(5)
     for _ in range(300):
