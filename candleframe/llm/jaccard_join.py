@@ -31,6 +31,8 @@ WORDS, SIMILARITY = 4, (85, 100)
 FLUSH = 1 << 21
 #: Members of a region that meet its pivot in one part, and are then joined in it.
 PART_ROWS = 4096
+#: Shingles of all members of such a part (8 bytes each, several times over while it is joined).
+PART_SHINGLES = 1 << 24
 #: Buckets of a set's sketch.
 SKETCH = 64
 #: Members of a cell that one task compares; those of larger cells meet in tiles of twice as many.
@@ -394,15 +396,17 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
 def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int] | None = None) -> DataFrame:
     """(p, x, inter, total): sizes of intersection and union of the sets p and x.
 
-    ``texts`` (set, text) is joined to the distinct pairs' ends, by shuffle at any size. The
-    pairs of one p are dealt over parts of about PART_ROWS, each with p's text first: a part
+    ``texts`` (set, n, text) is joined to the distinct pairs' ends, by shuffle at any size. The
+    pairs of one p are dealt over parts of about PART_ROWS or PART_SHINGLES, each with p's text first: a part
     streams past its p. With ``similarity``, p is the pivot of a region: a region of one
     part is joined there and then (its further links are rows of their own), and of larger
     ones every row also has size (of x) and prefix: the first shingles of x in the order of
     the region, as many as any partner may ask for. That order puts shingles that p has not
     before those that it has, and goes by hash within the two. Elsewhere prefix is NULL.
     """
-    parts = pairs.groupBy("p").agg(F.ceil(F.count("*") / F.lit(PART_ROWS)).cast("int").alias("parts"))
+    sized = pairs.join(texts.select(F.col("set").alias("x"), "n"), "x")
+    parts = sized.groupBy("p").agg(F.ceil(F.greatest(
+        F.count("*") / F.lit(PART_ROWS), F.sum("n") / F.lit(PART_SHINGLES))).cast("int").alias("parts"))
     pairs = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int"))
     texts = texts.hint("merge")
     heads = parts.select("p", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(
@@ -478,11 +482,11 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
     star = cell_edges(cell, rows, similarity)
     region = stage(connected_components(star), "regions")
     # One row of each set stands for it, found by its id and its text's checksum.
-    members = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("doc_id", "crc")).alias("d")).join(
-        region.withColumnRenamed("id", "fa"), "fa").select("d.doc_id", "d.crc", F.col("fa").alias("set"))
+    members = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("doc_id", "crc", "n_shingles")).alias("d")).join(
+        region.withColumnRenamed("id", "fa"), "fa").select("d.doc_id", "d.crc", F.col("d.n_shingles").alias("n"), F.col("fa").alias("set"))
     packed = zipped(ready).withColumnsRenamed({"doc_id": "id", "crc": "sum"})
     same = packed.id.eqNullSafe(members.doc_id) & (packed["sum"] == members.crc)
-    texts = stage(unzipped(packed.join(members.hint("merge"), same).select("set", "text")), "texts")
+    texts = stage(unzipped(packed.join(members.hint("merge"), same).select("set", "n", "text")), "texts")
     # The pivot of a region is the member that shares most cells: copies lie around what they copy.
     shared = cell.select(F.explode("members").alias("id")).groupBy("id").agg(F.count("*").alias("cells"))
     pivots = region.join(shared, "id").groupBy("root").agg(F.max(F.struct("cells", "id"))["id"].alias("pivot"))

@@ -143,6 +143,25 @@ def test_jaccard_cells_larger_than_a_task(spark, monkeypatch):
     assert got == components(rows, 4, 85, 100)
 
 
+def test_jaccard_regions_of_long_texts(spark, monkeypatch):
+    """A region with more shingles than a part takes is dealt over parts, and loses no link."""
+    monkeypatch.setattr(jaccard_join, "PART_SHINGLES", 1000)
+    rng = np.random.default_rng(4)
+    words = [f"v{i}" for i in range(300)]
+    rows = []
+    for i in range(30):
+        rows.append((i, " ".join(words)))
+        words = list(words)
+        words[rng.integers(300)] = f"e{i}"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = df.select(F.col("doc_id").alias("set"), F.lit(297).cast("long").alias("n"), "text")
+    to_first = df.where("doc_id > 0").select(F.lit(0).cast("long").alias("p"), F.col("doc_id").alias("x"))
+    measured = jaccard_join.measure(to_first, texts, 4, (85, 100)).collect()
+    assert len(measured) == 29 and all(r.prefix is not None for r in measured)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df).collect()}
+    assert got == components(rows, 4, 85, 100)
+
+
 def test_jaccard_tiles_over_many_batches():
     """A tile that comes in several batches keeps the members of all of them."""
     import pyarrow as pa
