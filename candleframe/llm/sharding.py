@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleframe.llm.common import gapless_rank, stage
 
 SHARDS = 24
-#: Rounds of propagation at most; it ends earlier when no document moves.
-ROUNDS = 6
 
 
 def quotas(rows: int, shards: int) -> list[int]:
@@ -27,6 +25,9 @@ def grant(requests: dict[tuple[int, int, int], int], held: list[int], quota: lis
     """
     left, given = dict(requests), dict.fromkeys(requests, 0)
     order = sorted(left, key=lambda r: (-r[2], r))
+    between: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for r in order:
+        between.setdefault(r[:2], []).append(r)
     moved = True
     while moved:
         moved = False
@@ -39,8 +40,8 @@ def grant(requests: dict[tuple[int, int, int], int], held: list[int], quota: lis
                 held[r[1]] += a
                 moved = True
         for r in order:
-            for back in order:
-                if back[:2] == (r[1], r[0]) and left[r] and left[back]:
+            for back in between.get((r[1], r[0]), []):
+                if left[r] and left[back]:
                     a = min(left[r], left[back])
                     for x in (r, back):
                         left[x] -= a
@@ -49,15 +50,20 @@ def grant(requests: dict[tuple[int, int, int], int], held: list[int], quota: lis
     return given
 
 
-def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, quota: list[int], rounds: int | None = None) -> DataFrame:
     """Shards of the linked documents: uid, shard.
 
     ``links`` (uid, link; staged): documents with one ``link`` are linked with each other; a
     document may have several. They start evenly dealt. In each round every link elects the
-    open shard that holds most of its members (ties by a hash of link and shard); a
-    document asks to move to the shard elected by its largest link, if that holds more of
-    the link than its own. The driver sees only counts by (from, to, size bucket), at most
-    shards^2 * 40 rows, and grants moves within the quotas, large links first.
+    shard that holds most of its members (ties by a hash of link, shard and round), and where
+    that cannot take all of them the next ones too, until they can; a document elsewhere asks
+    to move to a shard elected by its largest link, if that holds more of the link than its
+    own. Rounds take turns: in one, shards with room are elected, in the next full ones too,
+    whose documents may be exchanged. The driver sees only counts by (from, to, size
+    bucket), at most shards^2 * 40 rows, and grants moves within the quotas, large links first.
+
+    It ends when two rounds in a row bring no pair of linked documents together on balance
+    (with one link a document, when none moves), or after ``rounds``.
     """
     shards = len(quota)
     members = stage(links.groupBy("uid").agg(F.min("link").alias("link")), "members")
@@ -65,27 +71,49 @@ def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataF
     dealt = gapless_rank(members.select("uid", F.lit(0).alias("all")), ["all"], ["uid"], "r", max(1, n))
     state = stage(dealt.select("uid", (F.col("r") % shards).cast("int").alias("shard")), "shards")
     held = [n // shards + (s < n % shards) for s in range(shards)]
-    for _ in range(rounds):
-        open_shards = [s for s in range(shards) if held[s] < quota[s]]
+    best, idle, number = -1, 0, 0
+    while idle < 2 and (rounds is None or number < rounds):
+        exchange = number % 2 == 1
+        number += 1
+        room = F.array(*[F.lit(q if exchange else q - h).cast("long") for q, h in zip(quota, held, strict=True)])
         placed = links.join(state, "uid")
-        counts = placed.groupBy("link", "shard").agg(F.count("*").alias("n"))
-        score = F.struct("n", F.xxhash64("link", "shard").alias("tie"), "shard")
-        elected = counts.groupBy("link").agg(
-            F.max(F.when(F.col("shard").isin(open_shards), score)).alias("best"),
-            F.map_from_entries(F.collect_list(F.struct("shard", F.struct("n", F.xxhash64("link", "shard").alias("tie"), "shard")))).alias("at"),
+        counts = stage(placed.groupBy("link", "shard").agg(F.count("*").alias("n")), "counts")
+        together = counts.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
+        idle = 0 if together > best else idle + 1
+        best = max(best, together)
+        if idle == 2:
+            break
+        # What a shard can hold of a link: its members there, and the room (or all others, exchanged).
+        free = F.greatest(F.get(room, F.col("shard")) - F.when(F.lit(exchange), F.col("n")).otherwise(F.lit(0)), F.lit(0))
+        score = F.struct("n", F.xxhash64(F.lit(number), "link", "shard").alias("tie"), "shard")
+        scored = counts.select("link", "n", score.alias("score"), free.cast("long").alias("room"))
+        whole = Window.partitionBy("link")
+        ahead = whole.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+        elected = (
+            scored.withColumn("size", F.sum("n").over(whole))
+            .withColumn("taken", F.coalesce(F.sum(F.col("n") + F.col("room")).over(ahead), F.lit(0)))
+            .withColumn("start", F.coalesce(F.sum("room").over(ahead), F.lit(0)))
+            .where("taken < size")
+            .groupBy("link").agg(
+                F.collect_list(F.when(F.col("room") > 0, F.struct("start", "room", "score"))).alias("open"),
+                F.sum("room").alias("rooms"), F.collect_list("score.shard").alias("ours"))
+            .where("rooms > 0")
         )
-        wish = placed.join(elected, "link").select(
-            "uid", "shard",
-            F.when(F.col("best") > F.col("at")[F.col("shard")], F.struct(F.col("best.n").alias("n"), F.col("best.shard").alias("to"))).alias("wish"),
-        ).groupBy("uid").agg(F.first("shard").alias("shard"), F.max("wish").alias("wish"))
-        wish = stage(wish.select(
+        at = counts.select("link", "shard", score.alias("own"))
+        x = F.pmod(F.xxhash64(F.lit(number), "uid"), F.col("rooms"))
+        to = F.get(F.filter("open", lambda o: (o["start"] <= x) & (x < o["start"] + o["room"])), F.lit(0))["score"]
+        wish = placed.join(elected, "link").join(at, ["link", "shard"]).select("uid", "shard", "ours", "own", to.alias("to")).select(
+            "uid", F.when(~F.array_contains("ours", F.col("shard")) & (F.col("to") > F.col("own")),
+                          F.struct(F.col("to.n").alias("n"), F.col("to.shard").alias("to"))).alias("wish"),
+        ).groupBy("uid").agg(F.max("wish").alias("wish"))
+        wish = stage(state.join(wish, "uid", "left").select(
             "uid", "shard", F.col("wish.to").alias("to"), F.floor(F.log2(F.col("wish.n"))).cast("int").alias("bucket"),
         ), "wishes")
         asked = wish.where("to IS NOT NULL").groupBy("shard", "to", "bucket").agg(F.count("*").alias("n")).collect()
         requests = {(r["shard"], r["to"], r["bucket"]): r["n"] for r in asked}
         given = grant(requests, held, quota)
         if not sum(given.values()):
-            break
+            continue
         # Grants as a table of at most shards^2 * 40 rows: all, some or none of each cell move.
         cell = ["shard", "to", "bucket"]
         grants = F.broadcast(links.sparkSession.createDataFrame(
@@ -102,7 +130,7 @@ def propagate(links: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataF
     return state
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document with its size, shard and slot: counts at most one apart, equal texts together.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 8), text_crc32, group_rows (documents

@@ -355,6 +355,26 @@ def test_sharding_groups_larger_than_a_shard(spark):
     assert sum(len(where[f"g{k}"]) - 1 for k in range(20)) <= 4
 
 
+def shards_of_groups(spark, rows, shards):
+    got = shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=shards).collect()
+    counts, where, text = Counter(r.shard for r in got), defaultdict(set), dict(rows)
+    for r in got:
+        where[text[r.doc_id]].add(r.shard)
+    assert len(got) == len(rows) and max(counts.values()) - min(counts.values()) <= 1
+    return where
+
+
+def test_sharding_a_third_of_the_rows_in_one_group(spark):
+    rows = [(i, "copy" if i % 3 == 0 else f"own {i}") for i in range(2400)]
+    assert len(shards_of_groups(spark, rows, 24)["copy"]) == 8
+
+
+def test_sharding_a_table_of_copies_only(spark):
+    rows = [(i, f"g{i // 2}") for i in range(1200)]
+    where = shards_of_groups(spark, rows, 6)
+    assert sum(len(s) - 1 for s in where.values()) < 30  # evenly dealt, 500 of the 600 are cut
+
+
 def test_grants_respect_quotas():
     rng = np.random.default_rng(2)
     for _ in range(50):
