@@ -5,7 +5,8 @@ the k-gram with the least hash in it (leftmost on ties): a function of the windo
 content alone, so equal windows have equal anchors. An anchor's context is the stretch of
 all windows it owns. Anchors that occur once own no repeated window and end there; equal
 contexts are counted, and where one anchor has different contexts, one of each goes to
-the anchor's shard, whose suffixes are ordered by external induced sorting.
+the anchor's shard, whose suffixes are ordered by external induced sorting. An anchor with
+very many contexts has no shard: its windows are told apart by joins on their content.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ MATCH, ANCHOR = 200, 32
 FLUSH = 1 << 19
 #: Places for the occurrences of one context beyond the first two of a flush.
 SPREAD = 32
-#: Context bytes of one shard; a single anchor's contexts stay together however many.
+#: Context bytes of one shard, closed after the anchor that reaches them.
 SHARD_BYTES = 1 << 20
+#: Contexts of an anchor that are sorted in one shard; those of a hotter one are split by content.
+HOT_CONTEXTS = 1 << 12
 
 _NO_ID = -(1 << 63)
 _RECORD = np.dtype([("h", "<i8"), ("cls", "<i8"), ("doc", "<i8"), ("crc", "<i8"), ("a", "<i8"), ("w", "<i4")])
@@ -195,6 +198,54 @@ def sort_contexts(contexts: DataFrame, match: int) -> DataFrame:
     return dealt.mapInArrow(trimmed(run), "h long, cls long, lo long, hi long")
 
 
+def split_contexts(contexts: DataFrame, match: int, k: int) -> DataFrame:
+    """(h, cls, lo, hi), as ``sort_contexts``, of hot anchors: no task takes all of an anchor.
+
+    Equal windows hold their anchor at the same place. So the windows of a context are taken
+    in intervals of that place, and what all windows of an interval have in common, a stretch
+    of ``match - width + 1`` bytes around the anchor, is counted over all contexts. A stretch
+    that only one context has cannot lie in a repeated window, and its interval ends there;
+    the others are halved, down to single windows, where the stretch is the window itself.
+    """
+
+    def locate(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                b = batch.slice(at, 4096)
+                texts = b.column("text").to_pylist()
+                data, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(x) for x in texts])
+                grams = mix(PrefixHash(data).grams(k)).view(np.int64)
+                start = np.cumsum(sizes) - sizes
+                owner = np.repeat(np.arange(len(texts)), sizes)[: len(grams)]
+                same = np.flatnonzero(grams == b.column("h").to_numpy()[owner])
+                found, first = np.unique(owner[same], return_index=True)  # the leftmost is the anchor
+                place = np.zeros(len(texts), dtype=np.int64)
+                place[found] = same[first] - start[found]
+                yield b.append_column("place", pa.array(place))
+
+    width = 1
+    while 4 * width <= match - k + 1:
+        width *= 2
+    # ``r``: the anchor's place in a window; a context owns the windows from place - w to place.
+    r_lo, r_hi = F.col("place") - F.col("w"), F.col("place")
+    state = contexts.mapInArrow(trimmed(locate), "h long, cls long, w int, text binary, place long").withColumn(
+        "part", F.explode(F.sequence(F.floor(r_lo / width), F.floor(r_hi / width))))
+    while True:
+        left = F.col("place") - F.col("part") * width - (width - 1)
+        stretch = F.substr("text", (left + width).cast("int"), F.lit(match - width + 1))
+        keyed = stage(state.withColumns({"k1": F.xxhash64(stretch), "k2": F.xxhash64(F.lit(width), stretch)}), "stretches")
+        key = ["h", "part", "k1", "k2"]
+        again = keyed.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
+        kept = keyed.join(again, key, "left_semi")
+        if width == 1:
+            i = F.col("place") - F.col("part")
+            return kept.select("h", "cls", i.alias("lo"), i.alias("hi"))
+        width //= 2
+        halves = F.explode(F.array(2 * F.col("part"), 2 * F.col("part") + 1))
+        state = kept.select("h", "cls", "w", "text", "place", halves.alias("part")).where(
+            (F.col("part") * width <= r_hi) & ((F.col("part") + 1) * width > r_lo))
+
+
 def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without ``text`` but with kept (binary), n_bytes, n_removed and n_spans.
 
@@ -214,8 +265,9 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
         F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
     found = stage(anchors(ready, match, k), "anchors")
     classes = stage(found.groupBy("h", "cls").agg(F.count("*").alias("n"), F.min(F.struct("doc", "crc", "a", "w")).alias("at")), "contexts")
-    several = classes.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    torn = classes.join(several, "h").select("at.doc", "at.crc", F.struct("h", "cls", "at.a", "at.w").alias("c"))
+    several = classes.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select(
+        "h", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))
+    torn = classes.join(several, "h").select("at.doc", "at.crc", F.struct("h", "cls", "at.a", "at.w", "hot").alias("c"))
     per_doc = torn.groupBy("doc", "crc").agg(F.collect_list("c").alias("cs"))
 
     def cut_contexts(batches):
@@ -226,10 +278,17 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([c["h"] for c in part], pa.int64()), pa.array([c["cls"] for c in part], pa.int64()),
                          pa.array([c["w"] for c in part], pa.int32()),
-                         pa.array([raw[c["a"] : c["a"] + c["w"] + match] for c in part], pa.binary())], ["h", "cls", "w", "text"])
-
-    contexts = zipped(ready.select("doc", "crc", "text")).join(per_doc, ["doc", "crc"]).select("cs", "text").mapInArrow(trimmed(cut_contexts), "h long, cls long, w int, text binary")
-    runs = stage(sort_contexts(contexts, match), "runs")
+                         pa.array([raw[c["a"] : c["a"] + c["w"] + match] for c in part], pa.binary()),
+                         pa.array([c["hot"] for c in part], pa.bool_())], ["h", "cls", "w", "text", "hot"])
+
+    contexts = zipped(ready.select("doc", "crc", "text")).join(per_doc, ["doc", "crc"]).select("cs", "text").mapInArrow(trimmed(cut_contexts), "h long, cls long, w int, text binary, hot boolean")
+    columns = ["h", "cls", "w", "text"]
+    if several.where("hot").isEmpty():
+        runs = stage(sort_contexts(contexts.select(*columns), match), "runs")
+    else:
+        contexts = stage(contexts, "cut-contexts")
+        runs = stage(sort_contexts(contexts.where("NOT hot").select(*columns), match).unionByName(
+            split_contexts(contexts.where("hot").select(*columns), match, k)), "runs")
     # A context that occurs twice is repeated whole; in others, the runs that the sort found.
     verdict = classes.where("n > 1").select("h", "cls", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("at.w").cast("long").alias("hi"))).alias("runs")).unionByName(
         runs.join(classes.where("n = 1").select("h", "cls"), ["h", "cls"]).groupBy("h", "cls").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))

@@ -250,6 +250,36 @@ def test_suffix_dedup_on_periodic_and_edited_texts(spark, monkeypatch):
         assert cut(df, match=match, k=k) == brute_spans([(i, t.encode()) for i, t in rows], match)
 
 
+def test_suffix_dedup_of_hot_anchors_in_periodic_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 1)
+    test_suffix_dedup_on_periodic_and_edited_texts(spark, monkeypatch)
+
+
+@pytest.mark.parametrize("phrase", [40, 150, 199])
+def test_suffix_dedup_of_one_anchor_with_many_contexts(spark, monkeypatch, phrase):
+    """A phrase shorter than a match, with other surroundings each time; some of them come back."""
+    rng = np.random.default_rng(phrase)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    notice = word(phrase)
+    rows = [(i, word(250) + notice + word(250)) for i in range(60)]
+    for i in range(60, 90):  # a part of an earlier document, longer than a match or not
+        _, t = rows[int(rng.integers(60))]
+        a = int(rng.integers(100, 250))
+        rows.append((i, word(int(rng.integers(200))) + t[a : a + int(rng.integers(180, 330))] + word(100)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_spans([(i, t.encode()) for i, t in rows], 200)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 8)
+    sorted_rows, whole = [], suffix_dedup.sort_contexts
+
+    def seen(contexts, match):
+        sorted_rows.extend(r.h for r in contexts.select("h").collect())
+        return whole(contexts, match)
+
+    monkeypatch.setattr(suffix_dedup, "sort_contexts", seen)
+    assert cut(df) == want
+    assert max(Counter(sorted_rows).values(), default=0) <= 8
+
+
 def test_sentencepiece(spark, docs, none):
     got = decode(encode(docs.withColumns({"ids": F.lit(1), "_text": F.lit("x")}), PIECES), PIECES)
     rows = got.collect()
