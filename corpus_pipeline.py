@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import stage, table, unzipped, zipped
+from candleframe.llm.common import free_name, stage, table, unzipped, zipped
 from candleframe.llm.jaccard_join import jaccard_components
 from candleframe.llm.line_dedup import line_dedup
 from candleframe.llm.packing import best_fit_pack
@@ -39,13 +39,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays.
+    """Of each group of near duplicates the row with the smallest id stays.
 
-    Documents without words are in no group and stay; of rows with one id, all stay or go.
+    A NULL id comes after all others; of rows with one id, the first of the staged table
+    stays. Rows are told apart by their place in it, so a row goes only with its own group.
+    Documents without words are in no group and stay.
     """
-    classes = jaccard_components(docs.select("doc_id", "text"), WORDS, SIMILARITY)
-    gone = stage(classes.where("doc_id != component_id").select("doc_id").distinct(), "near-duplicates")
-    return unzipped(zipped(docs).join(gone, "doc_id", "left_anti")).select(*docs.columns)
+    row = free_name(docs.columns, "_row")
+    packed = stage(zipped(docs.withColumn(row, F.monotonically_increasing_id())), "numbered")
+    classes = jaccard_components(unzipped(packed.select(row, "text")), WORDS, SIMILARITY, doc_id=row)
+    placed = stage(classes.select(F.col("doc_id").alias(row), F.col("component_id").alias("of")).join(
+        packed.select(row, F.col("doc_id").alias("id")), row), "near-duplicates")
+    first = placed.groupBy("of").agg(
+        F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", row))[row].alias("first")).where("n > 1")
+    gone = placed.join(first, "of").where(F.col(row) != F.col("first")).select(row)
+    return unzipped(packed.join(gone, row, "left_anti")).select(*docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

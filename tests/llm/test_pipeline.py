@@ -138,3 +138,12 @@ def test_planted_cases(spark):
     assert all(got[i] == t for i, t in clean.items())
     assert passage not in got[102] and passage not in got[103]
     assert len(re.findall(r"\w+", got[102])) >= 158
+
+
+def test_near_duplicates_with_null_and_tied_ids(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("a") + " x"), (7, text("b")), (3, text("b") + " y"), (None, text("b")),
+            (9, text("c")), (9, text("c")), (7, text("d")), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, (r.text or "-")[0]) for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
+    assert Counter(got) == Counter([(None, "a"), (3, "b"), (9, "c"), (7, "d"), (None, "-"), (None, "-")])
