@@ -105,7 +105,7 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if code[lo] != at:
                 at, twice = code[lo], Bloom(b.column("bits")[lo].as_py())
             keep[lo:hi] = line[lo:hi] & twice.seen(h[lo:hi])
-        yield b.select(["id", "h", "h2"]).filter(pa.array(keep))
+        yield b.select(["id", "t", "h", "h2"]).filter(pa.array(keep))
 
 
 def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +149,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     2. Line hashes (with the id) meet their segment's twice-seen filter; those it does not
        know end there. Every filter is copied to REPLICAS places, which splits hot lines.
     3. Only suspects shuffle on: 128-bit keys count their distinct documents exactly.
-    4. The dropped keys of each document, at most as many as its lines, are joined to it.
+    4. The dropped keys of each id and text, at most as many as its lines, are joined to it.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -158,8 +158,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     ident = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
     full = F.coalesce(F.col(text), F.lit(""))
     keys = F.array_distinct(F.filter(_keys(full), lambda k: F.char_length(k) >= MIN_CHARS))
-    lines = base.select(ident.alias("id"), F.explode(keys).alias("key")).select(
-        "id", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(MIN_DOCS), "key").alias("h2")
+    # Rows with one id (or none) are told apart by their text where their lines are gathered.
+    lines = base.select(ident.alias("id"), F.xxhash64(full).alias("t"), F.explode(keys).alias("key")).select(
+        "id", "t", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(MIN_DOCS), "key").alias("h2")
     )
     segment = F.pmod(F.col("h"), F.lit(parts)).cast("int")
     filters = (
@@ -168,18 +169,18 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .mapInArrow(trimmed(_build_filters), "segment int, bits binary")
     )
     probes = lines.select(
-        segment.alias("segment"), F.pmod(F.xxhash64("id"), F.lit(REPLICAS)).cast("int").alias("replica"),
-        F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("bits"), "id", "h", "h2",
+        segment.alias("segment"), F.pmod(F.xxhash64("id", "t"), F.lit(REPLICAS)).cast("int").alias("replica"),
+        F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("bits"), "id", "t", "h", "h2",
     )
     copies = filters.select(
         "segment", F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica"),
-        F.lit(0).alias("kind"), "bits", F.lit(None).cast("long").alias("id"),
+        F.lit(0).alias("kind"), "bits", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("t"),
         F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("h2"),
     )
     suspects = stage(
         copies.unionByName(probes).repartition(parts, "segment", "replica")
         .sortWithinPartitions("segment", "replica", "kind")
-        .mapInArrow(trimmed(_suspects), "id long, h long, h2 long"),
+        .mapInArrow(trimmed(_suspects), "id long, t long, h long, h2 long"),
         "suspects",
     )
     repeated = (
@@ -189,15 +190,15 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
     # A line of very many documents is dealt over REPLICAS places.
     copies_of = F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica")
-    salted = suspects.withColumn("replica", F.pmod(F.xxhash64("id"), F.lit(REPLICAS)).cast("int"))
+    salted = suspects.withColumn("replica", F.pmod(F.xxhash64("id", "t"), F.lit(REPLICAS)).cast("int"))
     drops = (
         salted.join(repeated.select("*", copies_of), ["h", "h2", "replica"]).where(F.col("id") != F.col("holder"))
-        .groupBy("id").agg(F.collect_set("h").alias("_drop")).withColumnRenamed("id", "_id")
+        .groupBy("id", "t").agg(F.collect_set("h").alias("_drop")).withColumnsRenamed({"id": "_id", "t": "_t"})
     )
     others = [f"_o_{c}" for c in base.columns if c != text]
     safe = base.select(*[F.col(c).alias(f"_o_{c}") if c != text else F.col(c) for c in base.columns])
     ident = F.coalesce(F.col(f"_o_{doc_id}").cast("long"), F.lit(_NO_ID))
-    ready = safe.select(*others, ident.alias("_id"), full.alias("_text")).join(drops, "_id", "left").select(
+    ready = safe.select(*others, ident.alias("_id"), F.xxhash64(full).alias("_t"), full.alias("_text")).join(drops, ["_id", "_t"], "left").select(
         *others, "_text", "_drop", F.transform(_keys(F.col("_text")), lambda k: _hash(k, F.lit(0).cast("long"))).alias("_lines"),
     )
     cut = ready.mapInArrow(trimmed(_cut_lines), ddl(safe.select(*others), "_kept string", "_n_lines long", "_n_dropped long"))

@@ -7,11 +7,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_queries import components, shingles
 
 from candleframe.llm import common, jaccard_join, packing, suffix_dedup, token_files
+from candleframe.llm import line_dedup as line_dedup_module
 from candleframe.llm.components import connected_components
 from candleframe.llm.line_dedup import line_dedup
 from candleframe.llm.quality import quality_rules
@@ -86,6 +88,21 @@ def test_line_dedup(spark, docs, none):
     assert line_dedup(none).collect() == []
 
 
+def test_line_dedup_hands_rows_without_id_their_own_lines_only(spark, monkeypatch):
+    line = lambda k: f"a line that many documents share, number {k}"
+    rows = [(None, f"{line(k)}\nown {k}") for k in range(40)] + [(100 * d + k, line(k)) for k in range(40) for d in (1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup_module, "_cut_lines", lambda batches: (
+        pa.RecordBatch.from_pydict({
+            "_o_doc_id": b.column("_o_doc_id"), "_kept": b.column("_text"), "_n_lines": pa.compute.list_value_length(b.column("_lines")).cast(pa.int64()),
+            "_n_dropped": pa.compute.fill_null(pa.compute.list_value_length(b.column("_drop")), 0).cast(pa.int64())}) for b in batches))
+    handed = [r.n_dropped for r in line_dedup(df).where("doc_id IS NULL").collect()]
+    assert handed == [1] * 40  # not the lines of all 40 rows
+    monkeypatch.undo()
+    got = {r.text: (r.n_lines, r.n_dropped) for r in line_dedup(df).where("doc_id IS NULL").collect()}
+    assert got == {f"own {k}": (2, 1) for k in range(40)}
+
+
 def test_jaccard(spark, docs, none):
     got = jaccard_join.jaccard_components(docs.withColumn("root", F.lit(1)))
     rows = [(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()]
