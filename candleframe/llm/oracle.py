@@ -88,8 +88,55 @@ SELECT page_id, host, path, {_rule_case('rule')} AS rule,
   coalesce({_rule_case('verdict')}, CASE WHEN bound > {u.MAX_BAD_RATE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts JOIN d USING (host)"""
 
+def _field(c: str) -> str:
+    return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+#: crc32 of a decimal number, bit by bit: each byte, then eight shifts (marked by -1).
+_CRC = ("xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}::VARCHAR, ''), "
+        "lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+        "lambda r, b: CASE WHEN b >= 0 THEN xor(r, b) ELSE xor(r >> 1, 3988292384 * (r & 1)) END))")
+
+
+def _tree(name: str, source: str) -> str:
+    """All levels of the trees of ``source`` (g, nodes): one row (g, lev, nodes) each."""
+    return f"""
+{name} AS (SELECT g, 0 AS lev, nodes FROM {source} UNION ALL
+  SELECT g, lev + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], ''))) FROM {name} WHERE len(nodes) > 1)"""
+
+
+def _siblings(name: str, rows: str, tree: str) -> str:
+    """Left and right siblings of ``rows`` (k, g, p) in each level of ``tree`` but the last."""
+    q = "(p // (3 ** lev)::BIGINT)"
+    return f"""
+{name} AS (SELECT k, lev, array_to_string(nodes[{q} // 3 * 3 + 1:{q}], '') AS l, array_to_string(nodes[{q} + 2:{q} // 3 * 3 + 3], '') AS r
+  FROM {rows} JOIN {tree} ON {rows}.g IS NOT DISTINCT FROM {tree}.g WHERE len(nodes) > 1)"""
+
+
+_OTHER = ", ".join(map(_field, ["doc_id", "source", "lang", "n_chars"]))
+MERKLE = f"""
+WITH RECURSIVE leaves AS (SELECT row_number() OVER () AS k, doc_id, source AS g,
+  sha256(concat({_OTHER}, {_field('text')})) AS leaf,
+  CASE WHEN {_CRC.format('doc_id')} % 2 = 0 THEN sha256(concat({_OTHER}, {_field("replace(text, chr(10), '')")})) END AS bad FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves),
+groups AS (SELECT g, list(leaf ORDER BY p) AS nodes FROM placed GROUP BY g),{_tree('low', 'groups')},
+subs AS (SELECT g AS k, 0 AS g, nodes[1] AS sub, row_number() OVER (ORDER BY low.g NULLS FIRST) - 1 AS p FROM low WHERE len(nodes) = 1),
+roots AS (SELECT 0 AS g, list(sub ORDER BY p) AS nodes FROM subs),{_tree('high', 'roots')},
+{_siblings('s1', 'placed', 'low').strip()},
+{_siblings('s2', 'subs', 'high').strip()},
+path AS (SELECT k, lev, l, r FROM s1 UNION ALL
+  SELECT placed.k, 1000 + s2.lev, s2.l, s2.r FROM placed JOIN s2 ON placed.g IS NOT DISTINCT FROM s2.k),
+proofs AS (SELECT k, list(l ORDER BY lev) AS ls, list(r ORDER BY lev) AS rs, string_agg(l || r, '' ORDER BY lev) AS joined FROM path GROUP BY k),
+folds AS (SELECT placed.k, 0 AS i, coalesce(bad, leaf) AS cur, ls, rs FROM placed LEFT JOIN proofs USING (k) UNION ALL
+  SELECT k, i + 1, sha256(ls[i + 1] || cur || rs[i + 1]), ls, rs FROM folds WHERE i < len(ls)),
+folded AS (SELECT k, max_by(cur, i) AS cur FROM folds GROUP BY k),
+top AS (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1)
+SELECT doc_id, leaf, sub AS subroot, root, sha256(coalesce(joined, '')) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM placed JOIN folded USING (k) LEFT JOIN proofs USING (k) JOIN subs ON placed.g IS NOT DISTINCT FROM subs.k, top"""
+
 ORACLE = {
     "op4_quality_rules": QUALITY,
     "op6_url_filter": URL_FILTER,
     "op7_line_dedup": LINE_DEDUP,
+    "op12_merkle_manifest": MERKLE,
 }

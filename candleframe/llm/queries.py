@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin projections of their results."""
+"""The registered queries of the operators: thin projections of their results."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candleframe.llm.common import table
 from candleframe.llm.jaccard_join import jaccard_components
 from candleframe.llm.line_dedup import line_dedup
+from candleframe.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from candleframe.llm.packing import best_fit_pack
 from candleframe.llm.quality import quality_rules
 from candleframe.llm.sentencepiece_codec import decode, encode
@@ -83,6 +84,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    marked = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", leaf_digest(*fields, "text").alias("leaf"),
+        F.when(marked, leaf_digest(*fields, F.replace("text", F.lit("\n")))).alias("tampered"))
+    return (
+        merkle_manifest(leaves)
+        .withColumn("proof_sha256", proof_digest(F.col("proof")))
+        .withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+        .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                (F.col("folded_root") == F.col("root")).alias("verified"))
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_sharding": op2_sharding,
@@ -94,4 +110,5 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
