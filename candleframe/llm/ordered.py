@@ -11,10 +11,11 @@ from candleframe.llm.common import stage
 MOST_RUNS = 100_000
 
 
-def placed(df: DataFrame, group: str, order: list[str], name: str) -> tuple[DataFrame, int]:
+def placed(df: DataFrame, group: str, order: list[str], name: str, weight: str | None = None) -> tuple[DataFrame, int]:
     """``df`` with ``_at``, the place 0, 1, ... in the order within its ``group``, and ``_n``, the group's size.
 
-    Also returns the largest group's size, 0 without rows.
+    Also returns the largest group's size, 0 without rows. With ``weight``, ``_before`` is
+    the weight of all rows of the group that come before.
 
     NULLs are a group, and come first in the order. One range shuffle: a hot group lies over
     many sorted partitions, rows that tie in all of ``order`` are parted by their place in
@@ -27,18 +28,22 @@ def placed(df: DataFrame, group: str, order: list[str], name: str) -> tuple[Data
         .repartitionByRange(*by).sortWithinPartitions(*by).drop("_salt")
         .withColumn("_row", F.monotonically_increasing_id()),  # partition << 33 | place in it
         name,
-    )
-    part = F.shiftright("_row", 33)
+    ).withColumn("_part", F.shiftright("_row", 33))
+    load = F.lit(0) if weight is None else F.col(weight)
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = stage(
-        ranged.groupBy(part.alias("_part"), group).agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
+        ranged.groupBy("_part", group).agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"), F.sum(load).alias("_load"))
         .select(F.col("_part").alias("_p"), F.col(group).alias("_g"),
                 (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+                F.coalesce(F.sum("_load").over(before), F.lit(0)).alias("_base"),
                 F.sum("_rows").over(Window.partitionBy(group)).alias("_n")),
         f"{name}-runs",
     )
     count, most = runs.agg(F.count("*"), F.max("_n")).first()
-    same = (part == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g"))
     small = F.broadcast(runs) if count <= MOST_RUNS else runs
-    out = ranged.join(small, same).select(*df.columns, (F.col("_row") + F.col("_shift")).alias("_at"), "_n")
-    return out, most or 0
+    places = ranged.join(small, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    columns = [*df.columns, (F.col("_row") + F.col("_shift")).alias("_at"), "_n"]
+    if weight is not None:
+        within = Window.partitionBy("_part", group).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+        columns.append((F.col("_base") + F.coalesce(F.sum(load).over(within), F.lit(0))).alias("_before"))
+    return places.select(*columns), most or 0

@@ -20,6 +20,8 @@ from candleframe.llm.suffix_dedup import suffix_dedup
 from candleframe.llm.token_files import read_token_files, write_token_files
 from candleframe.llm.topk import top_k
 from candleframe.llm.url_filter import url_filter
+from candleframe.llm.warc import read_warc, write_warc
+from candleframe.llm.whitening import fit_whitening, whiten
 from candleframe.session import ensure_checkpoint_dir
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -84,6 +86,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars"]
     marked = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -99,6 +107,22 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fit = fit_whitening(vectors)
+    rows = whiten(vectors, fit).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = fit.explained.tolist() if fit else []
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fit.n if fit else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), "at").alias("explained"),
+        F.lit(fit.identity_error if fit else 0.0).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_sharding": op2_sharding,
@@ -110,5 +134,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op11_warc": op11_warc,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
