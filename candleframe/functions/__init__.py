@@ -6,7 +6,6 @@ stays inside whole-stage codegen; nothing is a Python UDF.
 
 from candleframe.functions.returns import log_return, simple_return
 from candleframe.functions.stats import (
-    average_rank,
     clip,
     guarded_corr,
     pair_count,
@@ -15,7 +14,6 @@ from candleframe.functions.stats import (
 from candleframe.functions.time import hour_of_day, period_start, trade_date, year_of
 
 __all__ = [
-    "average_rank",
     "clip",
     "guarded_corr",
     "hour_of_day",

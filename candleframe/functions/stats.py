@@ -1,11 +1,9 @@
-"""Statistics as Spark expressions: guarded correlation, average ranks, Student-t p-value."""
+"""Statistics as Spark expressions: guarded correlation, Student-t p-value."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -32,18 +30,6 @@ def pair_count(x, y) -> Column:
     return F.count(F.when(x.isNotNull() & y.isNotNull(), F.lit(1)))
 
 
-def average_rank(x: str, partition: Sequence[str]) -> Column:
-    """1-based rank of ``x`` within ``partition``, ties get the mean of their positions.
-
-    rank() is 1 + #rows below x; count over the default RANGE frame (unbounded preceding
-    to current row, peers included) is #rows at or below x; their mean is the tie average.
-    Both use one window spec, so one sort per ranked column. NULLs sort last, so they do
-    not move the ranks of the values; their own rank is NULL.
-    """
-    w = Window.partitionBy(*partition).orderBy(F.col(x).asc_nulls_last())
-    return F.when(F.col(x).isNotNull(), (F.rank().over(w) + F.count(F.lit(1)).over(w)) / F.lit(2.0))
-
-
 def clip(value, lo: float, hi: float) -> Column:
     """Clip to [lo, hi]; NULL stays NULL (unlike greatest/least, which skip NULL)."""
     v = _c(value)

@@ -3,21 +3,23 @@
 Ordering is ``open_time`` then ``seq`` when the frame has it, so ties are deterministic.
 
 Scale note: a pair's candle history can be a large share of all rows (one hot pair), and so
-can one hour or second of it (a burst), so the per-candle lag is never a window over a whole
-pair. It runs inside (pair, slice) partitions cut by the pair's own density, and the first
-candle of each takes the last close of the slice before from a small per-slice table.
-Daily series (<= 366 rows per pair-year) use plain per-pair windows.
+can one hour or second of it (a burst), so the per-candle lag is never a window over such a
+pair. It runs inside (pair, slice) partitions (``slices``), and the first candle of each
+takes the last close of the slice before from a small per-slice table. Daily series (<= 366 rows per pair-year) use plain per-pair windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candleframe.functions.returns import log_return, simple_return
 from candleframe.functions.time import period_start, trade_date, year_of
-from candleframe.schema import PAIR_KEYS, TIME, order_columns
-from candleframe.session import checked_broadcast, checkpointed
+from candleframe.operators.slices import SLICE_ROWS, cut_slices, micros, renamed_keys, same_keys
+from candleframe.schema import PAIR_KEYS, SEQ, TIME, order_columns
 
 
 def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
@@ -31,25 +33,42 @@ def last_in_period(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def last_in_period_unique(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
-    """Same rows as ``last_in_period`` when ``open_time`` is unique within each pair.
+#: Beyond every seq: a time's place value in ``_moment``, and a time before all others.
+_PLACE, _NO_TIME = Decimal(2**65), -(2**55)
+
 
-    Every other column is ``max_by(column, open_time)``. ``classification`` depends on the
-    pair, so it is a grouping key; with the fixed-width columns of a candle left, the plan is
-    a hash aggregate with map-side partials and no sort (any other string column would
-    bring the sort back). The premise is not checked here: with ties the columns could come
-    from different rows. Check it once with ``times_are_unique``; frames with a ``seq``
-    tie-breaker use ``last_in_period``.
+def _moment(df: DataFrame) -> Column:
+    """One never-NULL number that orders like (open_time, seq) with NULLs first.
+
+    Both fit a 38-digit decimal, which hash aggregates keep in place; a struct would sort.
+    """
+    time = F.coalesce(micros(TIME), F.lit(_NO_TIME))
+    if SEQ not in df.columns:
+        return time
+    if not isinstance(df.schema[SEQ].dataType, T.IntegralType):
+        return F.struct(time, SEQ)
+    whole = T.DecimalType(38, 0)
+    return time.cast(whole) * F.lit(_PLACE) + F.coalesce(F.col(SEQ).cast(whole), F.lit(Decimal(-(2**63) - 1)))
+
+
+def last_in_period_hashed(df: DataFrame, period: str, keys=PAIR_KEYS) -> DataFrame:
+    """Same rows as ``last_in_period``, by a hash aggregate with map-side partials and no sort.
+
+    Every other column is ``max_by`` of one and the same number, the candle's place in
+    (open_time, seq). Such aggregates keep or replace their row together, so all columns come
+    from one candle, with ties too: equal times are told apart by ``seq``, and of candles
+    equal in both one is kept, as ``row_number() = 1`` does. ``classification`` depends on
+    the pair, so it is a grouping key; any other string column would bring the sort back.
     """
     group = [*keys, period, *[c for c in ("classification",) if c in df.columns]]
-    others = [c for c in df.columns if c not in group and c != TIME]
-    return df.groupBy(*group).agg(
-        F.max(TIME).alias(TIME), *[F.max_by(c, TIME).alias(c) for c in others]
+    moment = df.withColumn("_moment", _moment(df))
+    return moment.groupBy(*group).agg(
+        *[F.max_by(c, "_moment").alias(c) for c in df.columns if c not in group]
     ).select(*df.columns)
 
 
 def times_are_unique(df: DataFrame, keys=PAIR_KEYS) -> bool:
-    """True when no pair has two candles with the same ``open_time`` (the fast path's premise).
+    """True when no pair has two candles with the same ``open_time``: without ``seq``, all order is certain.
 
     One aggregation over (pair, open_time) plus an existence probe; it shuffles every key
     once, so run it when the data is new, not on every query.
@@ -58,16 +77,16 @@ def times_are_unique(df: DataFrame, keys=PAIR_KEYS) -> bool:
     return dup.isEmpty()
 
 
-def daily_last(df: DataFrame, *, unique_times: bool = False, volume_mode: str = "last") -> DataFrame:
+def daily_last(df: DataFrame, *, hashed: bool = False, volume_mode: str = "last") -> DataFrame:
     """The last candle of each calendar day per pair, with a ``date`` column.
 
-    ``unique_times=True`` promises one candle per (pair, open_time) and takes the hash
-    aggregate; the default window path is exact with ties (broken by ``seq``).
+    Ties are broken by ``seq``. ``hashed=True`` takes the hash aggregate instead of the
+    window: the same rows, and no sort if the columns are of fixed width.
     ``volume_mode``: 'last' keeps the last candle's ``volume``, 'sum' gives the day's total
     (NULL volumes are left out; a day without any has NULL).
     """
     d = df.withColumn("date", trade_date(TIME))
-    last = last_in_period_unique(d, "date") if unique_times else last_in_period(d, "date")
+    last = last_in_period_hashed(d, "date") if hashed else last_in_period(d, "date")
     if volume_mode == "last":
         return last
     if volume_mode != "sum":
@@ -81,18 +100,6 @@ def daily_last(df: DataFrame, *, unique_times: bool = False, volume_mode: str =
     return last.join(totals, same, "left").select(*columns)
 
 
-#: Candles that one slice of a pair's history holds, about.
-SLICE_ROWS = 1_000_000
-#: Cut points kept for each pair; slices of a pair of more than CUTS * SLICE_ROWS candles grow.
-CUTS = 1024
-
-
-def _micros(c: str):
-    """Microseconds of a zone-less time from its own fields, whatever the session's time zone."""
-    seconds = F.unix_date(F.to_date(c)) * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
-    return seconds.cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), F.col(c)) * 1_000_000).cast("bigint")
-
-
 def lag_in_pair(
     df: DataFrame,
     column: str = "close",
@@ -103,54 +110,40 @@ def lag_in_pair(
 ) -> DataFrame:
     """``out`` = ``column`` of the previous candle of the same pair (NULL for the first one).
 
-    A pair's history is never one window partition. It is cut into slices of about
-    ``slice_rows`` candles by its own density: approximate quantiles of time, so that a burst
-    within one hour, second or millisecond is cut like any other stretch. The window runs per
-    (pair, slice), and the first candle of a slice takes the last value of the slice before:
+    A pair's history is never one window partition once it exceeds ``2 * slice_rows`` candles:
+    ``cut_slices`` parts it along (open_time, seq), so a burst within one hour or one
+    microsecond is cut like any other stretch. The window runs per (pair, slice), and the
+    first candle of a slice takes the last value of the slice before:
 
-    1. quantiles: one aggregate over (pair, open_time), merged map-side; one small row per
-       pair, checkpointed;
-    2. every candle finds its slice by comparing its time with its pair's cuts (an ordinary
-       none); the small table is broadcast up to 100,000 pairs and shuffled beyond;
+    1. counts and quantiles: one aggregate a level over pair and time, merged map-side;
+    2. every candle finds its slice by comparing its order with its pair's cuts (an ordinary
+       pair has none, and is one slice);
     3. the last value of every slice, aggregated map-side, moves one slice on; it is joined
        on the window's own partitioning, so the candles are shuffled once.
 
-    Only candles of one pair and one microsecond cannot be parted. ``slice_rows=None`` gives
-    the plain per-pair window (same result). ``tiebreak`` names further ordering columns.
+    ``slice_rows=None`` gives the plain per-pair window (same result). ``tiebreak`` names
+    further ordering columns.
     """
     keys = list(PAIR_KEYS)
     order = order_columns(df) + list(tiebreak)
-    if slice_rows is None:
+    slices = None if slice_rows is None else cut_slices(df, keys, order, slice_rows)
+    if slices is None or not slices.levels:
         return df.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    grid = [i / CUTS for i in range(1, CUTS)]
-    wanted = F.least(F.lit(CUTS), F.ceil(F.col("_n") / F.lit(slice_rows)))
-    picks = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(CUTS)), lambda i: i < F.col("_slices")),
-        lambda i: F.element_at("_grid", F.greatest(F.lit(1), F.floor(i * CUTS / F.col("_slices")).cast("int"))),
-    )
-    cuts = checkpointed(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(_micros(TIME), grid).alias("_grid"))
-        .withColumn("_slices", wanted)
-        .select(*keys, F.coalesce(picks, F.array().cast("array<bigint>")).alias("_cuts"))
-    )
-    same = [df[k].eqNullSafe(cuts[k]) for k in keys]
-    sliced = df.join(checked_broadcast(cuts), same[0] & same[1], "left").select(
-        *[df[c] for c in df.columns],
-        F.coalesce(F.size(F.filter("_cuts", lambda c: c <= _micros(TIME))), F.lit(0)).alias("_slice"),
-    )
+    sliced = slices.assign(slices.ordered(df))
+    order = slices.order_by
     order_key = F.struct(*order) if len(order) > 1 else F.col(order[0])
     ends = sliced.groupBy(*keys, "_slice").agg(F.max_by(column, order_key).alias("_last"))
-    carry = ends.withColumn(
-        "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice"))
-    ).drop("_last")
+    carry = ends.select(
+        *renamed_keys(keys), F.col("_slice").alias("_of"),
+        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_carry"),
+    )
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     x = sliced.withColumn("_lag", F.lag(column).over(w)).withColumn("_rn", F.row_number().over(w))
-    return (
-        x.join(carry, on=[*keys, "_slice"], how="left")
-        .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")))
-        .drop("_slice", "_lag", "_rn", "_carry")
+    joined = x.join(carry, same_keys(x, carry, keys) & (x["_slice"] == carry["_of"]), "left")
+    return joined.select(
+        *[x[c] for c in df.columns if c != out],
+        F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias(out),
     )
 
 
@@ -245,17 +238,17 @@ def returns_of_daily(daily: DataFrame) -> DataFrame:
     return _with_prev_day(daily).withColumn("return", simple_return()).where(F.col("return").isNotNull())
 
 
-def daily_log_returns(df: DataFrame, *, unique_times: bool = False) -> DataFrame:
+def daily_log_returns(df: DataFrame, *, hashed: bool = False) -> DataFrame:
     """ln(close / previous day's close) per pair on last-of-day candles; first day dropped.
 
     Days without candles are skipped, so a return may span several calendar days.
     """
-    return log_returns_of_daily(daily_last(df, unique_times=unique_times))
+    return log_returns_of_daily(daily_last(df, hashed=hashed))
 
 
-def daily_returns(df: DataFrame, *, unique_times: bool = False, volume_mode: str = "last") -> DataFrame:
+def daily_returns(df: DataFrame, *, hashed: bool = False, volume_mode: str = "last") -> DataFrame:
     """Simple daily return on last-of-day candles; rows with a NULL return are dropped.
 
     ``volume`` is that of the day's last candle, or with ``volume_mode='sum'`` the day's total.
     """
-    return returns_of_daily(daily_last(df, unique_times=unique_times, volume_mode=volume_mode))
+    return returns_of_daily(daily_last(df, hashed=hashed, volume_mode=volume_mode))

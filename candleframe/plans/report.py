@@ -2,7 +2,6 @@
 
     python -m candleframe.plans.report PAIR_DIR OUT_DIR [--top-n 10] [--corr-quotes BUSD,EUR,USDT]
         [--corr-bases ADA,ETH,BTC] [--years data|2017-2022] [--year-quotes ...] [--overwrite]
-        [--unique-times]
 
 Runs, in order: pair catalog (quote-count histogram, top bases, common quotes, file sizes),
 universe load, null profile, bases per quote and year, the guarded return-correlation
@@ -54,13 +53,10 @@ def run_report(
     years: Sequence[int] | None = None,
     seed: int = SAMPLE_SEED,
     mode: str = "errorifexists",
-    unique_times: bool = False,
 ) -> dict[str, str]:
     """Run every analysis and write each table under ``out_dir``; returns name -> path.
 
-    ``years=None`` correlates every year of the data. ``unique_times``: the caller knows that
-    no pair has two candles at one time (``times_are_unique`` tells), which spares the
-    daily series its sort.
+    ``years=None`` correlates every year of the data.
     """
     written: dict[str, str] = {}
 
@@ -92,7 +88,7 @@ def run_report(
 
     # The volatility and volume/return analyses share one last-of-day table (one row per
     # pair-day, far smaller than the candles), checkpointed in the shared folder.
-    daily = checkpointed(daily_last(candles, unique_times=unique_times))
+    daily = checkpointed(daily_last(candles, hashed=True))
     log_returns = log_returns_of_daily(daily)
     rolling = rolling_volatility(log_returns)
     save("annual_volatility", annual_volatility(log_returns))
@@ -130,7 +126,6 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--years", default="data", help="'data' (every year present), '2017-2022' or a list")
     ap.add_argument("--seed", type=int, default=SAMPLE_SEED)
     ap.add_argument("--overwrite", action="store_true")
-    ap.add_argument("--unique-times", action="store_true", help="no pair has two candles at one time")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     out = run_report(
@@ -144,7 +139,6 @@ def main(argv: list[str] | None = None) -> None:
         years=_years(args.years),
         seed=args.seed,
         mode="overwrite" if args.overwrite else "errorifexists",
-        unique_times=args.unique_times,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

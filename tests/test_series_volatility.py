@@ -155,7 +155,7 @@ def test_unique_time_fast_path_equals_window(spark):
     ticks = fx.candles_ticks(spark, SF001)  # all timestamps distinct
     cols = ["base_currency", "quote_currency", "date", "open_time", "seq", "close", "volume"]
     a = series.daily_last(ticks).select(*cols)
-    b = series.daily_last(ticks, unique_times=True).select(*cols)
+    b = series.daily_last(ticks, hashed=True).select(*cols)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     plan = b._jdf.queryExecution().executedPlan().toString()
@@ -219,7 +219,7 @@ def test_unique_time_path_is_a_hash_aggregate(spark):
     from conftest import SF001
 
     ticks = classify.classify_by_quote(fx.candles_ticks(spark, SF001), {"stablecoin": ("U0",)})
-    plan = series.daily_last(ticks, unique_times=True)._jdf.queryExecution().executedPlan().toString()
+    plan = series.daily_last(ticks, hashed=True)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
 
 
