@@ -29,6 +29,10 @@ from candleframe.schema import (
 )
 
 
+#: Keys of a block: statistics are aggregated for the BLOCK x BLOCK pairs of two blocks at a time.
+BLOCK = 3
+
+
 def pairwise_correlation(
     df: DataFrame,
     *,
@@ -42,59 +46,71 @@ def pairwise_correlation(
 ) -> DataFrame:
     """Pearson correlation of ``value`` between every two ``keys`` per (group, year).
 
-    1. One aggregation to (group, year, time) cells, one column per key: the mean of the
-       values in the cell (duplicates averaged, NULLs ignored).
-    2. One aggregation per (group, year) holding covariance/stddev partials for every key
-       pair over the timestamps where both are present (pairwise-complete).
-    3. A literal (group, year) grid left-joined to it, exploded to one row per key pair.
-    No self join: nothing is emitted per pair of rows, only per pair of requested keys.
+    1. Keys are dealt into blocks. One aggregation to (group, year, time, block) cells, one
+       column per place in the block: the mean of the values in the cell (duplicates
+       averaged, NULLs ignored).
+    2. A timestamp's blocks are gathered (at most one row each) and every two of them give one
+       row; one aggregation per (group, year, two blocks) holds covariance/stddev partials
+       over the timestamps where both keys are present (pairwise-complete).
+    3. A (group, year) grid is exploded to one row per key pair and left-joined to it.
+    The plan has one size for any number of keys, and rows are emitted per pair of blocks of
+    a timestamp, never per pair of candles. Keys of one block need no gathering.
     ``years=None`` uses the years present in the selected rows (a short collected list).
     """
     keys = list(dict.fromkeys(keys))
     groups = list(dict.fromkeys(groups))
+    wanted = df.where(F.col(group).isin(groups) & F.col(key).isin(keys))
     if years is None:
-        present = df.where(F.col(group).isin(groups) & F.col(key).isin(keys)).select("year").distinct()
-        years = sorted(r.year for r in present.collect() if r.year is not None)
+        years = sorted(r.year for r in wanted.select("year").distinct().collect() if r.year is not None)
     years = [int(y) for y in dict.fromkeys(years)]
-    xs = [f"_x{i}" for i in range(len(keys))]
+    names = F.lit(keys).cast("array<string>")
+    number = F.array_position(names, F.col(key).cast("string")) - 1
+    places = range(BLOCK)
 
     cells = (
-        df.where(F.col(group).isin(groups) & F.col(key).isin(keys) & F.col("year").isin(years))
-        .groupBy(group, "year", time)
-        .agg(*[F.avg(F.when(F.col(key) == k, F.col(value))).alias(x) for k, x in zip(keys, xs)])
+        wanted.where(F.col("year").isin(years))
+        .select(group, "year", time, F.col(value).alias("_v"), F.floor(number / BLOCK).cast("int").alias("_block"),
+                F.pmod(number, F.lit(BLOCK)).cast("int").alias("_place"))
+        .groupBy(group, "year", time, "_block")
+        .agg(*[F.avg(F.when(F.col("_place") == p, F.col("_v"))).alias(f"_x{p}") for p in places])
     )
-    idx = range(len(keys))
-    tri = [(i, j) for i in idx for j in idx if i <= j]
-    stats = cells.groupBy(group, "year").agg(
-        *[guarded_corr(xs[i], xs[j]).alias(f"_c{i}_{j}") for i, j in tri],
-        *[pair_count(xs[i], xs[j]).alias(f"_n{i}_{j}") for i, j in tri],
+    if len(keys) > BLOCK:
+        block = F.struct(F.col("_block").alias("block"), F.array(*[f"_x{p}" for p in places]).alias("x"))
+        gathered = cells.groupBy(group, "year", time).agg(F.sort_array(F.collect_list(block)).alias("_blocks"))
+        two = F.flatten(F.transform("_blocks", lambda a, i: F.transform(
+            F.slice("_blocks", i + 1, F.size("_blocks")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+        each = gathered.select(group, "year", F.explode(two).alias("_two")).select(
+            group, "year", F.col("_two.a.block").alias("_a"), F.col("_two.b.block").alias("_b"),
+            *[F.col("_two.a.x")[p].alias(f"_x{p}") for p in places], *[F.col("_two.b.x")[p].alias(f"_y{p}") for p in places])
+    else:
+        each = cells.select(group, "year", F.lit(0).alias("_a"), F.lit(0).alias("_b"),
+                            *[f"_x{p}" for p in places], *[F.col(f"_x{p}").alias(f"_y{p}") for p in places])
+    stats = each.groupBy(group, "year", "_a", "_b").agg(
+        *[guarded_corr(f"_x{i}", f"_y{j}").alias(f"_c{i}_{j}") for i, j in product(places, places)],
+        *[pair_count(f"_x{i}", f"_y{j}").alias(f"_n{i}_{j}") for i, j in product(places, places)],
     )
+    found = stats.select(group, "year", F.inline(F.array(*[
+        F.struct((F.col("_a") * BLOCK + i).alias("_i"), (F.col("_b") * BLOCK + j).alias("_j"),
+                 F.col(f"_c{i}_{j}").alias("corr"), F.col(f"_n{i}_{j}").alias("n_obs"))
+        for i, j in product(places, places)
+    ]))).where(F.col("_i") <= F.col("_j"))
+
     grid_schema = T.StructType(
         [T.StructField(group, T.StringType(), False), T.StructField("year", T.LongType(), False)]
     )
-    grid = df.sparkSession.createDataFrame([(g, y) for g in groups for y in years], grid_schema)
-    cells_out = F.array(
-        *[
-            F.struct(
-                F.lit(keys[i]).alias("a"),
-                F.lit(keys[j]).alias("b"),
-                F.col(f"_c{min(i, j)}_{max(i, j)}").alias("corr"),
-                F.coalesce(F.col(f"_n{min(i, j)}_{max(i, j)}"), F.lit(0)).alias("n_obs"),
-            )
-            for i, j in product(idx, idx)
-        ]
+    every = F.sequence(F.lit(0), F.lit(len(keys) - 1)) if keys else F.array().cast("array<int>")
+    grid = (
+        df.sparkSession.createDataFrame([(g, y) for g in groups for y in years], grid_schema)
+        .withColumn("_ka", F.explode(every)).withColumn("_kb", F.explode(every))
+        .withColumns({"_i": F.least("_ka", "_kb"), "_j": F.greatest("_ka", "_kb")})
     )
-    return (
-        grid.join(stats, on=[group, "year"], how="left")
-        .select(group, "year", F.inline(cells_out))
-        .select(
-            group,
-            "year",
-            F.col("a").alias(f"{key.split('_')[0]}_a"),
-            F.col("b").alias(f"{key.split('_')[0]}_b"),
-            "corr",
-            F.col("n_obs").cast("bigint").alias("n_obs"),
-        )
+    return grid.join(found, on=[group, "year", "_i", "_j"], how="left").select(
+        group,
+        "year",
+        F.get(names, "_ka").alias(f"{key.split('_')[0]}_a"),
+        F.get(names, "_kb").alias(f"{key.split('_')[0]}_b"),
+        "corr",
+        F.coalesce("n_obs", F.lit(0)).cast("bigint").alias("n_obs"),
     )
 
 
