@@ -16,7 +16,7 @@ from candleframe.operators.universe import quote_count_per_base, top_bases
 from candleframe.schema import BASE, TOP_BASES_EXTRACT
 from candleframe.sources.candles import load_directory, split_stock
 from candleframe.sources.catalog import directory_catalog
-from candleframe.sources.sinks import write_parquet
+from candleframe.sources.sinks import FILE_ROWS, deal_by_size, write_parquet
 
 EXTRACT_COLUMNS = ("stock", "base_currency", "quote_currency", "open_time", "close", "classification")
 
@@ -50,15 +50,18 @@ def closing_price_extract(
     )
 
 
-def run_extract(spark: SparkSession, directory: str, out_path: str, *, top_n: int = TOP_BASES_EXTRACT) -> dict:
+def run_extract(
+    spark: SparkSession, directory: str, out_path: str, *, top_n: int = TOP_BASES_EXTRACT, file_rows: int = FILE_ROWS
+) -> dict:
     """Whole extract job over a pair-file directory: write the extract, return its summary row.
 
-    One pass: the summary's four statistics are observed while the rows are written, so
-    nothing is cached and no candle is read twice.
+    Candles are read once: the summary's four statistics are observed while the rows are
+    written, and nothing is cached. Files of about ``file_rows`` rows: a first pass counts
+    rows per base, which is part of the file name, so it reads no column.
     """
     extract = closing_price_extract(load_directory(spark, directory), directory_catalog(spark, directory), top_n=top_n)
     seen = Observation()
-    write_parquet(extract.observe(seen, *closing_price_statistics()), out_path)
+    write_parquet(deal_by_size(extract, (BASE,), file_rows=file_rows).observe(seen, *closing_price_statistics()), out_path)
     return dict(seen.get)
 
 

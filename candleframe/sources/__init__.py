@@ -13,10 +13,11 @@ from candleframe.sources.catalog import (
     pair_catalog,
     parse_pair,
 )
-from candleframe.sources.sinks import write_parquet
+from candleframe.sources.sinks import deal_by_size, write_by_size, write_parquet
 
 __all__ = [
     "SchemaMismatch",
+    "deal_by_size",
     "directory_catalog",
     "list_parquet_files",
     "load_directory",
@@ -25,5 +26,6 @@ __all__ = [
     "parse_pair",
     "split_stock",
     "with_stock_column",
+    "write_by_size",
     "write_parquet",
 ]
