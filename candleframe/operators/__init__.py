@@ -20,9 +20,10 @@ from candleframe.operators.profile import (
     closing_price_statistics,
     closing_price_summary,
     distinct_years_bases,
+    first_panels,
     null_profile,
 )
-from candleframe.operators.rank_stats import spearman
+from candleframe.operators.rank_stats import average_ranks, spearman
 from candleframe.operators.sampling import seeded_key_sample
 from candleframe.operators.series import (
     candle_returns,
@@ -38,6 +39,7 @@ from candleframe.operators.series import (
     top_of_hour_returns,
 )
 from candleframe.operators.setops import union_pairs
+from candleframe.operators.slices import cut_slices, with_halo
 from candleframe.operators.universe import (
     bases_with_quotes,
     common_quotes,
@@ -50,10 +52,16 @@ from candleframe.operators.universe import (
     require_bases,
     top_bases,
 )
-from candleframe.operators.volatility import annual_volatility, rolling_volatility, top_series
+from candleframe.operators.volatility import (
+    annual_volatility,
+    rolling_candle_volatility,
+    rolling_volatility,
+    top_series,
+)
 
 __all__ = [
     "annual_volatility",
+    "average_ranks",
     "bases_per_quote_year",
     "bases_with_quotes",
     "candle_returns",
@@ -66,6 +74,7 @@ __all__ = [
     "complete_bases",
     "corr_across_bases",
     "corr_across_quotes",
+    "cut_slices",
     "daily_last",
     "daily_log_returns",
     "daily_returns",
@@ -73,6 +82,7 @@ __all__ = [
     "distinct_years_bases",
     "existing_pairs",
     "file_size_totals",
+    "first_panels",
     "hour_correlation_from_moments",
     "hour_moments",
     "hour_return_correlation",
@@ -88,6 +98,7 @@ __all__ = [
     "quote_count_per_base",
     "require_bases",
     "returns_of_daily",
+    "rolling_candle_volatility",
     "rolling_volatility",
     "seeded_key_sample",
     "spearman",
@@ -97,4 +108,5 @@ __all__ = [
     "top_of_hour_returns",
     "top_series",
     "union_pairs",
+    "with_halo",
 ]

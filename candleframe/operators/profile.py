@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleframe.functions.time import trade_date, year_of
-from candleframe.schema import BASE, QUOTE, TIME
+from candleframe.schema import BASE, PANEL_BASES, PANEL_YEARS, QUOTE, TIME
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -34,6 +34,22 @@ def closing_price_series(df: DataFrame) -> DataFrame:
     return df.select(BASE, year_of(TIME).alias("year"), QUOTE, trade_date(TIME).alias("date"), "close")
 
 
+def first_panels(df: DataFrame, *, bases: int = PANEL_BASES, years: int = PANEL_YEARS) -> DataFrame:
+    """Rows of the first ``bases`` bases in name order, and of each base's first ``years`` years.
+
+    ``df`` carries base_currency and ``year`` (none of them NULL is chosen). Chosen from the
+    distinct (base, year) pairs; what is broadcast back has at most ``bases * years`` rows.
+    """
+    pairs = df.select(BASE, "year").where(F.col(BASE).isNotNull() & F.col("year").isNotNull()).distinct()
+    first = pairs.select(BASE).distinct().orderBy(BASE).limit(bases)
+    w = Window.partitionBy(BASE).orderBy("year")
+    chosen = (
+        pairs.join(F.broadcast(first), on=BASE, how="left_semi")
+        .withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= years).drop("_rank")
+    )
+    return df.join(F.broadcast(chosen), on=[BASE, "year"], how="left_semi").select(*df.columns)
+
+
 def closing_price_statistics() -> list[Column]:
     """Mean, sample stddev, min and max of ``close``: aggregates, also for ``observe``."""
     return [

@@ -278,6 +278,16 @@ def q_closing_price_series(spark, sf_dir):
     return profile.closing_price_series(fx.candles_daily(spark, sf_dir))
 
 
+@register("annual_volatility_panels")
+def q_annual_volatility_panels(spark, sf_dir):
+    """Annual volatility of the first ten bases by name, and of each base's first six years.
+
+    Over the supply view, where more nations trade, and over more years."""
+    # The choice reads the small result twice more.
+    annual = checkpointed(volatility.annual_volatility(series.daily_log_returns(fx.candles_supply(spark, sf_dir))))
+    return profile.first_panels(annual)
+
+
 # --- volume vs return (daily candles) ------------------------------------------------------
 
 
@@ -320,8 +330,8 @@ def q_volume_return_grid(spark, sf_dir):
 
 @register("daily_last_unique_times")
 def q_daily_last_unique_times(spark, sf_dir):
-    """Last tick of each pair-day via the hash-aggregate path (tick times are unique)."""
-    return series.daily_last(fx.candles_ticks(spark, sf_dir), unique_times=True).select(
+    """Last tick of each pair-day via the hash-aggregate path."""
+    return series.daily_last(fx.candles_ticks(spark, sf_dir), hashed=True).select(
         "base_currency", "quote_currency", "date", "open_time", "seq", "close", "volume"
     )
 
@@ -345,12 +355,8 @@ def q_seeded_key_sample(spark, sf_dir):
 # --- candle returns, hourly activity (tick candles) ---------------------------------------
 
 
-#: Slices far smaller than a pair of the test tables, so that these keys cross slice ends.
-SMALL_SLICES = 50
-
-
 def _tick_returns(spark, sf_dir):
-    return series.candle_returns(fx.candles_ticks(spark, sf_dir), slice_rows=SMALL_SLICES)
+    return series.candle_returns(fx.candles_ticks(spark, sf_dir))
 
 
 RETURN_OUT = ("base_currency", "quote_currency", "open_time", "seq", "year", "close", "prev_close", "return")
@@ -367,6 +373,12 @@ def q_top_of_hour_returns(spark, sf_dir):
     return series.top_of_hour_returns(fx.candles_ticks(spark, sf_dir)).select(*RETURN_OUT)
 
 
+@register("rolling_volatility_ticks")
+def q_rolling_volatility_ticks(spark, sf_dir):
+    """30-row rolling volatility of the returns between adjacent ticks."""
+    return volatility.rolling_candle_volatility(fx.candles_ticks(spark, sf_dir))
+
+
 @register("hourly_volume")
 def q_hourly_volume(spark, sf_dir):
     return activity.hourly_volume(fx.candles_ticks(spark, sf_dir))

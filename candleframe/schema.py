@@ -57,6 +57,8 @@ ANNUALIZATION = math.sqrt(365)
 SAMPLE_SEED = 42
 SAMPLE_SIZE = 3
 HOUR_CORR_CLIP = 0.5
+PANEL_BASES = 10
+PANEL_YEARS = 6
 # ------------------------------------------------------------------------------------------
 
 
