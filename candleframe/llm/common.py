@@ -101,6 +101,13 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def free_prefix(columns: list[str], prefix: str) -> str:
+    """``prefix``, with underscores before it until no column starts with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def zipped(df: DataFrame, column: str = "text") -> DataFrame:
     """``df`` with a string column as zstandard frames, so that a shuffle moves and keeps less."""
     ship_package(df.sparkSession)

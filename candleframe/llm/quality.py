@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import WS_CHARS, WS_CLASS, checked_broadcast, stage, words_of
+from candleframe.llm.common import WS_CHARS, WS_CLASS, checked_broadcast, free_name, free_prefix, stage, words_of
 
 #: Characters that count as symbols, and the word windows that count as repeats.
 SYMBOLS = "#*$%&|<>"
@@ -36,33 +36,34 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     NULL and empty texts have no words. Repeated words: positions covered by 8-word
     windows that occur twice or more in the text. Windows are compared by a 64-bit hash;
     only texts where two hashes agree sort them (hash, position), the rest stop there.
-    Any extra columns pass through unless they carry one of the new names, which win.
+    Any extra columns pass through unless they carry one of the new names, in any case, which win.
     """
+    pre = free_prefix(docs.columns, "_q_")
     t = F.coalesce(F.col(text), F.lit(""))
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    keep = [c for c in docs.columns if c not in new and not c.startswith("_q_")]
+    keep = [c for c in docs.columns if c.lower() not in new]
     worded = F.filter(F.split(t, "\n"), lambda line: line.rlike(f"[^{WS_CLASS[1:-1]}]"))
     one = docs.select(
         *keep,
-        F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)).alias("_q_hashes"),
+        F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)).alias(f"{pre}hashes"),
         F.char_length(F.translate(t, WS_CHARS, "")).cast("long").alias("word_chars"),
         (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        worded.alias("_q_lines"),
+        worded.alias(f"{pre}lines"),
     )
     two = one.select(
         *keep, "word_chars", "n_symbols",
-        F.size("_q_hashes").cast("long").alias("n_words"),
-        (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("n_dup_lines"),
-        _window_hashes(F.col("_q_hashes"), F.size("_q_hashes")).alias("_q_win"),
+        F.size(f"{pre}hashes").cast("long").alias("n_words"),
+        (F.size(f"{pre}lines") - F.size(F.array_distinct(f"{pre}lines"))).cast("long").alias("n_dup_lines"),
+        _window_hashes(F.col(f"{pre}hashes"), F.size(f"{pre}hashes")).alias(f"{pre}win"),
     )
     three = two.select(
         *keep, "word_chars", "n_symbols", "n_words", "n_dup_lines",
         F.when(
-            F.size(F.array_distinct("_q_win")) < F.size("_q_win"),
-            F.array_sort(F.transform("_q_win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-        ).alias("_q_sorted"),
+            F.size(F.array_distinct(f"{pre}win")) < F.size(f"{pre}win"),
+            F.array_sort(F.transform(f"{pre}win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        ).alias(f"{pre}sorted"),
     )
-    s = F.col("_q_sorted")
+    s = F.col(f"{pre}sorted")
     twice = F.filter(
         s,
         lambda x, k: F.coalesce(x["h"] == F.get(s, k + 1)["h"], F.lit(False))
@@ -70,9 +71,9 @@ def text_features(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     four = three.select(
         *keep, "word_chars", "n_symbols", "n_words", "n_dup_lines",
-        F.array_sort(F.transform(twice, lambda x: x["i"])).alias("_q_pos"),
+        F.array_sort(F.transform(twice, lambda x: x["i"])).alias(f"{pre}pos"),
     )
-    p = F.col("_q_pos")
+    p = F.col(f"{pre}pos")
     covered = F.aggregate(
         F.transform(p, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))),
         F.lit(0), lambda acc, x: acc + x,
@@ -116,16 +117,17 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     ``base_failed``: too few words or too many repeated ones. ``kept``: not base_failed and
     the host's shrunk failure rate is at most MAX_HOST_RATE. A NULL host counts as the host
     '' (unknown). Repeated rows and tied ids each get a row. Other columns pass through
-    (``text`` only with ``keep_text``), except those named like a new column. An empty
-    table gives no rows.
+    (``text`` only with ``keep_text``), except those named like a new column, in any case.
+    An empty table gives no rows.
 
     One scan of the texts: rows with their features are staged, aggregated by host (partial
     sums before the shuffle) and joined with the host verdicts, one row per host, by
     broadcast where the hosts are few, so that a hot host's rows stay where they are.
     """
     new = ["base_failed", "kept", "host_rate"]
-    cols = docs.drop(*new)
-    feats = text_features(cols.withColumn("_host", F.coalesce(F.col(host), F.lit(""))), text)
+    cols = docs.select(*[c for c in docs.columns if c.lower() not in new])
+    own = free_name(docs.columns, "_host")
+    feats = text_features(cols.withColumn(own, F.coalesce(F.col(host), F.lit(""))), text)
     feats = feats.withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS)
@@ -133,7 +135,7 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     )
     feats = stage(feats if keep_text else feats.drop(text), "quality")
     rates = stage(
-        host_rates(feats, "_host", "base_failed").select("_host", F.col("shrunk_rate").alias("host_rate")), "hosts")
-    return feats.join(checked_broadcast(rates), "_host").withColumn(
+        host_rates(feats, own, "base_failed").select(own, F.col("shrunk_rate").alias("host_rate")), "hosts")
+    return feats.join(checked_broadcast(rates), own).withColumn(
         "kept", ~F.col("base_failed") & (F.col("host_rate") <= MAX_HOST_RATE)
-    ).drop("_host")
+    ).drop(own)

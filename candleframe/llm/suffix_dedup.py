@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ddl, ship_package, shuffle_partitions, stage, trimmed, zipped
+from candleframe.llm.common import ddl, free_name, ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
 from candleframe.llm.induced_sort import PrefixHash, repeated
 from candleframe.llm.jaccard_join import mix
 
@@ -36,9 +36,8 @@ SHARD_BYTES = 1 << 20
 #: Contexts of an anchor that are sorted in one shard; those of a hotter one are split by content.
 HOT_CONTEXTS = 1 << 12
 
-_NO_ID = -(1 << 63)
-_RECORD = np.dtype([("h", "<i8"), ("cls", "<i8"), ("doc", "<i8"), ("crc", "<i8"), ("a", "<i8"), ("w", "<i4")])
-_FIELDS = "h long, cls long, doc long, crc long, a long, w int"
+_RECORD = np.dtype([("h", "<i8"), ("cls", "<i8"), ("row", "<i8"), ("a", "<i8"), ("w", "<i4")])
+_FIELDS = "h long, cls long, row long, a long, w int"
 
 
 def block_anchors(data: np.ndarray, ends: np.ndarray, match: int, k: int):
@@ -86,7 +85,7 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
-    """Occurrences (h, cls, doc, crc, a, w) of the anchors that occur twice or more.
+    """Occurrences (h, cls, row, a, w) of the anchors that occur twice or more in ``docs`` (row, text).
 
     Tasks send packed records to the anchor's segment, at most two per context and flush;
     further ones are known to be repeated and go to other places, so that a passage which
@@ -122,7 +121,7 @@ def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
                 text, a, w, h, cls = block_anchors(data, ends, match, k)
                 rec = np.empty(len(text), dtype=_RECORD)
                 rec["h"], rec["cls"], rec["a"], rec["w"] = h, cls, a, w
-                rec["doc"], rec["crc"] = block.column("doc").to_numpy()[text], block.column("crc").to_numpy()[text]
+                rec["row"] = block.column("row").to_numpy()[text]
                 held.append(rec)
                 if sum(map(len, held)) >= FLUSH:
                     yield flush(number)
@@ -145,7 +144,7 @@ def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
                 part = rec[lo : lo + (1 << 17)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[c])) for c in _RECORD.names], list(_RECORD.names))
 
-    packed = docs.select("doc", "crc", "text").mapInArrow(trimmed(find), "segment int, salt int, records binary")
+    packed = docs.select("row", "text").mapInArrow(trimmed(find), "segment int, salt int, records binary")
     return packed.repartition(parts, "segment", "salt").mapInArrow(trimmed(decide), _FIELDS)
 
 
@@ -246,29 +245,29 @@ def split_contexts(contexts: DataFrame, match: int, k: int) -> DataFrame:
             (F.col("part") * width <= r_hi) & ((F.col("part") + 1) * width > r_lo))
 
 
-def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, text: str = "text") -> DataFrame:
     """``docs`` without ``text`` but with kept (binary), n_bytes, n_removed and n_spans.
 
     A byte goes if a string of ``match`` bytes that covers it also starts anywhere else, in
     any document or the same one, judged on the input; matches never cross documents. NULL
-    and empty texts have no bytes. Rows are told apart by id and text: fully repeated rows
-    each lose their repeated bytes (they repeat each other). NULL ids are allowed. Columns
-    named like a new one are replaced; others pass through.
+    and empty texts have no bytes. Rows are numbered once, in a staged table, and told apart by
+    that number alone: ids may be NULL or tied, and fully repeated rows each lose their
+    repeated bytes (they repeat each other). Columns named like a new one, in any case, are
+    replaced; others pass through.
     """
     spark = docs.sparkSession
     ship_package(spark)
     new = ["kept", "n_bytes", "n_removed", "n_spans"]
-    others = [c for c in docs.columns if c not in (text, *new)]
-    full = F.coalesce(F.col(text), F.lit(""))
-    ready = docs.select(
-        *[F.col(c).alias(f"_o_{c}") for c in others], F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("doc"),
-        F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
-    found = stage(anchors(ready, match, k), "anchors")
-    classes = stage(found.groupBy("h", "cls").agg(F.count("*").alias("n"), F.min(F.struct("doc", "crc", "a", "w")).alias("at")), "contexts")
+    others = [c for c in docs.columns if c != text and c.lower() not in new]
+    packed = stage(zipped(docs.select(
+        *[F.col(f"`{c}`").alias(f"_o_{c}") for c in others], F.monotonically_increasing_id().alias("row"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"))), "numbered")
+    found = stage(anchors(unzipped(packed.select("row", "text")), match, k), "anchors")
+    classes = stage(found.groupBy("h", "cls").agg(F.count("*").alias("n"), F.min(F.struct("row", "a", "w")).alias("at")), "contexts")
     several = classes.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select(
         "h", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))
-    torn = classes.join(several, "h").select("at.doc", "at.crc", F.struct("h", "cls", "at.a", "at.w", "hot").alias("c"))
-    per_doc = torn.groupBy("doc", "crc").agg(F.collect_list("c").alias("cs"))
+    torn = classes.join(several, "h").select("at.row", F.struct("h", "cls", "at.a", "at.w", "hot").alias("c"))
+    per_doc = torn.groupBy("row").agg(F.collect_list("c").alias("cs"))
 
     def cut_contexts(batches):
         for b in batches:
@@ -281,7 +280,7 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
                          pa.array([raw[c["a"] : c["a"] + c["w"] + match] for c in part], pa.binary()),
                          pa.array([c["hot"] for c in part], pa.bool_())], ["h", "cls", "w", "text", "hot"])
 
-    contexts = zipped(ready.select("doc", "crc", "text")).join(per_doc, ["doc", "crc"]).select("cs", "text").mapInArrow(trimmed(cut_contexts), "h long, cls long, w int, text binary, hot boolean")
+    contexts = packed.select("row", "text").join(per_doc, "row").select("cs", "text").mapInArrow(trimmed(cut_contexts), "h long, cls long, w int, text binary, hot boolean")
     columns = ["h", "cls", "w", "text"]
     if several.where("hot").isEmpty():
         runs = stage(sort_contexts(contexts.select(*columns), match), "runs")
@@ -292,9 +291,9 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
     # A context that occurs twice is repeated whole; in others, the runs that the sort found.
     verdict = classes.where("n > 1").select("h", "cls", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("at.w").cast("long").alias("hi"))).alias("runs")).unionByName(
         runs.join(classes.where("n = 1").select("h", "cls"), ["h", "cls"]).groupBy("h", "cls").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
-    spans = found.join(verdict, ["h", "cls"]).select("doc", "crc", "a", F.explode("runs").alias("r")).select(
-        "doc", "crc", F.struct((F.col("a") + F.col("r.lo")).alias("lo"), (F.col("a") + F.col("r.hi") + match).alias("hi")).alias("s"))
-    per_doc = spans.groupBy("doc", "crc").agg(F.collect_set("s").alias("spans"))
+    spans = found.join(verdict, ["h", "cls"]).select("row", "a", F.explode("runs").alias("r")).select(
+        "row", F.struct((F.col("a") + F.col("r.lo")).alias("lo"), (F.col("a") + F.col("r.hi") + match).alias("hi")).alias("s"))
+    per_doc = spans.groupBy("row").agg(F.collect_set("s").alias("spans"))
     kept_names = [f"_o_{c}" for c in others]
 
     def cut(batches):
@@ -321,18 +320,19 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, doc_id: s
                 [*[b.column(c) for c in kept_names], pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (size, gone, runs_n)]],
                 [*kept_names, *new])
 
-    joined = zipped(ready).join(per_doc, ["doc", "crc"], "left").select(*kept_names, "text", "spans")
-    out = joined.mapInArrow(trimmed(cut), ddl(ready.select(*kept_names), "kept binary, n_bytes long, n_removed long, n_spans long"))
+    joined = packed.join(per_doc, "row", "left").select(*kept_names, "text", "spans")
+    out = joined.mapInArrow(trimmed(cut), ddl(packed.select(*kept_names), "kept binary, n_bytes long, n_removed long, n_spans long"))
     return out.select(*[F.col(f"_o_{c}").alias(c) for c in others], *new)
 
 
 def valid_text(df: DataFrame, kept: str = "kept", out: str = "text") -> DataFrame:
     """``df`` with ``out``: the bytes of ``kept`` as text, without characters that a cut has split."""
     rest = df.drop(out, kept)
+    at = free_name(df.columns, "_k")
 
     def run(batches):
         for b in batches:
-            text = [x.as_buffer().to_pybytes().decode(errors="ignore") for x in b.column("_k")]
-            yield b.drop_columns(["_k"]).append_column(out, pa.array(text, pa.string()))
+            text = [x.as_buffer().to_pybytes().decode(errors="ignore") for x in b.column(at)]
+            yield b.drop_columns([at]).append_column(out, pa.array(text, pa.string()))
 
-    return df.select(*rest.columns, F.col(kept).alias("_k")).mapInArrow(trimmed(run), ddl(rest, f"`{out}` string"))
+    return df.select(*rest.columns, F.col(kept).alias(at)).mapInArrow(trimmed(run), ddl(rest, f"`{out}` string"))

@@ -38,21 +38,28 @@ def _matrix(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[keep], term[keep], flat[keep]
 
 
+def _largest(weights: np.ndarray) -> int:
+    """The largest absolute value, as a Python integer: products of two may exceed 64 bits."""
+    return max(int(weights.max()), -int(weights.min())) if len(weights) else 0
+
+
 def top_of_block(queries: pa.ListArray, candidates: pa.ListArray, ids: np.ndarray, own: np.ndarray, k: int):
     """(query row, candidate row, score) of every query's k best candidates of one block.
 
     Candidates become one posting list per term (rows ascending, with weights). A query row
     scatters each of its weights over that term's postings into a dense array of scores;
     a partition then selects the k best. ``ids`` ascend, so that ties go to the smaller id;
-    a query never finds its own id (``own``).
+    a query never finds its own id (``own``). A score among the best that exceeds a long
+    raises OverflowError.
     """
     qrow, qterm, qweight = _matrix(queries)
     crow, cterm, cweight = _matrix(candidates)
     m, n = len(queries), len(candidates)
     terms = int(max(qterm.max(initial=-1), cterm.max(initial=-1))) + 1
-    # Sums of absolute products bound every score: 32 bits where that is enough, else 64.
-    most = np.abs(qweight).max(initial=0) * np.abs(cweight).max(initial=0) * max(terms, 1)
-    kind = np.int32 if most < 2**31 else np.int64
+    # Sums of absolute products bound every score: 32 bits where that is enough, else 64, else Python integers.
+    most = _largest(qweight) * _largest(cweight) * max(terms, 1)
+    kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
+    number = int if kind is object else kind
     starts = np.searchsorted(qrow, np.arange(m + 1))
     copies = np.searchsorted(ids, own, "right") - np.searchsorted(ids, own, "left")
     best: list[list] = [[] for _ in range(m)]
@@ -78,16 +85,16 @@ def top_of_block(queries: pa.ListArray, candidates: pa.ListArray, ids: np.ndarra
             for p in range(starts[q], starts[q + 1]):
                 r, w = postings[qterm[p]]
                 if r is None:
-                    np.multiply(w, kind(qweight[p]), out=product)
+                    np.multiply(w, number(qweight[p]), out=product)
                     np.add(scores, product, out=scores)
                 elif len(r):
-                    scores[r] += w * kind(qweight[p])
+                    scores[r] += w * number(qweight[p])
             # The k best, as many more as rows may have the query's own id, and all that tie with the last.
             want = min(k + int(copies[q]), width)
             least = np.partition(scores, width - want)[width - want]
             found = np.flatnonzero(scores >= least)
-            found = found[np.lexsort((found, -scores[found].astype(np.int64)))]
-            found = found[ids[found + lo] != own[q]][:k]
+            found = found[ids[found + lo] != own[q]]
+            found = found[np.lexsort((found, -scores[found].astype(np.int64)))][:k]
             best[q].append((found + lo, scores[found].astype(np.int64)))
     out_q, out_c, out_s = [], [], []
     for q, parts in enumerate(best):

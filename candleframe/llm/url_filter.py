@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import ascii_lower, checked_broadcast, stage
+from candleframe.llm.common import ascii_lower, checked_broadcast, free_name, stage
 
 #: (verdict, rule): a rule is a host and a path prefix; it fits the host's subdomains too.
 RULES = [
@@ -120,10 +120,11 @@ def url_filter(
     rated = reputation(stage(outcomes, "outcomes"), parts.select("host").distinct())
     hit = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_bound") > MAX_BAD_RATE, F.lit("block")).otherwise(F.lit("allow"))
+    at = free_name(parts.columns, "_hit")
     return (
-        parts.withColumn("_hit", hit)
+        parts.withColumn(at, hit)
         .join(checked_broadcast(stage(rated.select("host", "bad_bound"), "hosts")), "host")
-        .withColumn("rule", F.col("_hit.rule"))
-        .withColumn("verdict", F.coalesce(F.col("_hit.verdict"), own))
-        .drop("_hit")
+        .withColumn("rule", F.col(f"{at}.rule"))
+        .withColumn("verdict", F.coalesce(F.col(f"{at}.verdict"), own))
+        .drop(at)
     )
