@@ -18,11 +18,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
+from candleframe.llm.common import checked_broadcast, ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
 from candleframe.llm.components import connected_components
 
 #: Words in a shingle and the least similarity, as a fraction, of the registered query.
@@ -33,8 +34,8 @@ FLUSH = 1 << 21
 PART_ROWS = 4096
 #: Shingles of all members of such a part (8 bytes each, several times over while it is joined).
 PART_SHINGLES = 1 << 24
-#: Buckets of a set's sketch.
-SKETCH = 64
+#: Buckets of the smallest and of the largest sets' sketches, one byte each.
+MIN_SKETCH, MAX_SKETCH = 8, 1024
 #: Members of a cell that one task compares; those of larger cells meet in tiles of twice as many.
 CELL_ROWS = 1 << 15
 #: Further pivots that a region of several parts gets, one after the other.
@@ -155,30 +156,51 @@ def _set_ids(sets: np.ndarray, n: np.ndarray) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def sketches(sets: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """How many shingles of each set fall into each of SKETCH hash buckets (uint32)."""
-    place = np.repeat(np.arange(len(n)), n) * SKETCH + ((sets >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64)
-    return np.bincount(place, minlength=len(n) * SKETCH).astype(np.uint32).reshape(-1, SKETCH)
+def sketch_widths(n: np.ndarray) -> np.ndarray:
+    """Buckets of the sketches of sets of ``n`` shingles: 8 to 16 shingles fall into each, a power of two.
+
+    Sets that are not alike then differ in most buckets, however large they are.
+    """
+    low = np.maximum(n, 16 * MIN_SKETCH) >> 4
+    return np.minimum(1 << (np.ceil(np.log2(low + 1)).astype(np.int64)), MAX_SKETCH)
+
+
+def sketches(sets: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """How many shingles of each set fall into each of its hash buckets, one byte a bucket, 255 at most."""
+    width = sketch_widths(n)
+    base = np.cumsum(width) - width
+    doc = np.repeat(np.arange(len(n)), n)
+    at = base[doc] + ((sets >> np.uint64(40)).astype(np.int64) & (width[doc] - 1))
+    counts = np.minimum(np.bincount(at, minlength=int(width.sum())), 255).astype(np.uint8)
+    return [counts[lo:hi].tobytes() for lo, hi in zip(base.tolist(), (base + width).tolist(), strict=True)]
+
+
+def folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Rows of counts as those of ``width`` buckets: a wider sketch's buckets add up to a narrower one's."""
+    return counts if counts.shape[1] == width else counts.reshape(len(counts), -1, width).sum(axis=1, dtype=np.int64)
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, crc of the text, n_shingles, the set's fingerprint (fa, fb) and sketch of every row."""
+    """row, doc_id, n_shingles, the set's fingerprint (fa, fb) and sketch of every row."""
 
     def run(batches):
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets, n = shingle_sets(block.column("text"), words)
                 a, b = _set_ids(sets, n)
-                sketch = [x.tobytes() for x in sketches(sets, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), block.column("crc"), pa.array(n), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                     pa.array(sketch, pa.binary())], ["doc_id", "crc", "n_shingles", "fa", "fb", "sketch"])
+                    [block.column("row"), block.column("doc_id"), pa.array(n), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                     pa.array(sketches(sets, n), pa.binary())], ["row", "doc_id", "n_shingles", "fa", "fb", "sketch"])
 
-    return docs.mapInArrow(trimmed(run), "doc_id long, crc long, n_shingles long, fa long, fb long, sketch binary")
+    return docs.mapInArrow(trimmed(run), "row long, doc_id long, n_shingles long, fa long, fb long, sketch binary")
 
 
 def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """members array<long>: the sets (fa) that share a signature, each list once a task."""
+    """(cell, members array<long>): the different lists of sets (fa) that share a signature.
+
+    Near copies agree in most of their signatures, so the same list comes from many of them:
+    once a task, and once in all after lists of one name, a 128-bit hash, are merged.
+    """
     parts = shuffle_partitions(docs.sparkSession)
 
     def sign(batches):
@@ -232,23 +254,30 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
         starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         ends = np.append(starts[1:], len(sig))
         many = ends - starts > 1
-        seen, out = set(), []
+        out: dict[bytes, np.ndarray] = {}
+        seen = set()
+
+        def lists():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.list_(pa.int64()))], ["name", "members"])
+
         for lo, hi in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
-            key = xxhash.xxh3_128_digest(ident[lo:hi].tobytes())
-            if key not in seen:
-                seen.add(key)
-                out.append(ident[lo:hi])
+            name = xxhash.xxh3_128_digest(ident[lo:hi].tobytes())
+            if name not in seen:
+                seen.add(name)
+                out[name] = ident[lo:hi]
             if len(out) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
-                out = []
+                yield lists()
+                out = {}
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
+            yield lists()
 
     packed = docs.select("text").mapInArrow(trimmed(sign), "segment int, high binary, low binary, ids binary")
-    return packed.repartition(parts, "segment").mapInArrow(trimmed(gather), "members array<long>")
+    found = packed.repartition(parts, "segment").mapInArrow(trimmed(gather), "name binary, members array<long>")
+    return found.groupBy("name").agg(F.first("members").alias("members")).select(F.monotonically_increasing_id().alias("cell"), "members")
 
 
-def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -> list[np.ndarray]:
+def _groups(sketch: list[np.ndarray], size: np.ndarray, similarity: tuple[int, int]) -> list[np.ndarray]:
     """Members of one cell that may link, directly or by others: groups of two or more.
 
     Two sets differ in at least as many shingles as their sketches' counts differ; a pair
@@ -256,6 +285,23 @@ def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -
     group holds yet, so that a cell of copies takes one look.
     """
     num, den = similarity
+    width = np.array([len(x) for x in sketch])
+    place, tables = np.zeros(len(size), dtype=np.int64), {}
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        place[own] = np.arange(len(own))
+        tables[w] = np.stack([sketch[i] for i in own])
+
+    def apart(v, others):
+        out = np.empty(len(others), dtype=np.int64)
+        for w, table in tables.items():
+            of = np.flatnonzero(width[others] == w)
+            if len(of):
+                both = min(w, int(width[v]))
+                a, b = folded(table[place[others[of]]], both), folded(sketch[v][None], both)
+                out[of] = np.abs(a.astype(np.int64) - b.astype(np.int64)).sum(axis=1)
+        return out
+
     free, out = np.arange(len(size)), []
     while len(free):
         group, todo, free = [], [free[0]], free[1:]
@@ -265,8 +311,7 @@ def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -
             both = size[free] + size[v]
             least = np.minimum(size[free], size[v])
             may = least * den >= (both - least) * num
-            apart = np.abs(counts[free[may]].astype(np.int64) - counts[v].astype(np.int64)).sum(axis=1)
-            may[may] = apart * (den + num) <= both[may] * (den - num)
+            may[may] = apart(v, free[may]) * (den + num) <= both[may] * (den - num)
             todo += free[may].tolist()
             free = free[~may]
         group += todo
@@ -277,17 +322,20 @@ def _groups(counts: np.ndarray, size: np.ndarray, similarity: tuple[int, int]) -
 
 def tile_edges(batches, similarity: tuple[int, int]):
     """Rows sorted by (cell, tile) -> batches (a, b) of the edges within each tile."""
-    held: list[tuple[np.ndarray, ...]] = []
+    ids: list[int] = []
+    size: list[int] = []
+    sketch: list[np.ndarray] = []
     a: list[np.ndarray] = []
     b: list[np.ndarray] = []
 
     def close():
-        ids, size, counts = held[0] if len(held) == 1 else (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        for group in _groups(counts, size, similarity):
-            members = np.sort(ids[group])
+        own = np.array(ids)
+        for group in _groups(sketch, np.array(size), similarity):
+            members = np.sort(own[group])
             a.append(np.full(len(members) - 1, members[0]))
             b.append(members[1:])
+        for held in (ids, size, sketch):
+            held.clear()
 
     def found():
         out = pa.RecordBatch.from_arrays(
@@ -298,19 +346,17 @@ def tile_edges(batches, similarity: tuple[int, int]):
 
     at = None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        cell, tile, ids, size = (batch.column(c).to_numpy() for c in ("cell", "tile", "id", "n"))
-        counts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
-        new = (cell[1:] != cell[:-1]) | (tile[1:] != tile[:-1])
-        cut = np.concatenate([[0], np.flatnonzero(new) + 1, [len(cell)]]).tolist()
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            if held and at != (cell[lo], tile[lo]):
-                close()
-            at = (cell[lo], tile[lo])
-            held.append((ids[lo:hi], size[lo:hi], counts[lo:hi]))
+        columns = [batch.column(c).to_pylist() for c in ("cell", "tile", "id", "n", "sketch")]
+        for cell, tile, ident, n, counts in zip(*columns, strict=True):
+            if at != (cell, tile):
+                if ids:
+                    close()
+                at = (cell, tile)
+            ids.append(ident)
+            size.append(n)
+            sketch.append(np.frombuffer(counts, np.uint8))
         yield found()
-    if held:
+    if ids:
         close()
         yield found()
 
@@ -396,8 +442,8 @@ def _join_region(members: list[tuple[int, np.ndarray, int, int]], similarity: tu
 def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[int, int] | None = None) -> DataFrame:
     """(p, x, inter, total): sizes of intersection and union of the sets p and x.
 
-    ``texts`` (set, n, text) is joined to the distinct pairs' ends, by shuffle at any size. The
-    pairs of one p are dealt over parts of about PART_ROWS or PART_SHINGLES, each with p's text first: a part
+    ``texts`` (set, n, text as zstandard frames) is joined to the distinct pairs' ends, by shuffle at
+    any size, and unpacked where it is measured. The pairs of one p are dealt over parts of about PART_ROWS or PART_SHINGLES, each with p's text first: a part
     streams past its p. With ``similarity``, p is the pivot of a region: a region of one
     part is joined there and then (its further links are rows of their own), and of larger
     ones every row also has size (of x) and prefix: the first shingles of x in the order of
@@ -416,6 +462,14 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
         "p", "part", "parts", F.lit(1).alias("kind"), "x", "text")
     names = ["p", "x", "inter", "total", "size", "prefix"]
 
+    def opened(batch):
+        unpack = zstandard.ZstdDecompressor()
+        place = batch.schema.get_field_index("text")
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            text = pa.array([unpack.decompress(x.as_buffer()) for x in part.column(place)], pa.binary()).cast(pa.string())
+            yield from blocks(part.set_column(place, "text", text), "text")
+
     def batch_of(rows):
         cols = list(zip(*rows, strict=True)) or [[]] * 6
         return pa.RecordBatch.from_arrays(
@@ -430,7 +484,7 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
             return rows
 
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in opened(batch):
                 sets, n = shingle_sets(block.column("text"), words)
                 ends = np.cumsum(n).tolist()
                 out = []
@@ -465,28 +519,31 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY,
-                  doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+                  doc_id: str = "doc_id", text: str = "text", numbered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows, links): every row's doc_id, n_shingles and set (fa, fb); (a, b) of sets joined exactly.
 
     Links hold every pair of different sets whose similarity reaches the threshold, but for
-    pairs that other links already join: their components are those of all links.
+    pairs that other links already join: their components are those of all links. Rows are
+    numbered once, in a staged table of packed texts, and known by that number alone: ids may
+    be NULL or tied. ``numbered``: ``docs`` is such a table, its ids are unique and its texts packed or NULL.
     """
     spark = docs.sparkSession
     ship_package(spark)
     num, den = similarity
-    full = F.coalesce(F.col(text), F.lit(""))
-    ready = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.crc32(full.cast("binary")).alias("crc"), full.alias("text"))
-    rows = stage(fingerprints(ready, words), "fingerprints")
-    # Numbered before they are exploded: a later number would count the members.
-    cell = stage(cells(ready, words, similarity).withColumn("cell", F.monotonically_increasing_id()), "cells")
+    if numbered:
+        packed = docs.select(F.col(doc_id).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    else:
+        packed = stage(zipped(docs.select(
+            F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"))), "numbered")
+    rows = stage(fingerprints(unzipped(packed), words), "fingerprints")
+    cell = stage(cells(unzipped(packed.select("text")), words, similarity), "cells")
     star = cell_edges(cell, rows, similarity)
     region = stage(connected_components(star), "regions")
-    # One row of each set stands for it, found by its id and its text's checksum.
-    members = rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("doc_id", "crc", "n_shingles")).alias("d")).join(
-        region.withColumnRenamed("id", "fa"), "fa").select("d.doc_id", "d.crc", F.col("d.n_shingles").alias("n"), F.col("fa").alias("set"))
-    packed = zipped(ready).withColumnsRenamed({"doc_id": "id", "crc": "sum"})
-    same = packed.id.eqNullSafe(members.doc_id) & (packed["sum"] == members.crc)
-    texts = stage(unzipped(packed.join(members.hint("merge"), same).select("set", "n", "text")), "texts")
+    # One row of each set stands for it.
+    members = stage(rows.where("n_shingles > 0").groupBy("fa").agg(F.min(F.struct("row", "n_shingles")).alias("d")).join(
+        region.withColumnRenamed("id", "fa"), "fa").select(F.col("d.row").alias("at"), F.col("d.n_shingles").alias("n"), F.col("fa").alias("set")), "members")
+    texts = stage(packed.join(checked_broadcast(members), F.col("row") == F.col("at")).select("set", "n", "text"), "texts")
     # The pivot of a region is the member that shares most cells: copies lie around what they copy.
     shared = cell.select(F.explode("members").alias("id")).groupBy("id").agg(F.count("*").alias("cells"))
     pivots = region.join(shared, "id").groupBy("root").agg(F.max(F.struct("cells", "id"))["id"].alias("pivot"))
@@ -536,13 +593,14 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY,
-                       doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                       doc_id: str = "doc_id", text: str = "text", numbered: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links) of every row.
 
     Rows without words, empty or NULL texts link with nothing. Equal sets link. NULL ids
-    are never a component's id unless the row stands alone. Repeated rows stay.
+    are never a component's id unless the row stands alone. Repeated rows stay. ``numbered``
+    as for ``jaccard_links``.
     """
-    rows, links = jaccard_links(docs, words, similarity, doc_id, text)
+    rows, links = jaccard_links(docs, words, similarity, doc_id, text, numbered)
     roots = stage(connected_components(links), "roots")
     placed = rows.join(roots.withColumnRenamed("id", "fa"), "fa", "left")
     key = F.when(F.col("n_shingles") > 0, F.struct(

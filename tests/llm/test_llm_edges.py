@@ -171,7 +171,7 @@ def test_jaccard_regions_of_long_texts(spark, monkeypatch):
         words = list(words)
         words[rng.integers(300)] = f"e{i}"
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    texts = df.select(F.col("doc_id").alias("set"), F.lit(297).cast("long").alias("n"), "text")
+    texts = common.zipped(df.select(F.col("doc_id").alias("set"), F.lit(297).cast("long").alias("n"), "text"))
     to_first = df.where("doc_id > 0").select(F.lit(0).cast("long").alias("p"), F.col("doc_id").alias("x"))
     measured = jaccard_join.measure(to_first, texts, 4, (85, 100)).collect()
     assert len(measured) == 29 and all(r.prefix is not None for r in measured)
@@ -183,7 +183,7 @@ def test_jaccard_tiles_over_many_batches():
     """A tile that comes in several batches keeps the members of all of them."""
     import pyarrow as pa
 
-    sketch = np.full(jaccard_join.SKETCH, 3, np.uint32).tobytes()
+    sketch = np.full(16, 12, np.uint8).tobytes()
     names = ["cell", "tile", "id", "n", "sketch"]
     def batch(cells, ids):
         n = len(ids)
