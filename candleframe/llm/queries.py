@@ -29,15 +29,19 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``covered``: where the last piece's span ends, the text's length in bytes."""
+    """Also of the spans: where the last one ends (``covered``, the text's length in bytes) and a crc32 of all."""
     encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_BPE)
-    slim = encoded.select("doc_id", "ids", F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("covered"))
+    spans = [F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("begins", "ends")]
+    slim = encoded.select(
+        "doc_id", "ids", F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("covered"),
+        F.crc32(F.concat_ws(";", *spans)).alias("spans_crc32"))
     return decode(slim, PIECE_BPE).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         "covered",
+        "spans_crc32",
     )
 
 

@@ -1,8 +1,9 @@
 """SentencePiece encoding with the original byte span of every piece, and decoding.
 
 Normalisation is done here, by longest prefix through the model's compiled character map,
-and records for every normalised byte the original byte it comes from. The library then
-only segments already normalised chunks; each piece is projected back through that record.
+and records for every normalised byte the original byte it comes from, for a block of texts
+at once. The library then only segments already normalised chunks; each piece is projected
+back through that record.
 """
 
 from __future__ import annotations
@@ -75,14 +76,24 @@ class CharacterMap:
         self.units = np.frombuffer(blob, "<u4", size // 4, 4).tolist() if blob else []
         self.texts = blob[4 + size :]
 
-    def longest(self, text: bytes, at: int) -> tuple[bytes, int] | None:
-        """Replacement and length of the longest prefix of ``text[at:]`` in the map."""
+    def leads(self) -> np.ndarray:
+        """Which first bytes begin a prefix of the map."""
+        out = np.zeros(256, dtype=bool)
+        if self.units:
+            node = (self.units[0] >> 10) << ((self.units[0] & 512) >> 6)
+            for b in range(256):
+                unit = self.units[node ^ b] if node ^ b < len(self.units) else 0
+                out[b] = unit != 0 and unit & 0x800000FF == b
+        return out
+
+    def longest(self, text: bytes, at: int, end: int | None = None) -> tuple[bytes, int] | None:
+        """Replacement and length of the longest prefix of ``text[at:end]`` in the map."""
         if not self.units:
             return None
         units, found = self.units, None
         unit = units[0]
         node = (unit >> 10) << ((unit & 512) >> 6)
-        for i in range(at, len(text)):
+        for i in range(at, len(text) if end is None else end):
             node ^= text[i]
             unit = units[node] if node < len(units) else 0x80000000
             if unit & 0x800000FF != text[i]:
@@ -135,7 +146,7 @@ class PieceModel:
         # A cut before a space mark or a line end is safe if no piece has one inside.
         inside = re.compile(f"[^{SPACE}]{SPACE}|.\n|\n.", re.S)
         self.cuttable = not any(inside.search(p) for p, s in zip(self.pieces, self.special, strict=True) if not s)
-        self.identity = not self.map.units and not self.trim_spaces
+        self.leads = self.map.leads()
         self.chunks = ChunkTable(self._new_chunks)
 
     _loaded: dict[str, PieceModel] = {}
@@ -215,50 +226,64 @@ class PieceModel:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, ends, number of ids of each text); NULL counts as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False) | (not self.identity)
-        if odd.all():
-            return self._by_alignment(texts)
-        if not odd.any():
-            return self._by_width(texts)
-        parts = []
-        for take, run in ((~odd, self._by_width), (odd, self._by_alignment)):
-            *values, n = run(texts.filter(pa.array(take)))
-            cut = np.cumsum(n)[:-1]
-            parts.append([list(np.split(v, cut)) for v in values])
-        order = np.argsort(np.argsort(odd, kind="stable"), kind="stable")
-        merged = [[(parts[0][k] + parts[1][k])[i] for i in order] for k in range(3)]
-        return *[np.concatenate(m) for m in merged], np.array([len(x) for x in merged[0]], dtype=np.int64)
-
-    def _by_width(self, texts: pa.Array):
-        """Without a character map every piece is as wide as its text, each space mark as a space."""
-        normal = pc.replace_substring(texts, " ", SPACE)
-        if self.dummy_prefix:
-            mark, none = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
-            normal = pc.if_else(pc.equal(texts, ""), none, pc.binary_join_element_wise(mark, normal, none))
+        normal, align, size = self._records(texts) if self.trim_spaces else self.record(texts)
         ids, n = self._segment(normal)
-        width = self.norm_length[ids] - 2 * self.spaces[ids]
-        first = (np.cumsum(n) - n)[n > 0]
-        if self.dummy_prefix:
-            width[first] -= 1
-        end = np.cumsum(width)
-        begin = end - width
-        base = np.repeat(begin[first], n[n > 0])
-        return ids, *self._whole_characters(ids, begin - base, end - base), n
-
-    def _by_alignment(self, texts: pa.Array):
-        """Every piece projected through the record that normalisation kept."""
-        found = [self.normalise(t) for t in texts.to_pylist()]
-        ids, n = self._segment(pa.array([t for t, _ in found], pa.large_string()))
         width = self.norm_length[ids]
         at = np.cumsum(width)
         some = n > 0
         shift = np.repeat((at - width)[(np.cumsum(n) - n)[some]], n[some])
-        size = np.array([len(a) for _, a in found], dtype=np.int64)
         offset = np.repeat((np.cumsum(size) - size)[some], n[some])
-        flat = np.concatenate([a for _, a in found]) if found else np.zeros(0, np.int64)
-        begin, end = flat[at - width - shift + offset], flat[at - shift + offset]
+        begin, end = align[at - width - shift + offset], align[at - shift + offset]
         return ids, *self._whole_characters(ids, begin, end), n
 
+    def _records(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """``record``, text by text: models that trim white space look at what was written before."""
+        found = [self.normalise(t) for t in texts.to_pylist()]
+        align = np.concatenate([a for _, a in found]) if found else np.zeros(0, np.int64)
+        return pa.array([t for t, _ in found], pa.large_string()), align, np.array([len(a) for _, a in found], dtype=np.int64)
+
+    def record(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(normalised texts, alignment record, its size by text) of all texts at once.
+
+        The record has, for each normalised byte and for a text's end, the place of the
+        original byte it comes from. Only places where a prefix of the map can begin are walked;
+        all other bytes stand for themselves.
+        """
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        ends = offsets - offsets[0]
+        begins_character = (data & 0xC0) != 0x80
+        source = np.maximum.accumulate(np.where(begins_character, np.arange(len(data)), 0)) if len(data) else np.zeros(0, np.int64)
+        out = data
+        places = np.flatnonzero(self.leads[data] & begins_character)
+        if len(places):
+            raw, parts, from_, done = data.tobytes(), [], [], 0
+            text_end = ends[np.searchsorted(ends, places, side="right")]
+            for at, end in zip(places.tolist(), text_end.tolist(), strict=True):
+                hit = self.map.longest(raw, at, end) if at >= done else None
+                if hit:
+                    parts += [data[done:at], np.frombuffer(hit[0], np.uint8)]
+                    from_ += [source[done:at], np.full(len(hit[0]), at)]
+                    done = at + hit[1]
+            out, source = np.concatenate([*parts, data[done:]]), np.concatenate([*from_, source[done:]])
+        # Spaces become marks of three bytes, and a text that has any byte gets one in front.
+        text = np.searchsorted(ends, source, side="right") - 1
+        filled = np.flatnonzero(np.diff(ends) > 0) if self.dummy_prefix else np.zeros(0, np.int64)
+        first = np.searchsorted(text, filled)
+        out, source, text = np.insert(out, first, 0x20), np.insert(source, first, ends[filled]), np.insert(text, first, filled)
+        space = out == 0x20
+        times = np.where(space, 3, 1)
+        marks = np.flatnonzero(np.repeat(space, times)).reshape(-1, 3)
+        out = np.repeat(out, times)
+        out[marks] = np.frombuffer(SPACE.encode(), np.uint8)
+        source, text = np.repeat(source, times), np.repeat(text, times)
+        size = np.bincount(text, minlength=len(texts))
+        stops = np.concatenate([[0], np.cumsum(size)])
+        normal = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(stops.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes()))
+        align = np.insert(source - ends[text], stops[1:], np.diff(ends))
+        return normal, align, size + 1
+
     def _whole_characters(self, ids, begin, end):
         """Byte pieces of one character: the last holds its span, the others are empty at its start."""
         follows = self.follows[ids]

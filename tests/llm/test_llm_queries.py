@@ -49,8 +49,10 @@ def test_op1(spark, docs):
     want = set()
     for i, t in docs:
         ids = sp.encode(t)
-        want.add((i, len(ids), sha(",".join(map(str, ids))), sha(sp.decode(ids)), len(t.encode())))
-    assert set(rows(spark, "op1_sentencepiece", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered")) == want
+        pieces = sp.encode(t, return_type="proto").pieces
+        spans = ";".join(",".join(str(getattr(p, end)) for p in pieces) for end in ("begin", "end"))
+        want.add((i, len(ids), sha(",".join(map(str, ids))), sha(sp.decode(ids)), len(t.encode()), zlib.crc32(spans.encode())))
+    assert set(rows(spark, "op1_sentencepiece", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered", "spans_crc32")) == want
 
 
 def test_op2(spark, docs):
