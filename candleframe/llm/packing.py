@@ -15,10 +15,18 @@ from candleframe.llm.common import ddl, gapless_rank, ship_package, stage, trimm
 from candleframe.llm.token_files import encode_rows
 
 CAPACITY = 4096
-#: Rounds of multiplicative weights: each prices one configuration.
-ROUNDS = 150
-#: Step of the weights' exponent.
-EPSILON = 0.25
+#: The program is solved when no fractional plan can be better by this share.
+GAP = 0.0005
+#: Knapsacks that are priced at most, and steps of multiplicative weights between two of them.
+ROUNDS, STEPS = 400, 4000
+#: Steps of the weights' exponent: the next one where the one before finds no better configuration.
+EPSILONS = (0.3, 0.1, 0.03)
+#: Lengths up to which a pool of configurations is weighed again between two knapsacks.
+FEW = 64
+#: Shares of the capacity that may stay free where a configuration's items run out; the best plan of all is taken.
+SPARE = (None, 0.02, 0.1)
+#: Rounds without a better rounded plan after which a program over many lengths ends.
+PATIENCE = 100
 
 
 def price(weights: np.ndarray, capacity: int) -> np.ndarray:
@@ -47,46 +55,10 @@ def price(weights: np.ndarray, capacity: int) -> np.ndarray:
     return take
 
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """(configuration, how often) near an optimum of the covering program, by multiplicative weights.
-
-    The program: use configurations so that every length is covered ``counts`` times, with
-    as few as possible. Weights start at the lengths (the dual of the size bound); each
-    round takes the best configuration as often as its scarcest length allows, and the
-    weights of what it covers shrink.
-    """
-    has = counts > 0
-    lengths = np.arange(capacity + 1)
-    weights = np.where(has, lengths.astype(float), -np.inf)
-    found: dict[bytes, list] = {}
-    for _ in range(rounds):
-        take = price(weights, capacity)
-        used = take > 0
-        if not used.any():
-            break
-        step = float((counts[used] / take[used]).min())
-        found.setdefault(take.tobytes(), [take, 0.0])[1] += step
-        weights[used] *= np.exp(-EPSILON * take[used] * step / counts[used])
-    total = sum(x * float((t * lengths).sum()) for t, x in found.values())
-    scale = float((counts * lengths).sum()) / total if total else 0.0
-    return [(t, x * scale) for t, x in found.values()]
-
-
-def rounded(counts: np.ndarray, capacity: int, solution: list[tuple[np.ndarray, float]]) -> list[tuple[dict, int]]:
-    """Whole configurations that hold every item exactly once.
-
-    The fullest configurations first, each as often as its rounded share and what is left
-    allow; the rest by best-fit decreasing patterns, each repeated while its items last.
-    """
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing patterns that hold every item exactly once, each repeated while its items last."""
     left = counts.copy()
-    lengths = np.arange(capacity + 1)
-    out: list[tuple[dict, int]] = []
-    for take, x in sorted(solution, key=lambda s: (capacity - int((s[0] * lengths).sum()), -s[1])):
-        used = np.flatnonzero(take)
-        m = min(int(np.ceil(x)), int((left[used] // take[used]).min()))
-        if m > 0:
-            out.append(({int(k): int(take[k]) for k in used}, m))
-            left[used] -= m * take[used]
+    out: list[tuple[dict[int, int], int]] = []
     have = [int(k) for k in np.flatnonzero(left)]
     while have:
         room, pattern = capacity, {}
@@ -107,6 +79,169 @@ def rounded(counts: np.ndarray, capacity: int, solution: list[tuple[np.ndarray,
     return out
 
 
+def size_of(plan: list[tuple[dict[int, int], int]]) -> int:
+    return sum(m for _, m in plan)
+
+
+def _weigh(pool: np.ndarray, counts: np.ndarray, weights: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """(how often each configuration of the pool, weights) by multiplicative weights; every length is covered.
+
+    Each step takes the best-valued configuration as often as its scarcest length allows; the
+    weights of what it covers shrink. Of all steps, the weights with the best bound return.
+    """
+    share = pool / counts  # of each length's items, in one such configuration
+    step = 1 / share.max(axis=1)
+    x, cover = np.zeros(len(pool)), np.zeros(len(counts))
+    best, kept = 0.0, weights
+    values = pool @ weights
+    for _ in range(STEPS):
+        top = int(values.argmax())
+        bound = float(counts @ weights) / values[top]
+        if bound > best:
+            best, kept = bound, weights.copy()
+        x[top] += step[top]
+        cover += step[top] * share[top]
+        weights = weights * np.exp(-epsilon * step[top] * share[top])
+        weights /= weights.max()
+        values = pool @ weights
+    least = cover.min()
+    return (x / least if least > 0 else np.full(len(pool), np.inf)), kept
+
+
+def pooled(counts: np.ndarray, capacity: int, rounds: int, start: list[dict[int, int]]):
+    """(configurations with how often, lower bound) of the covering program over configurations.
+
+    The program: use configurations so that every length is covered ``counts`` times, with as
+    few as possible. Multiplicative weights solve it over a pool of configurations; their
+    weights are a dual, for which a knapsack dynamic program finds the best configuration of
+    all. It joins the pool, and its value turns the weights into a lower bound. That goes on
+    until the two meet within GAP, or no step width gives a better configuration.
+    """
+    lengths = np.flatnonzero(counts)
+    n = counts[lengths].astype(float)
+    pool = [np.where(lengths == k, capacity // k, 0) for k in lengths]
+    pool += [np.array([p.get(int(k), 0) for k in lengths]) for p in start]
+    pool = np.unique(np.array(pool, dtype=float), axis=0)
+    weights = lengths / capacity  # the dual of the size bound
+    bound, best, x, at = float(n @ weights), np.inf, None, 0
+    used = pool
+    for _ in range(rounds):
+        found, weights = _weigh(pool, n, weights, EPSILONS[at])
+        if found.sum() < best:
+            best, x, used = float(found.sum()), found, pool
+        full = np.full(capacity + 1, -np.inf)
+        full[lengths] = weights
+        take = price(full, capacity)[lengths].astype(float)
+        value = float(take @ weights)
+        bound = max(bound, float(n @ weights) / value)
+        if best <= (1 + GAP) * bound:
+            break
+        if value > (pool @ weights).max() * (1 + 1e-9):
+            pool = np.concatenate([pool, take[None]])
+        elif at + 1 < len(EPSILONS):
+            at += 1
+        else:
+            break
+    plan = [({int(k): int(c) for k, c in zip(lengths, t, strict=True) if c}, float(v)) for t, v in zip(used, x, strict=True) if v > 0] if x is not None else []
+    return plan, bound
+
+
+def swept(counts: np.ndarray, capacity: int, rounds: int):
+    """As ``pooled``, for many lengths: (configurations with how often, lower bound) after every 25 rounds.
+
+    Each round prices one configuration and takes it as often as its scarcest length allows;
+    weights start at the lengths, the dual of the size bound. Shares are scaled to the
+    items' whole size, so that they cover nearly all of them; the rounding fills the rest.
+    """
+    lengths = np.arange(capacity + 1)
+    weights = np.where(counts > 0, lengths.astype(float), -np.inf)
+    size, bound, total = float((counts * lengths).sum()), 0.0, 0.0
+    found: dict[bytes, list] = {}
+    for i in range(1, rounds + 1):
+        take = price(weights, capacity)
+        used = take > 0
+        bound = max(bound, float(counts[counts > 0] @ weights[counts > 0]) / float(take[used] @ weights[used]))
+        step = float((counts[used] / take[used]).min())
+        found.setdefault(take.tobytes(), [take, 0.0])[1] += step
+        total += step * float((take * lengths).sum())
+        weights[used] *= np.exp(-0.25 * take[used] * step / counts[used])
+        if not i % 25:
+            yield [({int(k): int(t[k]) for k in np.flatnonzero(t)}, x * size / total) for t, x in found.values()], bound
+
+
+def filled(pattern: dict[int, int], room: int, left: np.ndarray, have: list[int]) -> dict[int, int]:
+    """``pattern`` with further items of the sorted lengths ``have`` in its room, the longest that fit first."""
+    out = dict(pattern)
+    i = bisect_right(have, room) - 1
+    while i >= 0 and room:
+        k = have[i]
+        n = min(int(left[k]) - out.get(k, 0), room // k)
+        if n > 0:
+            out[k] = out.get(k, 0) + n
+            room -= n * k
+        i = min(i, bisect_right(have, room)) - 1
+    return out
+
+
+def rounded(counts: np.ndarray, capacity: int, solution: list[tuple[dict[int, int], float]], spare: float | None) -> list[tuple[dict[int, int], int]]:
+    """Whole configurations that hold every item exactly once.
+
+    The fullest configurations first, each as often as its share rounded down. Where a length
+    runs out (the program may cover it more than once), other items fill its place, unless
+    more than ``spare`` of the capacity stays free. With ``spare`` None shares are rounded up, and
+    a configuration ends where a length runs out. What is left goes by best-fit decreasing.
+    """
+    left = counts.copy()
+    have = [int(k) for k in np.flatnonzero(left)]
+    out: list[tuple[dict[int, int], int]] = []
+    for take, x in sorted(solution, key=lambda s: (capacity - sum(k * c for k, c in s[0].items()), -s[1])):
+        m = int(x + 1e-9) if spare is not None else int(np.ceil(x - 1e-9))
+        free = capacity - sum(k * c for k, c in take.items())
+        while m > 0:
+            now = {k: min(c, int(left[k])) for k, c in take.items() if left[k]}
+            if now != take and spare is None:
+                break
+            if now != take:
+                now = filled(now, capacity - sum(k * c for k, c in now.items()), left, have)
+                if capacity - sum(k * c for k, c in now.items()) > max(free, spare * capacity):
+                    break
+            if not now:
+                break
+            times = min(m, *(int(left[k]) // c for k, c in now.items()))
+            out.append((now, times))
+            m -= times
+            for k, c in now.items():
+                left[k] -= times * c
+                if not left[k]:
+                    have.remove(k)
+    return out + best_fit(left, capacity)
+
+
+def configurations(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """(configurations with how often, lower bound): the best of best-fit decreasing and the rounded program.
+
+    Where best-fit decreasing meets the size bound it cannot be beaten, and nothing is solved.
+    """
+    best = best_fit(counts, capacity)
+    total = int((counts * np.arange(capacity + 1)).sum())
+    least = -(-total // capacity)
+    if size_of(best) == least or not rounds:
+        return best, least
+    if np.count_nonzero(counts) <= FEW:
+        solution, bound = pooled(counts, capacity, rounds, [p for p, _ in best])
+        plans = [best, *(rounded(counts, capacity, solution, spare) for spare in SPARE)]
+        return min(plans, key=size_of), max(least, int(np.ceil(bound - 1e-6)))
+    idle = 0
+    for solution, bound in swept(counts, capacity, rounds):
+        least = max(least, int(np.ceil(bound - 1e-6)))
+        plan = min((rounded(counts, capacity, solution, spare) for spare in SPARE), key=size_of)
+        idle = 0 if size_of(plan) < size_of(best) else idle + 25
+        best = min(best, plan, key=size_of)
+        if size_of(best) <= (1 + GAP) * least or idle >= PATIENCE:
+            break
+    return best, least
+
+
 @dataclass
 class Plan:
     """Where the s-th piece of each length goes: rows sorted by (length, first slot)."""
@@ -127,7 +262,7 @@ class Plan:
 
 def make_plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
     """``counts[l]``: pieces of length l. Its size depends on ``capacity`` and ``rounds`` alone."""
-    configs = rounded(counts, capacity, fractional(counts, capacity, rounds))
+    configs, _ = configurations(counts, capacity, rounds)
     used = np.zeros(capacity + 1, dtype=np.int64)
     rows, sequence = [], 0
     for pattern, m in configs:
