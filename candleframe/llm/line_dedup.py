@@ -10,49 +10,75 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleframe.llm.common import WS_CHARS, ascii_lower, ddl, ship_package, shuffle_partitions, stage, trimmed
+from candleframe.llm.common import WS_CHARS, ascii_lower, checked_broadcast, ddl, ship_package, shuffle_partitions, stage, trimmed
 
 #: Lines shorter than this (code points of the key) are never dropped.
 MIN_CHARS = 20
 #: A key found in at least this many documents loses its lines in all but one.
 MIN_DOCS = 3
-#: Bits and probes of one segment's filter. More hashes only mean more false suspects.
-FILTER_BITS = 1 << 22
-PROBES = 4
-#: Copies of each segment's filter, so that one line's occurrences meet it in several tasks.
+#: Bits of a filter's first layer, bits a hash, and probes: about one false suspect in a hundred hashes.
+FIRST_BITS, BITS_EACH, PROBES = 1 << 14, 10, 7
+#: Bytes of all filters together up to which they are broadcast to the lines. Beyond, lines go to the filters.
+BROADCAST_BYTES = 32 << 20
+#: Copies of each segment's filter then, so that one line's occurrences meet it in several tasks.
 REPLICAS = 8
+#: Documents from which a repeated line is joined by broadcast: its lines stay where they are.
+HOT_DOCS = 2_000
 
 _NO_ID = -(1 << 63)
 
 
-def _bit_positions(h: np.ndarray) -> np.ndarray:
+def _bit_positions(h: np.ndarray, bits: int) -> np.ndarray:
     """(PROBES, n) bit positions of 64-bit hashes, by double hashing."""
     h = h.astype(np.uint64)
     with np.errstate(over="ignore"):
         mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
         step = (mixed >> np.uint64(32)) | np.uint64(1)
         k = np.arange(PROBES, dtype=np.uint64)[:, None]
-        return ((mixed + k * step) % np.uint64(FILTER_BITS)).astype(np.int64)
+        return ((mixed + k * step) % np.uint64(bits)).astype(np.int64)
 
 
 class Bloom:
-    """A Bloom filter over 64-bit hashes, one byte per bit while it is filled."""
+    """A Bloom filter over 64-bit hashes that grows with them: a full layer gets one of twice its size beside it.
+
+    Each layer holds a hash in BITS_EACH bits or more, whatever the number of hashes, so the
+    share of false hits stays at a few in a hundred. One byte a bit while it is filled, one bit
+    once it is packed (and no longer filled).
+    """
 
     def __init__(self, packed: bytes | None = None):
-        if packed is None:
-            self.bits = np.zeros(FILTER_BITS, dtype=bool)
-        else:
-            raw = zstandard.ZstdDecompressor().decompress(packed)
-            self.bits = np.unpackbits(np.frombuffer(raw, np.uint8)).astype(bool)
+        self.layers: list[np.ndarray] = []
+        self.room = 0
+        self.packed = packed is not None
+        at = 0
+        while packed and at < len(packed):
+            size = int.from_bytes(packed[at : at + 8], "little")
+            raw = zstandard.ZstdDecompressor().decompress(packed[at + 8 : at + 8 + size])
+            self.layers.append(np.frombuffer(raw, np.uint8))
+            at += 8 + size
 
     def add(self, h: np.ndarray) -> None:
-        self.bits[_bit_positions(h)] = True
+        h = np.unique(h[~self.seen(h)])
+        while len(h):
+            if not self.room:
+                self.layers.append(np.zeros(2 * len(self.layers[-1]) if self.layers else FIRST_BITS, dtype=bool))
+                self.room = len(self.layers[-1]) // BITS_EACH
+            now, h = h[: self.room], h[self.room :]
+            self.layers[-1][_bit_positions(now, len(self.layers[-1]))] = True
+            self.room -= len(now)
 
     def seen(self, h: np.ndarray) -> np.ndarray:
-        return self.bits[_bit_positions(h)].all(axis=0)
+        out = np.zeros(len(h), dtype=bool)
+        for bits in self.layers:
+            at = _bit_positions(h, len(bits) * (8 if self.packed else 1))
+            hit = bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 if self.packed else bits[at]
+            out |= hit.all(axis=0)
+        return out
 
     def pack(self) -> bytes:
-        return zstandard.ZstdCompressor(level=1).compress(np.packbits(self.bits).tobytes())
+        layers = [zstandard.ZstdCompressor(level=1).compress(np.packbits(x).tobytes()) for x in self.layers]
+        return b"".join(len(x).to_bytes(8, "little") + x for x in layers)
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,6 +134,28 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["id", "t", "h", "h2"]).filter(pa.array(keep))
 
 
+def _known(filters, parts: int):
+    """Lines -> those that the broadcast filter of their segment knows."""
+
+    def run(batches):
+        opened: dict[int, Bloom] = {}
+        for b in batches:
+            h = b.column("h").to_numpy()
+            segment = b.column("segment").to_numpy()
+            keep = np.zeros(len(h), dtype=bool)
+            order = np.argsort(segment, kind="stable")
+            cuts = np.searchsorted(segment[order], np.arange(parts + 1))
+            for s in range(parts):
+                at = order[cuts[s] : cuts[s + 1]]
+                if len(at) and s in filters.value:
+                    if s not in opened:
+                        opened[s] = Bloom(filters.value[s])
+                    keep[at] = opened[s].seen(h[at])
+            yield b.select(["id", "t", "h", "h2"]).filter(pa.array(keep))
+
+    return run
+
+
 def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts, drops = b.column("_text").to_pylist(), b.column("_drop").to_pylist()
@@ -136,6 +184,24 @@ def _hash(key, of_short):
     return F.when(F.char_length(key) >= MIN_CHARS, F.xxhash64(key)).otherwise(of_short)
 
 
+def _at_filters(lines: DataFrame, filters: DataFrame, segment, parts: int) -> DataFrame:
+    """The lines that their segment's filter knows, where filters are too large to travel."""
+    probes = lines.select(
+        segment.alias("segment"), F.pmod(F.xxhash64("id", "t"), F.lit(REPLICAS)).cast("int").alias("replica"),
+        F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("bits"), "id", "t", "h", "h2",
+    )
+    copies = filters.select(
+        "segment", F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica"),
+        F.lit(0).alias("kind"), "bits", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("t"),
+        F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("h2"),
+    )
+    return (
+        copies.unionByName(probes).repartition(parts, "segment", "replica")
+        .sortWithinPartitions("segment", "replica", "kind")
+        .mapInArrow(trimmed(_suspects), "id long, t long, h long, h2 long")
+    )
+
+
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, plus n_lines (before) and n_dropped.
 
@@ -145,11 +211,13 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     becomes ''. Other columns pass through; n_lines and n_dropped replace columns so named.
 
     1. Every task sends each line hash once per batch to the hash's segment, where a
-       once-seen and a twice-seen Bloom filter take it in.
-    2. Line hashes (with the id) meet their segment's twice-seen filter; those it does not
-       know end there. Every filter is copied to REPLICAS places, which splits hot lines.
-    3. Only suspects shuffle on: 128-bit keys count their distinct documents exactly.
-    4. The dropped keys of each id and text, at most as many as its lines, are joined to it.
+       once-seen and a twice-seen Bloom filter take it in; filters grow with their hashes.
+    2. The twice-seen filters, a small share of the hashes, are broadcast to the lines, and lines
+       that they do not know end where they are read. (Filters of more than BROADCAST_BYTES
+       stay: line hashes go to their segment's filter, in REPLICAS copies.)
+    3. Only suspects shuffle: 128-bit keys count their distinct documents exactly.
+    4. Keys of very many documents are joined to their lines by broadcast, others by shuffle;
+       the dropped keys of each id and text, at most as many as its lines, are joined to it.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -163,36 +231,26 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         "id", "t", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(MIN_DOCS), "key").alias("h2")
     )
     segment = F.pmod(F.col("h"), F.lit(parts)).cast("int")
-    filters = (
+    filters = stage(
         lines.select("h").mapInArrow(trimmed(_combine), "h long, more boolean")
         .withColumn("segment", segment).repartition(parts, "segment").sortWithinPartitions("segment")
-        .mapInArrow(trimmed(_build_filters), "segment int, bits binary")
-    )
-    probes = lines.select(
-        segment.alias("segment"), F.pmod(F.xxhash64("id", "t"), F.lit(REPLICAS)).cast("int").alias("replica"),
-        F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("bits"), "id", "t", "h", "h2",
-    )
-    copies = filters.select(
-        "segment", F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica"),
-        F.lit(0).alias("kind"), "bits", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("t"),
-        F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("h2"),
-    )
-    suspects = stage(
-        copies.unionByName(probes).repartition(parts, "segment", "replica")
-        .sortWithinPartitions("segment", "replica", "kind")
-        .mapInArrow(trimmed(_suspects), "id long, t long, h long, h2 long"),
-        "suspects",
-    )
-    repeated = (
+        .mapInArrow(trimmed(_build_filters), "segment int, bits binary"), "filters")
+    if (filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= BROADCAST_BYTES:
+        sent = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in filters.collect()})
+        known = lines.withColumn("segment", segment).mapInArrow(trimmed(_known(sent, parts)), "id long, t long, h long, h2 long")
+    else:
+        known = _at_filters(lines, filters, segment, parts)
+    suspects = stage(known, "suspects")
+    repeated = stage(
         suspects.groupBy("h", "h2", "id").agg(F.lit(1).alias("one"))
         .groupBy("h", "h2").agg(F.count("*").alias("docs"), F.max("id").alias("holder"))
-        .where(F.col("docs") >= MIN_DOCS).select("h", "h2", "holder")
-    )
-    # A line of very many documents is dealt over REPLICAS places.
-    copies_of = F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica")
-    salted = suspects.withColumn("replica", F.pmod(F.xxhash64("id", "t"), F.lit(REPLICAS)).cast("int"))
+        .where(F.col("docs") >= MIN_DOCS), "repeated")
+    hot = checked_broadcast(repeated.where(F.col("docs") > HOT_DOCS).select("h", "h2", "holder"))
+    cold = repeated.where(F.col("docs") <= HOT_DOCS).select("h", "h2", "holder")
+    key = ["h", "h2"]
+    lost = suspects.join(hot, key).unionByName(suspects.join(hot.select(*key), key, "left_anti").join(cold, key))
     drops = (
-        salted.join(repeated.select("*", copies_of), ["h", "h2", "replica"]).where(F.col("id") != F.col("holder"))
+        lost.where(F.col("id") != F.col("holder"))
         .groupBy("id", "t").agg(F.collect_set("h").alias("_drop")).withColumnsRenamed({"id": "_id", "t": "_t"})
     )
     others = [f"_o_{c}" for c in base.columns if c != text]
