@@ -134,9 +134,30 @@ top AS (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1)
 SELECT doc_id, leaf, sub AS subroot, root, sha256(coalesce(joined, '')) AS proof_sha256, cur AS folded_root, cur = root AS verified
 FROM placed JOIN folded USING (k) LEFT JOIN proofs USING (k) JOIN subs ON placed.g IS NOT DISTINCT FROM subs.k, top"""
 
+TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+QUALIFY rank <= 20"""
+
+#: Base32 of a SHA-1: eight times five hexadecimal digits, each as four letters.
+_BASE32 = ("array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda b: "
+           "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({0}, 5 * g + 1, 5))::BIGINT >> b) & 31)::INT + 1, 1)), '')), '')")
+WARC = f"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT *, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS h,
+  row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, rid DESC) AS place,
+  first(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, rid DESC) AS largest FROM p)
+SELECT page_id, payload_bytes, {_BASE32.format('h')} AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN largest END AS refers_to FROM k"""
+
 ORACLE = {
+    "op3_top_k": TOP_K,
     "op4_quality_rules": QUALITY,
     "op6_url_filter": URL_FILTER,
     "op7_line_dedup": LINE_DEDUP,
+    "op11_warc": WARC,
     "op12_merkle_manifest": MERKLE,
 }
