@@ -2,8 +2,8 @@
 
 Jaccard distance is a metric, but texts without a common shingle are all at distance 1,
 where Voronoi regions of pivots cannot part them. So regions are first cut by an exact
-key: a pair that links differs in at most H shingles; spread over H + 2 hash buckets, at
-least two buckets of the pair agree completely. Documents that share such a bucket form a
+key: a pair that links differs in at most H shingles; spread over H + 4 hash buckets, at
+least four buckets of the pair agree completely. Documents that share such a bucket form a
 cell; members of a cell whose bucket counts are close enough (a lower bound of their
 distance) are connected, connected documents form a region, and inside a region distances tell documents apart:
 every member is measured against the region's pivot. Those within the radius are joined;
@@ -14,6 +14,8 @@ none, are compared if their distances to the first pivot differ by no more than
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,8 +36,10 @@ FLUSH = 1 << 21
 PART_ROWS = 4096
 #: Shingles of all members of such a part (8 bytes each, several times over while it is joined).
 PART_SHINGLES = 1 << 24
+#: Hash buckets of a pair that links which agree at least; a set has so many more than the pair can differ in.
+AGREE = 4
 #: Buckets of the smallest and of the largest sets' sketches, one byte each.
-MIN_SKETCH, MAX_SKETCH = 8, 1024
+MIN_SKETCH, MAX_SKETCH = 64, 2048
 #: Members of a cell that one task compares; those of larger cells meet in tiles of twice as many.
 CELL_ROWS = 1 << 15
 #: Further pivots that a region of several parts gets, one after the other.
@@ -104,9 +108,9 @@ def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) ->
     """(signature, text's number): two sets that link and differ share at least one signature.
 
     In a class of sets up to U large, linked sets differ in at most H = floor(2U (1-t)/(1+t))
-    shingles; of H + 2 buckets at least two agree. A bucket with shingles signs alone;
-    empty buckets, which agree by chance, sign in pairs. Every set signs for its own class
-    and the next, where it meets larger partners.
+    shingles; of H + AGREE buckets at least AGREE agree. A bucket with shingles signs alone;
+    empty buckets, which agree by chance, sign AGREE at a time, and few sets have as many.
+    Every set signs for its own class and the next, where it meets larger partners.
     """
     num, den = similarity
     ends = size_bounds(similarity, int(n.max(initial=1)))
@@ -116,7 +120,7 @@ def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) ->
     for shift in (0, 1):
         cls = own + shift
         allowed = 2 * ends[cls] * (den - num) // (den + num)
-        m = np.where((allowed > 0) & (n > 0), allowed + 2, 0)
+        m = np.where((allowed > 0) & (n > 0), allowed + AGREE, 0)
         base = np.cumsum(m) - m
         total = int(m.sum())
         if not total:
@@ -134,12 +138,14 @@ def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) ->
             sigs.append(mix(sums + place)[full])
             docs.append(doc[full])
             empty = np.flatnonzero(~full)
-            for i in np.unique(doc[empty]):
+            for i in np.flatnonzero(np.bincount(doc[empty], minlength=len(n)) >= AGREE):
                 e = place[empty[np.searchsorted(doc[empty], i) : np.searchsorted(doc[empty], i, "right")]]
-                if len(e) > 1:
-                    a, b = np.triu_indices(len(e), 1)
-                    sigs.append(mix(e[a] * np.uint64(3) + e[b]))
-                    docs.append(np.full(len(a), i))
+                some = e[np.array(list(combinations(range(len(e)), AGREE)))]
+                name = some[:, 0]
+                for k in range(1, AGREE):
+                    name = mix(name * np.uint64(3) + some[:, k])
+                sigs.append(name)
+                docs.append(np.full(len(name), i))
     if not sigs:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(sigs), np.concatenate(docs)
@@ -157,12 +163,11 @@ def _set_ids(sets: np.ndarray, n: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def sketch_widths(n: np.ndarray) -> np.ndarray:
-    """Buckets of the sketches of sets of ``n`` shingles: 8 to 16 shingles fall into each, a power of two.
+    """Buckets of the sketches of sets of ``n`` shingles: 4 shingles at most fall into each, a power of two.
 
     Sets that are not alike then differ in most buckets, however large they are.
     """
-    low = np.maximum(n, 16 * MIN_SKETCH) >> 4
-    return np.minimum(1 << (np.ceil(np.log2(low + 1)).astype(np.int64)), MAX_SKETCH)
+    return np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 4)).clip(0).astype(np.int64), MIN_SKETCH, MAX_SKETCH)
 
 
 def sketches(sets: np.ndarray, n: np.ndarray) -> list[bytes]:
