@@ -71,7 +71,7 @@ def test_cli_entry_points(spark, tmp_path, capsys):
     pairs = tmp_path / "pairs"
     pairs.mkdir()
     _write_pairs(str(pairs))
-    report.main([str(pairs), str(tmp_path / "r"), "--top-n", "4", "--unique-times"])
+    report.main([str(pairs), str(tmp_path / "r"), "--top-n", "4"])
     printed = capsys.readouterr().out.splitlines()
     assert len(printed) == 15 and all("\t" in line for line in printed)
     assert report._years("2017-2019") == (2017, 2018, 2019) and report._years("data") is None
