@@ -3,10 +3,11 @@
 A file is a plain sequence of zstandard frames, so any zstandard tool can read it:
 
 * data frames, one per document: its ids as little-endian uint32, with content checksum;
-* an empty skippable frame after every written bundle (Spark's text writer puts a line
-  separator after each record, and this separator is one such frame);
-* last, a skippable frame with the seek table: an entry for each document, then a footer
-  with the number of entries and a magic number.
+* a skippable frame with the seek table: an entry for each document, then a footer with the
+  number of entries and a magic number;
+* last, an empty skippable frame: Spark's text writer puts a line separator after each
+  record, which is such a frame. A file is one record, closed by the document that brings
+  its frames to FILE_BYTES, so readers hold one bounded file at a time.
 
 Spark writes the files through its own committed output, so a lost or repeated task leaves
 no half-written file, on any file system that Spark knows.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ship_package, trimmed
+from candleframe.llm.common import ship_package, stage, trimmed
 from candleframe.llm.word_bpe import WordEncoder
 
 #: An empty skippable frame: magic 0x184D2A50 and a size of 0; all ASCII.
@@ -34,6 +35,8 @@ SEPARATOR = struct.pack("<II", 0x184D2A50, 0)
 TABLE_MAGIC = 0x184D2A5E
 FOOTER = "<QI"
 FOOTER_MAGIC = 0x8F92EAB1
+#: Bytes of frames from which a file is closed.
+FILE_BYTES = 16 << 20
 #: doc_id, whether it is NULL, offset of the frame, its size, ids in it, crc32 of their bytes.
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("size", "<u4"), ("n_ids", "<u8"), ("crc", "<u4")])
 
@@ -65,26 +68,35 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str =
 
     def frames(batches):
         pack = zstandard.ZstdCompressor(level=3, write_checksum=True)
-        entries, at = [], 0
+        parts, entries, at = [], [], 0
+
+        def closed():
+            table = np.concatenate(entries)
+            body = table.tobytes() + struct.pack(FOOTER, len(table), FOOTER_MAGIC)
+            parts.append(struct.pack("<II", TABLE_MAGIC, len(body)) + body)
+            out = pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary())], ["frame"])
+            parts.clear()
+            entries.clear()
+            return out
+
         for doc_ids, ids, ends in encode_rows(batches, tokenizer):
             raw = memoryview(ids.tobytes())
             entry = np.zeros(len(doc_ids), dtype=ENTRY)
-            bundle, lo = [], 0
+            lo, done = 0, 0
             for i, hi in enumerate(ends.tolist()):
                 body = raw[4 * lo : 4 * hi]
                 frame = pack.compress(body)
                 entry[i] = (doc_ids[i] or 0, doc_ids[i] is None, at, len(frame), hi - lo, zlib.crc32(body))
-                bundle.append(frame)
+                parts.append(frame)
                 at += len(frame)
                 lo = hi
-            at += len(SEPARATOR)
-            entries.append(entry)
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(bundle)], pa.binary())], ["frame"])
-        if entries:
-            table = np.concatenate(entries)
-            body = table.tobytes() + struct.pack(FOOTER, len(table), FOOTER_MAGIC)
-            last = struct.pack("<II", TABLE_MAGIC, len(body)) + body
-            yield pa.RecordBatch.from_arrays([pa.array([last], pa.binary())], ["frame"])
+                if at >= FILE_BYTES:
+                    entries.append(entry[done : i + 1])
+                    yield closed()
+                    at, done = 0, i + 1
+            entries.append(entry[done:])
+        if parts:
+            yield closed()
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -92,7 +104,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, doc_id: str =
         rows.repartitionByRange(*order).sortWithinPartitions(*order)
         .mapInArrow(trimmed(frames), "frame binary")
         .select(F.col("frame").cast("string").alias("value"))
-        .write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
+        .write.option("lineSep", SEPARATOR.decode("ascii")).option("maxRecordsPerFile", 1).text(path)
     )
 
 
@@ -108,8 +120,10 @@ def seek_table(content: memoryview) -> np.ndarray:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    number = F.regexp_extract(F.col("path"), r"part-(\d+)", 1).cast("int")
-    return spark.read.format("binaryFile").load(path).where("length > 0").select(number.alias("file"), "content")
+    """(file, content): numbers rise with the files' ids, over the writer's partitions and files within one."""
+    number = [F.regexp_extract(F.col("path"), f, 1).cast("long") for f in (r"part-(\d+)-[^/]*$", r"-c(\d+)\.")]
+    return spark.read.format("binaryFile").load(path).where("length > 0").select(
+        (number[0] * 1_000_000 + number[1]).alias("file"), "content")
 
 
 def _id_column(table: np.ndarray) -> pa.Array:
@@ -156,7 +170,7 @@ def read_token_files(
                             raise ValueError(f"file {file}: the frame at {at} differs from its entry")
                         raws.append(np.frombuffer(raw, "<u4") if with_ids else None)
                     cols = [
-                        pa.array([file] * len(part), pa.int32()), _id_column(part),
+                        pa.array([file] * len(part), pa.int64()), _id_column(part),
                         pa.array(before[lo : lo + 512]), pa.array(part["n_ids"].astype(np.int64)),
                         pa.array(crcs, pa.int64()),
                     ]
@@ -166,11 +180,16 @@ def read_token_files(
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = "file int, doc_id long, before long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    schema = "file long, doc_id long, before long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     files = _files(spark, path)
+    found = files.mapInArrow(trimmed(documents), schema)
+    if with_ids or wanted is not None:
+        totals = files.mapInArrow(trimmed(_totals), "file long, total long")
+    else:  # all documents, without their ids: the files are read once
+        found = stage(found, "documents-of-files")
+        totals = found.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     # One row per file.
     up_to = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    base = files.mapInArrow(trimmed(_totals), "file int, total long").select(
-        "file", F.coalesce(F.sum("total").over(up_to), F.lit(0)).cast("long").alias("base"))
-    rows = files.mapInArrow(trimmed(documents), schema).join(base, "file")
+    base = totals.select("file", F.coalesce(F.sum("total").over(up_to), F.lit(0)).cast("long").alias("base"))
+    rows = found.join(base, "file")
     return rows.select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
