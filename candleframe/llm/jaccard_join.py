@@ -2,8 +2,8 @@
 
 Jaccard distance is a metric, but texts without a common shingle are all at distance 1,
 where Voronoi regions of pivots cannot part them. So regions are first cut by an exact
-key: a pair that links differs in at most H shingles; spread over H + 4 hash buckets, at
-least four buckets of the pair agree completely. Documents that share such a bucket form a
+key: a pair that links differs in at most H shingles; spread over H + K hash buckets, at
+least K buckets of the pair agree completely. Documents that share such a bucket form a
 cell; members of a cell whose bucket counts are close enough (a lower bound of their
 distance) are connected, connected documents form a region, and inside a region distances tell documents apart:
 every member is measured against the region's pivot. Those within the radius are joined;
@@ -14,18 +14,15 @@ none, are compared if their distances to the first pivot differ by no more than
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import checked_broadcast, ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
+from candleframe.llm.common import checked_broadcast, opened, ship_package, shuffle_partitions, stage, trimmed, zipped
 from candleframe.llm.components import connected_components
 
 #: Words in a shingle and the least similarity, as a fraction, of the registered query.
@@ -36,8 +33,8 @@ FLUSH = 1 << 21
 PART_ROWS = 4096
 #: Shingles of all members of such a part (8 bytes each, several times over while it is joined).
 PART_SHINGLES = 1 << 24
-#: Hash buckets of a pair that links which agree at least; a set has so many more than the pair can differ in.
-AGREE = 4
+#: Hash buckets that agree in a pair that links, at least, beyond those likely to be empty.
+AGREE = 2
 #: Buckets of the smallest and of the largest sets' sketches, one byte each.
 MIN_SKETCH, MAX_SKETCH = 64, 2048
 #: Members of a cell that one task compares; those of larger cells meet in tiles of twice as many.
@@ -104,13 +101,22 @@ def size_bounds(similarity: tuple[int, int], most: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+def agreeing(allowed: np.ndarray, least_size: np.ndarray) -> np.ndarray:
+    """K of each class: more than the empty buckets that its smallest sets are likely to have."""
+    buckets = np.maximum(allowed + AGREE, 1)
+    empty = buckets * np.exp(-least_size / buckets)
+    return AGREE + np.ceil(empty + 2 * np.sqrt(empty)).astype(np.int64)
+
+
 def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """(signature, text's number): two sets that link and differ share at least one signature.
 
     In a class of sets up to U large, linked sets differ in at most H = floor(2U (1-t)/(1+t))
-    shingles; of H + AGREE buckets at least AGREE agree. A bucket with shingles signs alone;
-    empty buckets, which agree by chance, sign AGREE at a time, and few sets have as many.
-    Every set signs for its own class and the next, where it meets larger partners.
+    shingles; of H + K buckets at least K agree. A bucket with shingles signs alone. Empty ones
+    agree by chance, so K is chosen above the number that a set is likely to have: then one of
+    the agreeing buckets holds shingles. A set of e >= K empty buckets signs the first
+    e - K + 1 of them as well: if a pair agrees in K empty ones, the first of those is among
+    them in both. Every set signs for its own class and the next, where it meets larger partners.
     """
     num, den = similarity
     ends = size_bounds(similarity, int(n.max(initial=1)))
@@ -120,7 +126,8 @@ def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) ->
     for shift in (0, 1):
         cls = own + shift
         allowed = 2 * ends[cls] * (den - num) // (den + num)
-        m = np.where((allowed > 0) & (n > 0), allowed + AGREE, 0)
+        least = agreeing(allowed, ends[cls] * num / den)
+        m = np.where((allowed > 0) & (n > 0), allowed + least, 0)
         base = np.cumsum(m) - m
         total = int(m.sum())
         if not total:
@@ -138,14 +145,11 @@ def signatures(sets: np.ndarray, n: np.ndarray, similarity: tuple[int, int]) ->
             sigs.append(mix(sums + place)[full])
             docs.append(doc[full])
             empty = np.flatnonzero(~full)
-            for i in np.flatnonzero(np.bincount(doc[empty], minlength=len(n)) >= AGREE):
-                e = place[empty[np.searchsorted(doc[empty], i) : np.searchsorted(doc[empty], i, "right")]]
-                some = e[np.array(list(combinations(range(len(e)), AGREE)))]
-                name = some[:, 0]
-                for k in range(1, AGREE):
-                    name = mix(name * np.uint64(3) + some[:, k])
-                sigs.append(name)
-                docs.append(np.full(len(name), i))
+            count = np.bincount(doc[empty], minlength=len(n))
+            rank = np.arange(len(empty)) - (np.cumsum(count) - count)[doc[empty]]
+            empty = empty[rank <= (count - least)[doc[empty]]]
+            sigs.append(mix(place[empty] * np.uint64(3) + np.uint64(1)))
+            docs.append(doc[empty])
     if not sigs:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(sigs), np.concatenate(docs)
@@ -185,12 +189,18 @@ def folded(counts: np.ndarray, width: int) -> np.ndarray:
     return counts if counts.shape[1] == width else counts.reshape(len(counts), -1, width).sum(axis=1, dtype=np.int64)
 
 
+def texts_of(batch: pa.RecordBatch):
+    """Blocks of a batch's packed texts, unpacked."""
+    for part in opened(batch):
+        yield from blocks(part, "text")
+
+
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """row, doc_id, n_shingles, the set's fingerprint (fa, fb) and sketch of every row."""
+    """row, doc_id, n_shingles, the set's fingerprint (fa, fb) and sketch of every row (texts packed)."""
 
     def run(batches):
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in texts_of(batch):
                 sets, n = shingle_sets(block.column("text"), words)
                 a, b = _set_ids(sets, n)
                 yield pa.RecordBatch.from_arrays(
@@ -227,7 +237,7 @@ def cells(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame
                 ["segment", "high", "low", "ids"])
 
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in texts_of(batch):
                 sets, n = shingle_sets(block.column("text"), words)
                 a = np.array(_set_ids(sets, n)[0], dtype=np.int64)
                 first = np.zeros(len(n), dtype=bool)
@@ -467,14 +477,6 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
         "p", "part", "parts", F.lit(1).alias("kind"), "x", "text")
     names = ["p", "x", "inter", "total", "size", "prefix"]
 
-    def opened(batch):
-        unpack = zstandard.ZstdDecompressor()
-        place = batch.schema.get_field_index("text")
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            text = pa.array([unpack.decompress(x.as_buffer()) for x in part.column(place)], pa.binary()).cast(pa.string())
-            yield from blocks(part.set_column(place, "text", text), "text")
-
     def batch_of(rows):
         cols = list(zip(*rows, strict=True)) or [[]] * 6
         return pa.RecordBatch.from_arrays(
@@ -489,7 +491,7 @@ def measure(pairs: DataFrame, texts: DataFrame, words: int, similarity: tuple[in
             return rows
 
         for batch in batches:
-            for block in opened(batch):
+            for block in texts_of(batch):
                 sets, n = shingle_sets(block.column("text"), words)
                 ends = np.cumsum(n).tolist()
                 out = []
@@ -541,8 +543,8 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, similarity: tuple[int, in
         packed = stage(zipped(docs.select(
             F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
             F.coalesce(F.col(text), F.lit("")).alias("text"))), "numbered")
-    rows = stage(fingerprints(unzipped(packed), words), "fingerprints")
-    cell = stage(cells(unzipped(packed.select("text")), words, similarity), "cells")
+    rows = stage(fingerprints(packed, words), "fingerprints")
+    cell = stage(cells(packed, words, similarity), "cells")
     star = cell_edges(cell, rows, similarity)
     region = stage(connected_components(star), "regions")
     # One row of each set stands for it.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candleframe.llm.chunks import blocks
-from candleframe.llm.common import ddl, free_name, ship_package, shuffle_partitions, stage, trimmed, unzipped, zipped
+from candleframe.llm.common import ddl, free_name, opened, ship_package, shuffle_partitions, stage, trimmed, zipped
 from candleframe.llm.induced_sort import PrefixHash, repeated
 from candleframe.llm.jaccard_join import mix
 
@@ -85,7 +85,7 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
-    """Occurrences (h, cls, row, a, w) of the anchors that occur twice or more in ``docs`` (row, text).
+    """Occurrences (h, cls, row, a, w) of the anchors that occur twice or more in ``docs`` (row, packed text).
 
     Tasks send packed records to the anchor's segment, at most two per context and flush;
     further ones are known to be repeated and go to other places, so that a passage which
@@ -116,7 +116,7 @@ def anchors(docs: DataFrame, match: int, k: int) -> DataFrame:
 
         number = 0
         for batch in batches:
-            for block in blocks(batch, "text", 1 << 20):
+            for block in (block for part in opened(batch) for block in blocks(part, "text", 1 << 20)):
                 data, ends = _bytes_of(block.column("text"))
                 text, a, w, h, cls = block_anchors(data, ends, match, k)
                 rec = np.empty(len(text), dtype=_RECORD)
@@ -262,7 +262,7 @@ def suffix_dedup(docs: DataFrame, match: int = MATCH, k: int = ANCHOR, text: str
     packed = stage(zipped(docs.select(
         *[F.col(f"`{c}`").alias(f"_o_{c}") for c in others], F.monotonically_increasing_id().alias("row"),
         F.coalesce(F.col(text), F.lit("")).alias("text"))), "numbered")
-    found = stage(anchors(unzipped(packed.select("row", "text")), match, k), "anchors")
+    found = stage(anchors(packed, match, k), "anchors")
     classes = stage(found.groupBy("h", "cls").agg(F.count("*").alias("n"), F.min(F.struct("row", "a", "w")).alias("at")), "contexts")
     several = classes.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select(
         "h", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))

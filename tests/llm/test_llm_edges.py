@@ -195,15 +195,30 @@ def test_jaccard_tiles_over_many_batches():
 
 def test_signatures_lose_no_link():
     rng = np.random.default_rng(5)
-    for _ in range(300):
-        n = int(rng.integers(2, 400))
+    for k in range(300):
+        n = int(rng.integers(2, 400 if k % 10 else 6_000))
         a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
         b = a.copy()
         drop = int(rng.integers(0, max(1, n // 12) + 1))
         b = np.unique(np.concatenate([b[drop:], rng.integers(0, 2**63, int(rng.integers(0, n // 12 + 1)), dtype=np.uint64)]))
         inter = len(np.intersect1d(a, b))
-        if len(b) and not np.array_equal(a, b) and inter * 100 >= 85 * (len(a) + len(b) - inter):
-            sig, doc = jaccard_join.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), (85, 100))
+        for t in (85, 80):
+            if len(b) and not np.array_equal(a, b) and inter * 100 >= t * (len(a) + len(b) - inter):
+                sig, doc = jaccard_join.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), (t, 100))
+                assert set(sig[doc == 0]) & set(sig[doc == 1])
+                assert len(sig) < 2 * (len(a) + len(b)) + 20  # few for each shingle, however long the text
+
+
+def test_signatures_of_empty_buckets_alone(monkeypatch):
+    """With K below the empty buckets that sets have, the first of them still bring linked pairs together."""
+    monkeypatch.setattr(jaccard_join, "agreeing", lambda allowed, least: np.full(len(allowed), 2))
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(4, 60)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[1:], rng.integers(0, 2**63, 1, dtype=np.uint64)]))
+        inter = len(np.intersect1d(a, b))
+        if inter * 100 >= 70 * (len(a) + len(b) - inter):
+            sig, doc = jaccard_join.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), (70, 100))
             assert set(sig[doc == 0]) & set(sig[doc == 1])
 
 
@@ -308,6 +323,21 @@ def test_sentencepiece(spark, docs, none):
     assert [r.decoded for r in decode(nothing, PIECES).orderBy("k").collect()] == ["", ""]
 
 
+def test_token_files_of_bounded_size(spark, monkeypatch, tmp_path):
+    """Files close at their size, whatever the partitions, and starts run on over all of them."""
+    monkeypatch.setattr(token_files, "FILE_BYTES", 2_000)
+    df = spark.createDataFrame([(i, " ".join(f"w{i * j % 977}" for j in range(60))) for i in range(200)], "doc_id long, text string")
+    token_files.write_token_files(df.repartition(5), f"{tmp_path}/t", WORDS)
+    sizes = [p.stat().st_size for p in tmp_path.glob("t/part-*")]
+    assert len(sizes) > 8 and max(sizes) < 2_000 + 200 * 40
+    slim = token_files.read_token_files(spark, f"{tmp_path}/t", with_ids=False).orderBy("doc_id").collect()
+    full = token_files.read_token_files(spark, f"{tmp_path}/t").orderBy("doc_id").collect()
+    at = 0
+    for i, (a, b) in enumerate(zip(slim, full, strict=True)):
+        assert a.doc_id == b.doc_id == i and a.start == b.start == at and a.n_tokens == len(b.ids) and a.ids_crc32 == b.ids_crc32
+        at += a.n_tokens
+
+
 def test_token_files(spark, docs, none, tmp_path):
     token_files.write_token_files(docs.repartition(3), f"{tmp_path}/t", WORDS)
     got = token_files.read_token_files(spark, f"{tmp_path}/t").collect()
