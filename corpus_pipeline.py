@@ -47,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     row = free_name(docs.columns, "_row")
     packed = stage(zipped(docs.withColumn(row, F.monotonically_increasing_id())), "numbered")
-    classes = jaccard_components(unzipped(packed.select(row, "text")), WORDS, SIMILARITY, doc_id=row)
+    classes = jaccard_components(packed.select(row, "text"), WORDS, SIMILARITY, doc_id=row, numbered=True)
     placed = stage(classes.select(F.col("doc_id").alias(row), F.col("component_id").alias("of")).join(
         packed.select(row, F.col("doc_id").alias("id")), row), "near-duplicates")
     first = placed.groupBy("of").agg(
