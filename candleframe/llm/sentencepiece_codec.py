@@ -23,6 +23,8 @@ from candleframe.llm.chunks import ChunkTable, blocks, ragged
 from candleframe.llm.common import ddl, free_name, ship_package, trimmed
 
 SPACE = "▁"
+#: Text of a block: its alignment record takes some ten times as much for a moment.
+RECORD_BYTES = 1 << 20
 #: Marks the cuts between chunks; a text that holds it is segmented whole.
 _CUT = "\x01"
 # Piece types and field numbers of the public model format.
@@ -339,7 +341,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     def run(batches):
         pieces = PieceModel.load(model)
         for batch in batches:
-            for block in blocks(batch, own):
+            for block in blocks(batch, own, RECORD_BYTES):
                 ids, begins, ends, n = pieces.encode(block.column(own))
                 cols = [block.column(c) for c in names] + [_lists(v, n) for v in (ids, begins, ends)]
                 yield pa.RecordBatch.from_arrays(cols, [*names, "ids", "begins", "ends"])
