@@ -323,21 +323,6 @@ def test_sentencepiece(spark, docs, none):
     assert [r.decoded for r in decode(nothing, PIECES).orderBy("k").collect()] == ["", ""]
 
 
-def test_token_files_of_bounded_size(spark, monkeypatch, tmp_path):
-    """Files close at their size, whatever the partitions, and starts run on over all of them."""
-    monkeypatch.setattr(token_files, "FILE_BYTES", 2_000)
-    df = spark.createDataFrame([(i, " ".join(f"w{i * j % 977}" for j in range(60))) for i in range(200)], "doc_id long, text string")
-    token_files.write_token_files(df.repartition(5), f"{tmp_path}/t", WORDS)
-    sizes = [p.stat().st_size for p in tmp_path.glob("t/part-*")]
-    assert len(sizes) > 8 and max(sizes) < 2_000 + 200 * 40
-    slim = token_files.read_token_files(spark, f"{tmp_path}/t", with_ids=False).orderBy("doc_id").collect()
-    full = token_files.read_token_files(spark, f"{tmp_path}/t").orderBy("doc_id").collect()
-    at = 0
-    for i, (a, b) in enumerate(zip(slim, full, strict=True)):
-        assert a.doc_id == b.doc_id == i and a.start == b.start == at and a.n_tokens == len(b.ids) and a.ids_crc32 == b.ids_crc32
-        at += a.n_tokens
-
-
 def test_token_files(spark, docs, none, tmp_path):
     token_files.write_token_files(docs.repartition(3), f"{tmp_path}/t", WORDS)
     got = token_files.read_token_files(spark, f"{tmp_path}/t").collect()
